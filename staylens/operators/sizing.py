@@ -1,0 +1,21 @@
+"""Broadcast only what is proven small.
+
+A dimension is broadcast after a bounded count shows it has at most
+``max_rows`` rows (the count job reads at most ``max_rows + 1`` rows). Above
+that the frame is returned unchanged and the planner picks a shuffle join,
+with AQE able to switch strategies from runtime statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed default: a dimension up to this many rows is broadcast.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
