@@ -43,8 +43,8 @@ def _m(x: str) -> str:
             f"THEN TRY_CAST(trim({x}) AS DECIMAL(18,6)) END)")
 
 
-def _t4(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(18,4)) AS VARCHAR)"
+def _t2(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
 
 
 def _item_text(v: str) -> str:
@@ -94,14 +94,14 @@ SELECT 'H' || CAST(hn AS VARCHAR) AS hotel_id, rid AS reservation_id,
        strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%g') AS updated_at,
        [{{'room_type_id': 'R' || CAST(l_partkey % 6 AS VARCHAR),
           'start_date': strftime(arr, {_ISO}), 'end_date': strftime(dep, {_ISO}),
-          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t4('p * (1 - d)')},
-          'fnb_gross': CASE WHEN d = 0 THEN '' ELSE {_t4('p * (d + 0.01)')} END,
-          'fnb_net': CASE WHEN d = 0 THEN '' ELSE {_t4('p * d')} END}},
+          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t2('p * (1 - d)')},
+          'fnb_gross': CASE WHEN d = 0 THEN '' ELSE {_t2('p * (d + 0.01)')} END,
+          'fnb_net': CASE WHEN d = 0 THEN '' ELSE {_t2('p * d')} END}},
         {{'room_type_id': 'R' || CAST(l_suppkey % 6 AS VARCHAR),
           'start_date': strftime(CASE WHEN ln = 2 THEN arr - 1 ELSE arr END, {_ISO}),
           'end_date': CASE WHEN ln = 5 THEN 'not-a-date' ELSE strftime(arr, {_ISO}) END,
-          'room_gross': {_t4('p * 1.1')},
-          'room_net': CASE WHEN ln = 3 THEN 'n/a' ELSE {_t4('p * (1.05 - d)')} END,
+          'room_gross': {_t2('p * 1.1')},
+          'room_net': CASE WHEN ln = 3 THEN 'n/a' ELSE {_t2('p * (1.05 - d)')} END,
           'fnb_gross': CASE WHEN ln = 4 THEN NULL ELSE '' END,
           'fnb_net': CASE WHEN ln = 4 THEN NULL ELSE '' END}}] AS stay_dates
 FROM x_ev WHERE hn <= 1""")
@@ -122,12 +122,12 @@ SELECT 'H' || CAST(hn AS VARCHAR) AS hotel_id, rid AS reservation_id,
          || CASE WHEN ln = 5 THEN 'Z' WHEN ln = 4 THEN '-0500' ELSE '-05:00' END AS modified_txt,
        [{{'room_type_id': 'R' || CAST(l_partkey % 6 AS VARCHAR),
           'start_date': strftime(arr, {_ISO}), 'end_date': strftime(arr, {_ISO}),
-          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t4('p * (1 - d)')},
-          'fnb_gross': CASE WHEN d >= 0.05 THEN {_t4('p * (d + 0.01)')} END,
-          'fnb_net': CASE WHEN d >= 0.05 THEN {_t4('p * d')} END}},
+          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t2('p * (1 - d)')},
+          'fnb_gross': CASE WHEN d >= 0.05 THEN {_t2('p * (d + 0.01)')} END,
+          'fnb_net': CASE WHEN d >= 0.05 THEN {_t2('p * d')} END}},
         {{'room_type_id': 'R' || CAST(l_suppkey % 6 AS VARCHAR),
           'start_date': strftime(arr + 1, {_ISO}), 'end_date': strftime(arr + 1, {_ISO}),
-          'room_gross': {_t4('p * 0.5')}, 'room_net': {_t4('p * (0.5 - d)')},
+          'room_gross': {_t2('p * 0.5')}, 'room_net': {_t2('p * (0.5 - d)')},
           'fnb_gross': CAST(NULL AS VARCHAR), 'fnb_net': CAST(NULL AS VARCHAR)}}] AS stay_dates
 FROM x_ev WHERE hn >= 3""")
 
@@ -149,8 +149,8 @@ SELECT 'H2' AS property_code, rid AS booking_ref,
             ELSE strftime(arr + (ln - 1), '%d.%m.%Y') END AS stay_night,
        'R' || CAST(l_partkey % 6 AS VARCHAR) AS room_code,
        CAST(p AS VARCHAR) AS room_gross_eur,
-       CAST(CAST(p * 0.1 AS DECIMAL(18,3)) AS VARCHAR) AS room_vat_eur,
-       CASE WHEN d = 0 THEN NULL ELSE {_t4('p * 0.12')} END AS board_gross_eur
+       CAST(CAST(p * 0.1 AS DECIMAL(18,2)) AS VARCHAR) AS room_vat_eur,
+       CASE WHEN d = 0 THEN NULL ELSE {_t2('p * 0.12')} END AS board_gross_eur
 FROM x_ev WHERE hn = 2""")
 
 _board_units = f"CAST({_m('board_gross_eur')} * 1000000 AS HUGEINT)"

@@ -10,6 +10,9 @@ must handle: invalid statuses and stays, malformed numbers, dates and
 offsets, line items outside the stay or the inventory, duplicate nights,
 equal timestamps between snapshots, and overbooked nights.
 
+Money is quoted in cents (amounts derived from prices are rounded half-up
+to two decimals when written as text), as PMS feeds quote it.
+
 Everything is a lazy DataFrame derived from the given tables, so the work
 grows with them; nothing is collected. The oracle SQL in ``__spark_entry__``
 builds the same feeds with the same rules.
@@ -45,7 +48,7 @@ def _iso(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM-dd")
 
 
-def _text(amount: Column, scale: int = 4) -> Column:
+def _text(amount: Column, scale: int = 2) -> Column:
     return amount.cast(f"decimal(18,{scale})").cast("string")
 
 
@@ -135,7 +138,7 @@ def nordic_feed(ev: DataFrame) -> DataFrame:
         F.concat(F.lit("R"), (F.col("l_partkey") % 6).cast("string")).alias("room_code"),
         F.lit("EUR").alias("currency"),
         p.cast("string").alias("room_gross_eur"),
-        _text(p * F.lit(0.1).cast("decimal(2,1)"), 3).alias("room_vat_eur"),
+        _text(p * F.lit(0.1).cast("decimal(2,1)")).alias("room_vat_eur"),
         F.when(d == 0, F.lit(None).cast("string"))
          .otherwise(_text(p * F.lit(0.12).cast("decimal(3,2)"))).alias("board_gross_eur"),
     )
