@@ -9,7 +9,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.operators.sizing import broadcast_if_small
+from staylens.operators.sizing import maybe_broadcast
 
 
 def not_null(df: DataFrame, column: str, keep: Sequence[str] | None = None) -> DataFrame:
@@ -30,10 +30,10 @@ def accepted_values(df: DataFrame, column: str, values: Iterable, keep: Sequence
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                  keep: Sequence[str] | None = None) -> DataFrame:
+                  keep: Sequence[str] | None = None, parent_small: bool | None = None) -> DataFrame:
     """Child rows whose non-NULL key has no parent row."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    out = child.where(F.col(column).isNotNull()).join(broadcast_if_small(keys), column, "left_anti")
+    out = child.where(F.col(column).isNotNull()).join(maybe_broadcast(keys, parent_small), column, "left_anti")
     return out.select(*keep) if keep else out
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.measures import adr, money_to_double, percent_2dp
-from staylens.operators.sizing import broadcast_if_small
+from staylens.operators.sizing import maybe_broadcast
 
 FACT_COLUMNS = ["hotel_id", "night", "occupied_rooms", "total_rooms", "occupancy_percentage",
                 "total_net_revenue", "adr"]
@@ -25,11 +25,11 @@ def daily_aggregate(nights: DataFrame) -> DataFrame:
     )
 
 
-def daily_kpis(nights: DataFrame, capacity: DataFrame) -> DataFrame:
+def daily_kpis(nights: DataFrame, capacity: DataFrame, capacity_small: bool | None = None) -> DataFrame:
     """KPI fact: occupancy % of capacity (NULL at capacity 0 or unknown),
     revenue rounded half-up to cents, ADR from the unrounded revenue."""
     agg = daily_aggregate(nights)
-    joined = agg.join(broadcast_if_small(capacity), "hotel_id", "left")
+    joined = agg.join(maybe_broadcast(capacity, capacity_small), "hotel_id", "left")
     return joined.select(
         "hotel_id", "night", "occupied_rooms",
         F.col("total_rooms"),

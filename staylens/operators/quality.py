@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.measures import hours_2dp, minutes_between, percent_2dp
 from staylens.operators.reservations import validated_line_items
-from staylens.operators.sizing import broadcast_if_small
+from staylens.operators.sizing import maybe_broadcast
 
 # Roll-up labels and the revenue tolerance of reconciliation.
 ALL_HOTELS = "__all__"
@@ -37,12 +37,13 @@ def event_watermarks(kept: DataFrame) -> DataFrame:
     )
 
 
-def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime) -> DataFrame:
+def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime,
+                   manifest_small: bool | None = None) -> DataFrame:
     """Load and event lag in hours against a fixed ``as_of``; stale when the
     load lag exceeds the source's SLA. Sources without a manifest row drop
     out (inner join)."""
     as_of_ts = F.lit(as_of).cast("timestamp_ntz")
-    joined = watermarks.join(broadcast_if_small(manifest), "source_system", "inner")
+    joined = watermarks.join(maybe_broadcast(manifest, manifest_small), "source_system", "inner")
     load_min = minutes_between(F.col("loaded_at"), as_of_ts)
     event_min = minutes_between(F.col("max_event_at"), as_of_ts)
     return joined.select(
@@ -55,7 +56,8 @@ def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime)
     )
 
 
-def data_availability(fact: DataFrame, capacity: DataFrame) -> DataFrame:
+def data_availability(fact: DataFrame, capacity: DataFrame,
+                      capacity_small: bool | None = None) -> DataFrame:
     """Every night of each hotel's active window (first to last fact night):
     expected rooms, occupied rooms, missing day flag, missing room-nights and
     coverage capped at 100. The spine is generated per hotel from a one-row-
@@ -67,7 +69,7 @@ def data_availability(fact: DataFrame, capacity: DataFrame) -> DataFrame:
         F.explode(F.sequence("first_night", "last_night", F.expr("INTERVAL 1 DAY"))).alias("night"))
     facts = fact.select("hotel_id", "night", F.col("occupied_rooms").alias("_occ"),
                         F.lit(True).alias("_present"))
-    joined = (spine.join(broadcast_if_small(capacity), "hotel_id", "left")
+    joined = (spine.join(maybe_broadcast(capacity, capacity_small), "hotel_id", "left")
               .join(facts, ["hotel_id", "night"], "left"))
     occ = F.coalesce(F.col("_occ"), F.lit(0).cast("long"))
     cap = F.col("total_rooms")
@@ -81,7 +83,8 @@ def data_availability(fact: DataFrame, capacity: DataFrame) -> DataFrame:
     )
 
 
-def source_control(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+def source_control(kept: DataFrame, inventory: DataFrame,
+                   inventory_small: bool | None = None) -> DataFrame:
     """Per-source occupied room-nights, net revenue and room-nights, derived
     independently of the fact path: nights are generated over the whole line
     range and then clamped, the inventory is an inner join, and one room per
@@ -89,7 +92,7 @@ def source_control(kept: DataFrame, inventory: DataFrame) -> DataFrame:
     type that wins a tie does not change any total, so the max is enough."""
     items = validated_line_items(kept, extra=["source_system"])
     inv = inventory.select("hotel_id", "room_type_id")
-    stocked = items.join(broadcast_if_small(inv), ["hotel_id", "room_type_id"], "inner")
+    stocked = items.join(maybe_broadcast(inv, inventory_small), ["hotel_id", "room_type_id"], "inner")
     revenue = F.coalesce(F.col("room_net"), F.lit(0)) + F.coalesce(F.col("fnb_net"), F.lit(0))
     nights = stocked.select(
         "source_system", "hotel_id", "reservation_id", "counts_for_occupancy",
@@ -152,12 +155,12 @@ def reconciliation(control: DataFrame, fact: DataFrame) -> DataFrame:
     return per_source.unionByName(total)
 
 
-def market_blend(fact: DataFrame, market: DataFrame) -> DataFrame:
+def market_blend(fact: DataFrame, market: DataFrame, market_small: bool | None = None) -> DataFrame:
     """Fact left-joined to the market index on (hotel, night); the property's
     ADR against the comp-set index (100 = at market) when both exist and the
     index is non-zero."""
     m = market.select("hotel_id", "night", "comp_rate_index", "local_event", "has_local_event")
-    joined = fact.join(broadcast_if_small(m), ["hotel_id", "night"], "left")
+    joined = fact.join(maybe_broadcast(m, market_small), ["hotel_id", "night"], "left")
     index = F.col("comp_rate_index")
     return joined.select(
         "hotel_id", "night", "occupancy_percentage", "total_net_revenue", "adr",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.contract import counts_for_occupancy, stay_dates_fingerprint
 from staylens.functions.parsing import parse_date, parse_money
-from staylens.operators.sizing import broadcast_if_small
+from staylens.operators.sizing import maybe_broadcast
 
 KEPT_COLUMNS = ["source_system", "hotel_id", "reservation_id", "status", "arrival_date",
                 "departure_date", "created_at", "updated_at", "stay_dates"]
@@ -93,14 +93,15 @@ def validated_line_items(kept: DataFrame, extra: list[str] | None = None) -> Dat
     return line_items(kept, extra).where(valid_line_item())
 
 
-def in_inventory(items: DataFrame, inventory: DataFrame) -> DataFrame:
+def in_inventory(items: DataFrame, inventory: DataFrame, small: bool | None = None) -> DataFrame:
     """Keep line items whose (hotel, room type) is in the inventory.
 
     A semi-join: no inventory column is needed and duplicate inventory rows
-    cannot multiply line items. The inventory is broadcast when small.
+    cannot multiply line items. The inventory is broadcast when its row
+    bound is proven (``small``; ``None`` proves it here).
     """
     keys = inventory.select("hotel_id", "room_type_id").distinct()
-    return items.join(broadcast_if_small(keys), ["hotel_id", "room_type_id"], "left_semi")
+    return items.join(maybe_broadcast(keys, small), ["hotel_id", "room_type_id"], "left_semi")
 
 
 def expand_nights(items: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -130,8 +131,9 @@ def one_room_per_night(nights: DataFrame, extra: list[str] | None = None) -> Dat
             .select(*NIGHT_COLUMNS, *(extra or [])))
 
 
-def reservation_nights(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+def reservation_nights(kept: DataFrame, inventory: DataFrame,
+                       inventory_small: bool | None = None) -> DataFrame:
     """Kept reservations -> occupied room-nights (grain hotel, reservation,
     night), with line-item validation and the inventory filter."""
-    items = in_inventory(validated_line_items(kept), inventory)
+    items = in_inventory(validated_line_items(kept), inventory, inventory_small)
     return one_room_per_night(expand_nights(items))

@@ -1,9 +1,11 @@
 """Broadcast only what is proven small.
 
-A dimension is broadcast after a bounded count shows it has at most
-``max_rows`` rows (the count job reads at most ``max_rows + 1`` rows). Above
-that the frame is returned unchanged and the planner picks a shuffle join,
-with AQE able to switch strategies from runtime statistics.
+``is_small`` runs a bounded count (it reads at most ``max_rows + 1`` rows) to
+prove a dimension has at most ``max_rows`` rows. A frame derived from a
+proven one by aggregation, ``distinct`` or filtering has no more rows, so it
+inherits the proof without a second job. Above the bound the frame is left
+to the planner: a shuffle join, which AQE may still turn into a broadcast
+from runtime statistics.
 """
 
 from __future__ import annotations
@@ -15,7 +17,18 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, small: bool | None = None,
+                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when its bound is proven: ``small`` carries a proof
+    made upstream; ``None`` means prove it here."""
+    if small is None:
+        small = is_small(df, max_rows)
+    return F.broadcast(df) if small else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return maybe_broadcast(df, None, max_rows)

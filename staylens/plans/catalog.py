@@ -25,7 +25,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 DIFF_HOTELS = ("H0", "H1")
 
 
+_MARTS: dict[tuple[str, str], Marts] = {}
+
+
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
+    """The marts over one data folder, built once per session: lazy frames and
+    the dimension size proofs are shared by every query on that folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MARTS:
+        _MARTS[key] = _build_marts(spark, sf_dir)
+    return _MARTS[key]
+
+
+def _build_marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts(
         feeds=testdata.feeds(spark, sf_dir),
         inventory_raw=testdata.inventory_raw(spark, sf_dir),
@@ -117,7 +129,8 @@ def q_line_item_validation(spark, sf_dir):
 
 
 def _stocked(m: Marts) -> DataFrame:
-    return reservations.in_inventory(reservations.validated_line_items(m.kept), m.inventory)
+    return reservations.in_inventory(reservations.validated_line_items(m.kept), m.inventory,
+                                     m.inventory_small)
 
 
 def q_inventory_filter(spark, sf_dir):
@@ -197,7 +210,8 @@ def q_check_relationships(spark, sf_dir):
     m = marts_for(spark, sf_dir)
     items = reservations.validated_line_items(m.kept)
     return checks.relationships(items, "room_type_id", m.inventory, "room_type_id",
-                                keep=["hotel_id", "reservation_id", "room_type_id"])
+                                keep=["hotel_id", "reservation_id", "room_type_id"],
+                                parent_small=m.inventory_small)
 
 
 def q_check_fact_invariants(spark, sf_dir):

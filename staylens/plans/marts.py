@@ -18,6 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from staylens.operators import adapters, dimensions, kpis, quality, reservations
+from staylens.operators.sizing import is_small
 
 
 @dataclass
@@ -34,10 +35,24 @@ class Marts:
     def inventory(self) -> DataFrame:
         return dimensions.clean_inventory(self.inventory_raw)
 
+    @cached_property
+    def inventory_small(self) -> bool:
+        """One bounded count proves the inventory small; capacity and the
+        distinct inventory keys have no more rows and inherit the proof."""
+        return is_small(self.inventory)
+
     @cached_property
     def capacity(self) -> DataFrame:
         return dimensions.hotel_capacity(self.inventory)
 
+    @cached_property
+    def manifest_small(self) -> bool:
+        return is_small(self.manifest)
+
+    @cached_property
+    def market_small(self) -> bool:
+        return is_small(self.market)
+
     @cached_property
     def manifest(self) -> DataFrame:
         return dimensions.clean_manifest(self.manifest_raw)
@@ -60,12 +75,12 @@ class Marts:
 
     @cached_property
     def nights(self) -> DataFrame:
-        return reservations.reservation_nights(self.kept, self.inventory)
+        return reservations.reservation_nights(self.kept, self.inventory, self.inventory_small)
 
     # --- marts --------------------------------------------------------------
     @cached_property
     def fact(self) -> DataFrame:
-        return kpis.daily_kpis(self.nights, self.capacity)
+        return kpis.daily_kpis(self.nights, self.capacity, self.inventory_small)
 
     def report(self, hotel_id: str, from_date, to_date) -> DataFrame:
         return kpis.kpi_report(self.fact, hotel_id, from_date, to_date)
@@ -76,15 +91,15 @@ class Marts:
 
     @cached_property
     def freshness(self) -> DataFrame:
-        return quality.data_freshness(self.watermarks, self.manifest, self.as_of)
+        return quality.data_freshness(self.watermarks, self.manifest, self.as_of, self.manifest_small)
 
     @cached_property
     def availability(self) -> DataFrame:
-        return quality.data_availability(self.fact, self.capacity)
+        return quality.data_availability(self.fact, self.capacity, self.inventory_small)
 
     @cached_property
     def control(self) -> DataFrame:
-        return quality.source_control(self.kept, self.inventory)
+        return quality.source_control(self.kept, self.inventory, self.inventory_small)
 
     @cached_property
     def reconciliation(self) -> DataFrame:
@@ -92,4 +107,4 @@ class Marts:
 
     @cached_property
     def market_blend(self) -> DataFrame:
-        return quality.market_blend(self.fact, self.market)
+        return quality.market_blend(self.fact, self.market, self.market_small)
