@@ -19,6 +19,7 @@ from staylens.operators import adapters, checks, quality, reservations
 from staylens.plans.marts import Marts
 from staylens.schemas import CONTRACT_STATUSES
 from staylens.sources import testdata
+from staylens.sources.landing import land, landing_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,21 +30,36 @@ _MARTS: dict[tuple[str, str], Marts] = {}
 
 
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
-    """The marts over one data folder, built once per session: lazy frames and
-    the dimension size proofs are shared by every query on that folder."""
+    """The marts over one data folder, built once per session, as a serving
+    job builds them: the latest snapshots and the fact are materialized on
+    first use (checkpoints in ``spark.checkpoint.dir``) and every later query
+    on that folder reads them, as do the dimension size proofs."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MARTS:
         _MARTS[key] = _build_marts(spark, sf_dir)
     return _MARTS[key]
 
 
+def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three raw feeds projected from the driver tables, landed once per
+    session and folder (all-text Parquet), as the raw landing step does."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = land(testdata.feeds(spark, sf_dir), landing_root(spark, sf_dir))
+    return _LANDED[key]
+
+
+_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def _build_marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts(
-        feeds=testdata.feeds(spark, sf_dir),
+        feeds=landed_feeds(spark, sf_dir),
         inventory_raw=testdata.inventory_raw(spark, sf_dir),
         manifest_raw=testdata.manifest_raw(spark),
         market_raw=testdata.market_raw(spark, sf_dir),
         as_of=testdata.AS_OF,
+        materialize=True,
     )
 
 
@@ -63,27 +79,27 @@ def _money(c: str) -> F.Column:
 
 # --- adapters ----------------------------------------------------------------
 def q_adapter_native(spark, sf_dir):
-    return _flat_contract(adapters.adapt_native(testdata.feeds(spark, sf_dir)["native"]))
+    return _flat_contract(adapters.adapt_native(landed_feeds(spark, sf_dir)["native"]))
 
 
 def q_adapter_cloud(spark, sf_dir):
-    return _flat_contract(adapters.adapt_cloud(testdata.feeds(spark, sf_dir)["cloud"]))
+    return _flat_contract(adapters.adapt_cloud(landed_feeds(spark, sf_dir)["cloud"]))
 
 
 def q_adapter_nordic_status(spark, sf_dir):
-    n = adapters.nordic_nights(testdata.feeds(spark, sf_dir)["nordic"])
+    n = adapters.nordic_nights(landed_feeds(spark, sf_dir)["nordic"])
     return n.select("hotel_id", "reservation_id", "status", "arrival_date", "departure_date",
                     "stay_night", "room_type_id")
 
 
 def q_adapter_nordic_vat(spark, sf_dir):
-    n = adapters.nordic_nights(testdata.feeds(spark, sf_dir)["nordic"])
+    n = adapters.nordic_nights(landed_feeds(spark, sf_dir)["nordic"])
     return n.select("hotel_id", "reservation_id", "stay_night", "room_type_id",
                     *[_money(c) for c in ("room_gross", "room_net", "fnb_gross", "fnb_net")])
 
 
 def q_adapter_nordic_regroup(spark, sf_dir):
-    return _flat_contract(adapters.adapt_nordic(testdata.feeds(spark, sf_dir)["nordic"]))
+    return _flat_contract(adapters.adapt_nordic(landed_feeds(spark, sf_dir)["nordic"]))
 
 
 def q_validity_flags(spark, sf_dir):

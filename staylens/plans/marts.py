@@ -4,9 +4,14 @@ raw feeds -> adapters -> unified feed -> latest snapshot -> nights -> fact
 -> {report, availability, market blend, reconciliation}; latest snapshot ->
 {event watermarks -> freshness, per-source control -> reconciliation}.
 
-Every attribute is a lazy DataFrame. ``persist_kept=True`` cuts the lineage
-after the snapshot dedup (it feeds three consumers) by checkpointing it into
-the session's ``spark.checkpoint.dir``, a reliable shared folder on a cluster.
+Every attribute is a lazy DataFrame. With ``materialize=True`` the two
+shared intermediates are written once, as reliable checkpoints into the
+session's ``spark.checkpoint.dir`` (shared storage on a cluster): the latest
+snapshots (read by nights, watermarks and the control path) and the daily
+fact (read by the report, availability, market blend and reconciliation).
+That cuts lineage, so a lost executor re-reads the checkpoint instead of
+recomputing from raw feeds, and a checkpoint keeps its output partitioning,
+so nights still need no shuffle after the dedup.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ class Marts:
     manifest_raw: DataFrame | None = None
     market_raw: DataFrame | None = None
     as_of: datetime | None = None
-    persist_kept: bool = False
+    materialize: bool = False
 
     # --- dimensions -------------------------------------------------------
     @cached_property
@@ -69,9 +74,7 @@ class Marts:
     @cached_property
     def kept(self) -> DataFrame:
         kept = reservations.dedup_latest(self.unified)
-        if self.persist_kept:
-            kept = kept.checkpoint(eager=True)
-        return kept
+        return kept.checkpoint(eager=True) if self.materialize else kept
 
     @cached_property
     def nights(self) -> DataFrame:
@@ -80,7 +83,8 @@ class Marts:
     # --- marts --------------------------------------------------------------
     @cached_property
     def fact(self) -> DataFrame:
-        return kpis.daily_kpis(self.nights, self.capacity, self.inventory_small)
+        fact = kpis.daily_kpis(self.nights, self.capacity, self.inventory_small)
+        return fact.checkpoint(eager=True) if self.materialize else fact
 
     def report(self, hotel_id: str, from_date, to_date) -> DataFrame:
         return kpis.kpi_report(self.fact, hotel_id, from_date, to_date)

@@ -32,6 +32,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.serializer"] = "org.apache.spark.serializer.KryoSerializer"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
