@@ -48,17 +48,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is. Only a session without it (tests, a laptop) gets a private temp folder.
+    is; a cluster session without it is an error, since a machine-local
+    folder would not survive the loss of that machine. Only a local-mode
+    session (tests, a laptop) without the setting gets a private temp folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         current = tempfile.mkdtemp(prefix="staylens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
