@@ -4,14 +4,20 @@ raw feeds -> adapters -> unified feed -> latest snapshot -> nights -> fact
 -> {report, availability, market blend, reconciliation}; latest snapshot ->
 {event watermarks -> freshness, per-source control -> reconciliation}.
 
-Every attribute is a lazy DataFrame. With ``materialize=True`` the two
-shared intermediates are written once, as reliable checkpoints into the
-session's ``spark.checkpoint.dir`` (shared storage on a cluster): the latest
-snapshots (read by nights, watermarks and the control path) and the daily
-fact (read by the report, availability, market blend and reconciliation).
-That cuts lineage, so a lost executor re-reads the checkpoint instead of
-recomputing from raw feeds, and a checkpoint keeps its output partitioning,
-so nights still need no shuffle after the dedup.
+Every attribute is a lazy DataFrame. With ``materialize=True`` the shared
+intermediates are written once into the session's ``spark.checkpoint.dir``
+(shared storage on a cluster):
+
+* the unified feed as a Parquet table (read by the dedup and the contract
+  checks, which then read only the columns they test);
+* the latest snapshots as a checkpoint (read by nights, watermarks and the
+  control path); a checkpoint keeps its output partitioning, so the nights
+  still need no shuffle after the dedup;
+* the daily fact as a checkpoint (read by the report, availability, market
+  blend and reconciliation).
+
+That cuts lineage: a lost executor re-reads a materialized table instead of
+recomputing from the raw feeds.
 """
 
 from __future__ import annotations
@@ -19,11 +25,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
+import uuid
 
 from pyspark.sql import DataFrame
 
 from staylens.operators import adapters, dimensions, kpis, quality, reservations
 from staylens.operators.sizing import is_small
+from staylens.session import ensure_checkpoint_dir
+from staylens.sources.landing import write_table
 
 
 @dataclass
@@ -69,7 +78,12 @@ class Marts:
     # --- reservation layer ------------------------------------------------
     @cached_property
     def unified(self) -> DataFrame:
-        return adapters.unified_feed(self.feeds)
+        unified = adapters.unified_feed(self.feeds)
+        if not self.materialize:
+            return unified
+        spark = unified.sparkSession
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/unified-{uuid.uuid4().hex}"
+        return write_table(unified, path)
 
     @cached_property
     def kept(self) -> DataFrame:

@@ -10,6 +10,7 @@ storage on a cluster; by default it lives under ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,13 +23,17 @@ def landing_root(spark: SparkSession, key: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{spark.sparkContext.applicationId}/{tag}"
 
 
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` and return a reader of it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def land(feeds: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write every feed to ``root/<source>`` (Parquet) and return readers of
-    the landed copies. The schema (all text, nested lists kept) is unchanged."""
-    spark = next(iter(feeds.values())).sparkSession
-    landed = {}
-    for source, df in feeds.items():
-        path = f"{root.rstrip('/')}/{source}"
-        df.write.mode("overwrite").parquet(path)
-        landed[source] = spark.read.schema(df.schema).parquet(path)
-    return landed
+    the landed copies. The schema (all text, nested lists kept) is unchanged.
+    The feeds are independent jobs and are submitted concurrently."""
+    paths = {source: f"{root.rstrip('/')}/{source}" for source in feeds}
+    with ThreadPoolExecutor(max_workers=len(feeds)) as pool:
+        futures = {s: pool.submit(write_table, df, paths[s]) for s, df in feeds.items()}
+        return {s: f.result() for s, f in futures.items()}
