@@ -36,6 +36,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local runs keep the (in-memory) catalog's default folder out of the
+        # working directory; a cluster names its own warehouse.
+        conf["spark.sql.warehouse.dir"] = os.path.join(
+            os.environ.get("TMPDIR", "/tmp"), "staylens-warehouse")
     if extra:
         conf.update(extra)
     for key, value in conf.items():

@@ -10,6 +10,7 @@ storage on a cluster; by default it lives under ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,27 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, root: str, label: str, keys: list[str],
+                   sort: bool = False) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed by ``keys`` under ``root`` and
+    return a reader of it.
+
+    The bucket count is the session's shuffle partition count. When ``df`` was
+    just hash-partitioned on the same keys (an aggregate or a rank on them),
+    each bucket is written by one task, so there is one file per bucket. A
+    read of the table then reports that hash partitioning, so joins,
+    aggregates and ranks on the keys (or on a superset) need no shuffle.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"staylens_{label}_{uuid.uuid4().hex[:12]}"
+    writer = df.write.bucketBy(n, *keys)
+    if sort:
+        writer = writer.sortBy(*keys)
+    writer.option("path", f"{root.rstrip('/')}/{name}").mode("overwrite").saveAsTable(name)
+    return spark.table(name)
+
+
 def land(feeds: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write every feed to ``root/<source>`` (Parquet) and return readers of
     the landed copies. The schema (all text, nested lists kept) is unchanged.
