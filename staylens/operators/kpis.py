@@ -12,6 +12,7 @@ from staylens.operators.sizing import maybe_broadcast
 
 FACT_COLUMNS = ["hotel_id", "night", "occupied_rooms", "total_rooms", "occupancy_percentage",
                 "total_net_revenue", "adr"]
+MONTH_COLUMN = "night_month"
 REPORT_COLUMNS = ["NIGHT_OF_STAY", "OCCUPANCY_PERCENTAGE", "TOTAL_NET_REVENUE", "ADR"]
 
 
@@ -58,8 +59,12 @@ def kpi_report(fact: DataFrame, hotel_id: str, from_date, to_date) -> DataFrame:
     spark = fact.sparkSession
     spine = spark.range(1).select(
         F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("night"))
-    sliced = fact.where((F.col("hotel_id") == hotel_id)
-                        & (F.col("night") >= lo) & (F.col("night") <= hi)).select(
+    wanted = (F.col("hotel_id") == hotel_id) & (F.col("night") >= lo) & (F.col("night") <= hi)
+    if MONTH_COLUMN in fact.columns:
+        # A stored fact partitioned by month: prune folders as well as rows.
+        wanted = wanted & (F.col(MONTH_COLUMN) >= F.date_format(lo, "yyyy-MM")) \
+            & (F.col(MONTH_COLUMN) <= F.date_format(hi, "yyyy-MM"))
+    sliced = fact.where(wanted).select(
         "night", "occupancy_percentage", "total_net_revenue", "adr")
     # The slice has the fact's grain (hotel, night), so it holds at most one
     # row per requested night: a size bound that makes the broadcast safe.

@@ -17,9 +17,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.operators.kpis import REPORT_COLUMNS
+from staylens.operators.kpis import MONTH_COLUMN, REPORT_COLUMNS
 
-PARTITION_COLUMN = "night_month"
+PARTITION_COLUMN = MONTH_COLUMN
 
 
 def _iso(value) -> str:
