@@ -255,6 +255,11 @@ def q_check_source_totals(spark, sf_dir):
     return checks.source_totals_match_fact(marts_for(spark, sf_dir).reconciliation)
 
 
+def q_check_suite(spark, sf_dir):
+    from staylens.plans.suite import run_suite
+    return run_suite(marts_for(spark, sf_dir))
+
+
 def q_table_diff(spark, sf_dir):
     m = marts_for(spark, sf_dir)
     left, right = (m.report(h, testdata.REPORT_FROM, testdata.REPORT_TO) for h in DIFF_HOTELS)
@@ -297,5 +302,6 @@ QUERIES: dict[str, Query] = {
     "check_availability_bounds": q_check_availability_bounds,
     "check_freshness_sla": q_check_freshness_sla,
     "check_source_totals": q_check_source_totals,
+    "check_suite": q_check_suite,
     "table_diff": q_table_diff,
 }

@@ -497,3 +497,93 @@ def oracle_sql() -> dict[str, str]:
         ctes = ",\n".join(f"{n} AS ({CTE[n]}\n)" for n in _closure(needs))
         out[key] = f"WITH {ctes}\n{final.strip()}"
     return out
+
+
+# --- the test suite ------------------------------------------------------------
+_MODEL_CTE = {
+    "stg_pms_native": ("x_uni", "source_system = 'native'"),
+    "stg_pms_nordic": ("x_uni", "source_system = 'nordic'"),
+    "stg_pms_cloud": ("x_uni", "source_system = 'cloud'"),
+    "stg_reservations": ("x_uni", None),
+    "stg_hotel_inventory": ("x_inv", None),
+    "stg_source_load_manifest": ("x_man", None),
+    "stg_market_rate_index": ("x_mkt", None),
+    "int_reservations_deduped": ("x_kept", None),
+    "int_reservation_nights": ("x_rnights", None),
+    "int_hotel_capacity": ("x_cap", None),
+    "int_source_event_watermarks": ("x_wm", None),
+    "int_source_kpi_control": ("x_ctl", None),
+    "fct_daily_kpis": ("x_fact", None),
+    "data_freshness": ("x_fresh", None),
+    "data_availability": ("x_avail", None),
+    "reconciliation_report": ("x_recon", None),
+    "mart_kpi_with_market": ("x_blend", None),
+}
+
+
+def _model_sql(model: str) -> str:
+    cte, where = _MODEL_CTE[model]
+    return f"(SELECT * FROM {cte} WHERE {where})" if where else cte
+
+
+def _lit(v) -> str:
+    return ("TRUE" if v else "FALSE") if isinstance(v, bool) else f"'{v}'"
+
+
+def _schema_test_sql(model: str, test: str, column: str, arg) -> str:
+    m = _model_sql(model)
+    if test == "not_null":
+        return f"SELECT count(*) FROM {m} WHERE {column} IS NULL"
+    if test == "unique":
+        return f"SELECT count(*) FROM (SELECT {column} FROM {m} GROUP BY {column} HAVING count(*) > 1)"
+    if test == "accepted_values":
+        values = ", ".join(_lit(v) for v in arg)
+        return f"SELECT count(*) FROM {m} WHERE {column} IS NOT NULL AND {column} NOT IN ({values})"
+    parent, parent_column = arg
+    return (f"SELECT count(*) FROM {m} AS c WHERE c.{column} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {_model_sql(parent)} AS p WHERE p.{parent_column} = c.{column})")
+
+
+_GRAIN_SQL = {
+    "data_availability_unique_grain": ("x_avail", "hotel_id, night"),
+    "data_freshness_unique_grain": ("x_fresh", "source_system, hotel_id"),
+    "fct_daily_kpis_unique_grain": ("x_fact", "hotel_id, night"),
+    "mart_kpi_with_market_unique_grain": ("x_blend", "hotel_id, night"),
+    "reservation_grain_unique": ("x_kept", "hotel_id, reservation_id"),
+}
+_FACT_RULE_SQL = {
+    "adr_zero_when_no_occupied_rooms": "occupied_rooms = 0 AND adr <> 0",
+    "occupancy_non_negative": "occupancy_percentage < 0",
+    "total_net_revenue_non_negative": "total_net_revenue < 0",
+}
+_SINGULAR_FROM_CHECK = {
+    "availability_pct_bounded": "check_availability_bounds",
+    "dedup_keeps_latest_snapshot": "check_dedup_latest",
+    "freshness_sla_detects_stale": "check_freshness_sla",
+    "reconciliation_passes": "check_reconciliation_gate",
+    "source_totals_sum_to_fact": "check_source_totals",
+}
+
+
+def _singular_test_sql(test: str) -> str:
+    if test in _FACT_RULE_SQL:
+        return f"SELECT count(*) FROM x_fact WHERE {_FACT_RULE_SQL[test]}"
+    if test in _GRAIN_SQL:
+        cte, keys = _GRAIN_SQL[test]
+        return f"SELECT count(*) FROM (SELECT {keys} FROM {cte} GROUP BY {keys} HAVING count(*) > 1)"
+    return f"SELECT count(*) FROM ({FINAL[_SINGULAR_FROM_CHECK[test]][1].strip()})"
+
+
+def _suite_final() -> tuple[list[str], str]:
+    from staylens.plans.suite import SCHEMA_TESTS, SINGULAR_TESTS
+    parts = [f"SELECT '{model}' AS model, '{test}' AS test, '{column}' AS column_name, "
+             f"({_schema_test_sql(model, test, column, arg)}) AS violations"
+             for model, test, column, arg in SCHEMA_TESTS]
+    parts += [f"SELECT '{model}' AS model, '{test}' AS test, CAST(NULL AS VARCHAR) AS column_name, "
+              f"({_singular_test_sql(test)}) AS violations"
+              for test, model in SINGULAR_TESTS]
+    needs = sorted({cte for cte, _ in _MODEL_CTE.values()} | {"x_report"})
+    return needs, "\nUNION ALL\n".join(parts)
+
+
+FINAL["check_suite"] = _suite_final()

@@ -35,3 +35,22 @@ def test_table_diff(spark):
                                  ("2026-05-03", 30, None)], "d string, n int, s string")
     got = sorted(tuple(r) for r in checks.table_diff(exp, act, ["d"]).collect())
     assert got == [("2026-05-02", "n", "20", "21"), ("2026-05-04", "n", None, "40"), ("2026-05-04", "s", None, "x")]
+
+
+def test_suite_passes_on_clean_data_and_flags_bad_status(spark, write_json):
+    from staylens.plans.marts import Marts
+    from staylens.plans.suite import failures, run_suite
+    from staylens.sources import read_cloud, read_native
+
+    from helpers import core_rules_events, inventory
+
+    cloud = {"reservations": [{
+        "propertyId": "H", "confirmationId": "c1", "reservationStatus": "CheckedOut",
+        "arrival": "2026-05-01", "departure": "2026-05-02",
+        "createdAt": "2026-04-01T09:00:00-05:00", "modifiedAt": "2026-04-02T09:00:00-05:00",
+        "ratePlanCode": "BAR", "nightlyRates": []}]}
+    feeds = {"native": read_native(spark, write_json("n.json", {"data": core_rules_events()})),
+             "cloud": read_cloud(spark, write_json("c.json", cloud))}
+    m = Marts(feeds=feeds, inventory_raw=inventory(spark, [("H", "LD", 4)]))
+    got = {(r["model"], r["test"], r["column_name"]): r["violations"] for r in failures(run_suite(m)).collect()}
+    assert got == {("stg_pms_cloud", "accepted_values", "status"): 1}
