@@ -51,10 +51,17 @@ class Marts:
         spark = next(iter(self.feeds.values())).sparkSession
         return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
 
+    def _keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Write a small shared frame once when materializing (seeds and
+        per-source totals are tables, as in a warehouse)."""
+        if not self.materialize:
+            return df
+        return write_table(df, f"{self._tables}/{label}-{uuid.uuid4().hex[:12]}")
+
     # --- dimensions -------------------------------------------------------
     @cached_property
     def inventory(self) -> DataFrame:
-        return dimensions.clean_inventory(self.inventory_raw)
+        return self._keep(dimensions.clean_inventory(self.inventory_raw), "inventory")
 
     @cached_property
     def inventory_small(self) -> bool:
@@ -76,11 +83,11 @@ class Marts:
 
     @cached_property
     def manifest(self) -> DataFrame:
-        return dimensions.clean_manifest(self.manifest_raw)
+        return self._keep(dimensions.clean_manifest(self.manifest_raw), "manifest")
 
     @cached_property
     def market(self) -> DataFrame:
-        return dimensions.clean_market(self.market_raw)
+        return self._keep(dimensions.clean_market(self.market_raw), "market")
 
     # --- reservation layer ------------------------------------------------
     @cached_property
@@ -126,7 +133,7 @@ class Marts:
 
     @cached_property
     def control(self) -> DataFrame:
-        return quality.source_control(self.kept, self.inventory, self.inventory_small)
+        return self._keep(quality.source_control(self.kept, self.inventory, self.inventory_small), "control")
 
     @cached_property
     def reconciliation(self) -> DataFrame:
