@@ -42,7 +42,8 @@ def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime,
     """Load and event lag in hours against a fixed ``as_of``; stale when the
     load lag exceeds the source's SLA. Sources without a manifest row drop
     out (inner join)."""
-    as_of_ts = F.lit(as_of).cast("timestamp_ntz")
+    # Built from its text so the wall clock never depends on a time zone.
+    as_of_ts = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     joined = watermarks.join(maybe_broadcast(manifest, manifest_small), "source_system", "inner")
     load_min = minutes_between(F.col("loaded_at"), as_of_ts)
     event_min = minutes_between(F.col("max_event_at"), as_of_ts)
