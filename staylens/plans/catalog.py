@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.functions.contract import stay_dates_fingerprint
-from staylens.operators import adapters, checks, quality, reservations
+from staylens.operators import adapters, checks, reservations
 from staylens.plans.marts import Marts
 from staylens.schemas import CONTRACT_STATUSES
 from staylens.sources import testdata

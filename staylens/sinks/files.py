@@ -78,12 +78,6 @@ def write_table(df: DataFrame, path: str, by_night: bool = False, incremental: b
     writer.parquet(path)
 
 
-def read_fact(spark, path: str) -> DataFrame:
-    """Read a stored fact; filters on ``night`` prune month folders when the
-    caller also filters on the month column (see ``month_filter``)."""
-    return spark.read.parquet(path)
-
-
 def month_filter(from_date, to_date):
     """Partition predicate matching nights in [from_date, to_date]."""
     lo, hi = _iso(from_date)[:7], _iso(to_date)[:7]
