@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,10 +45,17 @@ def write_bucketed(df: DataFrame, root: str, label: str, keys: list[str],
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"staylens_{label}_{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{name}"
     writer = df.write.bucketBy(n, *keys)
     if sort:
         writer = writer.sortBy(*keys)
-    writer.option("path", f"{root.rstrip('/')}/{name}").mode("overwrite").saveAsTable(name)
+    try:
+        writer.option("path", path).mode("overwrite").saveAsTable(name)
+    except Exception as exc:  # noqa: BLE001 - e.g. a catalog that cannot hold tables
+        # Keep the data as plain Parquet instead: results are the same, only
+        # the co-location is lost. A failure of the write itself recurs there.
+        warnings.warn(f"bucketed table {name} not written ({type(exc).__name__}); using plain Parquet")
+        return write_table(df, path + "-plain")
     return spark.table(name)
 
 

@@ -90,3 +90,19 @@ def test_hot_reservation_with_a_third_of_all_events(spark, write_json):
     assert kept.where(F.col("reservation_id") == "1").first()["updated_at"] == dt.datetime(2026, 4, 1, 4, 59)
     fact = {str(r["night"]): (r["occupied_rooms"], r["total_net_revenue"]) for r in m.fact.collect()}
     assert fact == {"2026-05-01": (601, 399.0 + 6000.0), "2026-05-02": (1, 399.0)}
+
+
+def test_bucketed_write_falls_back_to_plain_parquet(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from staylens.sources.landing import write_bucketed
+
+    def refuse(self, *a, **k):
+        raise RuntimeError("no catalog here")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    df = spark.createDataFrame([("H", "1"), ("H", "2")], "hotel_id string, reservation_id string")
+    import pytest
+    with pytest.warns(UserWarning):
+        out = write_bucketed(df, str(tmp_path), "kept", ["hotel_id", "reservation_id"])
+    assert sorted(r["reservation_id"] for r in out.collect()) == ["1", "2"]
