@@ -60,9 +60,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     # Both sides are fact-sized (neither has a size bound), so this is a
-    # shuffle join on the order key; it also spreads the per-row feed
+    # sort-merge join on the order key: it spills instead of holding a hash
+    # table of an orders partition in memory, and it spreads the per-row feed
     # formatting over every task rather than over the scan's input splits.
-    ev = li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey)
+    ev = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
     arr = F.to_date(F.col("o_orderdate"))
     return ev.select(
         (F.col("o_custkey") % 5).alias("hn"),
