@@ -71,6 +71,21 @@ def test_job_end_to_end(spark, tmp_path, write_json, write_text):
     assert fact.count() == 2 and "night_month" in fact.columns
 
 
+def test_job_runs_checks(spark, tmp_path, write_json, write_text, capsys):
+    native = write_json("native.json", {"data": core_rules_events()})
+    inv = write_text("inventory.csv", "hotel_id,room_type_id,quantity\nH,LD,4\n")
+    base = ["--hotel-id", "H", "--from-date", "2026-05-01", "--to-date", "2026-05-03",
+            "--native", native, "--inventory", inv, "--run-checks"]
+    job.run(spark, job.parse_args(base + ["--output-dir", str(tmp_path / "ok")]))
+    assert "checks: 0 failing" in capsys.readouterr().out
+    # zero capacity: coverage reads 100 %, which the bounds check flags
+    bad = write_text("inv_bad.csv", "hotel_id,room_type_id,quantity\nH,LD,0\n")
+    args = job.parse_args(base[:-3] + ["--inventory", bad, "--run-checks", "--output-dir", str(tmp_path / "bad")])
+    with pytest.raises(SystemExit):
+        job.run(spark, args)
+    assert "FAIL data_availability.availability_pct_bounded" in capsys.readouterr().out
+
+
 def test_job_rejects_bad_dates():
     with pytest.raises(SystemExit):
         job.parse_args(["--hotel-id", "H", "--from-date", "2026-05-03", "--to-date", "2026-05-01",
