@@ -122,7 +122,7 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
         F.max("departure_date").alias("departure_date"),
         # Sorted by the item's canonical text, a total order that does not
         # depend on how an engine orders NULL fields inside structs.
-        F.transform(F.array_sort(F.collect_list(F.struct(item_text(item).alias("k"), item.alias("item")))),
+        F.transform(F.sort_array(F.collect_list(F.struct(item_text(item).alias("k"), item.alias("item")))),
                     lambda e: e["item"]).alias("stay_dates"),
     )
     first_arrival = F.col("arrival_date").cast("timestamp_ntz")
