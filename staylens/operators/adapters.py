@@ -103,6 +103,10 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
     repeats one status per booking). ``created_at`` and ``updated_at`` are the
     first arrival at midnight: the feed has no revision history. Line items
     are collected sorted, amounts written back as text.
+
+    A row without hotel or booking id can never form a valid reservation;
+    each such row becomes its own (invalid) reservation rather than all of
+    them being gathered into one list, which would grow with the feed.
     """
     def text(c: str) -> Column:
         return F.col(c).cast("string")
@@ -116,7 +120,9 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
         text("fnb_gross").alias("fnb_gross"),
         text("fnb_net").alias("fnb_net"),
     )
-    grouped = nights.groupBy("hotel_id", "reservation_id").agg(
+    keyless = F.col("hotel_id").isNull() | F.col("reservation_id").isNull()
+    nights = nights.withColumn("_row", F.when(keyless, F.monotonically_increasing_id()))
+    grouped = nights.groupBy("hotel_id", "reservation_id", "_row").agg(
         F.min("status").alias("status"),
         F.min("arrival_date").alias("arrival_date"),
         F.max("departure_date").alias("departure_date"),

@@ -177,8 +177,10 @@ SELECT 'nordic' AS source_system, hotel_id, reservation_id, min(status) AS statu
        min(arrival_date) AS arrival_date, max(departure_date) AS departure_date,
        CAST(min(arrival_date) AS TIMESTAMP) AS created_at, CAST(min(arrival_date) AS TIMESTAMP) AS updated_at,
        list_transform(list_sort(list({{'k': {_item_text('it')}, 'item': it}})), lambda e: e.item) AS stay_dates
-FROM (SELECT *, {_nor_item} AS it FROM x_nor_n)
-GROUP BY hotel_id, reservation_id""")
+FROM (SELECT *, {_nor_item} AS it,
+             CASE WHEN hotel_id IS NULL OR reservation_id IS NULL THEN row_number() OVER () END AS row_key
+      FROM x_nor_n)
+GROUP BY hotel_id, reservation_id, row_key""")
 
 _VALID = f"""COALESCE(hotel_id IS NOT NULL AND reservation_id IS NOT NULL AND status IN ({_STATUSES})
   AND arrival_date IS NOT NULL AND departure_date IS NOT NULL AND departure_date > arrival_date
