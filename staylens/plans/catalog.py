@@ -52,6 +52,12 @@ def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 _LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
+def reset() -> None:
+    """Forget landed feeds and built marts: the next query rebuilds them."""
+    _LANDED.clear()
+    _MARTS.clear()
+
+
 def _build_marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts(
         feeds=landed_feeds(spark, sf_dir),
