@@ -8,8 +8,10 @@ Every attribute is a lazy DataFrame. With ``materialize=True`` the shared
 intermediates are written once into the session's ``spark.checkpoint.dir``
 (shared storage on a cluster):
 
-* the unified feed as a Parquet table (read by the dedup and the contract
-  checks, which then read only the columns they test);
+* the unified feed as a Parquet table, unless ``materialize_unified`` is
+  off (read by the dedup and the contract checks, which then read only the
+  columns they test; without checks the dedup is its only reader and the
+  copy of the whole feed is not worth writing);
 * the latest snapshots as a table bucketed by (hotel_id, reservation_id)
   (read by nights, watermarks, the control path and the dedup check); the
   bucketing carries the dedup's partitioning, so the night expansion, the
@@ -45,6 +47,7 @@ class Marts:
     market_raw: DataFrame | None = None
     as_of: datetime | None = None
     materialize: bool = False
+    materialize_unified: bool = True
 
     @cached_property
     def _tables(self) -> str:
@@ -93,7 +96,7 @@ class Marts:
     @cached_property
     def unified(self) -> DataFrame:
         unified = adapters.unified_feed(self.feeds)
-        if not self.materialize:
+        if not (self.materialize and self.materialize_unified):
             return unified
         return write_table(unified, f"{self._tables}/unified-{uuid.uuid4().hex[:12]}")
 
