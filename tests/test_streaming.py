@@ -37,3 +37,18 @@ def test_land_stream_envelope_matches_batch_reader(spark, tmp_path):
     q.awaitTermination(120)
     batch = read_native(spark, str(inbox / "doc.json"))
     assert sorted(map(tuple, spark.read.parquet(str(zone)).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_land_stream_nordic_csv(spark, tmp_path):
+    from staylens.sources import read_nordic
+    from test_sources import NORDIC_CSV
+
+    inbox, zone = tmp_path / "inbox", tmp_path / "zone"
+    inbox.mkdir()
+    (inbox / "nordic.csv").write_text(NORDIC_CSV)
+    q = land_stream(spark, "nordic", str(inbox), str(zone), str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    batch = read_nordic(spark, str(inbox / "nordic.csv"))
+    landed = spark.read.parquet(str(zone))
+    assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, batch.collect()))
+    assert landed.count() == 3
