@@ -187,12 +187,39 @@ def _count(df: DataFrame, model: str, test: str, column: str | None) -> DataFram
         F.lit(column).cast("string").alias("column_name"), "violations")
 
 
+ROW_TESTS = ("not_null", "accepted_values")
+
+
+def _row_test_counts(df: DataFrame, name: str, tests: list[tuple[str, str, object]]) -> DataFrame:
+    """All row-level tests of one model from a single scan: one conditional
+    count per test, unpivoted to one row per test."""
+    def failing(test: str, column: str, arg):
+        if test == "not_null":
+            return F.col(column).isNull()
+        return F.col(column).isNotNull() & ~F.col(column).isin(*list(arg))
+
+    counts = df.agg(*[F.count_if(failing(t, c, a)).alias(f"_v{i}") for i, (t, c, a) in enumerate(tests)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("model"), F.lit(t).alias("test"),
+                 F.lit(c).cast("string").alias("column_name"), F.col(f"_v{i}").cast("long").alias("violations"))
+        for i, (t, c, _) in enumerate(tests)])))
+
+
 def run_suite(m: Marts) -> DataFrame:
-    """Every applicable test of a built mart set with its violation count."""
+    """Every applicable test of a built mart set with its violation count.
+
+    Row-level tests (not_null, accepted_values) of a model share one scan;
+    unique, relationships and singular tests each have their own plan."""
     model = models(m)
-    parts = [_count(_schema_violations(model, name, test, column, arg), name, test, column)
-             for name, test, column, arg in SCHEMA_TESTS
-             if name in model and (test != "relationships" or arg[0] in model)]
+    by_model: dict[str, list] = {}
+    for name, test, column, arg in SCHEMA_TESTS:
+        if name in model and test in ROW_TESTS:
+            by_model.setdefault(name, []).append((test, column, arg))
+    parts = [_row_test_counts(model[name], name, tests) for name, tests in by_model.items()]
+    parts += [_count(_schema_violations(model, name, test, column, arg), name, test, column)
+              for name, test, column, arg in SCHEMA_TESTS
+              if name in model and test not in ROW_TESTS
+              and (test != "relationships" or arg[0] in model)]
     parts += [_count(_singular_violations(m, model, test), name, test, None)
               for test, name in SINGULAR_TESTS if name in model]
     # Every part has the same four columns: combine them as a balanced tree
