@@ -28,7 +28,9 @@ def snapshot_order() -> list[Column]:
     by status and stay dates so that the winner never depends on input order."""
     return [
         F.col("updated_at").desc_nulls_last(),
-        stay_dates_fingerprint("stay_dates").desc_nulls_last(),
+        # The 16-byte digest orders exactly like its hex text and halves the
+        # sort key carried through the dedup shuffle.
+        F.unhex(stay_dates_fingerprint("stay_dates")).desc_nulls_last(),
         F.col("status").asc_nulls_last(),
         F.col("departure_date").desc_nulls_last(),
         F.col("arrival_date").desc_nulls_last(),
