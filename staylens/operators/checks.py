@@ -45,14 +45,19 @@ def _violations(df: DataFrame, rules: dict[str, F.Column], keys: Sequence[str])
     return out
 
 
-def fact_invariants(fact: DataFrame) -> DataFrame:
-    """Fact rows breaking: occupancy >= 0, revenue >= 0, ADR = 0 when no room
-    is occupied."""
-    return _violations(fact, {
+def fact_rules() -> dict[str, F.Column]:
+    """Fact invariants, each as the predicate of a violating row."""
+    return {
         "occupancy_negative": F.col("occupancy_percentage") < 0,
         "revenue_negative": F.col("total_net_revenue") < 0,
         "adr_without_rooms": (F.col("occupied_rooms") == 0) & (F.col("adr") != 0),
-    }, ["hotel_id", "night"])
+    }
+
+
+def fact_invariants(fact: DataFrame) -> DataFrame:
+    """Fact rows breaking: occupancy >= 0, revenue >= 0, ADR = 0 when no room
+    is occupied."""
+    return _violations(fact, fact_rules(), ["hotel_id", "night"])
 
 
 def availability_bounds(availability: DataFrame) -> DataFrame:
