@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import mixing
-from staylens.llm.common import table, written
+from staylens.llm import langid, mixing
+from staylens.llm.common import remainder, table, written
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = langid.learn_from(docs, ~held_out)
+    return (docs.select("doc_id", held_out.alias("held_out"), langid.identify(docs, model).alias("p"))
+            .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score")))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op5_langid": op5_langid,
 }
