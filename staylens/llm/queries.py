@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import langid, mixing
+from staylens.llm import htmltext, langid, mixing
 from staylens.llm.common import remainder, table, written
 
 
@@ -24,7 +24,15 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score")))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    weights = htmltext.learn_weights(pages.select("page_id", "html"))
+    return (htmltext.main_text(pages.select("page_id", "url", "html"), weights).drop("html")
+            .withColumn("n_chars", F.length("text").cast("long")))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_langid": op5_langid,
+    "op10_html_text": op10_html_text,
 }
