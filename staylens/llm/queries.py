@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import htmltext, langid, mixing
+from staylens.llm import htmltext, langid, licenses, mixing
 from staylens.llm.common import remainder, table, written
 
 
@@ -31,8 +31,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("n_chars", F.length("text").cast("long")))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "scan.*")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_langid": op5_langid,
+    "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
 }
