@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import htmltext, langid, licenses, mixing
+from staylens.llm import htmltext, langid, licenses, mixing, toxicity
 from staylens.llm.common import remainder, table, written
 
 
@@ -31,6 +31,15 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("n_chars", F.length("text").cast("long")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~held_out))
+    return (docs.select("doc_id", held_out.alias("held_out"), toxicity.scorer(model)("text").alias("score"))
+            .withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0)))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).select("doc_id", "scan.*")
@@ -39,6 +48,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_langid": op5_langid,
+    "op6_toxicity": op6_toxicity,
     "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
 }
