@@ -32,3 +32,19 @@ g AS (SELECT id, sum(size)::BIGINT AS taken FROM e
       WHERE served <= (SELECT floor(sum(size)::DOUBLE * 1.5::DOUBLE) FROM d) GROUP BY id)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN g USING (id)
 """
+
+ORACLE["op8_embeddings"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a, v b
+  WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95::DOUBLE),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT vec_id, coalesce((SELECT count(*) FROM l WHERE l.x = vec_id), 0)::BIGINT AS n_links,
+       least(vec_id, coalesce((SELECT min(y) FROM r WHERE r.x = vec_id), vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce((SELECT min(y) FROM r WHERE r.x = vec_id), vec_id)) AS kept
+FROM embeddings
+"""
