@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import embed_join, htmltext, langid, licenses, mixing, toxicity
+from staylens.llm import embed_join, htmltext, langid, licenses, mixing, substrings, toxicity
 from staylens.llm.common import remainder, table, written
 
 
@@ -40,6 +40,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0)))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_langid": op5_langid,
     "op6_toxicity": op6_toxicity,
+    "op7_substrings": op7_substrings,
     "op8_embeddings": op8_embeddings,
     "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
