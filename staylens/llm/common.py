@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +64,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def forest(m: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """Edges (node, least node) that connect what the link matrix ``m`` between
+    the nodes ``left`` and ``right`` connects; at most one edge a node."""
+    rows, cols = np.flatnonzero(m.any(axis=1)), np.flatnonzero(m.any(axis=0))
+    if not len(rows):
+        return
+    m, a, b = m[np.ix_(rows, cols)], left[rows].copy(), right[cols].copy()
+    top = np.iinfo(np.int64).max
+    while True:
+        a2 = np.minimum(a, np.where(m, b[None, :], top).min(axis=1))
+        b2 = np.minimum(b, np.where(m, a2[:, None], top).min(axis=0))
+        if (a2 == a).all() and (b2 == b).all():
+            break
+        a, b = a2, b2
+    yield from ((int(u), int(v)) for u, v in zip(left[rows], a) if u != v)
+    yield from ((int(u), int(v)) for u, v in zip(right[cols], b) if u != v)

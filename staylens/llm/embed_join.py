@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import components, written
+from staylens.llm.common import components, forest, written
 
 HOME_BLOCK, HELD_BLOCK, TILE = 8192, 32768, 1024
 
@@ -135,7 +135,7 @@ def _join_length(classes: DataFrame, n: int, threshold: float, cell_size: int, m
                 m = _linked(x, raw, ai, bj, threshold) & (node[ai][:, None] != node[bj][None, :])
                 if m.any():
                     links[i:i + TILE] += m @ n[bj]
-                    edges.update(_forest(m, node[ai], node[bj]))
+                    edges.update(forest(m, node[ai], node[bj]))
         some = links > 0
         edges = np.array(sorted(edges), np.int64).reshape(-1, 2)
         yield_node = np.concatenate([node[a][some], edges[:, 0]])
@@ -159,21 +159,6 @@ def _linked(x, raw, ai, bj, threshold: float) -> np.ndarray:
     return m
 
 
-def _forest(m: np.ndarray, left: np.ndarray, right: np.ndarray):
-    """Edges (node, least node) that connect what the link matrix connects."""
-    rows, cols = np.flatnonzero(m.any(axis=1)), np.flatnonzero(m.any(axis=0))
-    m, a, b = m[np.ix_(rows, cols)], left[rows].copy(), right[cols].copy()
-    top = np.iinfo(np.int64).max
-    while True:
-        a2 = np.minimum(a, np.where(m, b[None, :], top).min(axis=1))
-        b2 = np.minimum(b, np.where(m, a2[:, None], top).min(axis=0))
-        if (a2 == a).all() and (b2 == b).all():
-            break
-        a, b = a2, b2
-    yield from ((int(u), int(v)) for u, v in zip(left[rows], a) if u != v)
-    yield from ((int(u), int(v)) for u, v in zip(right[cols], b) if u != v)
-
-
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95,
                     cell_size: int = 4096, max_pivots: int = 256) -> DataFrame:
     """One row per vector: (id, n_links, component_id, kept)."""
