@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import embed_join, htmltext, jaccard, langid, licenses, mixing, substrings, toxicity
+from staylens.llm import decontaminate, embed_join, htmltext, jaccard, langid, licenses, mixing, substrings, toxicity
 from staylens.llm.common import remainder, table, written
 
 
@@ -16,6 +16,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "cosine", "lcs", "answer", "first_word")
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "component_id")
@@ -60,6 +65,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_decontamination": op3_decontamination,
     "op4_jaccard": op4_jaccard,
     "op5_langid": op5_langid,
     "op6_toxicity": op6_toxicity,
