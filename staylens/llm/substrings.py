@@ -271,8 +271,8 @@ def digest(docs: DataFrame, n: int = 35, first: int = 18) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 35, first: int = 18) -> DataFrame:
     """``docs`` with the words of repeated windows taken out of ``text_col``.
-    A changed text is its kept words joined by spaces; a text that loses all
-    its words goes; untouched texts stay as they are."""
+    A changed text is its kept words joined by spaces, so a text that loses all
+    of them is empty; untouched texts and the number of rows stay as they are."""
     _, spans = repeated_windows(docs, id_col, text_col, n, first)
     r = spans.select(F.col("id").alias("_id"), F.col("crc").alias("_crc"), F.col("spans").alias("_spans"))
     crc = F.crc32(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
@@ -286,5 +286,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     joined = joined.withColumn("_new", F.when(F.col("_spans").isNull(), F.col(f"`{text_col}`")).otherwise(
         kept(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.coalesce("_spans", F.array().cast(r.schema["_spans"].dataType)))))
-    joined = joined.filter(F.col("_spans").isNull() | (F.col("_new") != ""))
     return joined.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
