@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontaminate, embed_join, htmltext, jaccard, langid, licenses, mixing, substrings, toxicity
+from staylens.llm import decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity
 from staylens.llm.common import remainder, table, written
 
 
@@ -16,6 +16,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    found = katz.score(docs, ~held_out)
+    return found.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "item_id", "cosine", "lcs", "answer", "first_word")
@@ -65,6 +73,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_katz": op2_katz,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard": op4_jaccard,
     "op5_langid": op5_langid,
