@@ -25,11 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WEIGHTS = (3, 1, 2)
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def word_count(text):
     """Number of words ``[^\\x20\\x09-\\x0D]+`` of each text (null: 0)."""
     import numpy as np
