@@ -16,8 +16,12 @@ def _col(c) -> Column:
 
 
 def floor_div(a: Column, b: Column) -> Column:
-    """Exact integer quotient ``floor(a / b)`` for ``b > 0`` (as BIGINT)."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Exact integer quotient ``a div b`` for ``a >= 0``, ``b > 0`` (BIGINT)."""
+    return F.call_function("div", a, b)
+
+
+def _sign(c: Column) -> Column:
+    return F.when(c < 0, F.lit(-1)).otherwise(F.lit(1))
 
 
 def round_money(c, scale: int = 2) -> Column:
@@ -31,14 +35,15 @@ def money_to_double(c, scale: int = 2) -> Column:
 
 
 def percent_2dp(numerator, denominator) -> Column:
-    """``round(100 * n / d, 2)`` half-up, exact for non-negative integers.
+    """``round(100 * n / d, 2)`` half-up (away from zero), exact for integers.
 
     NULL when the denominator is NULL or 0. The value is formed as an integer
     count of hundredths of a percent and only then scaled to DOUBLE.
     """
     n = _col(numerator).cast("long")
     d = _col(denominator).cast("long")
-    hundredths = floor_div(n * 20000 + d, d * 2)
+    size = F.abs(d)
+    hundredths = _sign(n) * _sign(d) * floor_div(F.abs(n) * 20000 + size, F.nullif(size * 2, F.lit(0)))
     return F.when(d != 0, hundredths / F.lit(100.0))
 
 
@@ -46,15 +51,14 @@ def adr(revenue_sum, occupied) -> Column:
     """Average daily rate: revenue / occupied rooms, half-up to an integer.
 
     ``revenue_sum`` is the unrounded decimal sum; 0 when no room is occupied.
-    Decimal division keeps at least 16 fractional digits here, far below the
-    distance of any non-tie quotient from a .5 boundary, so the final half-up
-    rounding is exact.
+    The quotient is one of integers (millionths), so it is rounded once.
     """
-    rev = _col(revenue_sum)
     occ = _col(occupied).cast("long")
-    return (F.when(occ == 0, F.lit(0))
-            .otherwise(F.round(rev / occ.cast("decimal(20,0)"), 0))
-            .cast("long"))
+    rev = _col(revenue_sum).cast("decimal(30,6)")
+    units = (F.abs(rev) * F.lit(1000000).cast("decimal(7,0)")).cast("decimal(36,0)")
+    room = (occ * 1000000).cast("decimal(28,0)")
+    return (F.when(occ == 0, F.lit(0).cast("long"))
+            .otherwise(_sign(rev) * floor_div(units * 2 + room, F.nullif(room * 2, F.lit(0).cast("decimal(28,0)")))))
 
 
 def minutes_between(start, end) -> Column:
@@ -69,6 +73,4 @@ def hours_2dp(minutes) -> Column:
     Exact: hundredths of an hour = round(minutes * 100 / 60) = round(m * 5 / 3).
     """
     m = _col(minutes).cast("long")
-    sign = F.when(m < 0, F.lit(-1)).otherwise(F.lit(1))
-    mag = F.abs(m)
-    return sign * floor_div(mag * 10 + 3, F.lit(6)) / F.lit(100.0)
+    return _sign(m) * floor_div(F.abs(m) * 10 + 3, F.lit(6)) / F.lit(100.0)

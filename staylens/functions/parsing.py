@@ -41,17 +41,25 @@ def parse_timestamp(c) -> Column:
 
 
 def parse_offset_timestamp(c) -> Column:
-    """``YYYY-MM-DDTHH:MM:SS±HH[:MM]`` to the wall-clock TIMESTAMP_NTZ.
-
-    The offset is validated and then dropped: ordering of snapshots within one
-    feed is what matters, and one feed uses one offset. ``Z``, a missing offset
-    or fractional seconds make the value NULL (the event becomes invalid).
+    """``YYYY-MM-DDTHH:MM:SS±HH[:MM]`` to the wall-clock TIMESTAMP_NTZ, the
+    served value. ``Z``, a missing offset or fractional seconds make it NULL
+    (the event becomes invalid); `offset_instant` keeps the offset.
     """
     text = F.trim(_col(c))
     wall = F.regexp_replace(F.substring(text, 1, 19), "T", " ")
     return F.when(text.rlike(OFFSET_TIMESTAMP_SHAPE), wall.try_cast("timestamp_ntz"))
 
 
+def offset_instant(c) -> Column:
+    """The same text as an instant (UTC, TIMESTAMP_NTZ), for ordering."""
+    text = F.trim(_col(c))
+    offset = F.substring(text, 20, 6)
+    hours = F.substring(offset, 2, 2).try_cast("int")
+    minutes = F.coalesce(F.nullif(F.regexp_replace(F.substring(offset, 4, 3), ":", ""), F.lit("")).try_cast("int"), F.lit(0))
+    ahead = F.when(F.substring(offset, 1, 1) == "-", -1).otherwise(1) * (hours * 60 + minutes)
+    return F.timestamp_add("MINUTE", -ahead, parse_offset_timestamp(c))
+
+
 def parse_date_dmy(c) -> Column:
     """``DD.MM.YYYY`` (one-digit day/month allowed) to DATE."""
     trimmed = F.trim(_col(c))
@@ -59,7 +67,7 @@ def parse_date_dmy(c) -> Column:
 
 
 def parse_money(c) -> Column:
-    """Decimal text to an exact ``decimal(18,6)``; non-numeric text is NULL."""
+    """Decimal text to an exact ``MONEY`` decimal; non-numeric text is NULL."""
     return _guarded(_col(c), NUMBER_SHAPE, MONEY.simpleString())
 
 

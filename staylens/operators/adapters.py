@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.contract import is_valid_reservation, item_text
 from staylens.functions.parsing import (
-    parse_date, parse_date_dmy, parse_money, parse_offset_timestamp, parse_timestamp,
+    offset_instant, parse_date, parse_date_dmy, parse_money, parse_offset_timestamp, parse_timestamp,
 )
 from staylens.schemas import CONTRACT_COLUMNS
 
@@ -68,6 +68,7 @@ def adapt_native(raw: DataFrame) -> DataFrame:
         parse_date("departure_date").alias("departure_date"),
         parse_timestamp("created_at").alias("created_at"),
         parse_timestamp("updated_at").alias("updated_at"),
+        parse_timestamp("updated_at").alias("updated_instant"),
         items.alias("stay_dates"),
     ))
 
@@ -137,6 +138,7 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
         "hotel_id", "reservation_id", "status", "arrival_date", "departure_date",
         first_arrival.alias("created_at"),
         first_arrival.alias("updated_at"),
+        first_arrival.alias("updated_instant"),
         "stay_dates",
     ))
 
@@ -147,7 +149,8 @@ def adapt_nordic(raw: DataFrame, vat_rate: Decimal = NORDIC_VAT_RATE) -> DataFra
 
 def adapt_cloud(raw: DataFrame) -> DataFrame:
     """Cloud snapshots -> contract. Exact-case status codes map first, other
-    text is lower-cased and trimmed; offset timestamps keep the wall clock."""
+    text is lower-cased and trimmed; offset timestamps serve the wall clock and
+    are ordered by the instant."""
     status_raw = F.col("reservationStatus")
     items = F.transform("nightlyRates", lambda r: F.struct(
         r["roomCode"].alias("room_type_id"),
@@ -167,6 +170,7 @@ def adapt_cloud(raw: DataFrame) -> DataFrame:
         parse_date("departure").alias("departure_date"),
         parse_offset_timestamp("createdAt").alias("created_at"),
         parse_offset_timestamp("modifiedAt").alias("updated_at"),
+        offset_instant("modifiedAt").alias("updated_instant"),
         items.alias("stay_dates"),
     ))
 

@@ -9,7 +9,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.operators.sizing import maybe_broadcast
 
 
 def not_null(df: DataFrame, column: str, keep: Sequence[str] | None = None) -> DataFrame:
@@ -18,7 +17,10 @@ def not_null(df: DataFrame, column: str, keep: Sequence[str] | None = None) -> D
 
 
 def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once, with their count ``n``."""
+    """Key values that occur more than once, with their count ``n``. A single
+    column is a key that may be absent: its NULLs are not compared."""
+    if len(columns) == 1:
+        df = df.where(F.col(columns[0]).isNotNull())
     return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1))
 
@@ -30,10 +32,10 @@ def accepted_values(df: DataFrame, column: str, values: Iterable, keep: Sequence
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                  keep: Sequence[str] | None = None, parent_small: bool | None = None) -> DataFrame:
+                  keep: Sequence[str] | None = None) -> DataFrame:
     """Child rows whose non-NULL key has no parent row."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    out = child.where(F.col(column).isNotNull()).join(maybe_broadcast(keys, parent_small), column, "left_anti")
+    out = child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
     return out.select(*keep) if keep else out
 
 
@@ -77,12 +79,12 @@ def freshness_sla(freshness: DataFrame) -> DataFrame:
     ).select("source_system", "hotel_id", "load_lag_hours", "freshness_sla_hours", "is_stale")
 
 
-def dedup_keeps_latest(kept: DataFrame, unified: DataFrame) -> DataFrame:
+def dedup_keeps_latest(kept: DataFrame, unified: DataFrame, time: str = "updated_instant") -> DataFrame:
     """Kept snapshots whose time is not the latest valid time of their key."""
     latest = (unified.where("is_valid").groupBy("hotel_id", "reservation_id")
-              .agg(F.max("updated_at").alias("max_updated_at")))
+              .agg(F.max(time).alias("latest_time")))
     return (kept.join(latest, ["hotel_id", "reservation_id"], "inner")
-            .where(F.col("updated_at") != F.col("max_updated_at"))
+            .where(F.col(time) != F.col("latest_time"))
             .select("hotel_id", "reservation_id"))
 
 
@@ -95,16 +97,16 @@ def reconciliation_gate(report: DataFrame) -> DataFrame:
 
 
 def source_totals_match_fact(report: DataFrame, tolerance: str = "0.01") -> DataFrame:
-    """Summed per-source rows against the fact totals of the total row.
+    """Summed per-source rows against the fact totals of the total row, on the
+    unrounded amounts.
 
     One conditional aggregate over the report gives both sides in one row."""
     is_total = F.col("source_system") == "__total__"
-    cents = "decimal(18,2)"
     sides = report.agg(
         F.sum(F.when(~is_total, F.col("occupied_room_nights"))).alias("occupied_room_nights"),
-        F.sum(F.when(~is_total, F.col("total_net_revenue").cast(cents))).alias("total_net_revenue"),
+        F.sum(F.when(~is_total, F.col("net_revenue_exact"))).alias("total_net_revenue"),
         F.max(F.when(is_total, F.col("fct_occupied_room_nights"))).alias("fct_occupied_room_nights"),
-        F.max(F.when(is_total, F.col("fct_total_net_revenue").cast(cents))).alias("fct_total_net_revenue"),
+        F.max(F.when(is_total, F.col("fct_net_revenue_exact"))).alias("fct_total_net_revenue"),
     )
     return sides.where(
         (F.col("occupied_room_nights") != F.col("fct_occupied_room_nights"))

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.measures import adr, money_to_double, percent_2dp
-from staylens.operators.sizing import maybe_broadcast
 
 FACT_COLUMNS = ["hotel_id", "night", "occupied_rooms", "total_rooms", "occupancy_percentage",
                 "total_net_revenue", "adr"]
+#: The unrounded revenue kept beside the served one, for reconciling.
+EXACT_COLUMN = "net_revenue_exact"
 MONTH_COLUMN = "night_month"
 REPORT_COLUMNS = ["NIGHT_OF_STAY", "OCCUPANCY_PERCENTAGE", "TOTAL_NET_REVENUE", "ADR"]
 
@@ -26,17 +27,18 @@ def daily_aggregate(nights: DataFrame) -> DataFrame:
     )
 
 
-def daily_kpis(nights: DataFrame, capacity: DataFrame, capacity_small: bool | None = None) -> DataFrame:
+def daily_kpis(nights: DataFrame, capacity: DataFrame) -> DataFrame:
     """KPI fact: occupancy % of capacity (NULL at capacity 0 or unknown),
     revenue rounded half-up to cents, ADR from the unrounded revenue."""
     agg = daily_aggregate(nights)
-    joined = agg.join(maybe_broadcast(capacity, capacity_small), "hotel_id", "left")
+    joined = agg.join(capacity, "hotel_id", "left")
     return joined.select(
         "hotel_id", "night", "occupied_rooms",
         F.col("total_rooms"),
         percent_2dp("occupied_rooms", "total_rooms").alias("occupancy_percentage"),
         money_to_double("revenue").alias("total_net_revenue"),
         adr("revenue", "occupied_rooms").alias("adr"),
+        F.col("revenue").cast("decimal(38,6)").alias(EXACT_COLUMN),
     )
 
 
@@ -57,8 +59,9 @@ def kpi_report(fact: DataFrame, hotel_id: str, from_date, to_date) -> DataFrame:
     """
     lo, hi = _as_date(from_date), _as_date(to_date)
     spark = fact.sparkSession
-    spine = spark.range(1).select(
-        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("night"))
+    # An empty range (from after to) yields no night, as a generated series does.
+    days = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
+    spine = spark.range(1).select(F.explode(days).alias("night"))
     wanted = (F.col("hotel_id") == hotel_id) & (F.col("night") >= lo) & (F.col("night") <= hi)
     if MONTH_COLUMN in fact.columns:
         # A stored fact partitioned by month: prune folders as well as rows.

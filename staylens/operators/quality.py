@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.measures import hours_2dp, minutes_between, percent_2dp
-from staylens.operators.reservations import validated_line_items
-from staylens.operators.sizing import maybe_broadcast
 
 # Roll-up labels and the revenue tolerance of reconciliation.
 ALL_HOTELS = "__all__"
@@ -20,14 +18,16 @@ REVENUE_TOLERANCE = "0.01"
 
 def event_watermarks(kept: DataFrame) -> DataFrame:
     """Newest event time and reservation count per (source, hotel), plus a
-    per-source roll-up row labelled ``__all__``. One grouping-sets aggregate
-    (a single shuffle); the roll-up is recognised by ``grouping()``, not by a
-    NULL hotel id."""
-    g = kept.groupingSets(
+    per-source roll-up row labelled ``__all__``; the roll-up is recognised by ``grouping()``, not by a
+    NULL hotel id. The grouping sets run over the per-hotel result, so every
+    kept row is read once and only the small result is expanded."""
+    per_hotel = kept.groupBy("source_system", "hotel_id").agg(
+        F.max("updated_at").alias("max_event_at"), F.count(F.lit(1)).alias("reservations"))
+    g = per_hotel.groupingSets(
         [["source_system", "hotel_id"], ["source_system"]], "source_system", "hotel_id"
     ).agg(
-        F.max("updated_at").alias("max_event_at"),
-        F.count(F.lit(1)).alias("reservations"),
+        F.max("max_event_at").alias("max_event_at"),
+        F.sum("reservations").alias("reservations"),
         F.grouping("hotel_id").alias("_rollup"),
     )
     return g.select(
@@ -37,14 +37,13 @@ def event_watermarks(kept: DataFrame) -> DataFrame:
     )
 
 
-def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime,
-                   manifest_small: bool | None = None) -> DataFrame:
+def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime) -> DataFrame:
     """Load and event lag in hours against a fixed ``as_of``; stale when the
     load lag exceeds the source's SLA. Sources without a manifest row drop
     out (inner join)."""
     # Built from its text so the wall clock never depends on a time zone.
     as_of_ts = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    joined = watermarks.join(maybe_broadcast(manifest, manifest_small), "source_system", "inner")
+    joined = watermarks.join(manifest, "source_system", "inner")
     load_min = minutes_between(F.col("loaded_at"), as_of_ts)
     event_min = minutes_between(F.col("max_event_at"), as_of_ts)
     return joined.select(
@@ -57,8 +56,7 @@ def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime,
     )
 
 
-def data_availability(fact: DataFrame, capacity: DataFrame,
-                      capacity_small: bool | None = None) -> DataFrame:
+def data_availability(fact: DataFrame, capacity: DataFrame) -> DataFrame:
     """Every night of each hotel's active window (first to last fact night):
     expected rooms, occupied rooms, missing day flag, missing room-nights and
     coverage capped at 100. The spine is generated per hotel from a one-row-
@@ -70,7 +68,7 @@ def data_availability(fact: DataFrame, capacity: DataFrame,
         F.explode(F.sequence("first_night", "last_night", F.expr("INTERVAL 1 DAY"))).alias("night"))
     facts = fact.select("hotel_id", "night", F.col("occupied_rooms").alias("_occ"),
                         F.lit(True).alias("_present"))
-    joined = (spine.join(maybe_broadcast(capacity, capacity_small), "hotel_id", "left")
+    joined = (spine.join(capacity, "hotel_id", "left")
               .join(facts, ["hotel_id", "night"], "left"))
     occ = F.coalesce(F.col("_occ"), F.lit(0).cast("long"))
     cap = F.col("total_rooms")
@@ -84,66 +82,105 @@ def data_availability(fact: DataFrame, capacity: DataFrame,
     )
 
 
-def source_control(kept: DataFrame, inventory: DataFrame,
-                   inventory_small: bool | None = None) -> DataFrame:
-    """Per-source occupied room-nights, net revenue and room-nights, derived
-    independently of the fact path: nights are generated over the whole line
-    range and then clamped, the inventory is an inner join, and one room per
-    reservation-night is an aggregate (max revenue), not a ranking. The room
-    type that wins a tie does not change any total, so the max is enough."""
-    items = validated_line_items(kept, extra=["source_system"])
-    inv = inventory.select("hotel_id", "room_type_id")
-    stocked = items.join(maybe_broadcast(inv, inventory_small), ["hotel_id", "room_type_id"], "inner")
-    revenue = F.coalesce(F.col("room_net"), F.lit(0)) + F.coalesce(F.col("fnb_net"), F.lit(0))
-    nights = stocked.select(
-        "source_system", "hotel_id", "reservation_id", "counts_for_occupancy",
-        "arrival_date", "departure_date", revenue.alias("rev"),
-        F.explode(F.sequence("sd_start", "sd_end", F.expr("INTERVAL 1 DAY"))).alias("night"),
-    ).where((F.col("night") >= F.col("arrival_date")) & (F.col("night") < F.col("departure_date")))
-    per_night = nights.groupBy("source_system", "hotel_id", "reservation_id", "night").agg(
-        F.max("rev").alias("rev"),
-        F.max(F.col("counts_for_occupancy").cast("int")).alias("occ"),
-    )
-    return per_night.groupBy("source_system").agg(
+#: The control path's own statement of what text is a date and an amount.
+_CONTROL_DATE = r"trim({0}) RLIKE '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}([ T].*)?$'"
+_CONTROL_AMOUNT = r"trim({0}) RLIKE '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
+
+
+def _control_date(c: str) -> str:
+    return f"IF({_CONTROL_DATE.format(c)}, TRY_CAST(trim({c}) AS DATE), NULL)"
+
+
+def _control_amount(c: str) -> str:
+    return f"IF({_CONTROL_AMOUNT.format(c)}, TRY_CAST(trim({c}) AS DECIMAL(28,6)), NULL)"
+
+
+def control_lines(kept: DataFrame) -> DataFrame:
+    """The lines that count, restated on purpose (nothing is shared with the
+    fact path, so a fault in either shows as a difference)."""
+    lines = kept.selectExpr("source_system", "hotel_id", "reservation_id", "status", "arrival_date", "departure_date",
+                            "inline(stay_dates)")
+    typed = lines.selectExpr(
+        "*", f"{_control_date('start_date')} AS first_day", f"{_control_date('end_date')} AS last_day",
+        *[f"{_control_amount(c)} AS {c}_amount" for c in ("room_gross", "room_net", "fnb_gross", "fnb_net")])
+    blank_or_amount = "(coalesce({0}, '') = '' OR {0}_amount IS NOT NULL)"
+    return typed.where(
+        "room_type_id IS NOT NULL AND room_gross_amount IS NOT NULL AND room_net_amount IS NOT NULL AND "
+        + blank_or_amount.format("fnb_gross") + " AND " + blank_or_amount.format("fnb_net")
+        + " AND first_day BETWEEN arrival_date AND last_day AND last_day <= departure_date")
+
+
+def control_nights(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+    """One row per occupied room-night (source, hotel, reservation, night), its
+    revenue `rev` and whether it occupies a room: nights are generated over the
+    whole line range and then clamped, the inventory is an inner join, and one
+    room per reservation-night is an aggregate (max revenue), not a ranking.
+    The room type that wins a tie changes no total, so the max is enough."""
+    stocked = control_lines(kept).join(inventory.select("hotel_id", "room_type_id").distinct(), ["hotel_id", "room_type_id"])
+    nights = stocked.selectExpr(
+        "source_system", "hotel_id", "reservation_id", "arrival_date", "departure_date",
+        "CASE WHEN status = 'cancelled' THEN 0 ELSE 1 END AS occ",
+        "coalesce(room_net_amount, 0) + coalesce(fnb_net_amount, 0) AS rev",
+        "explode(sequence(first_day, last_day, INTERVAL 1 DAY)) AS night",
+    ).where("night >= arrival_date AND night < departure_date")
+    return nights.groupBy("source_system", "hotel_id", "reservation_id", "night").agg(
+        F.max("rev").alias("rev"), F.max("occ").alias("occ"))
+
+
+def control_daily(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+    """The control path at the fact's grain: occupied rooms and unrounded
+    revenue per hotel and night."""
+    return control_nights(kept, inventory).groupBy("hotel_id", "night").agg(
+        F.sum("occ").cast("long").alias("occupied_rooms"), F.sum("rev").cast("decimal(38,6)").alias("net_revenue_exact"))
+
+
+def source_control(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Per-source occupied room-nights, net revenue (served and unrounded) and
+    room-nights, from the independent control path."""
+    return control_nights(kept, inventory).groupBy("source_system").agg(
         F.sum("occ").cast("long").alias("occupied_room_nights"),
         F.round(F.sum("rev"), 2).cast("double").alias("total_net_revenue"),
         F.count(F.lit(1)).alias("room_nights"),
+        F.sum("rev").cast("decimal(38,6)").alias("net_revenue_exact"),
     )
 
 
 def reconciliation(control: DataFrame, fact: DataFrame) -> DataFrame:
     """Per-source rows, then a ``__total__`` row holding summed source totals,
     fact totals, absolute differences and the verdict (occupied room-nights
-    equal and revenue within 0.01). Totals are exact decimal sums of cent
-    values; an empty input gives a failed (false) verdict, never NULL.
+    equal and revenue within 0.01). Both sides are exact sums of unrounded
+    amounts, so the verdict does not depend on how many rounded cells there
+    are; an empty input gives a failed (false) verdict, never NULL.
 
     Both totals come from one global aggregate over a tagged union of the two
     inputs, so no join of the two sides is needed."""
-    cents = "decimal(18,2)"
+    exact = "decimal(38,6)"
     tagged = control.select(
         F.col("occupied_room_nights").alias("s_occ"),
-        F.col("total_net_revenue").cast(cents).alias("s_rev"),
+        F.col("net_revenue_exact").alias("s_rev"),
         F.lit(None).cast("long").alias("f_occ"),
-        F.lit(None).cast(cents).alias("f_rev"),
+        F.lit(None).cast(exact).alias("f_rev"),
     ).unionByName(fact.select(
         F.lit(None).cast("long").alias("s_occ"),
-        F.lit(None).cast(cents).alias("s_rev"),
+        F.lit(None).cast(exact).alias("s_rev"),
         F.col("occupied_rooms").cast("long").alias("f_occ"),
-        F.col("total_net_revenue").cast(cents).alias("f_rev"),
+        F.col("net_revenue_exact").alias("f_rev"),
     ))
     t = tagged.agg(*[F.sum(c).alias(c) for c in ("s_occ", "s_rev", "f_occ", "f_rev")])
     rev_diff = F.abs(F.col("s_rev") - F.col("f_rev"))
     total = t.select(
         F.lit(TOTAL_ROW).alias("source_system"),
         F.col("s_occ").alias("occupied_room_nights"),
-        F.col("s_rev").cast("double").alias("total_net_revenue"),
+        F.round("s_rev", 2).cast("double").alias("total_net_revenue"),
         F.col("f_occ").alias("fct_occupied_room_nights"),
-        F.col("f_rev").cast("double").alias("fct_total_net_revenue"),
+        F.round("f_rev", 2).cast("double").alias("fct_total_net_revenue"),
         F.abs(F.col("s_occ") - F.col("f_occ")).cast("double").alias("occupied_room_nights_diff"),
         rev_diff.cast("double").alias("total_net_revenue_diff"),
         F.coalesce((F.col("s_occ") == F.col("f_occ"))
                    & (rev_diff <= F.lit(REVENUE_TOLERANCE).cast("decimal(4,2)")),
                    F.lit(False)).alias("reconciled"),
+        F.col("s_rev").cast(exact).alias("net_revenue_exact"),
+        F.col("f_rev").cast(exact).alias("fct_net_revenue_exact"),
     )
     per_source = control.select(
         "source_system", "occupied_room_nights", "total_net_revenue",
@@ -152,16 +189,18 @@ def reconciliation(control: DataFrame, fact: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("occupied_room_nights_diff"),
         F.lit(None).cast("double").alias("total_net_revenue_diff"),
         F.lit(None).cast("boolean").alias("reconciled"),
+        "net_revenue_exact",
+        F.lit(None).cast(exact).alias("fct_net_revenue_exact"),
     )
     return per_source.unionByName(total)
 
 
-def market_blend(fact: DataFrame, market: DataFrame, market_small: bool | None = None) -> DataFrame:
+def market_blend(fact: DataFrame, market: DataFrame) -> DataFrame:
     """Fact left-joined to the market index on (hotel, night); the property's
     ADR against the comp-set index (100 = at market) when both exist and the
     index is non-zero."""
     m = market.select("hotel_id", "night", "comp_rate_index", "local_event", "has_local_event")
-    joined = fact.join(maybe_broadcast(m, market_small), ["hotel_id", "night"], "left")
+    joined = fact.join(m, ["hotel_id", "night"], "left")
     index = F.col("comp_rate_index")
     return joined.select(
         "hotel_id", "night", "occupancy_percentage", "total_net_revenue", "adr",

@@ -15,19 +15,18 @@ from pyspark.sql import functions as F
 
 from staylens.functions.contract import counts_for_occupancy, stay_dates_fingerprint
 from staylens.functions.parsing import parse_date, parse_money
-from staylens.operators.sizing import maybe_broadcast
 
 KEPT_COLUMNS = ["source_system", "hotel_id", "reservation_id", "status", "arrival_date",
-                "departure_date", "created_at", "updated_at", "stay_dates"]
+                "departure_date", "created_at", "updated_at", "updated_instant", "stay_dates"]
 NIGHT_COLUMNS = ["hotel_id", "reservation_id", "night", "status", "counts_for_occupancy",
                  "room_type_id", "total_net_revenue"]
 
 
 def snapshot_order() -> list[Column]:
-    """Latest first; equal times are broken by the line-item fingerprint, then
+    """Latest instant first; equal ones are broken by the line-item fingerprint, then
     by status and stay dates so that the winner never depends on input order."""
     return [
-        F.col("updated_at").desc_nulls_last(),
+        F.col("updated_instant").desc_nulls_last(),
         # The 16-byte digest orders exactly like its hex text and halves the
         # sort key carried through the dedup shuffle.
         F.unhex(stay_dates_fingerprint("stay_dates")).desc_nulls_last(),
@@ -95,15 +94,15 @@ def validated_line_items(kept: DataFrame, extra: list[str] | None = None) -> Dat
     return line_items(kept, extra).where(valid_line_item())
 
 
-def in_inventory(items: DataFrame, inventory: DataFrame, small: bool | None = None) -> DataFrame:
+def in_inventory(items: DataFrame, inventory: DataFrame) -> DataFrame:
     """Keep line items whose (hotel, room type) is in the inventory.
 
     A semi-join: no inventory column is needed and duplicate inventory rows
-    cannot multiply line items. The inventory is broadcast when its row
-    bound is proven (``small``; ``None`` proves it here).
+    cannot multiply line items. How the small side travels is left to the
+    planner's statistics and AQE.
     """
     keys = inventory.select("hotel_id", "room_type_id").distinct()
-    return items.join(maybe_broadcast(keys, small), ["hotel_id", "room_type_id"], "left_semi")
+    return items.join(keys, ["hotel_id", "room_type_id"], "left_semi")
 
 
 def expand_nights(items: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -133,9 +132,8 @@ def one_room_per_night(nights: DataFrame, extra: list[str] | None = None) -> Dat
             .select(*NIGHT_COLUMNS, *(extra or [])))
 
 
-def reservation_nights(kept: DataFrame, inventory: DataFrame,
-                       inventory_small: bool | None = None) -> DataFrame:
+def reservation_nights(kept: DataFrame, inventory: DataFrame) -> DataFrame:
     """Kept reservations -> occupied room-nights (grain hotel, reservation,
     night), with line-item validation and the inventory filter."""
-    items = in_inventory(validated_line_items(kept), inventory, inventory_small)
+    items = in_inventory(validated_line_items(kept), inventory)
     return one_room_per_night(expand_nights(items))

@@ -4,8 +4,8 @@ raw feeds -> adapters -> unified feed -> latest snapshot -> nights -> fact
 -> {report, availability, market blend, reconciliation}; latest snapshot ->
 {event watermarks -> freshness, per-source control -> reconciliation}.
 
-Every attribute is a lazy DataFrame. With ``materialize=True`` the shared
-intermediates are written once into the session's ``spark.checkpoint.dir``
+Every attribute is a DataFrame, lazy unless ``materialize=True``: then taking
+one runs the jobs that write the shared intermediates once into the session's ``spark.checkpoint.dir``
 (shared storage on a cluster):
 
 * the unified feed as a Parquet table, unless ``materialize_unified`` is
@@ -16,9 +16,8 @@ intermediates are written once into the session's ``spark.checkpoint.dir``
   (read by nights, watermarks, the control path and the dedup check); the
   bucketing carries the dedup's partitioning, so the night expansion, the
   one-room-per-night rank and the control aggregate need no shuffle;
-* the daily fact as a table bucketed and sorted by (hotel_id, night) (read
-  by the report, whose hotel and night filters prune row groups, and by
-  availability, whose join on (hotel_id, night) needs no shuffle of the fact).
+* the daily fact as a table partitioned by month and clustered by (hotel_id,
+  night): a report opens the files of its months that hold its hotel.
 
 That cuts lineage: a lost executor re-reads a materialized table instead of
 recomputing from the raw feeds.
@@ -34,9 +33,8 @@ import uuid
 from pyspark.sql import DataFrame
 
 from staylens.operators import adapters, dimensions, kpis, quality, reservations
-from staylens.operators.sizing import is_small
 from staylens.session import ensure_checkpoint_dir
-from staylens.sources.landing import write_bucketed, write_table
+from staylens.sources.landing import remove, write_bucketed, write_by_month, write_table
 
 
 @dataclass
@@ -51,8 +49,14 @@ class Marts:
 
     @cached_property
     def _tables(self) -> str:
+        """This build's own folder for everything it materializes."""
         spark = next(iter(self.feeds.values())).sparkSession
-        return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
+        return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+
+    def drop(self) -> None:
+        """Delete what this build materialized; its frames end with it."""
+        if self.materialize:
+            remove(next(iter(self.feeds.values())).sparkSession, self._tables)
 
     def _keep(self, df: DataFrame, label: str) -> DataFrame:
         """Write a small shared frame once when materializing (seeds and
@@ -66,24 +70,10 @@ class Marts:
     def inventory(self) -> DataFrame:
         return self._keep(dimensions.clean_inventory(self.inventory_raw), "inventory")
 
-    @cached_property
-    def inventory_small(self) -> bool:
-        """One bounded count proves the inventory small; capacity and the
-        distinct inventory keys have no more rows and inherit the proof."""
-        return is_small(self.inventory)
-
     @cached_property
     def capacity(self) -> DataFrame:
         return dimensions.hotel_capacity(self.inventory)
 
-    @cached_property
-    def manifest_small(self) -> bool:
-        return is_small(self.manifest)
-
-    @cached_property
-    def market_small(self) -> bool:
-        return is_small(self.market)
-
     @cached_property
     def manifest(self) -> DataFrame:
         return self._keep(dimensions.clean_manifest(self.manifest_raw), "manifest")
@@ -109,15 +99,15 @@ class Marts:
 
     @cached_property
     def nights(self) -> DataFrame:
-        return reservations.reservation_nights(self.kept, self.inventory, self.inventory_small)
+        return reservations.reservation_nights(self.kept, self.inventory)
 
     # --- marts --------------------------------------------------------------
     @cached_property
     def fact(self) -> DataFrame:
-        fact = kpis.daily_kpis(self.nights, self.capacity, self.inventory_small)
+        fact = kpis.daily_kpis(self.nights, self.capacity)
         if not self.materialize:
             return fact
-        return write_bucketed(fact, self._tables, "fact", ["hotel_id", "night"], sort=True)
+        return write_by_month(fact, f"{self._tables}/fact-{uuid.uuid4().hex[:12]}")
 
     def report(self, hotel_id: str, from_date, to_date) -> DataFrame:
         return kpis.kpi_report(self.fact, hotel_id, from_date, to_date)
@@ -128,15 +118,15 @@ class Marts:
 
     @cached_property
     def freshness(self) -> DataFrame:
-        return quality.data_freshness(self.watermarks, self.manifest, self.as_of, self.manifest_small)
+        return quality.data_freshness(self.watermarks, self.manifest, self.as_of)
 
     @cached_property
     def availability(self) -> DataFrame:
-        return quality.data_availability(self.fact, self.capacity, self.inventory_small)
+        return quality.data_availability(self.fact, self.capacity)
 
     @cached_property
     def control(self) -> DataFrame:
-        return self._keep(quality.source_control(self.kept, self.inventory, self.inventory_small), "control")
+        return self._keep(quality.source_control(self.kept, self.inventory), "control")
 
     @cached_property
     def reconciliation(self) -> DataFrame:
@@ -144,4 +134,4 @@ class Marts:
 
     @cached_property
     def market_blend(self) -> DataFrame:
-        return quality.market_blend(self.fact, self.market, self.market_small)
+        return quality.market_blend(self.fact, self.market)

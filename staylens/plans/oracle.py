@@ -1,24 +1,30 @@
 """DuckDB SQL for every catalogue query: an independent statement of the
 same rules, used by the driver's correctness check.
 
-The SQL rebuilds the raw feeds from ``lineitem``/``orders`` with the rules of
-``staylens.sources.testdata`` and then applies the contract rules in plain SQL
-(windows for ranking, list functions for nested items). Shared steps are CTEs;
-each query is ``WITH <the CTEs it needs> <final SELECT>``.
+The SQL rebuilds the raw feeds from ``lineitem``/``orders`` and then applies the
+contract rules in plain SQL (windows for ranking, list functions for nested
+items). Every rule and constant is written out here; only the request
+parameters come from the engine, so a wrong rule there differs from this one.
+Shared steps are CTEs; each query is ``WITH <the CTEs it needs> <final SELECT>``.
 """
 
 from __future__ import annotations
 
-from staylens.functions.contract import FIELD_SEPARATOR, ITEM_SEPARATOR, NULL_TOKEN
-from staylens.functions.parsing import (
-    DMY_DATE_SHAPE, ISO_DATE_SHAPE, ISO_TIMESTAMP_SHAPE, NUMBER_SHAPE, OFFSET_TIMESTAMP_SHAPE,
-)
-from staylens.operators.adapters import NORDIC_VAT_RATE
-from staylens.schemas import CONTRACT_STATUSES, LINE_ITEM_FIELDS
 from staylens.sources import testdata
 
+# Which text is a date, a time, an amount.
+ISO_DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+ISO_TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+OFFSET_TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{2}(:?\d{2})?$"
+DMY_DATE_SHAPE = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
+NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Canonical text of line items, contract statuses, line fields.
+FIELD_SEPARATOR, ITEM_SEPARATOR, NULL_TOKEN = ",", ";", "\\N"
+CONTRACT_STATUSES = ("confirmed", "cancelled", "checked_in", "checked_out")
+LINE_ITEM_FIELDS = ("room_type_id", "start_date", "end_date", "room_gross", "room_net", "fnb_gross", "fnb_net")
 
-# --- guarded casts (same shapes as staylens.functions.parsing) ----------------
+
+# --- guarded casts ------------------------------------------------------------
 def _d(x: str) -> str:
     return f"(CASE WHEN regexp_matches(trim({x}), '{ISO_DATE_SHAPE}') THEN TRY_CAST(trim({x}) AS DATE) END)"
 
@@ -40,11 +46,11 @@ def _dmy(x: str) -> str:
 
 def _m(x: str) -> str:
     return (f"(CASE WHEN regexp_matches(trim({x}), '{NUMBER_SHAPE}') "
-            f"THEN TRY_CAST(trim({x}) AS DECIMAL(18,6)) END)")
+            f"THEN TRY_CAST(trim({x}) AS DECIMAL(28,6)) END)")
 
 
-def _t2(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
+def _t4(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,4)) AS VARCHAR)"
 
 
 def _item_text(v: str) -> str:
@@ -59,7 +65,7 @@ def _fingerprint(col: str) -> str:
 ISO_SEP = ITEM_SEPARATOR
 _STATUSES = ", ".join(f"'{s}'" for s in CONTRACT_STATUSES)
 _ISO = "'%Y-%m-%d'"
-_DIVISOR_UNITS = int((1 + NORDIC_VAT_RATE) * 10000)  # 1.10 -> 11000
+_DIVISOR_UNITS = 11000  # gross over net of board prices, 1.10, in ten-thousandths
 
 
 def _pct(n: str, d: str) -> str:
@@ -94,14 +100,14 @@ SELECT 'H' || CAST(hn AS VARCHAR) AS hotel_id, rid AS reservation_id,
        strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%g') AS updated_at,
        [{{'room_type_id': 'R' || CAST(l_partkey % 6 AS VARCHAR),
           'start_date': strftime(arr, {_ISO}), 'end_date': strftime(dep, {_ISO}),
-          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t2('p * (1 - d)')},
-          'fnb_gross': CASE WHEN d = 0 THEN '' ELSE {_t2('p * (d + 0.01)')} END,
-          'fnb_net': CASE WHEN d = 0 THEN '' ELSE {_t2('p * d')} END}},
+          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t4('p * (1 - d)')},
+          'fnb_gross': CASE WHEN d = 0 THEN '' ELSE {_t4('p * (d + 0.01)')} END,
+          'fnb_net': CASE WHEN d = 0 THEN '' ELSE {_t4('p * d')} END}},
         {{'room_type_id': 'R' || CAST(l_suppkey % 6 AS VARCHAR),
           'start_date': strftime(CASE WHEN ln = 2 THEN arr - 1 ELSE arr END, {_ISO}),
           'end_date': CASE WHEN ln = 5 THEN 'not-a-date' ELSE strftime(arr, {_ISO}) END,
-          'room_gross': {_t2('p * 1.1')},
-          'room_net': CASE WHEN ln = 3 THEN 'n/a' ELSE {_t2('p * (1.05 - d)')} END,
+          'room_gross': {_t4('p * 1.1')},
+          'room_net': CASE WHEN ln = 3 THEN 'n/a' ELSE {_t4('p * (1.05 - d)')} END,
           'fnb_gross': CASE WHEN ln = 4 THEN NULL ELSE '' END,
           'fnb_net': CASE WHEN ln = 4 THEN NULL ELSE '' END}}] AS stay_dates
 FROM x_ev WHERE hn <= 1""")
@@ -109,7 +115,8 @@ FROM x_ev WHERE hn <= 1""")
 _cte("x_nat", ["x_nat_raw"], f"""
 SELECT 'native' AS source_system, hotel_id, reservation_id, lower(trim(status)) AS status,
        {_d('arrival_date')} AS arrival_date, {_d('departure_date')} AS departure_date,
-       {_ts('created_at')} AS created_at, {_ts('updated_at')} AS updated_at, stay_dates
+       {_ts('created_at')} AS created_at, {_ts('updated_at')} AS updated_at,
+       {_ts('updated_at')} AS updated_instant, stay_dates
 FROM x_nat_raw""")
 
 _cte("x_cld_raw", ["x_ev"], f"""
@@ -122,12 +129,12 @@ SELECT 'H' || CAST(hn AS VARCHAR) AS hotel_id, rid AS reservation_id,
          || CASE WHEN ln = 5 THEN 'Z' WHEN ln = 4 THEN '-0500' ELSE '-05:00' END AS modified_txt,
        [{{'room_type_id': 'R' || CAST(l_partkey % 6 AS VARCHAR),
           'start_date': strftime(arr, {_ISO}), 'end_date': strftime(arr, {_ISO}),
-          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t2('p * (1 - d)')},
-          'fnb_gross': CASE WHEN d >= 0.05 THEN {_t2('p * (d + 0.01)')} END,
-          'fnb_net': CASE WHEN d >= 0.05 THEN {_t2('p * d')} END}},
+          'room_gross': CAST(p AS VARCHAR), 'room_net': {_t4('p * (1 - d)')},
+          'fnb_gross': CASE WHEN d >= 0.05 THEN {_t4('p * (d + 0.01)')} END,
+          'fnb_net': CASE WHEN d >= 0.05 THEN {_t4('p * d')} END}},
         {{'room_type_id': 'R' || CAST(l_suppkey % 6 AS VARCHAR),
           'start_date': strftime(arr + 1, {_ISO}), 'end_date': strftime(arr + 1, {_ISO}),
-          'room_gross': {_t2('p * 0.5')}, 'room_net': {_t2('p * (0.5 - d)')},
+          'room_gross': {_t4('p * 0.5')}, 'room_net': {_t4('p * (0.5 - d)')},
           'fnb_gross': CAST(NULL AS VARCHAR), 'fnb_net': CAST(NULL AS VARCHAR)}}] AS stay_dates
 FROM x_ev WHERE hn >= 3""")
 
@@ -137,7 +144,11 @@ SELECT 'cloud' AS source_system, hotel_id, reservation_id,
                WHEN 'confirmed' THEN 'confirmed' WHEN 'cancelled' THEN 'cancelled'
                ELSE lower(trim(rs)) END AS status,
        {_d('arrival')} AS arrival_date, {_d('departure')} AS departure_date,
-       {_ots('created_txt')} AS created_at, {_ots('modified_txt')} AS updated_at, stay_dates
+       {_ots('created_txt')} AS created_at, {_ots('modified_txt')} AS updated_at,
+       {_ots('modified_txt')} - CAST(CASE WHEN substr(modified_txt, 20, 1) = '-' THEN -1 ELSE 1 END
+         * (TRY_CAST(substr(modified_txt, 21, 2) AS INTEGER) * 60
+            + coalesce(TRY_CAST(replace(substr(modified_txt, 23, 3), ':', '') AS INTEGER), 0)) AS INTEGER)
+         * INTERVAL 1 MINUTE AS updated_instant, stay_dates
 FROM x_cld_raw""")
 
 _cte("x_nor_raw", ["x_ev"], f"""
@@ -149,8 +160,8 @@ SELECT 'H2' AS property_code, rid AS booking_ref,
             ELSE strftime(arr + (ln - 1), '%d.%m.%Y') END AS stay_night,
        'R' || CAST(l_partkey % 6 AS VARCHAR) AS room_code,
        CAST(p AS VARCHAR) AS room_gross_eur,
-       CAST(CAST(p * 0.1 AS DECIMAL(18,2)) AS VARCHAR) AS room_vat_eur,
-       CASE WHEN d = 0 THEN NULL ELSE {_t2('p * 0.12')} END AS board_gross_eur
+       CAST(CAST(p * 0.1 AS DECIMAL(18,3)) AS VARCHAR) AS room_vat_eur,
+       CASE WHEN d = 0 THEN NULL ELSE {_t4('p * 0.12')} END AS board_gross_eur
 FROM x_ev WHERE hn = 2""")
 
 _board_units = f"CAST({_m('board_gross_eur')} * 1000000 AS HUGEINT)"
@@ -176,6 +187,7 @@ _cte("x_nor", ["x_nor_n"], f"""
 SELECT 'nordic' AS source_system, hotel_id, reservation_id, min(status) AS status,
        min(arrival_date) AS arrival_date, max(departure_date) AS departure_date,
        CAST(min(arrival_date) AS TIMESTAMP) AS created_at, CAST(min(arrival_date) AS TIMESTAMP) AS updated_at,
+       CAST(min(arrival_date) AS TIMESTAMP) AS updated_instant,
        list_transform(list_sort(list({{'k': {_item_text('it')}, 'item': it}})), lambda e: e.item) AS stay_dates
 FROM (SELECT *, {_nor_item} AS it,
              CASE WHEN hotel_id IS NULL OR reservation_id IS NULL THEN row_number() OVER () END AS row_key
@@ -188,14 +200,14 @@ _VALID = f"""COALESCE(hotel_id IS NOT NULL AND reservation_id IS NOT NULL AND st
   AND len(stay_dates) > 0, FALSE)"""
 _cte("x_uni", ["x_nat", "x_nor", "x_cld"], f"""
 SELECT source_system, hotel_id, reservation_id, status, arrival_date, departure_date, created_at,
-       updated_at, stay_dates, {_VALID} AS is_valid
+       updated_at, updated_instant, stay_dates, {_VALID} AS is_valid
 FROM (SELECT * FROM x_nat UNION ALL BY NAME SELECT * FROM x_nor UNION ALL BY NAME SELECT * FROM x_cld)""")
 
 _cte("x_kept", ["x_uni"], f"""
 SELECT source_system, hotel_id, reservation_id, status, arrival_date, departure_date, created_at,
-       updated_at, stay_dates, status <> 'cancelled' AS counts_for_occupancy
+       updated_at, updated_instant, stay_dates, status <> 'cancelled' AS counts_for_occupancy
 FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id, reservation_id ORDER BY
-        updated_at DESC NULLS LAST, {_fingerprint('stay_dates')} DESC NULLS LAST,
+        updated_instant DESC NULLS LAST, {_fingerprint('stay_dates')} DESC NULLS LAST,
         status ASC NULLS LAST, departure_date DESC NULLS LAST, arrival_date DESC NULLS LAST,
         created_at DESC NULLS LAST, source_system ASC NULLS LAST) AS rn
       FROM x_uni WHERE is_valid)
@@ -262,7 +274,8 @@ SELECT a.hotel_id, a.night, a.occupied_rooms, c.total_rooms,
        CAST(round(a.revenue, 2) AS DOUBLE) AS total_net_revenue,
        CASE WHEN a.occupied_rooms = 0 THEN 0
             ELSE CAST(sign({_rev_units}) * ((2 * abs({_rev_units}) + a.occupied_rooms * 1000000)
-                 // (2 * a.occupied_rooms * 1000000)) AS BIGINT) END AS adr
+                 // (2 * a.occupied_rooms * 1000000)) AS BIGINT) END AS adr,
+       a.revenue AS net_revenue_exact
 FROM (SELECT hotel_id, night,
              CAST(count(*) FILTER (WHERE counts_for_occupancy) AS BIGINT) AS occupied_rooms,
              sum(total_net_revenue) AS revenue
@@ -283,8 +296,6 @@ LEFT JOIN (SELECT * FROM x_fact WHERE hotel_id = '{hotel}') AS f ON s.night = f.
 
 
 _cte("x_report", ["x_fact"], _report_sql(testdata.REPORT_HOTEL))
-_cte("x_report_h0", ["x_fact"], _report_sql("H0"))
-_cte("x_report_h1", ["x_fact"], _report_sql("H1"))
 
 _cte("x_wm", ["x_kept"], """
 SELECT source_system, hotel_id, max(updated_at) AS max_event_at, count(*) AS reservations
@@ -293,13 +304,10 @@ UNION ALL
 SELECT source_system, '__all__' AS hotel_id, max(updated_at) AS max_event_at, count(*) AS reservations
 FROM x_kept GROUP BY source_system""")
 
-_manifest_values = ", ".join(f"('{s}', '{t}', '{h}')" for s, t, h in testdata.MANIFEST_ROWS)
 _cte("x_man", [], f"""
-SELECT source_system, loaded_at, freshness_sla_hours
-FROM (SELECT source_system, {_ts('loaded_at_txt')} AS loaded_at,
-             TRY_CAST(trim(sla_txt) AS INTEGER) AS freshness_sla_hours
-      FROM (VALUES {_manifest_values}) AS t(source_system, loaded_at_txt, sla_txt))
-WHERE source_system IS NOT NULL AND loaded_at IS NOT NULL AND freshness_sla_hours IS NOT NULL""")
+SELECT CASE WHEN hn <= 1 THEN 'native' WHEN hn = 2 THEN 'nordic' ELSE 'cloud' END AS source_system,
+       date_trunc('second', max(o_orderdate)) AS loaded_at, CAST({testdata.SLA_HOURS} AS INTEGER) AS freshness_sla_hours
+FROM (SELECT o_custkey % 5 AS hn, o_orderdate FROM orders) GROUP BY 1""")
 
 _AS_OF = f"TIMESTAMP '{testdata.AS_OF:%Y-%m-%d %H:%M:%S}'"
 _cte("x_fresh", ["x_wm", "x_man"], f"""
@@ -310,52 +318,73 @@ SELECT w.source_system, w.hotel_id, w.reservations, m.loaded_at, w.max_event_at,
        date_diff('minute', m.loaded_at, {_AS_OF}) / 60.0 > m.freshness_sla_hours AS is_stale
 FROM x_wm AS w JOIN x_man AS m ON w.source_system = m.source_system""")
 
-_cte("x_avail", ["x_fact", "x_cap"], f"""
+
+
+def _avail_sql(capacity: str) -> str:
+    return f"""
 SELECT s.hotel_id, s.night, c.total_rooms AS expected_room_nights,
        coalesce(f.occupied_rooms, 0) AS occupied_rooms,
        f.night IS NULL AS is_missing_day,
-       greatest(c.total_rooms - coalesce(f.occupied_rooms, 0), 0) AS missing_room_nights,
-       least({_pct('coalesce(f.occupied_rooms, 0)', 'c.total_rooms')}, 100.0) AS availability_pct
+       CASE WHEN c.total_rooms IS NULL THEN 0 ELSE greatest(c.total_rooms - coalesce(f.occupied_rooms, 0), 0) END AS missing_room_nights,
+       CASE WHEN c.total_rooms IS NULL THEN 100.0
+            ELSE least({_pct('coalesce(f.occupied_rooms, 0)', 'c.total_rooms')}, 100.0) END AS availability_pct
 FROM (SELECT hotel_id, CAST(first_night + CAST(k AS INTEGER) AS DATE) AS night
       FROM (SELECT hotel_id, first_night,
                    unnest(generate_series(0, date_diff('day', first_night, last_night))) AS k
             FROM (SELECT hotel_id, min(night) AS first_night, max(night) AS last_night
                   FROM x_fact GROUP BY hotel_id))) AS s
-LEFT JOIN x_cap AS c ON s.hotel_id = c.hotel_id
-LEFT JOIN x_fact AS f ON s.hotel_id = f.hotel_id AND s.night = f.night""")
+LEFT JOIN {capacity} AS c ON s.hotel_id = c.hotel_id
+LEFT JOIN x_fact AS f ON s.hotel_id = f.hotel_id AND s.night = f.night"""
+
+
+_cte("x_avail", ["x_fact", "x_cap"], _avail_sql("x_cap"))
+_cte("x_avail_noh0", ["x_fact", "x_cap"], _avail_sql("(SELECT * FROM x_cap WHERE hotel_id <> 'H0')"))
+
+_cte("x_ctl_nights", ["x_vitems", "x_inv"], """
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY hotel_id, reservation_id, night ORDER BY rev DESC, room_type_id) AS rn
+  FROM (SELECT *, CAST(sd_start + CAST(k AS INTEGER) AS DATE) AS night
+        FROM (SELECT v.source_system, v.hotel_id, v.reservation_id, v.counts_for_occupancy,
+                     v.room_type_id, v.arrival_date, v.departure_date, v.sd_start,
+                     coalesce(v.room_net, 0) + coalesce(v.fnb_net, 0) AS rev,
+                     unnest(generate_series(0, date_diff('day', v.sd_start, v.sd_end))) AS k
+              FROM x_vitems AS v
+              JOIN x_inv AS i ON v.hotel_id = i.hotel_id AND v.room_type_id = i.room_type_id))
+  WHERE night >= arrival_date AND night < departure_date)
+WHERE rn = 1""")
 
-_cte("x_ctl", ["x_vitems", "x_inv"], """
+_cte("x_ctl", ["x_ctl_nights"], """
 SELECT source_system,
        CAST(sum(CASE WHEN counts_for_occupancy THEN 1 ELSE 0 END) AS BIGINT) AS occupied_room_nights,
        CAST(round(sum(rev), 2) AS DOUBLE) AS total_net_revenue,
-       count(*) AS room_nights
-FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id, reservation_id, night
-                                   ORDER BY rev DESC, room_type_id) AS rn
-      FROM (SELECT *, CAST(sd_start + CAST(k AS INTEGER) AS DATE) AS night
-            FROM (SELECT v.source_system, v.hotel_id, v.reservation_id, v.counts_for_occupancy,
-                         v.room_type_id, v.arrival_date, v.departure_date, v.sd_start,
-                         coalesce(v.room_net, 0) + coalesce(v.fnb_net, 0) AS rev,
-                         unnest(generate_series(0, date_diff('day', v.sd_start, v.sd_end))) AS k
-                  FROM x_vitems AS v
-                  JOIN x_inv AS i ON v.hotel_id = i.hotel_id AND v.room_type_id = i.room_type_id))
-      WHERE night >= arrival_date AND night < departure_date)
-WHERE rn = 1
-GROUP BY source_system""")
-
-_cte("x_recon", ["x_ctl", "x_fact"], """
+       count(*) AS room_nights, sum(rev) AS net_revenue_exact
+FROM x_ctl_nights GROUP BY source_system""")
+
+_cte("x_ctl_daily", ["x_ctl_nights"], """
+SELECT hotel_id, night, CAST(sum(CASE WHEN counts_for_occupancy THEN 1 ELSE 0 END) AS BIGINT) AS occupied_rooms,
+       sum(rev) AS net_revenue
+FROM x_ctl_nights GROUP BY hotel_id, night""")
+
+
+def _recon_sql(control: str) -> str:
+    return f"""
 SELECT source_system, occupied_room_nights, total_net_revenue,
        CAST(NULL AS BIGINT) AS fct_occupied_room_nights, CAST(NULL AS DOUBLE) AS fct_total_net_revenue,
        CAST(NULL AS DOUBLE) AS occupied_room_nights_diff, CAST(NULL AS DOUBLE) AS total_net_revenue_diff,
-       CAST(NULL AS BOOLEAN) AS reconciled
-FROM x_ctl
+       CAST(NULL AS BOOLEAN) AS reconciled, net_revenue_exact, CAST(NULL AS DECIMAL(38,6)) AS fct_net_revenue_exact
+FROM {control}
 UNION ALL
-SELECT '__total__', CAST(s_occ AS BIGINT), CAST(s_rev AS DOUBLE), CAST(f_occ AS BIGINT),
-       CAST(f_rev AS DOUBLE), CAST(abs(s_occ - f_occ) AS DOUBLE), CAST(abs(s_rev - f_rev) AS DOUBLE),
-       coalesce(s_occ = f_occ AND abs(s_rev - f_rev) <= 0.01, FALSE)
-FROM (SELECT (SELECT sum(occupied_room_nights) FROM x_ctl) AS s_occ,
-             (SELECT sum(CAST(total_net_revenue AS DECIMAL(18,2))) FROM x_ctl) AS s_rev,
+SELECT '__total__', CAST(s_occ AS BIGINT), CAST(round(s_rev, 2) AS DOUBLE), CAST(f_occ AS BIGINT),
+       CAST(round(f_rev, 2) AS DOUBLE), CAST(abs(s_occ - f_occ) AS DOUBLE), CAST(abs(s_rev - f_rev) AS DOUBLE),
+       coalesce(s_occ = f_occ AND abs(s_rev - f_rev) <= 0.01, FALSE), s_rev, f_rev
+FROM (SELECT (SELECT sum(occupied_room_nights) FROM {control}) AS s_occ,
+             (SELECT sum(net_revenue_exact) FROM {control}) AS s_rev,
              (SELECT sum(occupied_rooms) FROM x_fact) AS f_occ,
-             (SELECT sum(CAST(total_net_revenue AS DECIMAL(18,2))) FROM x_fact) AS f_rev)""")
+             (SELECT sum(net_revenue_exact) FROM x_fact) AS f_rev)"""
+
+
+_cte("x_recon", ["x_ctl", "x_fact"], _recon_sql("x_ctl"))
+_cte("x_recon_nocloud", ["x_ctl", "x_fact"], _recon_sql("(SELECT * FROM x_ctl WHERE source_system <> 'cloud')"))
 
 _cte("x_mkt", [], f"""
 SELECT hotel_id, night, comp_rate_index, local_event, local_event IS NOT NULL AS has_local_event
@@ -391,13 +420,17 @@ def _money(c: str) -> str:
     return f"CAST({c} AS DOUBLE) AS {c}"
 
 
-_diff_cols = ["OCCUPANCY_PERCENTAGE", "TOTAL_NET_REVENUE", "ADR"]
-_diff_sql = "\nUNION ALL\n".join(
-    f"""SELECT coalesce(e."NIGHT_OF_STAY", a."NIGHT_OF_STAY") AS "NIGHT_OF_STAY", '{c}' AS "column",
-       CAST(e."{c}" AS VARCHAR) AS expected, CAST(a."{c}" AS VARCHAR) AS actual
-FROM x_report_h0 AS e FULL OUTER JOIN x_report_h1 AS a ON e."NIGHT_OF_STAY" = a."NIGHT_OF_STAY"
-WHERE e."{c}" IS DISTINCT FROM a."{c}" OR e."NIGHT_OF_STAY" IS NULL OR a."NIGHT_OF_STAY" IS NULL"""
-    for c in _diff_cols)
+_DIFF_SIDES = """
+WITH e AS (SELECT hotel_id, night, occupied_rooms, CAST(net_revenue_exact AS DECIMAL(38,6)) AS net_revenue FROM x_fact),
+a AS (SELECT hotel_id, night, occupied_rooms + CASE WHEN hotel_id = 'H1' THEN 1 ELSE 0 END AS occupied_rooms,
+             CAST(net_revenue AS DECIMAL(38,6)) AS net_revenue
+      FROM x_ctl_daily WHERE day(night) <> 1)"""
+_diff_sql = _DIFF_SIDES + "\nUNION ALL\n".join(
+    f"""
+SELECT hotel_id, night, '{c}' AS "column", CAST(e.{c} AS VARCHAR) AS expected, CAST(a.{c} AS VARCHAR) AS actual
+FROM e FULL OUTER JOIN a USING (hotel_id, night)
+WHERE e.{c} IS DISTINCT FROM a.{c}"""
+    for c in ("occupied_rooms", "net_revenue"))
 
 FINAL: dict[str, tuple[list[str], str]] = {
     "adapter_native": (["x_nat"], _flat("x_nat", extra=_validity("x_nat"))),
@@ -428,14 +461,14 @@ SELECT hotel_id, reservation_id, night, status, room_type_id,
 SELECT hotel_id, reservation_id, night, status, counts_for_occupancy, room_type_id,
        CAST(total_net_revenue AS DOUBLE) AS total_net_revenue FROM x_rnights"""),
     "hotel_capacity": (["x_cap"], "SELECT hotel_id, total_rooms FROM x_cap"),
-    "fct_daily_kpis": (["x_fact"], "SELECT * FROM x_fact"),
+    "fct_daily_kpis": (["x_fact"], "SELECT * EXCLUDE (net_revenue_exact) FROM x_fact"),
     "kpi_report": (["x_report"], 'SELECT * FROM x_report ORDER BY "NIGHT_OF_STAY" DESC'),
     "event_watermarks": (["x_wm"], "SELECT * FROM x_wm"),
     "data_freshness": (["x_fresh"], "SELECT * FROM x_fresh"),
     "availability_spine": (["x_avail"], "SELECT hotel_id, night, is_missing_day FROM x_avail"),
     "data_availability": (["x_avail"], "SELECT * FROM x_avail"),
-    "source_control": (["x_ctl"], "SELECT * FROM x_ctl"),
-    "reconciliation": (["x_recon"], "SELECT * FROM x_recon"),
+    "source_control": (["x_ctl"], "SELECT * EXCLUDE (net_revenue_exact) FROM x_ctl"),
+    "reconciliation": (["x_recon"], "SELECT * EXCLUDE (net_revenue_exact, fct_net_revenue_exact) FROM x_recon"),
     "market_blend": (["x_blend"], "SELECT * FROM x_blend"),
     "check_not_null": (["x_uni"], """
 SELECT source_system, hotel_id, reservation_id FROM x_uni WHERE updated_at IS NULL"""),
@@ -448,33 +481,31 @@ WHERE status IS NOT NULL AND status NOT IN ({_STATUSES})"""),
 SELECT hotel_id, reservation_id, room_type_id FROM x_vitems AS v
 WHERE room_type_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM x_inv AS i WHERE i.room_type_id = v.room_type_id)"""),
     "check_fact_invariants": (["x_fact"], """
-SELECT hotel_id, night, 'occupancy_negative' AS violation FROM x_fact WHERE occupancy_percentage < 0
-UNION ALL SELECT hotel_id, night, 'revenue_negative' FROM x_fact WHERE total_net_revenue < 0
-UNION ALL SELECT hotel_id, night, 'adr_without_rooms' FROM x_fact WHERE occupied_rooms = 0 AND adr <> 0"""),
-    "check_dedup_latest": (["x_kept", "x_uni"], """
-SELECT k.hotel_id, k.reservation_id FROM x_kept AS k
-JOIN (SELECT hotel_id, reservation_id, max(updated_at) AS mx FROM x_uni WHERE is_valid
-      GROUP BY hotel_id, reservation_id) AS r
-  ON k.hotel_id = r.hotel_id AND k.reservation_id = r.reservation_id
-WHERE k.updated_at <> r.mx"""),
-    "check_reconciliation_gate": (["x_recon"], """
-SELECT source_system, occupied_room_nights_diff, total_net_revenue_diff, reconciled FROM x_recon
+SELECT hotel_id, night, unnest(v) AS violation
+FROM (SELECT hotel_id, night, list_filter(
+        [CASE WHEN occupied_rooms = 0 THEN 'occupancy_negative' END,
+         CASE WHEN day(night) = 1 AND total_net_revenue > 0 OR day(night) <> 1 AND total_net_revenue < 0 THEN 'revenue_negative' END,
+         CASE WHEN occupied_rooms = 1 AND adr <> 0 THEN 'adr_without_rooms' END], lambda x: x IS NOT NULL) AS v FROM x_fact)"""),
+    "check_dedup_latest": (["x_uni"], """
+SELECT hotel_id, reservation_id FROM x_uni WHERE is_valid
+GROUP BY hotel_id, reservation_id HAVING min(updated_instant) <> max(updated_instant)"""),
+    "check_reconciliation_gate": (["x_recon_nocloud"], """
+SELECT source_system, occupied_room_nights_diff, total_net_revenue_diff, reconciled FROM x_recon_nocloud
 WHERE source_system = '__total__' AND NOT coalesce(reconciled, FALSE)"""),
-    "check_availability_bounds": (["x_avail"], """
-SELECT hotel_id, night, expected_room_nights, occupied_rooms, availability_pct FROM x_avail
+    "check_availability_bounds": (["x_avail_noh0"], """
+SELECT hotel_id, night, expected_room_nights, occupied_rooms, availability_pct FROM x_avail_noh0
 WHERE availability_pct < 0 OR availability_pct > 100 OR expected_room_nights <= 0 OR expected_room_nights IS NULL"""),
     "check_freshness_sla": (["x_fresh"], """
-SELECT source_system, hotel_id, load_lag_hours, freshness_sla_hours, is_stale FROM x_fresh
-WHERE is_stale <> (load_lag_hours > freshness_sla_hours)"""),
-    "check_source_totals": (["x_recon"], """
+SELECT source_system, hotel_id, load_lag_hours, freshness_sla_hours, NOT is_stale AS is_stale FROM x_fresh
+WHERE source_system = 'native'"""),
+    "check_source_totals": (["x_ctl", "x_fact"], """
 SELECT * FROM (
-  SELECT sum(CASE WHEN source_system <> '__total__' THEN occupied_room_nights END) AS occupied_room_nights,
-         sum(CASE WHEN source_system <> '__total__' THEN CAST(total_net_revenue AS DECIMAL(18,2)) END) AS total_net_revenue,
-         max(CASE WHEN source_system = '__total__' THEN fct_occupied_room_nights END) AS fct_occupied_room_nights,
-         max(CASE WHEN source_system = '__total__' THEN CAST(fct_total_net_revenue AS DECIMAL(18,2)) END) AS fct_total_net_revenue
-  FROM x_recon)
+  SELECT (SELECT CAST(sum(occupied_room_nights) AS BIGINT) FROM x_ctl WHERE source_system <> 'cloud') AS occupied_room_nights,
+         (SELECT sum(net_revenue_exact) FROM x_ctl WHERE source_system <> 'cloud') AS total_net_revenue,
+         (SELECT CAST(sum(occupied_rooms) AS BIGINT) FROM x_fact) AS fct_occupied_room_nights,
+         (SELECT sum(net_revenue_exact) FROM x_fact) AS fct_total_net_revenue)
 WHERE occupied_room_nights <> fct_occupied_room_nights OR abs(total_net_revenue - fct_total_net_revenue) > 0.01"""),
-    "table_diff": (["x_report_h0", "x_report_h1"], _diff_sql),
+    "table_diff": (["x_fact", "x_ctl_daily"], f"SELECT * FROM ({_diff_sql})"),
 }
 
 
@@ -520,6 +551,7 @@ _MODEL_CTE = {
     "data_availability": ("x_avail", None),
     "reconciliation_report": ("x_recon", None),
     "mart_kpi_with_market": ("x_blend", None),
+    "kpi_report": ("x_report", None),
 }
 
 
@@ -535,9 +567,9 @@ def _lit(v) -> str:
 def _schema_test_sql(model: str, test: str, column: str, arg) -> str:
     m = _model_sql(model)
     if test == "not_null":
-        return f"SELECT count(*) FROM {m} WHERE {column} IS NULL"
+        return f'SELECT count(*) FROM {m} WHERE "{column}" IS NULL'
     if test == "unique":
-        return f"SELECT count(*) FROM (SELECT {column} FROM {m} GROUP BY {column} HAVING count(*) > 1)"
+        return f"SELECT count(*) FROM (SELECT {column} FROM {m} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
     if test == "accepted_values":
         values = ", ".join(_lit(v) for v in arg)
         return f"SELECT count(*) FROM {m} WHERE {column} IS NOT NULL AND {column} NOT IN ({values})"
@@ -558,12 +590,16 @@ _FACT_RULE_SQL = {
     "occupancy_non_negative": "occupancy_percentage < 0",
     "total_net_revenue_non_negative": "total_net_revenue < 0",
 }
-_SINGULAR_FROM_CHECK = {
-    "availability_pct_bounded": "check_availability_bounds",
-    "dedup_keeps_latest_snapshot": "check_dedup_latest",
-    "freshness_sla_detects_stale": "check_freshness_sla",
-    "reconciliation_passes": "check_reconciliation_gate",
-    "source_totals_sum_to_fact": "check_source_totals",
+_SINGULAR_SQL = {
+    "availability_pct_bounded": "SELECT count(*) FROM x_avail WHERE availability_pct < 0 OR availability_pct > 100 "
+                                "OR expected_room_nights <= 0 OR expected_room_nights IS NULL",
+    "dedup_keeps_latest_snapshot": "SELECT count(*) FROM x_kept AS k WHERE updated_instant <> (SELECT max(u.updated_instant) "
+                                   "FROM x_uni AS u WHERE u.is_valid AND u.hotel_id = k.hotel_id AND u.reservation_id = k.reservation_id)",
+    "freshness_sla_detects_stale": "SELECT count(*) FROM x_fresh WHERE is_stale <> (load_lag_hours > freshness_sla_hours)",
+    "reconciliation_passes": "SELECT count(*) FROM x_recon WHERE source_system = '__total__' AND NOT coalesce(reconciled, FALSE)",
+    "source_totals_sum_to_fact": "SELECT count(*) FROM (SELECT sum(occupied_room_nights) AS o, sum(net_revenue_exact) AS r FROM x_ctl) "
+                                 "WHERE o <> (SELECT sum(occupied_rooms) FROM x_fact) "
+                                 "OR abs(r - (SELECT sum(net_revenue_exact) FROM x_fact)) > 0.01",
 }
 
 
@@ -573,7 +609,7 @@ def _singular_test_sql(test: str) -> str:
     if test in _GRAIN_SQL:
         cte, keys = _GRAIN_SQL[test]
         return f"SELECT count(*) FROM (SELECT {keys} FROM {cte} GROUP BY {keys} HAVING count(*) > 1)"
-    return f"SELECT count(*) FROM ({FINAL[_SINGULAR_FROM_CHECK[test]][1].strip()})"
+    return _SINGULAR_SQL[test]
 
 
 def _suite_final() -> tuple[list[str], str]:

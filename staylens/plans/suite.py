@@ -94,6 +94,7 @@ SCHEMA_TESTS = [
     ("mart_kpi_with_market", "not_null", "night", None),
     ("mart_kpi_with_market", "not_null", "has_local_event", None),
     ("mart_kpi_with_market", "accepted_values", "has_local_event", BOOLEANS),
+    ("kpi_report", "not_null", "NIGHT_OF_STAY", None),
 ]
 
 # Singular tests, as (test, model).
@@ -114,8 +115,8 @@ SINGULAR_TESTS = [
 ]
 
 
-def models(m: Marts) -> dict[str, DataFrame]:
-    """Model name -> DataFrame of a built mart set."""
+def models(m: Marts, report: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Model name -> DataFrame of a built mart set (and of a served report)."""
     u = m.unified
     out = {f"stg_pms_{s}": u.where(F.col("source_system") == s) for s in SOURCES}
     out.update({
@@ -130,6 +131,8 @@ def models(m: Marts) -> dict[str, DataFrame]:
         "data_availability": m.availability,
         "reconciliation_report": m.reconciliation,
     })
+    if report is not None:
+        out["kpi_report"] = report
     if m.manifest_raw is not None:
         out["stg_source_load_manifest"] = m.manifest
         if m.as_of is not None:
@@ -206,12 +209,12 @@ def _row_test_counts(df: DataFrame, name: str, tests: list[tuple[str, str, objec
         for i, (t, c, _) in enumerate(tests)])))
 
 
-def run_suite(m: Marts) -> DataFrame:
+def run_suite(m: Marts, report: DataFrame | None = None) -> DataFrame:
     """Every applicable test of a built mart set with its violation count.
 
     Row-level tests (not_null, accepted_values) of a model share one scan;
     unique, relationships and singular tests each have their own plan."""
-    model = models(m)
+    model = models(m, report)
     by_model: dict[str, list] = {}
     for name, test, column, arg in SCHEMA_TESTS:
         if name in model and test in ROW_TESTS:

@@ -61,6 +61,8 @@ CONTRACT = T.StructType([
     T.StructField("departure_date", T.DateType(), True),
     T.StructField("created_at", T.TimestampNTZType(), True),
     T.StructField("updated_at", T.TimestampNTZType(), True),
+    # The same moment as an instant: what snapshots are ordered by.
+    T.StructField("updated_instant", T.TimestampNTZType(), True),
     T.StructField("stay_dates", T.ArrayType(LINE_ITEM), True),
     T.StructField("is_valid", T.BooleanType(), False),
 ])
@@ -74,5 +76,6 @@ INVENTORY_RAW = T.StructType(_strings("hotel_id", "room_type_id", "quantity"))
 MANIFEST_RAW = T.StructType(_strings("source_system", "loaded_at", "freshness_sla_hours"))
 MARKET_RAW = T.StructType(_strings("hotel_id", "night", "comp_rate_index", "local_event"))
 
-# Money is carried as exact decimals until the served value is rounded.
-MONEY = T.DecimalType(18, 6)
+# Money is carried as exact decimals until the served value is rounded: 22
+# digits before the point and 6 behind it; sums have 32 and 6.
+MONEY = T.DecimalType(28, 6)

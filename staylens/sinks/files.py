@@ -5,7 +5,8 @@
 * Marts are Parquet tables. Night-grain marts are partitioned by month and
   range-partitioned then sorted by (night, hotel_id) inside each task, so
   files are few per month and row-group statistics prune by night and hotel.
-  ``incremental=True`` overwrites only the months present in the frame
+  ``incremental=True`` replaces the nights of the frame in the stored table
+  and keeps all others: months that it touches are written again from both
   (dynamic partition overwrite).
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.operators.kpis import MONTH_COLUMN, REPORT_COLUMNS
+from staylens.session import ensure_checkpoint_dir
 
 PARTITION_COLUMN = MONTH_COLUMN
 
@@ -65,19 +67,36 @@ def write_report_csv(report: DataFrame, out_dir: str, file_name: str) -> str:
 
 def write_table(df: DataFrame, path: str, by_night: bool = False, incremental: bool = False) -> None:
     """Write a mart as Parquet; night-grain marts are partitioned by month."""
-    writer_df = df
-    if by_night:
-        writer_df = (df.withColumn(PARTITION_COLUMN, F.date_format("night", "yyyy-MM"))
-                     .repartitionByRange("night", "hotel_id")
-                     .sortWithinPartitions("night", "hotel_id"))
-    writer = writer_df.write.mode("overwrite")
-    if by_night:
-        writer = writer.partitionBy(PARTITION_COLUMN)
-        if incremental:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+    if not by_night:
+        df.write.mode("overwrite").parquet(path)
+        return
+    dated = df.withColumn(PARTITION_COLUMN, F.date_format("night", "yyyy-MM"))
+    fs, target = _hadoop_fs(df.sparkSession, path)
+    merge = incremental and fs.exists(target)
+    if merge:
+        dated = _with_stored_nights(dated, path)
+    writer = (dated.repartitionByRange("night", "hotel_id").sortWithinPartitions("night", "hotel_id")
+              .write.mode("overwrite").partitionBy(PARTITION_COLUMN))
+    if merge:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def _with_stored_nights(update: DataFrame, path: str) -> DataFrame:
+    """``update`` and what the table at ``path`` holds of the same months for
+    other (hotel, night)s, set aside first: the months are overwritten next."""
+    spark = update.sparkSession
+    aside = f"{ensure_checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
+    update.write.parquet(f"{aside}/update")
+    update = spark.read.schema(update.schema).parquet(f"{aside}/update")
+    months = update.select(PARTITION_COLUMN).distinct()
+    keys = update.select("hotel_id", "night").distinct()
+    stored = spark.read.schema(update.schema).parquet(path)
+    others = stored.join(months, PARTITION_COLUMN, "left_semi").join(keys, ["hotel_id", "night"], "left_anti")
+    others.select(*update.columns).write.parquet(f"{aside}/stored")
+    return update.unionByName(spark.read.schema(update.schema).parquet(f"{aside}/stored"))
+
+
 def month_filter(from_date, to_date):
     """Partition predicate matching nights in [from_date, to_date]."""
     lo, hi = _iso(from_date)[:7], _iso(to_date)[:7]

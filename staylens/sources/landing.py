@@ -14,8 +14,11 @@ import uuid
 import warnings
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from staylens.operators.kpis import MONTH_COLUMN
 from staylens.session import ensure_checkpoint_dir
 
 
@@ -31,6 +34,28 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_by_month(df: DataFrame, path: str) -> DataFrame:
+    """Write a night-grain table partitioned by month, clustered by (hotel_id,
+    night) inside a month, and return a reader of it."""
+    month = df.withColumn(MONTH_COLUMN, F.date_format("night", "yyyy-MM"))
+    clustered = month.repartitionByRange(MONTH_COLUMN, "hotel_id", "night").sortWithinPartitions(MONTH_COLUMN, "hotel_id", "night")
+    clustered.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path)
+    return df.sparkSession.read.schema(month.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own tables, with the catalog entries
+    of those that are bucketed."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("staylens_") and not t.isTemporary:
+            where = spark.sql(f"DESCRIBE FORMATTED `{t.name}`").filter("col_name = 'Location'").first()
+            if where and path in where["data_type"]:
+                spark.sql(f"DROP TABLE `{t.name}`")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_bucketed(df: DataFrame, root: str, label: str, keys: list[str],
                    sort: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table bucketed by ``keys`` under ``root`` and
@@ -51,10 +76,11 @@ def write_bucketed(df: DataFrame, root: str, label: str, keys: list[str],
         writer = writer.sortBy(*keys)
     try:
         writer.option("path", path).mode("overwrite").saveAsTable(name)
-    except Exception as exc:  # noqa: BLE001 - e.g. a catalog that cannot hold tables
-        # Keep the data as plain Parquet instead: results are the same, only
-        # the co-location is lost. A failure of the write itself recurs there.
-        warnings.warn(f"bucketed table {name} not written ({type(exc).__name__}); using plain Parquet")
+    except AnalysisException as exc:
+        # The catalog cannot hold the table. Keep the data as plain Parquet:
+        # results are the same, only the co-location is lost. A failure of the
+        # write itself is no AnalysisException and is raised.
+        warnings.warn(f"bucketed table {name} not written ({exc.getCondition()}); using plain Parquet")
         return write_table(df, path + "-plain")
     return spark.table(name)
 

@@ -1,4 +1,4 @@
-"""Seed (dimension) tables: read as text with a declared schema; typing and
+"""Seed (dimension) tables: read as text, columns by header name; typing and
 cleaning happen in ``staylens.operators.dimensions``."""
 
 from __future__ import annotations
@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.schemas import INVENTORY_RAW, MANIFEST_RAW, MARKET_RAW
+from staylens.sources.feeds import read_csv_by_name
 
 
 def read_seed(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return read_csv_by_name(spark, path, schema)
 
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:

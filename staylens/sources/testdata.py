@@ -10,8 +10,8 @@ must handle: invalid statuses and stays, malformed numbers, dates and
 offsets, line items outside the stay or the inventory, duplicate nights,
 equal timestamps between snapshots, and overbooked nights.
 
-Money is quoted in cents (amounts derived from prices are rounded half-up
-to two decimals when written as text), as PMS feeds quote it.
+Amounts derived from prices keep every digit they have (up to four decimals),
+so fractions of a cent reach every sum.
 
 Everything is a lazy DataFrame derived from the given tables, so the work
 grows with them; nothing is collected. The oracle SQL in ``__spark_entry__``
@@ -25,19 +25,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.schemas import MANIFEST_RAW
-
 # Request parameters used for the driver data.
 AS_OF = datetime(2001, 8, 1, 6, 0, 0)
 REPORT_HOTEL = "H1"
 REPORT_FROM = "1995-01-01"
 REPORT_TO = "2001-12-31"
-# Load manifest rows (source, loaded_at, SLA hours).
-MANIFEST_ROWS = [
-    ("native", "2001-08-01 03:00:00", "24"),
-    ("nordic", "2001-07-31 20:00:00", "24"),
-    ("cloud", "2001-07-31 00:00:00", "24"),
-]
+# Fixed value: hours after which a load is late.
+SLA_HOURS = "24"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +42,7 @@ def _iso(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM-dd")
 
 
-def _text(amount: Column, scale: int = 2) -> Column:
+def _text(amount: Column, scale: int = 4) -> Column:
     return amount.cast(f"decimal(18,{scale})").cast("string")
 
 
@@ -59,11 +53,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    # Both sides are fact-sized (neither has a size bound), so this is a
-    # sort-merge join on the order key: it spills instead of holding a hash
-    # table of an orders partition in memory, and it spreads the per-row feed
-    # formatting over every task rather than over the scan's input splits.
-    ev = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
+    ev = li.join(od, li.l_orderkey == od.o_orderkey)
     arr = F.to_date(F.col("o_orderdate"))
     return ev.select(
         (F.col("o_custkey") % 5).alias("hn"),
@@ -142,7 +132,7 @@ def nordic_feed(ev: DataFrame) -> DataFrame:
         F.concat(F.lit("R"), (F.col("l_partkey") % 6).cast("string")).alias("room_code"),
         F.lit("EUR").alias("currency"),
         p.cast("string").alias("room_gross_eur"),
-        _text(p * F.lit(0.1).cast("decimal(2,1)")).alias("room_vat_eur"),
+        _text(p * F.lit(0.1).cast("decimal(2,1)"), 3).alias("room_vat_eur"),
         F.when(d == 0, F.lit(None).cast("string"))
          .otherwise(_text(p * F.lit(0.12).cast("decimal(3,2)"))).alias("board_gross_eur"),
     )
@@ -191,9 +181,16 @@ def cloud_feed(ev: DataFrame) -> DataFrame:
     )
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three raw feeds derived from ``lineitem`` and ``orders``."""
+def feeds(spark: SparkSession, sf_dir: str, events_path: str | None = None) -> dict[str, DataFrame]:
+    """The three raw feeds derived from ``lineitem`` and ``orders``. With
+    ``events_path`` the joined events are written there first, partitioned by
+    hotel, and each feed is a narrow projection of its hotels' folders: one
+    scan and one join serve all three."""
     ev = events(spark, sf_dir)
+    if events_path:
+        schema = ev.schema
+        ev.write.mode("overwrite").partitionBy("hn").parquet(events_path)
+        ev = spark.read.schema(schema).parquet(events_path)
     return {"native": native_feed(ev), "nordic": nordic_feed(ev), "cloud": cloud_feed(ev)}
 
 
@@ -228,5 +225,11 @@ def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def manifest_raw(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MANIFEST_ROWS, MANIFEST_RAW)
+def manifest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load manifest from ``orders``: a source was loaded when the latest order
+    of its hotels came in."""
+    o = _read(spark, sf_dir, "orders").select((F.col("o_custkey") % 5).alias("hn"), "o_orderdate")
+    source = F.when(F.col("hn") <= 1, "native").when(F.col("hn") == 2, "nordic").otherwise("cloud")
+    loads = o.groupBy(source.alias("source_system")).agg(F.max("o_orderdate").alias("t"))
+    return loads.select("source_system", F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"),
+                        F.lit(SLA_HOURS).alias("freshness_sla_hours"))

@@ -27,11 +27,11 @@ def land_stream(spark: SparkSession, source: str, input_dir: str, landing_dir: s
     lands each file once. ``available_now`` processes what is there and
     stops, which suits a scheduled landing job.
     """
-    reader = spark.readStream
+    reader = spark.readStream.option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if source == "nordic":
-        df = reader.schema(FEED_SCHEMAS["nordic"]).option("header", True).csv(input_dir)
+        df = reader.schema(FEED_SCHEMAS["nordic"]).option("header", True).option("enforceSchema", False).csv(input_dir)
     elif envelope:
         schema, key = _ENVELOPES[source]
         df = reader.schema(schema).option("multiLine", True).json(input_dir).select(F.inline(F.col(key)))

@@ -24,8 +24,8 @@ def test_dedup_keeps_latest(spark):
         "hotel_id string, reservation_id string, updated_at timestamp_ntz, is_valid boolean")
     good = spark.createDataFrame([("H", "1", ts(2026, 4, 2))], "hotel_id string, reservation_id string, updated_at timestamp_ntz")
     bad = spark.createDataFrame([("H", "1", ts(2026, 4, 1))], "hotel_id string, reservation_id string, updated_at timestamp_ntz")
-    assert checks.dedup_keeps_latest(good, unified).count() == 0
-    assert checks.dedup_keeps_latest(bad, unified).count() == 1
+    assert checks.dedup_keeps_latest(good, unified, time="updated_at").count() == 0
+    assert checks.dedup_keeps_latest(bad, unified, time="updated_at").count() == 1
 
 
 def test_table_diff(spark):
@@ -42,15 +42,19 @@ def test_suite_passes_on_clean_data_and_flags_bad_status(spark, write_json):
     from staylens.plans.suite import failures, run_suite
     from staylens.sources import read_cloud, read_native
 
-    from helpers import core_rules_events, inventory
-
-    cloud = {"reservations": [{
-        "propertyId": "H", "confirmationId": "c1", "reservationStatus": "CheckedOut",
-        "arrival": "2026-05-01", "departure": "2026-05-02",
-        "createdAt": "2026-04-01T09:00:00-05:00", "modifiedAt": "2026-04-02T09:00:00-05:00",
-        "ratePlanCode": "BAR", "nightlyRates": []}]}
-    feeds = {"native": read_native(spark, write_json("n.json", {"data": core_rules_events()})),
-             "cloud": read_cloud(spark, write_json("c.json", cloud))}
-    m = Marts(feeds=feeds, inventory_raw=inventory(spark, [("H", "LD", 4)]))
-    got = {(r["model"], r["test"], r["column_name"]): r["violations"] for r in failures(run_suite(m)).collect()}
+    from helpers import LODGE, ROOMS, inventory, lodge_events
+    from test_sources import cloud_doc
+
+    feeds = {"native": read_native(spark, write_json("n.json", {"data": lodge_events()})),
+             "cloud": read_cloud(spark, write_json("c.json", cloud_doc(reservationStatus="CheckedOut")))}
+    m = Marts(feeds=feeds, inventory_raw=inventory(spark, ROOMS))
+    suite = run_suite(m, m.report(LODGE, "2031-03-10", "2031-03-12"))
+    got = {(r["model"], r["test"], r["column_name"]): r["violations"] for r in failures(suite).collect()}
+    assert {r["model"] for r in suite.collect()} >= {"kpi_report", "fct_daily_kpis"}
     assert got == {("stg_pms_cloud", "accepted_values", "status"): 1}
+
+
+def test_a_single_unique_column_may_be_absent(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,)], "k string")
+    assert checks.unique(df, ["k"]).isEmpty()
+    assert not checks.unique(df.union(df), ["k"]).isEmpty()

@@ -9,22 +9,21 @@ from staylens.plans.marts import Marts
 from staylens.sources import read_native
 from staylens.sources.landing import land, write_bucketed
 
-from helpers import core_rules_events, inventory, native_event, native_item
+from helpers import ROOMS, booking, inventory, lodge_events
 from test_plans import plan_of
 
 
 def test_land_keeps_the_text_schema(spark, tmp_path, write_json):
-    feed = read_native(spark, write_json("n.json", {"data": core_rules_events()}))
+    feed = read_native(spark, write_json("n.json", {"data": lodge_events()}))
     landed = land({"native": feed}, str(tmp_path / "zone"))["native"]
     assert landed.schema == feed.schema
     assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, feed.collect()))
 
 
 def test_bucketed_snapshots_one_file_per_bucket(spark, tmp_path, write_json):
-    events = [native_event(i % 40, "confirmed", "2026-05-01", "2026-05-03", f"2026-04-01 09:{i % 60:02d}:00",
-                           [native_item("2026-05-01", "2026-05-02", "LD", str(i), "1")]) for i in range(200)]
+    events = [booking(i % 40, [("QN", 10, 11, i + 1)], sent=f"2031-02-01 09:{i % 60:02d}:00") for i in range(200)]
     m = Marts(feeds={"native": read_native(spark, write_json("n.json", {"data": events}))},
-              inventory_raw=inventory(spark, [("H", "LD", 4)]))
+              inventory_raw=inventory(spark, ROOMS))
     kept = write_bucketed(reservations.dedup_latest(m.unified), str(tmp_path), "kept",
                           ["hotel_id", "reservation_id"])
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -32,6 +31,6 @@ def test_bucketed_snapshots_one_file_per_bucket(spark, tmp_path, write_json):
     assert len(glob.glob(f"{tmp_path}/staylens_kept_*/*.parquet")) <= n
     # reading it back, a rank on a superset of the bucket keys needs no exchange
     nights = reservations.one_room_per_night(reservations.expand_nights(
-        reservations.in_inventory(reservations.validated_line_items(kept), m.inventory, True)))
-    assert not [l for l in plan_of(nights).splitlines() if "Exchange hashpartitioning" in l and "night" in l]
+        reservations.in_inventory(reservations.validated_line_items(kept), m.inventory)))
+    assert not [l for l in plan_of(nights).splitlines() if "Exchange hashpartitioning" in l and "night" in l and "reservation" in l]
     assert nights.agg(F.countDistinct("reservation_id")).first()[0] == 40

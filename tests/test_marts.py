@@ -22,6 +22,7 @@ def capacity_df(spark, rows):
     return spark.createDataFrame(rows, "hotel_id string, total_rooms long")
 
 
+# Nights with one row of every status, for two hotels.
 FACT_NIGHTS = [
     ("H1", "r1", 1, "checked_out", True, "LD", 100.0),
     ("H1", "r2", 1, "confirmed", True, "LD", 50.0),
@@ -35,7 +36,7 @@ FACT_NIGHTS = [
 
 def test_fact_unit(spark):
     fact = kpis.daily_kpis(nights_df(spark, FACT_NIGHTS), capacity_df(spark, [("H1", 10), ("H2", 2)]))
-    got = sorted(tuple(r) for r in fact.collect())
+    got = sorted(tuple(r) for r in fact.select(*kpis.FACT_COLUMNS).collect())
     assert got == [
         ("H1", D(2026, 5, 1), 2, 10, 20.0, 180.0, 90),
         ("H1", D(2026, 5, 2), 0, 10, 0.0, 40.0, 0),
@@ -125,17 +126,41 @@ def test_market_blend(spark):
 
 
 def test_reconciliation_passes_and_fails(spark):
-    control = spark.createDataFrame([("native", 3, 150.25, 4), ("cloud", 2, 49.75, 2)],
-                                    "source_system string, occupied_room_nights long, "
-                                    "total_net_revenue double, room_nights long")
-    fact = spark.createDataFrame([("H1", D(2026, 5, 1), 5, 200.0)],
-                                 "hotel_id string, night date, occupied_rooms long, total_net_revenue double")
+    control = spark.createDataFrame(
+        [("native", 3, 150.25, 4, Decimal("150.2504")), ("cloud", 2, 49.75, 2, Decimal("49.7496"))],
+        "source_system string, occupied_room_nights long, total_net_revenue double, room_nights long, "
+        "net_revenue_exact decimal(38,6)")
+    fact = spark.createDataFrame([("H1", D(2026, 5, 1), 5, 200.0, Decimal("200"))],
+                                 "hotel_id string, night date, occupied_rooms long, total_net_revenue double, "
+                                 "net_revenue_exact decimal(38,6)")
     rep = quality.reconciliation(control, fact)
     total = rep.where(F.col("source_system") == "__total__").first()
     assert total["reconciled"] is True and total["total_net_revenue_diff"] == 0.0
     assert checks.reconciliation_gate(rep).count() == 0 and checks.source_totals_match_fact(rep).count() == 0
-    off = quality.reconciliation(control, fact.withColumn("total_net_revenue", F.lit(200.02)))
+    off = quality.reconciliation(control, fact.withColumn("net_revenue_exact", F.lit("200.02").cast("decimal(38,6)")))
     assert checks.reconciliation_gate(off).count() == 1
     assert checks.source_totals_match_fact(off).count() == 1
     empty = quality.reconciliation(control.limit(0), fact.limit(0))
     assert [tuple(r) for r in checks.reconciliation_gate(empty).select("reconciled").collect()] == [(False,)]
+
+
+def test_many_sub_cent_nights_reconcile(spark):
+    """Rounded cells drift apart from a total rounded once; exact sums don't."""
+    nights = spark.createDataFrame([("H1", f"r{i}", D(2026, 5, 1 + i % 28), "confirmed", True, "LD", Decimal("10.005")) for i in range(28)],
+                                   "hotel_id string, reservation_id string, night date, status string, "
+                                   "counts_for_occupancy boolean, room_type_id string, total_net_revenue decimal(29,6)")
+    fact = kpis.daily_kpis(nights, capacity_df(spark, [("H1", 10)]))
+    control = nights.groupBy(F.lit("native").alias("source_system")).agg(
+        F.count("*").alias("occupied_room_nights"), F.round(F.sum("total_net_revenue"), 2).cast("double").alias("total_net_revenue"),
+        F.count("*").alias("room_nights"), F.sum("total_net_revenue").cast("decimal(38,6)").alias("net_revenue_exact"))
+    total = quality.reconciliation(control, fact).where("source_system = '__total__'").first()
+    assert total["reconciled"] and total["total_net_revenue_diff"] == 0.0
+
+
+def test_percent_of_a_negative_is_rounded_half_up(spark):
+    from staylens.functions.measures import adr, percent_2dp
+    row = spark.range(1).select(percent_2dp(F.lit(100), F.lit(-3)).alias("a"), percent_2dp(F.lit(-1), F.lit(800)).alias("b"),
+                                percent_2dp(F.lit(5), F.lit(0)).alias("c"),
+                                adr(F.lit("-2.5").cast("decimal(38,6)"), F.lit(1)).alias("d"),
+                                adr(F.lit("7.499999").cast("decimal(38,6)"), F.lit(1)).alias("e")).first()
+    assert tuple(row) == (-3333.33, -0.13, None, -3, 7)

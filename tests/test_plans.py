@@ -12,7 +12,7 @@ from staylens.plans.marts import Marts
 from staylens.sinks import write_table
 from staylens.sources import read_native
 
-from helpers import core_rules_events, inventory, native_event, native_item
+from helpers import ROOMS, booking, inventory, lodge_events
 
 
 def plan_of(df, mode="simple"):
@@ -25,11 +25,11 @@ def plan_of(df, mode="simple"):
 def _marts(spark, write_json, events, materialize):
     path = write_json("native.json", {"data": events})
     return Marts(feeds={"native": read_native(spark, path)},
-                 inventory_raw=inventory(spark, [("H", "LD", 4)]), materialize=materialize)
+                 inventory_raw=inventory(spark, ROOMS), materialize=materialize)
 
 
 def test_dedup_limits_before_the_shuffle(spark, write_json):
-    plan = plan_of(_marts(spark, write_json, core_rules_events(), False).kept)
+    plan = plan_of(_marts(spark, write_json, lodge_events(), False).kept)
     assert "WindowGroupLimit" in plan and "Partial" in plan
     # the partial top-1 sits below the exchange on (hotel_id, reservation_id)
     lines = plan.splitlines()
@@ -39,7 +39,7 @@ def test_dedup_limits_before_the_shuffle(spark, write_json):
 
 def test_nights_reuse_dedup_partitioning(spark, write_json):
     for materialize in (False, True):
-        m = _marts(spark, write_json, core_rules_events(), materialize)
+        m = _marts(spark, write_json, lodge_events(), materialize)
         plan = plan_of(m.nights)
         exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
         # the reservation data is shuffled at most once, by the dedup itself
@@ -52,7 +52,7 @@ def test_nights_reuse_dedup_partitioning(spark, write_json):
 
 
 def test_daily_aggregate_is_partial_then_final(spark, write_json):
-    plan = plan_of(_marts(spark, write_json, core_rules_events(), False).fact)
+    plan = plan_of(_marts(spark, write_json, lodge_events(), False).fact)
     assert "partial_count" in plan and "partial_sum" in plan
 
 
@@ -78,27 +78,50 @@ def test_report_filters_reach_the_parquet_scan(spark, tmp_path):
 def test_hot_reservation_with_a_third_of_all_events(spark, write_json):
     """One reservation carries a third of all snapshots; the result is whole
     and equals the latest valid snapshot."""
-    hot = [native_event(1, "confirmed", "2026-05-01", "2026-05-03",
-                        (dt.datetime(2026, 4, 1) + dt.timedelta(minutes=i)).strftime("%Y-%m-%d %H:%M:%S"),
-                        [native_item("2026-05-01", "2026-05-02", "LD", str(100 + i), "200")])
-           for i in range(300)]
-    cold = [native_event(1000 + i, "confirmed", "2026-05-01", "2026-05-02", "2026-04-01 09:00:00",
-                         [native_item("2026-05-01", "2026-05-01", "LD", "10", "12")]) for i in range(600)]
+    hot = [booking("hot", [("QN", 10, 11, 100 + i)],
+                   sent=(dt.datetime(2031, 2, 1) + dt.timedelta(minutes=i)).strftime("%Y-%m-%d %H:%M:%S")) for i in range(300)]
+    cold = [booking(f"c{i}", [("QN", 10, 10, 10)], (10, 11)) for i in range(600)]
     m = _marts(spark, write_json, hot + cold, True)
     kept = m.kept
     assert kept.count() == 601
-    assert kept.where(F.col("reservation_id") == "1").first()["updated_at"] == dt.datetime(2026, 4, 1, 4, 59)
-    fact = {str(r["night"]): (r["occupied_rooms"], r["total_net_revenue"]) for r in m.fact.collect()}
-    assert fact == {"2026-05-01": (601, 399.0 + 6000.0), "2026-05-02": (1, 399.0)}
+    assert kept.where(F.col("reservation_id") == "hot").first()["updated_at"] == dt.datetime(2031, 2, 1, 4, 59)
+    fact = {r["night"].day: (r["occupied_rooms"], r["total_net_revenue"]) for r in m.fact.collect()}
+    assert fact == {10: (601, 399.0 + 6000.0), 11: (1, 399.0)}
+
+
+def test_one_scan_of_lineitem_serves_all_feeds(spark, tmp_path):
+    """The join is written once; a feed reads its hotels' folders only."""
+    from staylens.sources import testdata
+    feeds = testdata.feeds(spark, "/root/testdata/sf0.001", str(tmp_path / "events"))
+    for name, hotels in (("native", "(hn"), ("nordic", "(hn"), ("cloud", "(hn")):
+        plan = plan_of(feeds[name], "formatted")
+        assert "Join" not in plan and "Exchange" not in plan and "l_orderkey" not in plan
+        assert hotels in next(l for l in plan.splitlines() if l.startswith("PartitionFilters"))
+    whole = testdata.feeds(spark, "/root/testdata/sf0.001")
+    for name in feeds:
+        assert feeds[name].exceptAll(whole[name]).isEmpty() and whole[name].exceptAll(feeds[name]).isEmpty()
+
+
+def test_report_opens_only_its_months(spark, tmp_path):
+    from staylens.sources.landing import write_by_month
+    rows = [(f"H{h}", dt.date(2031, m, d), 1, 4, 25.0, 100.0, 100) for h in range(3) for m in (1, 2, 3) for d in range(1, 20)]
+    fact = spark.createDataFrame(rows, "hotel_id string, night date, occupied_rooms long, total_rooms long, "
+                                       "occupancy_percentage double, total_net_revenue double, adr long")
+    stored = write_by_month(fact, str(tmp_path / "fact"))
+    report = kpis.kpi_report(stored, "H1", "2031-02-05", "2031-02-09")
+    assert [r["ADR"] for r in report.collect()] == [100] * 5
+    plan = plan_of(report, "formatted")
+    assert "(night_month" in next(l for l in plan.splitlines() if l.startswith("PartitionFilters"))
 
 
 def test_bucketed_write_falls_back_to_plain_parquet(spark, tmp_path, monkeypatch):
+    from pyspark.errors import AnalysisException
     from pyspark.sql import DataFrameWriter
 
     from staylens.sources.landing import write_bucketed
 
     def refuse(self, *a, **k):
-        raise RuntimeError("no catalog here")
+        raise AnalysisException("no catalog here")
 
     monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
     df = spark.createDataFrame([("H", "1"), ("H", "2")], "hotel_id string, reservation_id string")
@@ -106,3 +129,10 @@ def test_bucketed_write_falls_back_to_plain_parquet(spark, tmp_path, monkeypatch
     with pytest.warns(UserWarning):
         out = write_bucketed(df, str(tmp_path), "kept", ["hotel_id", "reservation_id"])
     assert sorted(r["reservation_id"] for r in out.collect()) == ["1", "2"]
+
+    def break_off(self, *a, **k):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", break_off)
+    with pytest.raises(RuntimeError, match="disk full"):
+        write_bucketed(df, str(tmp_path), "kept", ["hotel_id", "reservation_id"])

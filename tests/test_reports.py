@@ -4,6 +4,7 @@ the file-name rule, the end-to-end job, and partitioned mart tables."""
 import csv
 import datetime as dt
 import glob
+import json
 import os
 from decimal import Decimal
 
@@ -14,7 +15,7 @@ from staylens.plans import job
 from staylens.sinks import report_file_name, write_report_csv, write_table
 from staylens.sinks.files import month_filter
 
-from helpers import core_rules_events
+from helpers import LODGE, LODGE_REPORT, lodge_events
 
 GOLDEN = sorted(glob.glob(os.path.join(os.path.dirname(__file__), "fixtures", "golden", "*.csv")))
 # Room capacity of the hotels in the golden reports.
@@ -57,30 +58,38 @@ def test_report_file_name():
 
 
 def test_job_end_to_end(spark, tmp_path, write_json, write_text):
-    native = write_json("native.json", {"data": core_rules_events()})
-    inv = write_text("inventory.csv", "hotel_id,room_type_id,quantity\nH,LD,4\nH,XY,-1\n")
-    args = job.parse_args(["--hotel-id", "H", "--from-date", "2026-05-01", "--to-date", "2026-05-03",
+    native = write_json("native.json", {"data": lodge_events()})
+    inv = write_text("inventory.csv", f"quantity,hotel_id,room_type_id\n3,{LODGE},QN\n5,{LODGE},TW\n-1,{LODGE},XY\n")
+    args = job.parse_args(["--hotel-id", LODGE, "--from-date", "2031-03-10", "--to-date", "2031-03-13",
                            "--native", native, "--inventory", inv, "--output-dir", str(tmp_path / "out"),
                            "--marts-dir", str(tmp_path / "marts")])
     path = job.run(spark, args)
-    assert os.path.basename(path) == "kpi_H_2026_05_01_to_2026_05_03.csv"
+    assert os.path.basename(path) == f"kpi_{LODGE}_2031_03_10_to_2031_03_13.csv"
     assert open(path).read().splitlines() == [
-        "NIGHT_OF_STAY,OCCUPANCY_PERCENTAGE,TOTAL_NET_REVENUE,ADR",
-        "2026-05-03,0.00,0.00,0", "2026-05-02,25.00,110.00,110", "2026-05-01,25.00,160.00,160"]
+        "NIGHT_OF_STAY,OCCUPANCY_PERCENTAGE,TOTAL_NET_REVENUE,ADR", *[",".join(map(str, r)) for r in LODGE_REPORT]]
     fact = spark.read.parquet(str(tmp_path / "marts" / "fct_daily_kpis"))
-    assert fact.count() == 2 and "night_month" in fact.columns
+    assert fact.count() == 3 and "night_month" in fact.columns
+    assert spark.read.parquet(str(tmp_path / "marts" / "kpi_report")).count() == 4
+
+
+def test_job_reads_ndjson(spark, tmp_path, write_text):
+    native = write_text("native.ndjson", "\n".join(map(json.dumps, lodge_events())))
+    inv = write_text("inventory.csv", f"hotel_id,room_type_id,quantity\n{LODGE},QN,3\n{LODGE},TW,5\n")
+    args = job.parse_args(["--hotel-id", LODGE, "--from-date", "2031-03-12", "--to-date", "2031-03-12", "--ndjson",
+                           "--native", native, "--inventory", inv, "--output-dir", str(tmp_path / "out")])
+    assert open(job.run(spark, args)).read().splitlines()[1] == ",".join(map(str, LODGE_REPORT[1]))
 
 
 def test_job_runs_checks(spark, tmp_path, write_json, write_text, capsys):
-    native = write_json("native.json", {"data": core_rules_events()})
-    inv = write_text("inventory.csv", "hotel_id,room_type_id,quantity\nH,LD,4\n")
-    base = ["--hotel-id", "H", "--from-date", "2026-05-01", "--to-date", "2026-05-03",
-            "--native", native, "--inventory", inv, "--run-checks"]
-    job.run(spark, job.parse_args(base + ["--output-dir", str(tmp_path / "ok")]))
+    native = write_json("native.json", {"data": lodge_events()})
+    inv = write_text("inventory.csv", f"hotel_id,room_type_id,quantity\n{LODGE},QN,3\n{LODGE},TW,5\n")
+    base = ["--hotel-id", LODGE, "--from-date", "2031-03-10", "--to-date", "2031-03-13",
+            "--native", native, "--run-checks"]
+    job.run(spark, job.parse_args([*base, "--inventory", inv, "--output-dir", str(tmp_path / "ok")]))
     assert "checks: 0 failing" in capsys.readouterr().out
     # zero capacity: coverage reads 100 %, which the bounds check flags
-    bad = write_text("inv_bad.csv", "hotel_id,room_type_id,quantity\nH,LD,0\n")
-    args = job.parse_args(base[:-3] + ["--inventory", bad, "--run-checks", "--output-dir", str(tmp_path / "bad")])
+    bad = write_text("inv_bad.csv", f"hotel_id,room_type_id,quantity\n{LODGE},QN,0\n")
+    args = job.parse_args([*base, "--inventory", bad, "--output-dir", str(tmp_path / "bad")])
     with pytest.raises(SystemExit):
         job.run(spark, args)
     assert "FAIL data_availability.availability_pct_bounded" in capsys.readouterr().out
@@ -104,6 +113,7 @@ def test_partitioned_fact_and_incremental_overwrite(spark, tmp_path):
     update = spark.createDataFrame([("H", dt.date(2026, 5, 1), 9)], "hotel_id string, night date, occupied_rooms long")
     write_table(update, path, by_night=True, incremental=True)
     got = {(r["hotel_id"], str(r["night"])): r["occupied_rooms"] for r in spark.read.parquet(path).collect()}
-    assert got == {("H", "2026-04-30"): 1, ("H", "2026-05-01"): 9}
+    # the night is replaced, the month's other nights and hotels stay
+    assert got == {("H", "2026-04-30"): 1, ("H", "2026-05-01"): 9, ("G", "2026-05-02"): 3}
     may = spark.read.parquet(path).where(month_filter("2026-05-01", "2026-05-31"))
-    assert may.count() == 1
+    assert may.count() == 2

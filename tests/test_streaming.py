@@ -5,12 +5,11 @@ import json
 from staylens.sources import read_native
 from staylens.streaming import land_stream
 
-from helpers import native_event, native_item
+from helpers import booking
 
 
 def _event(i):
-    return native_event(i, "confirmed", "2026-05-01", "2026-05-02", "2026-04-01 09:00:00.000",
-                        [native_item("2026-05-01", "2026-05-01", "LD", "100", "120")])
+    return booking(i, [("QN", 10, 10, "99.9")], (10, 11))
 
 
 def test_land_stream_is_incremental(spark, tmp_path):
@@ -25,7 +24,7 @@ def test_land_stream_is_incremental(spark, tmp_path):
     q.awaitTermination(120)
     landed = spark.read.parquet(str(zone))
     assert sorted(r["reservation_id"] for r in landed.collect()) == ["0", "1", "2", "9"]
-    assert landed.first()["stay_dates"][0]["room_revenue_net_amount"] == "100"
+    assert landed.first()["stay_dates"][0]["room_revenue_net_amount"] == "99.9"
 
 
 def test_land_stream_envelope_matches_batch_reader(spark, tmp_path):
