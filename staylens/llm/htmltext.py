@@ -34,6 +34,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr img".split())
+#: Elements that stand inside a paragraph without ending it.
+PHRASING = INLINE | frozenset(
+    "script style noscript template button select textarea input label iframe object svg math canvas video "
+    "audio map datalist embed".split())
 #: Elements that never hold article text.
 CHROME = frozenset(
     "head nav footer aside form script style noscript template button select option textarea input label "
@@ -99,7 +103,7 @@ def tokens(page: str):
             if depth is not None:
                 del stack[depth:]
         else:
-            if tag not in INLINE and tag not in VOID:
+            if tag not in PHRASING and tag not in VOID:
                 p = next((i for i, (t, _) in enumerate(stack) if t == "p"), None)
                 if p is not None:
                     del stack[p:]
@@ -112,7 +116,7 @@ def tokens(page: str):
                         break
             if tag not in VOID and not m[3].rstrip().endswith("/"):
                 stack.append((tag, bool(stack) and stack[-1][1] or _is_chrome(tag, m[3], inside)))
-        yield ("i" if tag in INLINE else "b", tag, "", bool(stack) and stack[-1][1], inside)
+        yield ("i" if tag in PHRASING else "b", tag, "", bool(stack) and stack[-1][1], inside)
         if tag in RAW and not closing:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else n
