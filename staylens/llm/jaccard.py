@@ -324,11 +324,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` with one row of each group of near duplicates, the one of least
     (id, crc32 of the text); rows without shingles all stay."""
     found = written(near_duplicates(docs, id_col, text_col, **options), "shingle-groups")
-    keep = found.filter("has_shingles").groupBy("component_id").agg(F.min(F.struct("id", "crc")).alias("k")).select("k.*")
-    keep = keep.union(found.filter("not has_shingles").select("id", "crc").distinct())
+    keep = (found.filter("has_shingles").groupBy("component_id").agg(F.min(F.struct("id", "crc")).alias("k"))
+            .select(F.col("k.id").alias("_id"), F.col("k.crc").alias("_crc"), F.lit(True).alias("_one")))
+    keep = keep.union(found.filter("not has_shingles").select("id", "crc").distinct().withColumn("_one", F.lit(False)))
     crc = F.crc32(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))
-    r = keep.withColumnRenamed("id", "_id").withColumnRenamed("crc", "_crc")
-    kept = docs.withColumn("_c", crc).join(r, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_c") == F.col("_crc")))
-    short = F.size(F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), r"[\x20\x09-\x0D]+")) < 5
-    return (kept.withColumn("_dup", F.when(short, F.monotonically_increasing_id()))
-            .dropDuplicates(["_id", "_c", "_dup"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    kept = docs.withColumn("_crc_of", crc).join(
+        keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_crc_of") == F.col("_crc")))
+    # equal rows of the chosen text are one; rows without shingles all stay
+    kept = kept.withColumn("_row", F.when(~F.col("_one"), F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["_id", "_crc", "_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
