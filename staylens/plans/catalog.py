@@ -21,7 +21,7 @@ from staylens.operators.kpis import FACT_COLUMNS
 from staylens.plans.marts import Marts
 from staylens.schemas import CONTRACT_STATUSES
 from staylens.sources import testdata
-from staylens.sources.landing import land, landing_root
+from staylens.sources.landing import land, landing_root, remove
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,17 +46,21 @@ def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if key not in _LANDED:
         root = landing_root(spark, f"{sf_dir}-{uuid.uuid4().hex}")
         _LANDED[key] = land(testdata.feeds(spark, sf_dir, f"{root}/events"), root)
+        _ROOTS.append((spark, root))
     return _LANDED[key]
 
 
 _LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_ROOTS: list[tuple[SparkSession, str]] = []
 
 
 def reset() -> None:
-    """Delete built marts and forget the landed feeds: the next query rebuilds
-    them."""
+    """Delete built marts and landed feeds: the next query rebuilds them."""
     for marts in _MARTS.values():
         marts.drop()
+    for spark, root in _ROOTS:
+        remove(spark, root)
+    _ROOTS.clear()
     _LANDED.clear()
     _MARTS.clear()
 
