@@ -15,8 +15,8 @@ no hot task).
 
 At the last level every window of a surviving run is hashed whole. Runs are
 dealt to bounded blocks by their sub-window's hash; runs whose sub-window is
-very frequent (over ``HOT``) are counted window by window instead, again with
-an aggregate and a join.
+very frequent (over ``HOT``) are counted with an aggregate and a join instead,
+equal runs together.
 
 Windows are compared by 64-bit hashes of word sequences, split by a second
 64-bit hash.
@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 
 from staylens.llm.common import written
 
-HOT = 2000
+#: Runs of one sub-window up to which they are compared in one group (some ten
+#: MB), and the mean number of runs that share a group.
+HOT = 50_000
 BLOCK_RUNS = 4096
 
 
@@ -145,7 +147,8 @@ def _with_runs(docs: DataFrame, runs: DataFrame, how: str = "inner") -> DataFram
 
 
 def _last_level(docs: DataFrame, n: int, length: int, blocks: int) -> DataFrame:
-    """Repeated windows as intervals of first words: (id, crc, lo, n)."""
+    """Repeated windows: (id, crc, spans of (first window, windows in a row)),
+    one row a run."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def runs_of(batch, hot: bool):
@@ -200,27 +203,38 @@ def _last_level(docs: DataFrame, n: int, length: int, blocks: int) -> DataFrame:
 
     def emit_hot(batches):
         import pyarrow as pa
+
+        from staylens.llm.words import mix
         for b in batches:
             for row, first, size, sub, whole, start in runs_of(b, True):
-                run = np.repeat(np.arange(len(size)), size)
-                j = np.arange(len(run)) - (np.cumsum(size) - size)[run]
-                take = pa.array(row[run])
+                windows = [whole[a:a + k] for a, k in zip(start, size)]
+                key = [int(mix(w + np.arange(len(w), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64))
+                       for w in windows]
+                take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sub[run].view(np.int64)), pa.array(whole[start[run] + j].view(np.int64)),
-                     b.column("id").take(take), b.column("crc").take(take), pa.array((first[run] + j).astype(np.int32))],
-                    ["sub", "whole", "id", "crc", "lo"])
+                    [pa.array(sub.view(np.int64)), pa.array(key, pa.int64()), b.column("id").take(take), b.column("crc").take(take),
+                     pa.array(first.astype(np.int32)), pa.array([w.view(np.int64) for w in windows], pa.list_(pa.int64()))],
+                    ["sub", "key", "id", "crc", "lo", "hashes"])
 
     plain = (docs.mapInArrow(emit, f"block long, sub long, id {kind}, crc long, lo int, hashes array<long>")
-             .groupBy("block").applyInArrow(judge, f"id {kind}, crc long, lo int, n int"))
+             .groupBy("block").applyInArrow(judge, f"id {kind}, crc long, lo int, n int")
+             .select("id", "crc", F.array(F.struct("lo", "n")).alias("spans")))
+    # frequent sub-windows: equal runs are one kind, so a passage in very many
+    # texts is counted and looked up once, and texts get one row a run
     hot = docs.filter(F.exists("runs", lambda r: r["hot"])).mapInArrow(
-        emit_hot, f"sub long, whole long, id {kind}, crc long, lo int")
-    often = hot.groupBy("sub", "whole").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    return plain.union(hot.join(often, ["sub", "whole"]).select("id", "crc", "lo", F.lit(1).alias("n")))
+        emit_hot, f"sub long, key long, id {kind}, crc long, lo int, hashes array<long>")
+    kinds = hot.groupBy("sub", "key", "hashes").agg(F.count("*").alias("c"))
+    windows = kinds.select("sub", "key", "c", F.posexplode("hashes").alias("j", "whole"))
+    often = windows.groupBy("sub", "whole").agg(F.sum("c").alias("c")).filter("c > 1").drop("c")
+    again = windows.join(often, ["sub", "whole"]).groupBy("sub", "key").agg(F.collect_set("j").alias("js"))
+    found = hot.select("sub", "key", "id", "crc", "lo").join(again, ["sub", "key"]).select(
+        "id", "crc", F.transform("js", lambda j: F.struct((F.col("lo") + j).alias("lo"), F.lit(1).alias("n"))).alias("spans"))
+    return plain.union(found)
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 35, first: int = 18):
     """(docs as (id, crc, text, ...), repeated windows per text): the second is
-    (id, crc, spans) with spans the set of (first window, windows in a row)."""
+    (id, crc, spans) with spans the list of (first window, windows in a row)."""
     keyed = docs.select(F.col(id_col).alias("id"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lengths = level_lengths(n, first)
@@ -230,7 +244,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         alive = _with_runs(keyed, runs)
     n_runs = runs.agg(F.sum(F.size("runs"))).first()[0] or 0
     found = _last_level(alive, n, lengths[-2] if len(lengths) > 1 else n, max(1, -(-n_runs // BLOCK_RUNS)))
-    return keyed, found.groupBy("id", "crc").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
+    return keyed, found.groupBy("id", "crc").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _kept(batch, n: int):
