@@ -37,8 +37,8 @@ from staylens.llm.common import written
 K = 5
 START, END = np.uint64(0x5151515151515151), np.uint64(0xE0E0E0E0E0E0E0E1)
 HOT_SHARE = 256
-PART_TOKENS = 4_000_000
-BLOCK_TOKENS = 4_000_000
+PART_TOKENS = 2_000_000
+BLOCK_TOKENS = 2_000_000
 #: Up to so many distinct words their counts go to every task; beyond, texts
 #: are joined with the counts of their own words.
 MAX_BROADCAST_WORDS = 16_000_000
@@ -71,10 +71,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 keys.append(w)
                 values.append(c)
                 size += len(w)
-                if size > 8_000_000:
+                if size > 2_000_000:
                     w, c = merged()
                     keys, values, size = [w], [c], 0
-                    if len(w) > 4_000_000:
+                    if len(w) > 2_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], ["word", "c"])
                         keys, values = [], []
         if keys:
@@ -149,7 +149,9 @@ def _with_counts(texts: DataFrame, counts: DataFrame):
         got = counts.toArrow()
         w = got.column("word").to_numpy().view(np.uint64)
         order = np.argsort(w)
-        both = sc.broadcast((w[order], got.column("c").to_numpy()[order]))
+        c = got.column("c").to_numpy()[order]
+        both = sc.broadcast((w[order], c.astype(np.uint32) if len(c) and c.max() < 1 << 32 else c))
+        del got, w, c
         return texts, lambda batch, lo, words, rows: _look_up(*both.value, words)
 
     def distinct(batches):
@@ -224,7 +226,8 @@ def _pack(texts: DataFrame, read, hot: np.ndarray, parts: int) -> DataFrame:
             key = mix(h)
             spread = np.isin(h, hot)
             key[spread] = mix(key[spread] ^ w[spread])
-            part = (key % np.uint64(parts)).astype(np.int64)
+            part = (key % np.uint64(parts)).astype(np.int32)
+            del key, spread
             order = np.lexsort((w, h, part))
             edge = np.searchsorted(part[order], np.arange(parts + 1))
             for p in np.flatnonzero(np.diff(edge)):
@@ -277,7 +280,14 @@ def _unpack(t):
         doc.append(got[5].astype(np.int64) + base)
         train.append(np.array(flags, bool))
         base += len(flags)
-    cat = np.concatenate
+        del raw, got
+
+    def cat(parts):
+        """One array of the parts, which are given up."""
+        whole = np.concatenate(parts)
+        parts.clear()
+        return whole
+
     flat = lambda x: pa.chunked_array([k.values if isinstance(k, pa.ListArray) else k for k in
                                        [t.column(x).combine_chunks()]]).combine_chunks()
     return cat(h), cat(w), cat(c), cat(doc), cat(train), flat("ids"), flat("crcs")
@@ -336,6 +346,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         import pyarrow as pa
         h, w, c, doc, tr, _, _ = _unpack(t)
         _, count, of, contexts, cw = _pairs(h, w, c, tr[doc])
+        del h, w, c, doc
         sums = _sums(count, of, contexts, level.p(cw))
         some = np.isin(contexts, hot)
         n = np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1:K + 2].astype(float)
@@ -354,6 +365,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         d = discounts({r: int(x) for r, x in enumerate(own.pop(0, [0] * (K + 2))[:K + 1], 1)})
         h, w, c, doc, tr, ids, crcs = _unpack(t)
         at, count, of, contexts, cw = _pairs(h, w, c, tr[doc])
+        del h, w, c
         p_word = level.p(cw)
         sums = _sums(count, of, contexts, p_word)
         for i, k in enumerate(contexts.view(np.int64).tolist()):
