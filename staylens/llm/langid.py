@@ -107,8 +107,8 @@ def _snippet(data: np.ndarray, rng: np.random.Generator, words: int = 8) -> np.n
 def train(labelled: DataFrame, per_lang: int = 400, dim: int = 16, epochs: int = 40, rate: float = 0.5,
           reject_share: float = 0.001, seed: int = 7) -> LanguageModel:
     """Learn a `LanguageModel` from ``labelled`` (id, lang, text). At most about
-    ``per_lang`` texts a language are used; their features, not their texts,
-    come to the driver."""
+    ``per_lang`` texts a language are used; their features meet in one task, and
+    only the model comes to the driver."""
     sample = _sampled(labelled.filter(F.col("text").rlike(HAS_LETTER) & F.col("lang").isNotNull()), per_lang)
 
     def extract(batches):
@@ -124,13 +124,32 @@ def train(labelled: DataFrame, per_lang: int = 400, dim: int = 16, epochs: int =
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b.column("lang")[i].as_py()] * 2), pa.array(rows, pa.binary())], ["lang", "x"])
 
-    got = sample.mapInArrow(extract, "lang string, x binary").collect()
-    if not got:
+    def fit(batches):
+        import pyarrow as pa
+        rows = [r for b in batches for r in zip(b.column("lang").to_pylist(), b.column("x").to_pylist())]
+        if rows:
+            m = _fit(rows, dim, epochs, rate, reject_share, seed)
+            cols = [[m.langs], [m.embed.tobytes()], [m.out.tobytes()], [m.bias.tobytes()], [m.temperature], [m.limit]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["langs", "embed", "out", "bias", "temperature", "limit"])
+
+    # one task learns from the bounded sample; only the model comes back
+    got = (sample.mapInArrow(extract, "lang string, x binary").repartition(1)
+           .mapInArrow(fit, "langs array<string>, embed binary, out binary, bias binary, temperature double, limit double").first())
+    if got is None:
         return LanguageModel()
-    got.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    langs = sorted({r["lang"] for r in got})
-    y = np.array([langs.index(r["lang"]) for r in got])
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in got])
+    table = lambda raw, *shape: np.frombuffer(raw, np.float32).reshape(shape)
+    n = len(got["langs"])
+    return LanguageModel(list(got["langs"]), table(got["embed"], BUCKETS, dim), table(got["out"], dim, n), table(got["bias"], n),
+                         got["temperature"], got["limit"])
+
+
+def _fit(rows: list, dim: int, epochs: int, rate: float, reject_share: float, seed: int) -> LanguageModel:
+    """The model of (lang, features) rows; a fifth of them is kept out for the
+    calibration."""
+    rows.sort()
+    langs = sorted({lang for lang, _ in rows})
+    y = np.array([langs.index(lang) for lang, _ in rows])
+    x = np.stack([np.frombuffer(f, np.float32) for _, f in rows])
     rng = np.random.default_rng(seed)
     keep = rng.random(len(y)) < 0.2
     if keep.all() or not keep.any():
