@@ -359,6 +359,62 @@ def test_benchmark_items_are_found(spark, nothing):
     assert decontaminate.contaminated(nothing, bench).isEmpty() and decontaminate.contaminated(docs, bench.limit(0)).isEmpty()
 
 
+def _brute_matches(rows, items, exact=0.7, loose=0.5, answer=0.8):
+    number = defaultdict(lambda: len(number))
+    code = lambda t: np.array([number[w] for w in (t or "").split()], np.uint64)
+    coded = [(i, code(t)) for i, t in items]
+    for i, text in rows:
+        text = code(text)
+        for k, want in coded:
+            n = len(want)
+            if np.isin(text, want).sum() < loose * n:
+                continue
+            for s in range(len(text)):
+                part = text[s:s + n + n // 4 + 2]
+                got = decontaminate.common_subsequence(want, part) / n
+                if got >= exact or got >= loose and decontaminate.common_subsequence(want[-5:], part) / 5 >= answer:
+                    yield i, k
+                    break
+
+
+@pytest.mark.parametrize("n_texts", [60, 600, 6000])
+def test_matches_are_those_of_brute_force_whatever_the_corpus(spark, n_texts):
+    import random
+    rng = random.Random(n_texts)
+    common = ["c" + a + b for a in "abcdefgh" for b in "xyz"]
+    rare = lambda: "r" + str(rng.randrange(10**6))
+    items = [(k, " ".join(rng.choice(common) if rng.random() < 0.7 else rare() for _ in range(rng.randint(12, 45)))) for k in range(12)]
+    rows = []
+    for i in range(n_texts):
+        w = [rng.choice(common) if rng.random() < 0.15 else rare() for _ in range(rng.randint(20, 60))]
+        if i < 60:
+            part = items[i % 12][1].split()
+            for j in rng.sample(range(len(part) - 4 * (i % 2)), int(len(part) * rng.choice((0, 0.2, 0.3, 0.4, 0.5, 0.55)))):
+                part[j] = rare()
+            if i % 3 == 0:
+                part.insert(len(part) // 2, " ".join(rare() for _ in range(len(part) // 4)))
+            at = rng.randrange(len(w))
+            w[at:at] = part
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["id"], r["item_id"]) for r in decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set(_brute_matches(rows, items))
+    assert got == want and 30 < len(want) < 60
+
+
+def test_a_part_of_the_words_at_a_time():
+    rng = np.random.default_rng(4)
+    want = np.arange(20, dtype=np.uint64)
+    text = rng.integers(0, 2000, 300_000).astype(np.uint64)
+    for s in range(0, len(text) - 50, 997):
+        text[s:s + 20] = want
+    j, terms = decontaminate._rarest(want, want, np.ones(20), 0.5)
+    index = decontaminate.Index(want, None, None, None, None, None, None, np.array([7]), np.array([27]), np.array([j]),
+                                np.zeros(len(terms), np.uint16), np.searchsorted(terms, np.arange(21)))
+    found = [x for _, _, h in decontaminate._hits(index, np.minimum(text, 19).astype(np.int64), text < 20, np.zeros(len(text), np.int64)) for x in h]
+    assert set(range(0, len(text) - 50, 997)) <= set(found) and found == sorted(set(found))
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=90), st.lists(st.integers(0, 5), max_size=90))
 def test_common_subsequence(a, b):
