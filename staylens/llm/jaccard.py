@@ -280,12 +280,15 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
                     shingle: int = 5, runs: int = 10) -> DataFrame:
-    """One row per row of ``docs``: (id, crc, class_id, n_links, component_id).
+    """One row per row of ``docs``: (id, crc, class_id, n_links, component_id,
+    has_shingles, component).
 
     ``class_id`` is the least id among the rows with the same shingle set,
     ``n_links`` counts the other rows of similarity >= ``threshold`` (copies
     included) and ``component_id`` is the least id reachable by links. Rows
-    without shingles have their own id in both and no link.
+    without shingles have their own id in both and no link. ``component`` tells
+    components apart, also those whose least ids are equal or null; it is null
+    without shingles.
     """
     texts = keyed_texts(docs, id_col, text_col)
     rows = written(_embed(texts, shingle), "shingle-rows")
@@ -313,18 +316,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .withColumn("component", F.coalesce("component", "node")))
     least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
     labelled = (labelled.join(counts, "node", "left").join(least, "component")
-                .select("key", F.col("id").alias("class_id"), "component_id",
+                .select("key", F.col("id").alias("class_id"), "component_id", "component",
                         (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     return (rows.select("id", "crc", "key").join(labelled, "key", "left")
             .select("id", "crc", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "id").alias("component_id"), F.col("key").isNotNull().alias("has_shingles")))
+                    F.coalesce("component_id", "id").alias("component_id"), F.col("key").isNotNull().alias("has_shingles"),
+                    "component"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the one of least
     (id, crc32 of the text); rows without shingles all stay."""
     found = written(near_duplicates(docs, id_col, text_col, **options), "shingle-groups")
-    keep = (found.filter("has_shingles").groupBy("component_id").agg(F.min(F.struct("id", "crc")).alias("k"))
+    keep = (found.filter("has_shingles").groupBy("component").agg(F.min(F.struct("id", "crc")).alias("k"))
             .select(F.col("k.id").alias("_id"), F.col("k.crc").alias("_crc"), F.lit(True).alias("_one")))
     keep = keep.union(found.filter("not has_shingles").select("id", "crc").distinct().withColumn("_one", F.lit(False)))
     crc = F.crc32(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))

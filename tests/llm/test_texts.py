@@ -194,6 +194,15 @@ def test_one_of_each_group_stays(spark, near_rows, messy, messy_rows, nothing):
     assert jaccard.near_duplicates(nothing).isEmpty() and jaccard.keep_one(nothing).isEmpty()
 
 
+def test_unlike_texts_of_one_id_or_none_all_stay(spark):
+    import random
+    rng = random.Random(3)
+    a, b, c, d, e = (prose(rng, 60) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b + " more"), (7, c), (7, d), (8, d), (9, e), (None, e)]
+    got = Counter(r["text"] for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert sum(got.values()) == 5 and {t for t in got if t != b and t != b + " more"} == {a, c, d, e}
+
+
 # --- Katz ---------------------------------------------------------------------
 def _brute_katz(rows, train):
     docs = [((r[1] or "").encode().lower().split() + [None], t) for r, t in zip(rows, train)]
