@@ -424,6 +424,14 @@ def test_a_part_of_the_words_at_a_time():
     assert set(range(0, len(text) - 50, 997)) <= set(found) and found == sorted(set(found))
 
 
+def test_clean_texts_stay_beside_contaminated_ones_of_the_same_id(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, f"before {item} after"), (None, "a clean text"), (None, None), (5, item), (5, "another clean text"), (6, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, (rows[1], rows[2], rows[4])))
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=90), st.lists(st.integers(0, 5), max_size=90))
 def test_common_subsequence(a, b):
