@@ -2,7 +2,8 @@
 
 Rules are regular expressions over the lower-cased text, generated from a list
 of license families and of the phrases that name a license. A rule runs only
-where its keywords occur (keyword prefilter). Detections are ordered by rule
+where its keywords occur (keyword prefilter); they are read off its own pattern,
+so that no match lacks them. Detections are ordered by rule
 priority; one that lies inside the interval of an earlier, better one is
 suppressed, and what is left gives the labels.
 
@@ -17,7 +18,10 @@ an empty result; columns other than those asked for are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
+from re import _parser
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -30,32 +34,32 @@ BASE = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: Families: label stem, names as regex, versions ("" for none), keyword.
+#: Families: label stem, names as regex, versions ("" for none).
 FAMILIES = (
-    ("mit", r"mit|expat", ("",), "mit"),
-    ("apache", r"apache(?: software)?", ("", "1.0", "1.1", "2.0"), "apache"),
-    ("bsd", r"(?:simplified |modified |new )?bsd", ("", "2-clause", "3-clause", "4-clause"), "bsd"),
-    ("gpl", r"gnu general public|gnu gpl|gpl", ("", "1", "2", "3"), "gpl"),
-    ("gpl", r"gnu general public|general public", ("", "1", "2", "3"), "general public"),
-    ("lgpl", r"gnu (?:lesser|library) general public|lesser general public|(?:gnu )?lgpl", ("", "2", "2.1", "3"), "l"),
-    ("agpl", r"gnu affero general public|affero general public|(?:gnu )?agpl", ("", "1", "3"), "a"),
-    ("mpl", r"mozilla public|mpl", ("", "1.0", "1.1", "2.0"), "m"),
-    ("epl", r"eclipse public|epl", ("", "1.0", "2.0"), "e"),
-    ("cddl", r"common development and distribution|cddl", ("", "1.0", "1.1"), "d"),
-    ("isc", r"isc", ("",), "isc"),
-    ("zlib", r"zlib(?:/libpng)?", ("",), "zlib"),
-    ("unlicense", r"unlicense", ("",), "unlicense"),
-    ("boost", r"boost software|bsl", ("", "1.0"), "bo"),
-    ("artistic", r"artistic", ("", "1.0", "2.0"), "artistic"),
-    ("eupl", r"european union public|eupl", ("", "1.1", "1.2"), "eu"),
-    ("osl", r"open software|osl", ("", "3.0"), "o"),
-    ("wtfpl", r"wtfpl|do what the f\S+ you want", ("", "2"), "w"),
-    ("ofl", r"sil open font|open font|ofl", ("", "1.1"), "o"),
-    ("odbl", r"open database|odbl", ("", "1.0"), "o"),
-    ("psf", r"python software foundation|psf", ("", "2"), "p"),
-    ("postgresql", r"postgresql", ("",), "postgresql"),
-    ("ms-pl", r"microsoft public|ms-pl", ("",), "m"),
-    ("cc0", r"creative commons zero|cc0|cc-0|cc zero", ("", "1.0"), "cc"),
+    ("mit", r"mit|expat", ("",)),
+    ("apache", r"apache(?: software)?", ("", "1.0", "1.1", "2.0")),
+    ("bsd", r"(?:simplified |modified |new )?bsd", ("", "2-clause", "3-clause", "4-clause")),
+    ("gpl", r"gnu general public|gnu gpl|gpl", ("", "1", "2", "3")),
+    ("gpl", r"gnu general public|general public", ("", "1", "2", "3")),
+    ("lgpl", r"gnu (?:lesser|library) general public|lesser general public|(?:gnu )?lgpl", ("", "2", "2.1", "3")),
+    ("agpl", r"gnu affero general public|affero general public|(?:gnu )?agpl", ("", "1", "3")),
+    ("mpl", r"mozilla public|mpl", ("", "1.0", "1.1", "2.0")),
+    ("epl", r"eclipse public|epl", ("", "1.0", "2.0")),
+    ("cddl", r"common development and distribution|cddl", ("", "1.0", "1.1")),
+    ("isc", r"isc", ("",)),
+    ("zlib", r"zlib(?:/libpng)?", ("",)),
+    ("unlicense", r"unlicense", ("",)),
+    ("boost", r"boost software|bsl", ("", "1.0")),
+    ("artistic", r"artistic", ("", "1.0", "2.0")),
+    ("eupl", r"european union public|eupl", ("", "1.1", "1.2")),
+    ("osl", r"open software|osl", ("", "3.0")),
+    ("wtfpl", r"wtfpl|do what the f\S+ you want", ("", "2")),
+    ("ofl", r"sil open font|open font|ofl", ("", "1.1")),
+    ("odbl", r"open database|odbl", ("", "1.0")),
+    ("psf", r"python software foundation|psf", ("", "2")),
+    ("postgresql", r"postgresql", ("",)),
+    ("ms-pl", r"microsoft public|ms-pl", ("",)),
+    ("cc0", r"creative commons zero|cc0|cc-0|cc zero", ("", "1.0")),
 )
 CC_PARTS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
 CC_NAMES = {"by": "attribution", "sa": "share[- ]?alike", "nd": "no[- ]?deriv(?:ative)?s?(?: works)?",
@@ -71,16 +75,14 @@ NAMED = (
     (0.7, r"\blicen[sc]e\s*[:=]\s*[\"']?(?:{n})[- ]?v?{v}"),
 )
 PLAIN = (
-    ("all-rights-reserved", 0.6, r"\ball\s+rights\s+reserved\b", "all rights"),
-    ("public-domain", 0.8, r"\b(?:released|placed|dedicated)\s+(?:in)?to\s+the\s+public\s+domain\b", "public domain"),
-    ("copyright", 0.4, r"(?:\bcopyright\s*(?:\(c\)|©)?|©)\s*(?:19|20)\d\d\b", "copyright"),
-    ("mit", 0.95, r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person", "permission"),
-    ("bsd", 0.95, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", "redistribution"),
-    ("isc", 0.9, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software", "permission"),
-    ("gpl", 0.9, r"this\s+program\s+is\s+free\s+software", "free software"),
+    ("all-rights-reserved", 0.6, r"\ball\s+rights\s+reserved\b"),
+    ("public-domain", 0.8, r"\b(?:released|placed|dedicated)\s+(?:in)?to\s+the\s+public\s+domain\b"),
+    ("copyright", 0.4, r"(?:\bcopyright\s*(?:\(c\)|©)?|©)\s*(?:19|20)\d\d\b"),
+    ("mit", 0.95, r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person"),
+    ("bsd", 0.95, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms"),
+    ("isc", 0.9, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software"),
+    ("gpl", 0.9, r"this\s+program\s+is\s+free\s+software"),
 )
-#: A text without any of these has no detection of a generated rule.
-GATE = ("licen", "spdx", "copyright", "©", "public domain", "all rights", "permission", "redistribution", "free software")
 
 
 @dataclass(frozen=True)
@@ -90,19 +92,58 @@ class Rule:
     label: str
     weight: float
     pattern: re.Pattern
-    keyword: str
+    keywords: tuple[tuple[str, ...], ...]
+
+
+def _length(group: tuple[str, ...]) -> int:
+    return min(len(w.encode()) for w in group)
+
+
+def _keywords(parsed) -> list[tuple[str, ...]]:
+    """Groups of words of a parsed pattern: whatever it matches holds one word,
+    at least, of every group."""
+    out, run = [], ""
+    for op, arg in [*parsed, (None, None)]:
+        if op is _parser.LITERAL:
+            run += chr(arg)
+            continue
+        if len(run.encode()) > 1:
+            out.append((run,))
+        run = ""
+        if op is _parser.SUBPATTERN:
+            out += _keywords(arg[-1])
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT) and arg[0]:
+            out += _keywords(arg[2])
+        elif op is _parser.BRANCH:
+            # of every alternative the group of the longest words
+            best = [max(_keywords(x), key=_length, default=None) for x in arg[1]]
+            if None not in best:
+                out.append(tuple(sorted({w for g in best for w in g})))
+    return out
+
+
+def _rule(label: str, weight: float, pattern: str) -> Rule:
+    return Rule(label, weight, re.compile(pattern), tuple(dict.fromkeys(_keywords(_parser.parse(pattern)))))
+
+
+def gate(rules: list[Rule]) -> tuple[str, ...]:
+    """Words of which a text with any detection holds at least one: a group of
+    every rule, not of short words if there is another, the one that most have."""
+    shared = Counter(g for r in rules for g in r.keywords)
+    words = {w for r in rules for w in max(r.keywords, key=lambda g: (min(_length(g), 5), shared[g], _length(g)), default=("",))}
+    return tuple(sorted(w for w in words if not any(v != w and v in w for v in words)))
 
 
 def build_rules() -> list[Rule]:
     """All rules, best first: by weight, then with a version before without,
     then by label, so the order is fixed."""
     out = []
-    for stem, names, versions, key in FAMILIES:
+    for stem, names, versions in FAMILIES:
         for v in versions:
             label = stem if not v else f"{stem}-{v.removesuffix('.0') if stem == 'apache' else v}"
             vv = (re.escape(v).replace(r"\.0", r"(?:\.0)?") if v else "") + (r"(?![.\d]*\d)" if v else r"(?![\w])")
             for weight, form in NAMED:
-                out.append(Rule(label, weight, re.compile(form.replace("{n}", names).replace("{v}", vv)), key))
+                out.append(_rule(label, weight, form.replace("{n}", names).replace("{v}", vv)))
     for parts in CC_PARTS:
         short = r"cc[- ]" + parts.replace("-", "[- ]")
         full = "creative commons " + r"[-, ]+".join(CC_NAMES[p] for p in parts.split("-"))
@@ -110,27 +151,37 @@ def build_rules() -> list[Rule]:
         for v in CC_VERSIONS:
             label = f"cc-{parts}" + (f"-{v}" if v else "")
             end = rf"(?:[-/ ]|\s+(?:v(?:ersion)?\s*)?)?{re.escape(v)}(?![.\d]*\d)" if v else r"(?![- ]?(?:nc|nd|sa)\b)(?!\w)"
-            out.append(Rule(label, 0.9, re.compile(rf"\b{short}{end}"), "cc"))
-            out.append(Rule(label, 0.9, re.compile(rf"\b{full}{end}"), "creative commons"))
+            out.append(_rule(label, 0.9, rf"\b{short}{end}"))
+            out.append(_rule(label, 0.9, rf"\b{full}{end}"))
             if v:
-                out.append(Rule(label, 0.95, re.compile(url + re.escape(v)), "creativecommons"))
-    out += [Rule(label, weight, re.compile(p), key) for label, weight, p, key in PLAIN]
+                out.append(_rule(label, 0.95, url + re.escape(v)))
+    out += [_rule(label, weight, p) for label, weight, p in PLAIN]
     return sorted(out, key=lambda r: (-r.weight, -len(r.label), r.label, r.pattern.pattern))
 
 
-def detect(text: str, rules: list[Rule]) -> list[tuple[int, int, str, float]]:
-    """(start, end, label, weight) of the detections that no better one contains."""
-    if not any(g in text for g in GATE) and "cc" not in text:
+def _run(r: Rule, text: str, kept: list) -> None:
+    for m in r.pattern.finditer(text):
+        a, b = m.span()
+        if not any(s <= a and b <= e for s, e, _, _ in kept):
+            kept.append((a, b, r.label, r.weight))
+
+
+def detect(text: str, rules: list[Rule], first: Sequence[str] = ("",), prefilter: bool = True) -> list[tuple[int, int, str, float]]:
+    """(start, end, label, weight) of the detections that no better one
+    contains. ``first`` is the `gate` of the rules; ``prefilter`` changes no
+    result."""
+    if prefilter and not any(w in text for w in first):
         return []
-    has = {k: k in text for k in {r.keyword for r in rules}}
+    has: dict = {}
     kept: list[tuple[int, int, str, float]] = []
     for r in rules:
-        if not has[r.keyword]:
-            continue
-        for m in r.pattern.finditer(text):
-            a, b = m.span()
-            if not any(s <= a and b <= e for s, e, _, _ in kept):
-                kept.append((a, b, r.label, r.weight))
+        for g in r.keywords if prefilter else ():
+            if g not in has:
+                has[g] = any(w in text for w in g)
+            if not has[g]:
+                break
+        else:
+            _run(r, text, kept)
     # a longer detection found later swallows the shorter ones inside it of the same weight
     return [x for x in kept if not any(y is not x and y[0] <= x[0] and x[1] <= y[1] and y[3] >= x[3] and (y[1] - y[0]) > (x[1] - x[0])
                                        for y in kept)]
@@ -160,7 +211,7 @@ def scan(docs: DataFrame, text_col: str = "text"):
         import pyarrow as pa
 
         from staylens.llm.words import ALNUM, LOWER, pieces, text_buffer, word_bounds
-        rules, base = _rules(), _base_patterns()
+        (rules, first_words), base = _rules(), _base_patterns()
         n, places, first, last, bl, al, sc = [], [], [], [], [], [], []
         for _, _, data, off in pieces(*text_buffer(column)):
             low = LOWER[data]
@@ -178,7 +229,7 @@ def scan(docs: DataFrame, text_col: str = "text"):
                             at += here
                             found.add(label)
                 at = np.searchsorted(starts[upto[i]:upto[i + 1]], np.array(at, np.int64) + off[i])
-                more = detect(t.decode("utf-8", "replace"), rules)
+                more = detect(t.decode("utf-8", "replace"), rules, first_words)
                 places.append(len(at))
                 first.append(int(at.min()) if len(at) else None)
                 last.append(int(at.max()) if len(at) else None)
@@ -194,9 +245,11 @@ def scan(docs: DataFrame, text_col: str = "text"):
 
 
 _RULES: list[Rule] = []
+_GATE: list[str] = []
 
 
-def _rules() -> list[Rule]:
+def _rules() -> tuple[list[Rule], list[str]]:
     if not _RULES:
+        _GATE.extend(gate(build_rules()))
         _RULES.extend(build_rules())
-    return _RULES
+    return _RULES, _GATE

@@ -328,6 +328,53 @@ def test_license_labels(spark, text, base, labels):
     assert (r["base_labels"], r["labels"]) == (base, labels) and 0 <= r["score"] <= 1
 
 
+def _example(parsed, pick):
+    """A text that a parsed pattern should match, with the ``pick``-th
+    alternative at every branch and every other optional part."""
+    from re import _constants as c
+    out = ""
+    for op, arg in parsed:
+        if op is c.LITERAL:
+            out += chr(arg)
+        elif op is c.SUBPATTERN:
+            out += _example(arg[-1], pick)
+        elif op is c.BRANCH:
+            out += _example(arg[1][pick % len(arg[1])], pick)
+        elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+            out += _example(arg[2], pick) * max(arg[0], pick // 8 % 2)
+        elif op is c.IN:
+            kinds = {c.CATEGORY_SPACE: "\n", c.CATEGORY_DIGIT: "2", c.CATEGORY_NOT_SPACE: "x"}
+            kind, what = arg[pick % len(arg)]
+            out += kinds[what] if kind is c.CATEGORY else chr(what)
+        elif op not in (c.AT, c.ASSERT_NOT):
+            raise AssertionError(op)
+    return out
+
+
+def test_the_prefilter_loses_nothing():
+    from re import _parser
+    rules = licenses.build_rules()
+    first = licenses.gate(rules)
+    assert "" not in first and all(r.keywords for r in rules)
+    for r in rules:
+        texts = {_example(_parser.parse(r.pattern.pattern), k) for k in range(16)}
+        texts = [t for t in texts if r.pattern.search(t)]
+        assert texts
+        for t in texts:
+            found = licenses.detect(t, rules, first)
+            assert found and found == licenses.detect(t, rules, prefilter=False), t
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("Released under the GPL v3", "gpl-3"), ("distributed under Apache 2.0", "apache-2"), ("Creative Commons Attribution 4.0", "cc-by-4.0"),
+    ("© 2020", "copyright"), ("SPDX-License-Identifier: BSL-1.0", "boost-1.0"), ("all\nrights reserved", "all-rights-reserved"),
+    ("licensed under Creative Commons Zero", "cc0"),
+])
+def test_labels_of_texts_without_the_usual_words(spark, text, labels):
+    df = spark.createDataFrame([(1, text, None, None, None)], SCHEMA)
+    assert licenses.scan(df).select("scan.labels").first()["labels"] == labels
+
+
 def test_base_places_count_words(spark, nothing):
     df = spark.createDataFrame([(1, "Été x. Under the MIT license; cc by nc cc by nc é under the mit license", None, None, None)], SCHEMA)
     r = licenses.scan(df).select("scan.*").first()
