@@ -48,3 +48,41 @@ SELECT vec_id, coalesce((SELECT count(*) FROM l WHERE l.x = vec_id), 0)::BIGINT
        vec_id = least(vec_id, coalesce((SELECT min(y) FROM r WHERE r.x = vec_id), vec_id)) AS kept
 FROM embeddings
 """
+
+ORACLE["op11_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+       + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+       + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+       + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+       + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS bits
+  FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+c AS (
+  SELECT part, bits, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, bits),
+x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(x, m)),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.m, b.m, c.m, d.m, e.m] AS ms
+  FROM x a, x b, x c, x d, x e WHERE a.m + b.m + c.m + d.m + e.m = 31 AND len(list_distinct([a.m, b.m, c.m, d.m, e.m])) = 5),
+s AS (
+  SELECT filter_order, step::INT AS step, ms[step] AS m, coalesce(list_sum(ms[1:step - 1]), 0)::INT AS before
+  FROM o, range(1, 6) AS r(step)),
+r AS (
+  SELECT part, filter_order, step, m,
+         coalesce(sum(n) FILTER (bits & (before | m) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (bits & before = 0 AND bits & m <> 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (bits & before <> 0 AND bits & m <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (bits = m), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (bits & before = 0 AND bits & m <> 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (bits & before = 0 AND bits & m <> 0), 0)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, m)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, m))::BIGINT AS shapley
+FROM r
+"""

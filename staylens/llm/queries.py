@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity
+from staylens.llm import audit, decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity
 from staylens.llm.common import remainder, table, written
 
 
@@ -71,6 +71,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).select("doc_id", "scan.*")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_katz": op2_katz,
@@ -82,4 +86,5 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
+    "op11_filter_audit": op11_filter_audit,
 }
