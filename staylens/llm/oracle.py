@@ -86,3 +86,22 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        (sum(removed) OVER (PARTITION BY part, m))::BIGINT AS shapley
 FROM r
 """
+
+ORACLE["op12_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+n AS (
+  SELECT *, len(text) + len(text) - len(replace(text, '\', '')) + (len(text) - len(replace(text, '</turn>', ''))) // 7
+            + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: len(x))), 0) AS text_chars,
+         len(role) + len(role) - len(replace(role, '\', '')) + (len(role) - len(replace(role, '</turn>', ''))) // 7
+            + len(role) - len(replace(role, ':', ''))
+            + coalesce(list_sum(list_transform(regexp_extract_all(role, '#{3,}'), lambda x: len(x))), 0) AS role_chars
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + role_chars + 2 + text_chars + 8)::BIGINT AS formatted_chars
+FROM n GROUP BY conv_id
+"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import audit, decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity
+from staylens.llm import audit, chat, decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity
 from staylens.llm.common import remainder, table, written
 
 
@@ -75,6 +75,31 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of `conversations` and the two of conversation -7, one JSON
+    record a row: (conv_id, turn, record). The records of a conversation are
+    either flat turns, nested messages, or system, prompt and completion
+    records, as feeds of different origin are."""
+    said = r"\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema))
+
+    def record(**fields):
+        return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]), {"ignoreNullFields": "false"})
+
+    kind, role, text = F.pmod("conv_id", F.lit(3)), F.col("role"), F.col("text")
+    return rows.select("conv_id", "turn", F.when(kind == 1, record(message=F.struct(role.alias("role"), text.alias("content"))))
+                       .when((kind == 2) & (role == "system"), record(system=text))
+                       .when((kind == 2) & (role == "user"), record(prompt=text))
+                       .when((kind == 2) & (role == "assistant"), record(completion=text))
+                       .otherwise(record(role=role, text=text)).alias("record"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.canonical_turns(conversation_records(spark, sf_dir))
+    return chat.digest(written(chat.assemble(chat.segments(turns)), "chat"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_katz": op2_katz,
@@ -87,4 +112,5 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
     "op11_filter_audit": op11_filter_audit,
+    "op12_chat_format": op12_chat_format,
 }
