@@ -105,3 +105,23 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(4 + role_chars + 2 + text_chars + 8)::BIGINT AS formatted_chars
 FROM n GROUP BY conv_id
 """
+
+ORACLE["op13_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS no, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL),
+n AS (SELECT no, doc_id, len(t)::BIGINT AS n, t FROM d WHERE len(t) > 0),
+s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM n),
+p AS (SELECT no, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT no, doc_id, n, unnest(t) AS term FROM n) GROUP BY no, doc_id, n, term),
+w AS (SELECT term, floor(1000 * ln((2 * s.docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, s.docs),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+r AS (
+  SELECT item_id, doc_id, no, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * s.docs) // s.total))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY item_id, doc_id, no)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 10
+"""

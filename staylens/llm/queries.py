@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import audit, chat, decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity
+from staylens.llm import audit, chat, decontaminate, embed_join, htmltext, jaccard, katz, langid, licenses, mixing, substrings, toxicity, treap
 from staylens.llm.common import remainder, table, written
 
 
@@ -100,6 +100,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(written(chat.assemble(chat.segments(turns)), "chat"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_katz": op2_katz,
@@ -113,4 +117,5 @@ QUERIES = {
     "op10_html_text": op10_html_text,
     "op11_filter_audit": op11_filter_audit,
     "op12_chat_format": op12_chat_format,
+    "op13_ranked_search": op13_ranked_search,
 }

@@ -1,0 +1,128 @@
+"""Ranked search with the k2-treap against scoring every document."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from staylens.llm import treap
+
+from llm_data import SCHEMA, clashing, prose
+
+ITEMS = "item_id long, text string"
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def _terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def _brute(docs, items, k=10):
+    kept = [(i, Counter(t)) for i, t in ((r[0], _terms(r[1])) for r in docs) if t]
+    n_docs, total = len(kept), sum(sum(c.values()) for _, c in kept)
+    df = Counter(t for _, c in kept for t in c)
+    wanted = defaultdict(set)
+    for i, text in items:
+        wanted[i] |= set(_terms(text))
+    out = set()
+    for item, own in wanted.items():
+        scores = []
+        for doc, c in kept:
+            m = 10 + 90 * sum(c.values()) * n_docs // total
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in own if t in c)
+            if s > 0:
+                scores.append((-s, doc is None, doc or 0, doc))
+        out |= {(item, rank, x[3], -x[0]) for rank, x in enumerate(sorted(scores, key=lambda x: x[:3])[:k], 1)}
+    return out
+
+
+def _got(df):
+    rows = [tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.fixture(scope="module")
+def items(messy_rows):
+    rng = random.Random(2)
+    rows = [(i, messy_rows[i * 3][1][:rng.choice([40, 300])]) for i in range(12)]
+    return rows + [(20, "KA lo, Mi-REN 5 ÄÖ"), (21, "nowhere"), (22, None), (23, ""), (None, "ka lo"), (24, "ka"), (24, "tu ka"), (24, "tu ka"), (25, prose(rng, 900))]
+
+
+@pytest.mark.parametrize("shard,block", [(50, 30), (2_000, 400), (treap.SHARD_TERMS, treap.BLOCK_TERMS)])
+def test_search_is_that_of_brute_force(spark, messy_rows, items, shard, block):
+    docs = spark.createDataFrame(messy_rows, SCHEMA).repartition(3)
+    asked = spark.createDataFrame(items, ITEMS)
+    want = _brute(messy_rows, items)
+    assert _got(treap.search(docs, asked, shard_terms=shard, block_terms=block)) == want
+    if shard == 2_000:
+        more = [F.lit(1).alias(c) for c in ("ids", "high", "roots", "terms", "df", "mask", "term", "w", "rank", "item_id")]
+        assert _got(treap.search(clashing(docs).select("*", *more), asked.select("*", *more[:-1]), k=10, shard_terms=shard)) == want
+        assert _got(treap.search(docs, asked, k=3, shard_terms=shard)) == _brute(messy_rows, items, 3)
+
+
+def test_copies_tie_by_id(spark):
+    """A third of all documents are equal, and as many share the best score."""
+    rng = random.Random(4)
+    rows = [((i * 7919) % 3000, "hot words of one text" if i % 3 == 0 else prose(rng, 30), None, None, 0) for i in range(3000)]
+    rows += [(1, "the hot one", None, None, 0), (1, "the hot one", None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    items = [(1, "hot words"), (2, "one ka lo"), (3, "text")]
+    got = treap.search(docs, spark.createDataFrame(items, ITEMS), shard_terms=9_000)
+    rows_ = [tuple(r) for r in got.collect()]
+    assert len(rows_) == 30 and set(rows_) == _brute(rows, items)
+
+
+def test_empty_tables(spark, nothing):
+    asked = spark.createDataFrame([(1, "ka")], ITEMS)
+    assert treap.search(nothing, asked).collect() == []
+    assert treap.search(spark.createDataFrame([(1, "ka", None, None, 0)], SCHEMA), asked.limit(0)).collect() == []
+    assert treap.search(spark.createDataFrame([(1, None, None, None, 0), (2, "-- !", None, None, 0)], SCHEMA), asked).collect() == []
+
+
+def test_very_long_text(spark):
+    rng = random.Random(6)
+    long = prose(rng, 300_000)
+    rows = [(5, long, None, None, 0), (6, "ka lo", None, None, 0), (7, "lo zz", None, None, 0)]
+    items = [(1, "ka zz mimi"), (2, "zz")]
+    got = _got(treap.search(spark.createDataFrame(rows, SCHEMA).coalesce(1), spark.createDataFrame(items, ITEMS), shard_terms=1_000))
+    assert got == _brute(rows, items)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 70), st.integers(1, 90), st.sampled_from([0.02, 0.2, 0.9]))
+def test_cells_hold_the_maxima_of_their_points(seed, n_rows, n_cols, density):
+    rng = np.random.default_rng(seed)
+    grid = np.where(rng.random((n_rows, n_cols)) < density, rng.integers(1, 1000, (n_rows, n_cols)), 0)
+    grid[np.arange(n_rows), rng.integers(0, n_cols, n_rows)] = rng.integers(1, 1000, n_rows)
+    rows, cols = np.nonzero(grid)
+    made = treap.build(rows, cols, grid[rows, cols], n_cols)
+    t = treap.Treap(made["high"], made["roots"], made["mask"], made["drop"], made["points"])
+    side = 1 << made["high"]
+    wide = np.zeros((made["roots"] * side, side), np.int64)
+    wide[:n_rows, :n_cols] = grid
+    assert (t.top[:made["roots"]] == wide.reshape(made["roots"], -1).max(axis=1)).all()
+    n = int(rng.integers(1, n_rows + 1))
+    query, row, weight = np.sort(rng.integers(0, 3, n)), rng.permutation(n_rows)[:n], rng.integers(0, 50, n)
+    q, col, score = t.search(query, row, weight, 5)
+    for i in range(3):
+        total = (wide[row[query == i]] * weight[query == i][:, None]).sum(axis=0)
+        want = sorted(((-s, c) for c, s in enumerate(total) if s > 0))[:5]
+        assert sorted((-s, c) for s, c in zip(score[q == i].tolist(), col[q == i].tolist())) == want
+
+
+def test_terms_are_those_of_the_pattern():
+    texts = ["Ab-c ÄB a_b 12.5 x", None, "", "--", "日本 语A"]
+    h, n = treap.terms(pa.array(texts))
+    assert n.tolist() == [len(_terms(t)) for t in texts]
+    by_term = {}
+    for x, t in zip(h.tolist(), [t for text in texts for t in _terms(text)]):
+        assert by_term.setdefault(t, x) == x
+    assert len(set(by_term.values())) == len(by_term)
