@@ -39,9 +39,11 @@ from staylens.llm.common import written
 from staylens.llm.words import ALNUM, pieces, text_buffer, word_bounds, word_hashes
 
 #: A shard is closed at so many terms (with repeats); one longer text has a shard of its own.
-SHARD_TERMS = 2_000_000
+SHARD_TERMS = 1_000_000
 #: Distinct (query, term) pairs that are held at a time by the driver and a task: 16 bytes each.
 BLOCK_TERMS = 2_000_000
+#: Queries whose ranges of documents are held at a time.
+TOGETHER = 16
 _ONES = np.array([bin(i).count("1") for i in range(16)], np.uint8)
 
 
@@ -172,8 +174,9 @@ class Treap:
         The frontier are ranges of columns of all queries. Each round halves
         every query's best ranges; a range goes when its bound, or at equal
         bounds its first column, cannot beat the query's k-th result."""
+        asked, query = np.unique(query, return_inverse=True)
         ranges = _Ranges.start(self, query, row, weight)
-        n_queries = int(query.max()) + 1 if len(query) else 0
+        n_queries = len(asked)
         best = np.zeros((3, 0), np.int64)  # query, -score, column
         floor = np.zeros(n_queries, np.int64)
         last = np.full(n_queries, -1, np.int64)
@@ -201,7 +204,7 @@ class Treap:
             rounds += 1
             if rounds > self.high:
                 width *= 2
-        return best[0], best[2], -best[1]
+        return asked[best[0]], best[2], -best[1]
 
 
 class _Ranges:
@@ -268,9 +271,14 @@ def index(docs: DataFrame, n_docs: int, n_terms: int, shard_terms: int = SHARD_T
         order = pa.compute.sort_indices(ids, null_placement="at_end").to_numpy()
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        distinct, term = np.unique(hashes, return_inverse=True)
-        points, tf = np.unique(term * len(order) + np.repeat(place, sizes), return_counts=True)
-        term, col = points // len(order), points % len(order)
+        distinct, term = np.unique(np.concatenate(hashes), return_inverse=True)
+        hashes.clear()
+        term *= len(order)
+        term += np.repeat(place, sizes)
+        term.sort()
+        first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
+        tf = np.diff(np.append(first, len(term)))
+        term, col = np.divmod(term[first], len(order))
         df = np.bincount(term, minlength=len(distinct))
         by_count = np.argsort(-df, kind="stable")
         row = np.empty(len(distinct), np.int64)
@@ -282,7 +290,7 @@ def index(docs: DataFrame, n_docs: int, n_terms: int, shard_terms: int = SHARD_T
                 **{p: made[p] for p in ("mask", "drop", "points")}}
 
     def emit(ids, hashes, sizes):
-        made = shard(pa.concat_arrays(ids), np.concatenate(hashes), np.concatenate(sizes))
+        made = shard(pa.concat_arrays(ids), hashes, np.concatenate(sizes))
         return pa.RecordBatch.from_arrays(
             [pa.ListArray.from_arrays(pa.array([0, len(made["ids"])], pa.int32()), made["ids"]), pa.array([made["high"]], pa.int32()), pa.array([made["roots"]], pa.int32()),
              *[pa.array([made[p].tobytes()], pa.binary()) for p in _PARTS]], ["ids", "high", "roots", *_PARTS])
@@ -408,16 +416,18 @@ def _search_block(shards: DataFrame, block: DataFrame, n_docs: int, k: int, kind
         names, query, wanted, weight = held.value
         by_query = np.argsort(query, kind="stable")
         query, wanted, weight = query[by_query], wanted[by_query], weight[by_query]
+        cuts = np.searchsorted(query, np.arange(0, len(names) + TOGETHER, TOGETHER))
+        runs = list(zip(cuts, cuts[1:]))
         for batch in batches:
             for i in range(batch.num_rows):
-                raw = {p: np.frombuffer(batch[p][i].as_buffer(), t) for p, t in zip(_PARTS, (np.uint64, np.uint32, np.uint8, np.uint32, np.uint32))}
+                raw = {p: np.frombuffer(batch[p][i].as_buffer(), t) for p, t in (("terms", np.uint64), ("mask", np.uint8), ("drop", np.uint32), ("points", np.uint32))}
                 order = np.argsort(raw["terms"])
                 at = np.minimum(np.searchsorted(raw["terms"], wanted, sorter=order), len(order) - 1)
                 row = order[at]
                 own = raw["terms"][row] == wanted
                 treap = Treap(batch["high"][i].as_py(), batch["roots"][i].as_py(), raw["mask"], raw["drop"], raw["points"])
-                q, col, score = treap.search(query[own], row[own], weight[own], k)
+                q, col, score = (np.concatenate(x) for x in zip(*[treap.search(query[a:b][own[a:b]], row[a:b][own[a:b]], weight[a:b][own[a:b]], k) for a, b in runs]))
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), batch["ids"][i].values.take(pa.array(col)), pa.array(score, pa.int64())],
                                                  ["item_id", "doc_id", "score"])
 
-    return shards.mapInArrow(find, f"item_id {item_kind}, doc_id {kind}, score long")
+    return shards.drop("df").mapInArrow(find, f"item_id {item_kind}, doc_id {kind}, score long")
