@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from staylens.schemas import CONTRACT_STATUSES, LINE_ITEM_FIELDS
 
-# Canonical text of a line-item list. Fields are joined by ",",
-# items by ";", and a NULL field is written as the two characters \N.
+# Canonical text of a line item, whose fields are joined by ","
+# (a NULL field is written as the two characters \N), and of a fingerprint's sums.
 FIELD_SEPARATOR = ","
-ITEM_SEPARATOR = ";"
+SUM_SEPARATOR = ":"
 NULL_TOKEN = "\\N"
+HASH_SUM = "decimal(38,0)"
 
 
 def is_valid_reservation() -> Column:
@@ -30,20 +31,35 @@ def is_valid_reservation() -> Column:
         & (F.col("departure_date") > F.col("arrival_date"))
         & F.col("created_at").isNotNull()
         & F.col("updated_at").isNotNull()
-        & F.col("stay_dates").isNotNull()
-        & (F.size("stay_dates") > 0)
+        & (F.col("n_items") > 0)
     )
     return F.coalesce(rule, F.lit(False))
 
 
+def item_hashes(item: Column) -> Column:
+    """Two 60-bit numbers of one line item, cut from the md5 of its text."""
+    digest = F.md5(item_text(item))
+    return F.struct(*[F.conv(F.substring(digest, at, 15), 16, 10).cast(HASH_SUM).alias(name) for name, at in (("h1", 1), ("h2", 16))])
+
+
+def fingerprint_of_sums(h1: Column, h2: Column, n: Column) -> Column:
+    """Fingerprint of a multiset of line items (snapshot tie-break): md5 of the
+    sums of their hashes and their count. Sums commute, so items never have to
+    meet in order or in one list; partial sums of any grouping do."""
+    return F.md5(F.concat_ws(SUM_SEPARATOR, h1.cast("string"), h2.cast("string"), n.cast("string")))
+
+
 def stay_dates_fingerprint(c="stay_dates") -> Column:
-    """md5 of the canonical text of a line-item list (snapshot tie-break).
+    """The fingerprint of a nested line-item list; NULL for a NULL list.
 
-    Engine-neutral: the text is spelled out field by field rather than taken
-    from an engine's own rendering of nested values.
+    Engine-neutral: an item's text is spelled out field by field rather than
+    taken from an engine's own rendering of nested values.
     """
     items = F.col(c) if isinstance(c, str) else c
-    return F.md5(F.concat_ws(ITEM_SEPARATOR, F.transform(items, item_text)))
+    zero = F.lit(0).cast(HASH_SUM)
+    sums = F.aggregate(F.transform(items, item_hashes), F.struct(zero.alias("h1"), zero.alias("h2")),
+                       lambda acc, x: F.struct((acc["h1"] + x["h1"]).cast(HASH_SUM).alias("h1"), (acc["h2"] + x["h2"]).cast(HASH_SUM).alias("h2")))
+    return F.when(items.isNotNull(), fingerprint_of_sums(sums["h1"], sums["h2"], F.size(items)))
 
 
 def item_text(item: Column) -> Column:

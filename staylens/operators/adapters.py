@@ -1,9 +1,10 @@
 """One adapter per PMS feed, each mapping raw text onto the reservation
 contract (``staylens.schemas.CONTRACT``) and attaching ``is_valid``.
 
-Native and cloud adapters are narrow projections (no shuffle). The Nordic
-adapter regroups flat night rows into reservations, which is one shuffle on
-(hotel, booking) with map-side partial aggregation.
+Native and cloud adapters are narrow projections (no shuffle) with nested line
+items. The Nordic adapter sums flat night rows up to reservation headers, which
+is one shuffle on (hotel, booking) with map-side partial aggregation; its line
+items stay flat rows.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.contract import is_valid_reservation, item_text
+from staylens.functions.contract import fingerprint_of_sums, is_valid_reservation, item_hashes, stay_dates_fingerprint
 from staylens.functions.parsing import (
     offset_instant, parse_date, parse_date_dmy, parse_money, parse_offset_timestamp, parse_timestamp,
 )
-from staylens.schemas import CONTRACT_COLUMNS
+from staylens.schemas import CONTRACT, CONTRACT_COLUMNS
 
 # Status vocabularies mapped onto the contract statuses.
 NORDIC_STATUS = {"ok": "checked_in", "out": "checked_out", "cxl": "cancelled", "noshow": "confirmed"}
@@ -46,6 +47,10 @@ def with_validity(df: DataFrame) -> DataFrame:
 
 
 def _finish(df: DataFrame) -> DataFrame:
+    """Count and fingerprint nested line items where the adapter has not, and
+    judge the reservation."""
+    if "n_items" not in df.columns:
+        df = df.withColumn("n_items", F.size("stay_dates").cast("long")).withColumn("items_md5", stay_dates_fingerprint("stay_dates"))
     return with_validity(df).select(*CONTRACT_COLUMNS)
 
 
@@ -97,40 +102,40 @@ def nordic_nights(raw: DataFrame, vat_rate: Decimal = NORDIC_VAT_RATE) -> DataFr
     )
 
 
+def nordic_item() -> Column:
+    """The line item of one Nordic night, amounts written back as text."""
+    def text(c: str) -> Column:
+        return F.col(c).cast("string")
+
+    night = F.date_format("stay_night", "yyyy-MM-dd")
+    return F.struct(F.col("room_type_id").alias("room_type_id"), night.alias("start_date"), night.alias("end_date"),
+                    text("room_gross").alias("room_gross"), text("room_net").alias("room_net"),
+                    text("fnb_gross").alias("fnb_gross"), text("fnb_net").alias("fnb_net"))
+
+
 def regroup_nordic(nights: DataFrame) -> DataFrame:
-    """Flat Nordic nights -> one contract row per (hotel, booking).
+    """Flat Nordic nights -> one contract row per (hotel, booking), its header.
 
     Status is the smallest status text of the booking (deterministic; the feed
     repeats one status per booking). ``created_at`` and ``updated_at`` are the
-    first arrival at midnight: the feed has no revision history. Line items
-    are collected sorted, amounts written back as text.
+    first arrival at midnight: the feed has no revision history.
+
+    The line items stay rows of their own (`nordic_items`): ``stay_dates`` is
+    NULL, ``n_items`` counts them and ``items_md5`` is made of sums over them.
+    Everything aggregates map-side, so a booking with a third of all rows is
+    one partial row a task, never a list.
 
     A row without hotel or booking id can never form a valid reservation;
-    each such row becomes its own (invalid) reservation rather than all of
-    them being gathered into one list, which would grow with the feed.
+    each such row becomes its own (invalid) reservation.
     """
-    def text(c: str) -> Column:
-        return F.col(c).cast("string")
-
-    item = F.struct(
-        F.col("room_type_id").alias("room_type_id"),
-        F.date_format("stay_night", "yyyy-MM-dd").alias("start_date"),
-        F.date_format("stay_night", "yyyy-MM-dd").alias("end_date"),
-        text("room_gross").alias("room_gross"),
-        text("room_net").alias("room_net"),
-        text("fnb_gross").alias("fnb_gross"),
-        text("fnb_net").alias("fnb_net"),
-    )
     keyless = F.col("hotel_id").isNull() | F.col("reservation_id").isNull()
-    nights = nights.withColumn("_row", F.when(keyless, F.monotonically_increasing_id()))
-    grouped = nights.groupBy("hotel_id", "reservation_id", "_row").agg(
+    hashed = nights.withColumn("_row", F.when(keyless, F.monotonically_increasing_id())).withColumn("_hash", item_hashes(nordic_item()))
+    grouped = hashed.groupBy("hotel_id", "reservation_id", "_row").agg(
         F.min("status").alias("status"),
         F.min("arrival_date").alias("arrival_date"),
         F.max("departure_date").alias("departure_date"),
-        # Sorted by the item's canonical text, a total order that does not
-        # depend on how an engine orders NULL fields inside structs.
-        F.transform(F.sort_array(F.collect_list(F.struct(item_text(item).alias("k"), item.alias("item")))),
-                    lambda e: e["item"]).alias("stay_dates"),
+        F.count(F.lit(1)).alias("n_items"),
+        *[F.sum(f"_hash.{h}").alias(h) for h in ("h1", "h2")],
     )
     first_arrival = F.col("arrival_date").cast("timestamp_ntz")
     return _finish(grouped.select(
@@ -139,7 +144,9 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
         first_arrival.alias("created_at"),
         first_arrival.alias("updated_at"),
         first_arrival.alias("updated_instant"),
-        "stay_dates",
+        F.lit(None).cast(CONTRACT["stay_dates"].dataType).alias("stay_dates"),
+        "n_items",
+        fingerprint_of_sums(F.col("h1"), F.col("h2"), F.col("n_items")).alias("items_md5"),
     ))
 
 
@@ -147,6 +154,13 @@ def adapt_nordic(raw: DataFrame, vat_rate: Decimal = NORDIC_VAT_RATE) -> DataFra
     return regroup_nordic(nordic_nights(raw, vat_rate))
 
 
+def nordic_items(raw: DataFrame, vat_rate: Decimal = NORDIC_VAT_RATE) -> DataFrame:
+    """The line items of the Nordic feed as flat rows (source_system, hotel_id,
+    reservation_id, sd), a narrow projection of its nights."""
+    return nordic_nights(raw, vat_rate).where(F.col("hotel_id").isNotNull() & F.col("reservation_id").isNotNull()).select(
+        F.lit("nordic").alias("source_system"), "hotel_id", "reservation_id", nordic_item().alias("sd"))
+
+
 def adapt_cloud(raw: DataFrame) -> DataFrame:
     """Cloud snapshots -> contract. Exact-case status codes map first, other
     text is lower-cased and trimmed; offset timestamps serve the wall clock and
@@ -176,6 +190,8 @@ def adapt_cloud(raw: DataFrame) -> DataFrame:
 
 
 ADAPTERS = {"native": adapt_native, "nordic": adapt_nordic, "cloud": adapt_cloud}
+#: Sources whose line items are rows of their own, with the function that gives them.
+FLAT_ITEMS = {"nordic": nordic_items}
 
 
 def unified_feed(feeds: dict[str, DataFrame]) -> DataFrame:
@@ -185,3 +201,13 @@ def unified_feed(feeds: dict[str, DataFrame]) -> DataFrame:
         adapted = ADAPTERS[source](raw)
         out = adapted if out is None else out.unionByName(adapted)
     return out
+
+
+def flat_items(feeds: dict[str, DataFrame]) -> DataFrame | None:
+    """Flat line items of the sources that have them, None without such a source."""
+    out = None
+    for source, items in FLAT_ITEMS.items():
+        if source in feeds:
+            part = items(feeds[source])
+            out = part if out is None else out.unionByName(part)
+    return out

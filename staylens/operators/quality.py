@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.measures import hours_2dp, minutes_between, percent_2dp
+from staylens.operators.reservations import LONG_STAY, days_between
 
 # Roll-up labels and the revenue tolerance of reconciliation.
 ALL_HOTELS = "__all__"
@@ -59,13 +60,11 @@ def data_freshness(watermarks: DataFrame, manifest: DataFrame, as_of: datetime)
 def data_availability(fact: DataFrame, capacity: DataFrame) -> DataFrame:
     """Every night of each hotel's active window (first to last fact night):
     expected rooms, occupied rooms, missing day flag, missing room-nights and
-    coverage capped at 100. The spine is generated per hotel from a one-row-
-    per-hotel window, then joined back to the fact on (hotel, night)."""
+    coverage capped at 100. The spine is generated from one row per
+    hotel, by months that are dealt out and then days, then joined back to the fact on (hotel, night)."""
     windows = fact.groupBy("hotel_id").agg(
         F.min("night").alias("first_night"), F.max("night").alias("last_night"))
-    spine = windows.select(
-        "hotel_id",
-        F.explode(F.sequence("first_night", "last_night", F.expr("INTERVAL 1 DAY"))).alias("night"))
+    spine = days_between(windows, F.col("first_night"), F.col("last_night"), "night", spread=True).select("hotel_id", "night")
     facts = fact.select("hotel_id", "night", F.col("occupied_rooms").alias("_occ"),
                         F.lit(True).alias("_present"))
     joined = (spine.join(capacity, "hotel_id", "left")
@@ -95,49 +94,75 @@ def _control_amount(c: str) -> str:
     return f"IF({_CONTROL_AMOUNT.format(c)}, TRY_CAST(trim({c}) AS DECIMAL(28,6)), NULL)"
 
 
-def control_lines(kept: DataFrame) -> DataFrame:
-    """The lines that count, restated on purpose (nothing is shared with the
-    fact path, so a fault in either shows as a difference)."""
-    lines = kept.selectExpr("source_system", "hotel_id", "reservation_id", "status", "arrival_date", "departure_date",
-                            "inline(stay_dates)")
-    typed = lines.selectExpr(
+_CONTROL_LINE = ("room_type_id IS NOT NULL AND room_gross_amount IS NOT NULL AND room_net_amount IS NOT NULL"
+                 " AND (coalesce(fnb_gross, '') = '' OR fnb_gross_amount IS NOT NULL)"
+                 " AND (coalesce(fnb_net, '') = '' OR fnb_net_amount IS NOT NULL)")
+_CONTROL_REVENUE = "coalesce(room_net_amount, 0) + coalesce(fnb_net_amount, 0) AS rev"
+_CONTROL_STAY = "first_day BETWEEN arrival_date AND last_day AND last_day <= departure_date"
+_RESERVATION = ["source_system", "hotel_id", "reservation_id"]
+
+
+def _control_typed(lines: DataFrame) -> DataFrame:
+    """Lines with their days and amounts, without those that have none."""
+    return lines.selectExpr(
         "*", f"{_control_date('start_date')} AS first_day", f"{_control_date('end_date')} AS last_day",
-        *[f"{_control_amount(c)} AS {c}_amount" for c in ("room_gross", "room_net", "fnb_gross", "fnb_net")])
-    blank_or_amount = "(coalesce({0}, '') = '' OR {0}_amount IS NOT NULL)"
-    return typed.where(
-        "room_type_id IS NOT NULL AND room_gross_amount IS NOT NULL AND room_net_amount IS NOT NULL AND "
-        + blank_or_amount.format("fnb_gross") + " AND " + blank_or_amount.format("fnb_net")
-        + " AND first_day BETWEEN arrival_date AND last_day AND last_day <= departure_date")
+        *[f"{_control_amount(c)} AS {c}_amount" for c in ("room_gross", "room_net", "fnb_gross", "fnb_net")]).where(_CONTROL_LINE)
 
 
-def control_nights(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+def control_nights(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None = None) -> DataFrame:
     """One row per occupied room-night (source, hotel, reservation, night), its
     revenue `rev` and whether it occupies a room: nights are generated over the
     whole line range and then clamped, the inventory is an inner join, and one
     room per reservation-night is an aggregate (max revenue), not a ranking.
-    The room type that wins a tie changes no total, so the max is enough."""
-    stocked = control_lines(kept).join(inventory.select("hotel_id", "room_type_id").distinct(), ["hotel_id", "room_type_id"])
-    nights = stocked.selectExpr(
-        "source_system", "hotel_id", "reservation_id", "arrival_date", "departure_date",
-        "CASE WHEN status = 'cancelled' THEN 0 ELSE 1 END AS occ",
-        "coalesce(room_net_amount, 0) + coalesce(fnb_net_amount, 0) AS rev",
-        "explode(sequence(first_day, last_day, INTERVAL 1 DAY)) AS night",
-    ).where("night >= arrival_date AND night < departure_date")
-    return nights.groupBy("source_system", "hotel_id", "reservation_id", "night").agg(
-        F.max("rev").alias("rev"), F.max("occ").alias("occ"))
-
-
-def control_daily(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+    The room type that wins a tie changes no total, so the max is enough.
+
+    The rules are restated on purpose: nothing is shared with the fact path, so
+    a fault in either shows as a difference. Flat line items are first summed up
+    to nights and joined with their reservation last, so a booking with very
+    many items meets it as one row a night; long stays are generated by months
+    and days, in two steps, as in the fact path."""
+    rooms = inventory.select("hotel_id", "room_type_id").distinct()
+    lines = _control_typed(kept.where("stay_dates IS NOT NULL").selectExpr(
+        *_RESERVATION, "status", "arrival_date", "departure_date", "inline(stay_dates)")).where(_CONTROL_STAY)
+    stocked = lines.join(rooms, ["hotel_id", "room_type_id"]).selectExpr(
+        *_RESERVATION, "arrival_date", "departure_date", "CASE WHEN status = 'cancelled' THEN 0 ELSE 1 END AS occ", _CONTROL_REVENUE,
+        "first_day", "last_day")
+
+    def nights(ranges: DataFrame, spread: bool) -> DataFrame:
+        days = days_between(ranges, F.col("first_day"), F.col("last_day"), "night", spread)
+        return days.where("night >= arrival_date AND night < departure_date").groupBy(*_RESERVATION, "night").agg(
+            F.max("rev").alias("rev"), F.max("occ").alias("occ"))
+
+    longest = kept.agg(F.max(F.datediff("departure_date", "arrival_date"))).first()[0] or 0
+    if longest <= LONG_STAY:
+        out = nights(stocked, False)
+    else:  # a reservation is on one side, so its nights are aggregated once
+        long = F.datediff("departure_date", "arrival_date") > LONG_STAY
+        out = nights(stocked.where(~long), False).unionByName(nights(stocked.where(long), True))
+    if flat is None:
+        return out
+    per_night = (_control_typed(flat.selectExpr(*_RESERVATION, "sd.*")).join(rooms, ["hotel_id", "room_type_id"])
+                 .where("first_day <= last_day")
+                 .selectExpr(*_RESERVATION, "first_day", "last_day", _CONTROL_REVENUE, "explode(sequence(first_day, last_day, INTERVAL 1 DAY)) AS night")
+                 .groupBy(*_RESERVATION, "first_day", "last_day", "night").agg(F.max("rev").alias("rev")))
+    headers = kept.where("stay_dates IS NULL").selectExpr(*_RESERVATION, "arrival_date", "departure_date",
+                                                          "CASE WHEN status = 'cancelled' THEN 0 ELSE 1 END AS occ")
+    own = (per_night.join(headers, _RESERVATION).where(f"{_CONTROL_STAY} AND night >= arrival_date AND night < departure_date")
+           .groupBy(*_RESERVATION, "night").agg(F.max("rev").alias("rev"), F.max("occ").alias("occ")))
+    return out.unionByName(own)
+
+
+def control_daily(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None = None) -> DataFrame:
     """The control path at the fact's grain: occupied rooms and unrounded
     revenue per hotel and night."""
-    return control_nights(kept, inventory).groupBy("hotel_id", "night").agg(
+    return control_nights(kept, inventory, flat).groupBy("hotel_id", "night").agg(
         F.sum("occ").cast("long").alias("occupied_rooms"), F.sum("rev").cast("decimal(38,6)").alias("net_revenue_exact"))
 
 
-def source_control(kept: DataFrame, inventory: DataFrame) -> DataFrame:
+def source_control(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None = None) -> DataFrame:
     """Per-source occupied room-nights, net revenue (served and unrounded) and
     room-nights, from the independent control path."""
-    return control_nights(kept, inventory).groupBy("source_system").agg(
+    return control_nights(kept, inventory, flat).groupBy("source_system").agg(
         F.sum("occ").cast("long").alias("occupied_room_nights"),
         F.round(F.sum("rev"), 2).cast("double").alias("total_net_revenue"),
         F.count(F.lit(1)).alias("room_nights"),

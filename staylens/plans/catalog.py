@@ -15,7 +15,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.functions.contract import stay_dates_fingerprint
 from staylens.operators import adapters, checks, quality, reservations
 from staylens.operators.kpis import FACT_COLUMNS
 from staylens.plans.marts import Marts
@@ -79,9 +78,9 @@ def _build_marts(spark: SparkSession, sf_dir: str) -> Marts:
 def _flat_contract(df: DataFrame, with_fingerprint: bool = True) -> DataFrame:
     cols = ["source_system", "hotel_id", "reservation_id", "status", "arrival_date",
             "departure_date", "created_at", "updated_at"]
-    extra = [F.size("stay_dates").alias("n_items")]
+    extra = [F.col("n_items").cast("int").alias("n_items")]
     if with_fingerprint:
-        extra.append(stay_dates_fingerprint("stay_dates").alias("items_md5"))
+        extra.append(F.col("items_md5"))
     rest = [c for c in ("is_valid", "counts_for_occupancy") if c in df.columns]
     return df.select(*cols, *extra, *rest)
 
@@ -147,7 +146,7 @@ def q_dedup_latest(spark, sf_dir):
 
 
 def _items(m: Marts) -> DataFrame:
-    return reservations.line_items(m.kept)
+    return reservations.line_items(m.kept, m.flat_items)
 
 
 def q_line_item_validation(spark, sf_dir):
@@ -158,7 +157,7 @@ def q_line_item_validation(spark, sf_dir):
 
 
 def _stocked(m: Marts) -> DataFrame:
-    return reservations.in_inventory(reservations.validated_line_items(m.kept), m.inventory)
+    return reservations.in_inventory(reservations.validated_line_items(m.kept, m.flat_items), m.inventory)
 
 
 def q_inventory_filter(spark, sf_dir):
@@ -236,7 +235,7 @@ def q_check_accepted_values(spark, sf_dir):
 
 def q_check_relationships(spark, sf_dir):
     m = marts_for(spark, sf_dir)
-    items = reservations.validated_line_items(m.kept)
+    items = reservations.validated_line_items(m.kept, m.flat_items)
     return checks.relationships(items, "room_type_id", m.inventory, "room_type_id",
                                 keep=["hotel_id", "reservation_id", "room_type_id"])
 
@@ -299,7 +298,7 @@ def q_table_diff(spark, sf_dir):
     here lacks the first of every month and counts hotel H1 one room too high."""
     m = marts_for(spark, sf_dir)
     cells = ["hotel_id", "night", "occupied_rooms", F.col("net_revenue_exact").cast("decimal(38,6)").alias("net_revenue")]
-    recomputed = quality.control_daily(m.kept, m.inventory).select(*cells)
+    recomputed = quality.control_daily(m.kept, m.inventory, m.flat_items).select(*cells)
     faulty = recomputed.where(F.dayofmonth("night") != 1).withColumn(
         "occupied_rooms", F.col("occupied_rooms") + F.when(F.col("hotel_id") == "H1", 1).otherwise(0))
     return checks.table_diff(m.fact.select(*cells), faulty, ["hotel_id", "night"])

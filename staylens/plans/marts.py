@@ -97,9 +97,14 @@ class Marts:
             return kept
         return write_bucketed(kept, self._tables, "kept", ["hotel_id", "reservation_id"])
 
+    @cached_property
+    def flat_items(self) -> DataFrame | None:
+        """Line items that are rows of their own (a narrow projection)."""
+        return adapters.flat_items(self.feeds)
+
     @cached_property
     def nights(self) -> DataFrame:
-        return reservations.reservation_nights(self.kept, self.inventory)
+        return reservations.reservation_nights(self.kept, self.inventory, self.flat_items)
 
     # --- marts --------------------------------------------------------------
     @cached_property
@@ -126,7 +131,7 @@ class Marts:
 
     @cached_property
     def control(self) -> DataFrame:
-        return self._keep(quality.source_control(self.kept, self.inventory), "control")
+        return self._keep(quality.source_control(self.kept, self.inventory, self.flat_items), "control")
 
     @cached_property
     def reconciliation(self) -> DataFrame:

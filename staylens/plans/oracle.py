@@ -18,8 +18,8 @@ ISO_TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9
 OFFSET_TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{2}(:?\d{2})?$"
 DMY_DATE_SHAPE = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
 NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# Canonical text of line items, contract statuses, line fields.
-FIELD_SEPARATOR, ITEM_SEPARATOR, NULL_TOKEN = ",", ";", "\\N"
+# Canonical text of a line item, contract statuses, line fields.
+FIELD_SEPARATOR, NULL_TOKEN = ",", "\\N"
 CONTRACT_STATUSES = ("confirmed", "cancelled", "checked_in", "checked_out")
 LINE_ITEM_FIELDS = ("room_type_id", "start_date", "end_date", "room_gross", "room_net", "fnb_gross", "fnb_net")
 
@@ -59,10 +59,12 @@ def _item_text(v: str) -> str:
 
 
 def _fingerprint(col: str) -> str:
-    return f"md5(array_to_string(list_transform({col}, lambda x: {_item_text('x')}), '{ISO_SEP}'))"
+    """md5 of two sums of 60-bit item hashes and the number of items."""
+    h = [f"coalesce(list_sum(list_transform({col}, lambda x: CAST('0x' || substr(md5({_item_text('x')}), {at}, 15) AS HUGEINT))), 0)"
+         for at in (1, 16)]
+    return f"(CASE WHEN {col} IS NOT NULL THEN md5({h[0]}::VARCHAR || ':' || {h[1]}::VARCHAR || ':' || len({col})::VARCHAR) END)"
 
 
-ISO_SEP = ITEM_SEPARATOR
 _STATUSES = ", ".join(f"'{s}'" for s in CONTRACT_STATUSES)
 _ISO = "'%Y-%m-%d'"
 _DIVISOR_UNITS = 11000  # gross over net of board prices, 1.10, in ten-thousandths

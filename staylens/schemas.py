@@ -63,7 +63,10 @@ CONTRACT = T.StructType([
     T.StructField("updated_at", T.TimestampNTZType(), True),
     # The same moment as an instant: what snapshots are ordered by.
     T.StructField("updated_instant", T.TimestampNTZType(), True),
+    # Line items that the feed nests; NULL where they are rows of their own.
     T.StructField("stay_dates", T.ArrayType(LINE_ITEM), True),
+    T.StructField("n_items", T.LongType(), True),
+    T.StructField("items_md5", S, True),
     T.StructField("is_valid", T.BooleanType(), False),
 ])
 CONTRACT_COLUMNS = [f.name for f in CONTRACT.fields]

@@ -116,11 +116,19 @@ def test_hours_2dp(spark, m, h):
     assert one(spark, hours_2dp("v"), m, "v long") == h
 
 
-def test_fingerprint_is_engine_neutral_text(spark):
+def test_fingerprint_is_engine_neutral_and_without_order(spark):
+    import hashlib
+    items = [("LD", "2026-05-01", "2026-05-02", "120", "100", None, ""), ("LD", "2026-05-02", "2026-05-02", "1", "1", "", ""), ("X", *[None] * 6)]
     df = spark.createDataFrame(
-        [([("LD", "2026-05-01", "2026-05-02", "120", "100", None, "")],)],
+        [(items,), (items[::-1],), (items[:1],), (items[:1] * 2,), ([],), (None,)],
         "s array<struct<room_type_id:string,start_date:string,end_date:string,room_gross:string,"
         "room_net:string,fnb_gross:string,fnb_net:string>>")
-    got = df.select(stay_dates_fingerprint("s").alias("fp")).first()["fp"]
-    import hashlib
-    assert got == hashlib.md5("LD,2026-05-01,2026-05-02,120,100,\\N,".encode()).hexdigest()
+    got = [r["fp"] for r in df.select(stay_dates_fingerprint("s").alias("fp")).collect()]
+
+    def plain(rows):
+        texts = [hashlib.md5(",".join("\\N" if v is None else v for v in r).encode()).hexdigest() for r in rows]
+        sums = [sum(int(t[a:a + 15], 16) for t in texts) for a in (0, 15)]
+        return hashlib.md5(f"{sums[0]}:{sums[1]}:{len(rows)}".encode()).hexdigest()
+
+    assert got == [plain(items), plain(items), plain(items[:1]), plain(items[:1] * 2), plain([]), None]
+    assert len(set(got)) == 5
