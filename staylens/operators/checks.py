@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -114,25 +114,55 @@ def source_totals_match_fact(report: DataFrame, tolerance: str = "0.01") -> Data
            > F.lit(tolerance).cast("decimal(4,2)")))
 
 
+#: Sides of a difference: the row on both sides with unlike values, on one of
+#: them only, and the numbers of rows.
+BOTH, EXPECTED, ACTUAL, ROWS = "both", "expected", "actual", "rows"
+
+
 def table_diff(expected: DataFrame, actual: DataFrame, keys: Sequence[str],
                columns: Sequence[str] | None = None) -> DataFrame:
-    """Row-by-row comparison of two tables on ``keys``.
+    """Difference of two tables as multisets of rows, matched on ``keys``
+    (repeated and NULL keys included); empty if they are equal.
+
+    Rows that both sides hold equally often cancel out. What is left of a key
+    is numbered on each side in the order of its values and paired by number
+    (``occurrence``). One output row per
+
+    * column whose values differ in a pair (``side`` "both"),
+    * column of a row that one side holds only, with its value there ("expected"
+      or "actual"), so that a NULL value and an absent row differ,
+
+    with ``copies``, how often, and one row "rows" with the two row counts if
+    they differ. Values are text.
 
-    One output row per (key, column) whose values differ (NULL-safe), with
-    both values as text; a key present on one side only shows NULL on the
-    other. A full outer join on the keys: both sides shuffle once.
+    Equal rows are counted map-side before anything is exchanged, so a key or
+    row that is repeated very often is one row a task. Both inputs are read
+    once; the counts come from the same exchange as the differences.
     """
-    columns = list(columns or [c for c in expected.columns if c not in keys])
-    e = expected.select(*keys, *[F.col(c).alias(f"_e_{c}") for c in columns]).withColumn("_e", F.lit(True))
-    a = actual.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in columns]).withColumn("_a", F.lit(True))
-    joined = e.join(a, list(keys), "full_outer")
-    cells = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"_e_{c}").cast("string").alias("expected"),
-            F.col(f"_a_{c}").cast("string").alias("actual"),
-            (~(F.col(f"_e_{c}").eqNullSafe(F.col(f"_a_{c}")))
-             | F.col("_e").isNull() | F.col("_a").isNull()).alias("differs"),
-        ) for c in columns])
-    return (joined.select(*keys, F.inline(cells))
-            .where("differs").drop("differs"))
+    keys, columns = list(keys), list(columns or [c for c in expected.columns if c not in keys])
+    sides = [df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)],
+                       F.lit(e).alias("_e"), F.lit(1 - e).alias("_a")) for df, e in ((expected, 1), (actual, 0))]
+    k, v = [f"_k{i}" for i in range(len(keys))], [f"_v{i}" for i in range(len(columns))]
+    rows = sides[0].unionByName(sides[1]).groupBy(*k, *v).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
+    left = rows.where("_e <> _a").select(*k, *v, (F.col("_e") > F.col("_a")).alias("_mine"), F.abs(F.col("_e") - F.col("_a")).alias("_n"))
+    place = Window.partitionBy(*k, "_mine").orderBy(*[F.col(c).asc_nulls_last() for c in v])
+    row = F.struct("_n", *v)
+    pairs = (left.withColumn("occurrence", F.row_number().over(place)).groupBy(*k, "occurrence")
+             .agg(F.first(F.when(F.col("_mine"), row), ignorenulls=True).alias("_e"), F.first(F.when(~F.col("_mine"), row), ignorenulls=True).alias("_a")))
+    n_e, n_a = (F.coalesce(F.col(f"{s}._n"), F.lit(0).cast("long")) for s in ("_e", "_a"))
+
+    def cells(side: str, copies, e, a, differs) -> list:
+        return [F.struct(F.lit(side).alias("side"), copies.alias("copies"), F.lit(c).alias("column"), e(i).alias("expected"), a(i).alias("actual"),
+                         ((copies > 0) & differs(i)).alias("differs")) for i, c in enumerate(columns)]
+
+    value = lambda s: lambda i: F.col(f"{s}._v{i}").cast("string")
+    none, always = (lambda i: F.lit(None).cast("string")), (lambda i: F.lit(True))
+    found = F.array(*cells(BOTH, F.least(n_e, n_a), value("_e"), value("_a"), lambda i: ~F.col(f"_e._v{i}").eqNullSafe(F.col(f"_a._v{i}"))),
+                    *cells(EXPECTED, n_e - n_a, value("_e"), none, always), *cells(ACTUAL, n_a - n_e, none, value("_a"), always))
+    named = [F.col(a).alias(b) for a, b in zip(k, keys)]
+    out = pairs.select(*named, "occurrence", F.inline(found)).where("differs").drop("differs")
+    counts = rows.agg(F.coalesce(F.sum("_e"), F.lit(0)).alias("_e"), F.coalesce(F.sum("_a"), F.lit(0)).alias("_a")).where("_e <> _a")
+    return out.unionByName(counts.select(
+        *[F.lit(None).cast(expected.schema[c].dataType).alias(c) for c in keys], F.lit(1).alias("occurrence"), F.lit(ROWS).alias("side"),
+        F.abs(F.col("_e") - F.col("_a")).alias("copies"), F.lit(None).cast("string").alias("column"),
+        F.col("_e").cast("string").alias("expected"), F.col("_a").cast("string").alias("actual")))

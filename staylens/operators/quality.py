@@ -152,21 +152,29 @@ def control_nights(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None
     return out.unionByName(own)
 
 
-def control_daily(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None = None) -> DataFrame:
-    """The control path at the fact's grain: occupied rooms and unrounded
+def control_cells(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None = None) -> DataFrame:
+    """The control path summed up per source, hotel and night: occupied rooms,
+    room-nights and unrounded revenue. Its totals are sums of these."""
+    return control_nights(kept, inventory, flat).groupBy("source_system", "hotel_id", "night").agg(
+        F.sum("occ").cast("long").alias("occupied_rooms"), F.count(F.lit(1)).alias("room_nights"),
+        F.sum("rev").cast("decimal(38,6)").alias("net_revenue_exact"))
+
+
+def control_daily(cells: DataFrame) -> DataFrame:
+    """`control_cells` at the fact's grain: occupied rooms and unrounded
     revenue per hotel and night."""
-    return control_nights(kept, inventory, flat).groupBy("hotel_id", "night").agg(
-        F.sum("occ").cast("long").alias("occupied_rooms"), F.sum("rev").cast("decimal(38,6)").alias("net_revenue_exact"))
+    return cells.groupBy("hotel_id", "night").agg(
+        F.sum("occupied_rooms").alias("occupied_rooms"), F.sum("net_revenue_exact").cast("decimal(38,6)").alias("net_revenue_exact"))
 
 
-def source_control(kept: DataFrame, inventory: DataFrame, flat: DataFrame | None = None) -> DataFrame:
+def source_control(cells: DataFrame) -> DataFrame:
     """Per-source occupied room-nights, net revenue (served and unrounded) and
-    room-nights, from the independent control path."""
-    return control_nights(kept, inventory, flat).groupBy("source_system").agg(
-        F.sum("occ").cast("long").alias("occupied_room_nights"),
-        F.round(F.sum("rev"), 2).cast("double").alias("total_net_revenue"),
-        F.count(F.lit(1)).alias("room_nights"),
-        F.sum("rev").cast("decimal(38,6)").alias("net_revenue_exact"),
+    room-nights, from `control_cells`."""
+    return cells.groupBy("source_system").agg(
+        F.sum("occupied_rooms").alias("occupied_room_nights"),
+        F.round(F.sum("net_revenue_exact"), 2).cast("double").alias("total_net_revenue"),
+        F.sum("room_nights").alias("room_nights"),
+        F.sum("net_revenue_exact").cast("decimal(38,6)").alias("net_revenue_exact"),
     )
 
 

@@ -129,9 +129,14 @@ class Marts:
     def availability(self) -> DataFrame:
         return quality.data_availability(self.fact, self.capacity)
 
+    @cached_property
+    def control_cells(self) -> DataFrame:
+        """The control path per source, hotel and night, computed once."""
+        return self._keep(quality.control_cells(self.kept, self.inventory, self.flat_items), "control")
+
     @cached_property
     def control(self) -> DataFrame:
-        return self._keep(quality.source_control(self.kept, self.inventory, self.flat_items), "control")
+        return quality.source_control(self.control_cells)
 
     @cached_property
     def reconciliation(self) -> DataFrame:

@@ -429,10 +429,15 @@ a AS (SELECT hotel_id, night, occupied_rooms + CASE WHEN hotel_id = 'H1' THEN 1
       FROM x_ctl_daily WHERE day(night) <> 1)"""
 _diff_sql = _DIFF_SIDES + "\nUNION ALL\n".join(
     f"""
-SELECT hotel_id, night, '{c}' AS "column", CAST(e.{c} AS VARCHAR) AS expected, CAST(a.{c} AS VARCHAR) AS actual
-FROM e FULL OUTER JOIN a USING (hotel_id, night)
-WHERE e.{c} IS DISTINCT FROM a.{c}"""
-    for c in ("occupied_rooms", "net_revenue"))
+SELECT hotel_id, night, CAST(1 AS INTEGER) AS occurrence,
+       CASE WHEN a.here IS NULL THEN 'expected' WHEN e.here IS NULL THEN 'actual' ELSE 'both' END AS side,
+       CAST(1 AS BIGINT) AS copies, '{c}' AS "column", CAST(e.{c} AS VARCHAR) AS expected, CAST(a.{c} AS VARCHAR) AS actual
+FROM (SELECT *, 1 AS here FROM e) AS e FULL OUTER JOIN (SELECT *, 1 AS here FROM a) AS a USING (hotel_id, night)
+WHERE e.{c} IS DISTINCT FROM a.{c} OR e.here IS NULL OR a.here IS NULL"""
+    for c in ("occupied_rooms", "net_revenue")) + """
+UNION ALL
+SELECT NULL, NULL, 1, 'rows', abs(ne - na), NULL, CAST(ne AS VARCHAR), CAST(na AS VARCHAR)
+FROM (SELECT (SELECT count(*) FROM e) AS ne, (SELECT count(*) FROM a) AS na) WHERE ne <> na"""
 
 FINAL: dict[str, tuple[list[str], str]] = {
     "adapter_native": (["x_nat"], _flat("x_nat", extra=_validity("x_nat"))),

@@ -2,12 +2,12 @@
 
 * The report is one CSV file with a header, written by one task: it holds at
   most one row per requested night, so a single partition is the right size.
-* Marts are Parquet tables. Night-grain marts are partitioned by month and
-  range-partitioned then sorted by (night, hotel_id) inside each task, so
-  files are few per month and row-group statistics prune by night and hotel.
+* Marts are versioned Parquet tables (`staylens.sinks.versioned`), replaced
+  atomically and read with `read_table`. Night-grain marts are partitioned by
+  month and range-partitioned then sorted by (night, hotel_id) inside each task,
+  so files are few per month and row-group statistics prune by night and hotel.
   ``incremental=True`` replaces the nights of the frame in the stored table
-  and keeps all others: months that it touches are written again from both
-  (dynamic partition overwrite).
+  and keeps all others: only months that it touches are written again.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.operators.kpis import MONTH_COLUMN, REPORT_COLUMNS
-from staylens.session import ensure_checkpoint_dir
+from staylens.sinks.versioned import Commit, VersionedTable, by_month
 
 PARTITION_COLUMN = MONTH_COLUMN
 
@@ -65,36 +65,24 @@ def write_report_csv(report: DataFrame, out_dir: str, file_name: str) -> str:
     return target
 
 
-def write_table(df: DataFrame, path: str, by_night: bool = False, incremental: bool = False) -> None:
-    """Write a mart as Parquet; night-grain marts are partitioned by month."""
+NIGHT_ORDER = ("night", "hotel_id")
+
+
+def _stage(df: DataFrame, path: str, by_night: bool, incremental: bool) -> tuple[VersionedTable, Commit]:
+    stored = VersionedTable(df.sparkSession, path)
     if not by_night:
-        df.write.mode("overwrite").parquet(path)
-        return
-    dated = df.withColumn(PARTITION_COLUMN, F.date_format("night", "yyyy-MM"))
-    fs, target = _hadoop_fs(df.sparkSession, path)
-    merge = incremental and fs.exists(target)
-    if merge:
-        dated = _with_stored_nights(dated, path)
-    writer = (dated.repartitionByRange("night", "hotel_id").sortWithinPartitions("night", "hotel_id")
-              .write.mode("overwrite").partitionBy(PARTITION_COLUMN))
-    if merge:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-
-
-def _with_stored_nights(update: DataFrame, path: str) -> DataFrame:
-    """``update`` and what the table at ``path`` holds of the same months for
-    other (hotel, night)s, set aside first: the months are overwritten next."""
-    spark = update.sparkSession
-    aside = f"{ensure_checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
-    update.write.parquet(f"{aside}/update")
-    update = spark.read.schema(update.schema).parquet(f"{aside}/update")
-    months = update.select(PARTITION_COLUMN).distinct()
-    keys = update.select("hotel_id", "night").distinct()
-    stored = spark.read.schema(update.schema).parquet(path)
-    others = stored.join(months, PARTITION_COLUMN, "left_semi").join(keys, ["hotel_id", "night"], "left_anti")
-    others.select(*update.columns).write.parquet(f"{aside}/stored")
-    return update.unionByName(spark.read.schema(update.schema).parquet(f"{aside}/stored"))
+        return stored, stored.stage(df)
+    dated = by_month(df, PARTITION_COLUMN)
+    if incremental and stored.commit() is not None:
+        return stored, stored.stage_merge(dated, ["hotel_id", "night"], NIGHT_ORDER)
+    return stored, stored.stage(dated, PARTITION_COLUMN, NIGHT_ORDER)
+
+
+def write_table(df: DataFrame, path: str, by_night: bool = False, incremental: bool = False) -> None:
+    """Write a mart as a versioned Parquet table; night-grain marts are
+    partitioned by month. Readers see the old table until the new one is whole."""
+    stored, commit = _stage(df, path, by_night, incremental)
+    stored.publish(commit)
 
 
 def month_filter(from_date, to_date):
@@ -116,14 +104,15 @@ MART_TABLES = {
 def write_marts(marts, out_dir: str, incremental: bool = False,
                 only: set[str] | None = None) -> dict[str, str]:
     """Persist the marts (all, or the attributes in ``only``) under
-    ``out_dir``; returns table name -> path."""
+    ``out_dir``; returns table name -> path. All are written before the first
+    is made visible, so a failure while writing changes none of them."""
     out = out_dir.rstrip("/")
-    paths = {}
+    paths, staged = {}, []
     for attr, (name, by_night) in MART_TABLES.items():
         if only is not None and attr not in only:
             continue
-        df = getattr(marts, attr)
-        path = f"{out}/{name}"
-        write_table(df, path, by_night=by_night, incremental=incremental and by_night)
-        paths[name] = path
+        paths[name] = f"{out}/{name}"
+        staged.append(_stage(getattr(marts, attr), paths[name], by_night, incremental and by_night))
+    for stored, commit in staged:
+        stored.publish(commit)
     return paths

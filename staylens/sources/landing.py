@@ -15,7 +15,7 @@ import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.operators.kpis import MONTH_COLUMN
@@ -85,11 +85,23 @@ def write_bucketed(df: DataFrame, root: str, label: str, keys: list[str],
     return spark.table(name)
 
 
-def land(feeds: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def land_counted(feeds: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write every feed to ``root/<source>`` (Parquet) and return readers of
-    the landed copies. The schema (all text, nested lists kept) is unchanged.
-    The feeds are independent jobs and are submitted concurrently."""
-    paths = {source: f"{root.rstrip('/')}/{source}" for source in feeds}
+    the landed copies and their row counts. The schema (all text, nested lists
+    kept) is unchanged. The rows are counted while they are written, without a
+    job of their own. The feeds are independent jobs and are submitted
+    concurrently."""
+    def one(source: str, df: DataFrame) -> tuple[DataFrame, int]:
+        seen = Observation(f"landed-{source}")
+        copy = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{root.rstrip('/')}/{source}")
+        return copy, seen.get["rows"]
+
     with ThreadPoolExecutor(max_workers=len(feeds)) as pool:
-        futures = {s: pool.submit(write_table, df, paths[s]) for s, df in feeds.items()}
-        return {s: f.result() for s, f in futures.items()}
+        futures = {s: pool.submit(one, s, df) for s, df in feeds.items()}
+        done = {s: f.result() for s, f in futures.items()}
+    return {s: d[0] for s, d in done.items()}, {s: d[1] for s, d in done.items()}
+
+
+def land(feeds: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """`land_counted` without the counts."""
+    return land_counted(feeds, root)[0]

@@ -34,3 +34,21 @@ def test_bucketed_snapshots_one_file_per_bucket(spark, tmp_path, write_json):
         reservations.in_inventory(reservations.validated_line_items(kept), m.inventory)))
     assert not [l for l in plan_of(nights).splitlines() if "Exchange hashpartitioning" in l and "night" in l and "reservation" in l]
     assert nights.agg(F.countDistinct("reservation_id")).first()[0] == 40
+
+
+def _jobs(spark, run):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    out = run()
+    return out, len(set(tracker.getJobIdsForGroup(None)) - before)
+
+
+def test_rows_are_counted_as_they_land(spark, tmp_path):
+    """One job a feed: the counts need none of their own."""
+    from staylens.sources.feeds import empty_feed
+    from staylens.sources.landing import land_counted
+    feed = spark.range(1000, numPartitions=3).selectExpr("cast(id as string) AS hotel_id")
+    feeds = {"native": feed, "nordic": feed.filter("hotel_id < '3'"), "cloud": empty_feed(spark, "cloud")}
+    (landed, counts), jobs = _jobs(spark, lambda: land_counted(feeds, str(tmp_path / "zone")))
+    assert jobs <= 3
+    assert counts == {s: df.count() for s, df in landed.items()} and counts["native"] == 1000 and counts["cloud"] == 0

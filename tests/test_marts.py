@@ -22,47 +22,47 @@ def capacity_df(spark, rows):
     return spark.createDataFrame(rows, "hotel_id string, total_rooms long")
 
 
-# Nights with one row of every status, for two hotels.
-FACT_NIGHTS = [
-    ("H1", "r1", 1, "checked_out", True, "LD", 100.0),
-    ("H1", "r2", 1, "confirmed", True, "LD", 50.0),
-    ("H1", "r3", 1, "cancelled", False, "LD", 30.0),
-    ("H1", "r4", 2, "cancelled", False, "LD", 40.0),
-    ("H2", "r5", 1, "checked_in", True, "AA", 60.0),
-    ("H2", "r6", 1, "checked_out", True, "AA", 60.0),
-    ("H2", "r7", 1, "confirmed", True, "AA", 60.0),
+#: Three nights of a hut (8 beds) and one of an inn (1 bed, sold twice); what
+#: was called off brings money but fills no bed.
+NIGHTS = [
+    ("hut", "walker", 11, "checked_in", True, "bunk", 23.75),
+    ("hut", "walker", 12, "checked_in", True, "bunk", 23.75),
+    ("hut", "club", 12, "confirmed", True, "loft", 41.5),
+    ("hut", "late", 12, "cancelled", False, "loft", 9.25),
+    ("hut", "late", 14, "cancelled", False, "loft", 9.25),
+    ("inn", "anna", 12, "checked_out", True, "one", 77.0),
+    ("inn", "omar", 12, "confirmed", True, "one", 80.01),
 ]
 
 
-def test_fact_unit(spark):
-    fact = kpis.daily_kpis(nights_df(spark, FACT_NIGHTS), capacity_df(spark, [("H1", 10), ("H2", 2)]))
+def test_fact_of_every_status(spark):
+    fact = kpis.daily_kpis(nights_df(spark, NIGHTS), capacity_df(spark, [("hut", 8), ("inn", 1)]))
     got = sorted(tuple(r) for r in fact.select(*kpis.FACT_COLUMNS).collect())
     assert got == [
-        ("H1", D(2026, 5, 1), 2, 10, 20.0, 180.0, 90),
-        ("H1", D(2026, 5, 2), 0, 10, 0.0, 40.0, 0),
-        ("H2", D(2026, 5, 1), 3, 2, 150.0, 180.0, 60),
+        ("hut", D(2026, 5, 11), 1, 8, 12.5, 23.75, 24),
+        ("hut", D(2026, 5, 12), 2, 8, 25.0, 74.5, 37),
+        ("hut", D(2026, 5, 14), 0, 8, 0.0, 9.25, 0),
+        ("inn", D(2026, 5, 12), 2, 1, 200.0, 157.01, 79),
     ]
     assert checks.fact_invariants(fact).count() == 0
 
 
 def test_fact_zero_and_unknown_capacity(spark):
-    fact = kpis.daily_kpis(nights_df(spark, FACT_NIGHTS[:1] + FACT_NIGHTS[4:5]),
-                           capacity_df(spark, [("H1", 0)]))
-    pct = {r["hotel_id"]: r["occupancy_percentage"] for r in fact.collect()}
-    assert pct == {"H1": None, "H2": None}
-    rep = kpis.kpi_report(fact, "H1", "2026-05-01", "2026-05-01").first()
-    assert rep["OCCUPANCY_PERCENTAGE"] == Decimal("0.00") and rep["ADR"] == 100
+    fact = kpis.daily_kpis(nights_df(spark, NIGHTS[:1] + NIGHTS[5:6]), capacity_df(spark, [("hut", 0)]))
+    assert {r["hotel_id"]: r["occupancy_percentage"] for r in fact.collect()} == {"hut": None, "inn": None}
+    rep = kpis.kpi_report(fact, "hut", "2026-05-11", "2026-05-11").first()
+    assert rep["OCCUPANCY_PERCENTAGE"] == Decimal("0.00") and rep["ADR"] == 24
 
 
-def test_report_zero_fill_and_order(spark):
-    fact = kpis.daily_kpis(nights_df(spark, FACT_NIGHTS), capacity_df(spark, [("H1", 10), ("H2", 2)]))
-    rep = kpis.kpi_report(fact, "H1", dt.date(2026, 4, 30), dt.date(2026, 5, 3))
+def test_report_fills_gaps_newest_first(spark):
+    fact = kpis.daily_kpis(nights_df(spark, NIGHTS), capacity_df(spark, [("hut", 8), ("inn", 1)]))
+    rep = kpis.kpi_report(fact, "hut", dt.date(2026, 5, 12), dt.date(2026, 5, 15))
     assert rep.columns == ["NIGHT_OF_STAY", "OCCUPANCY_PERCENTAGE", "TOTAL_NET_REVENUE", "ADR"]
     assert [tuple(r) for r in rep.collect()] == [
-        ("2026-05-03", Decimal("0.00"), Decimal("0.00"), 0),
-        ("2026-05-02", Decimal("0.00"), Decimal("40.00"), 0),
-        ("2026-05-01", Decimal("20.00"), Decimal("180.00"), 90),
-        ("2026-04-30", Decimal("0.00"), Decimal("0.00"), 0),
+        ("2026-05-15", Decimal("0.00"), Decimal("0.00"), 0),
+        ("2026-05-14", Decimal("0.00"), Decimal("9.25"), 0),
+        ("2026-05-13", Decimal("0.00"), Decimal("0.00"), 0),
+        ("2026-05-12", Decimal("25.00"), Decimal("74.50"), 37),
     ]
 
 

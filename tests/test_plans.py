@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens.operators import kpis, reservations
 from staylens.plans.marts import Marts
-from staylens.sinks import write_table
+from staylens.sinks import read_table, write_table
 from staylens.sources import read_native
 
 from helpers import ROOMS, booking, inventory, lodge_events
@@ -63,7 +63,7 @@ def test_report_filters_reach_the_parquet_scan(spark, tmp_path):
         "occupancy_percentage double, total_net_revenue double, adr long")
     path = str(tmp_path / "fact")
     write_table(fact, path, by_night=True)
-    stored = spark.read.parquet(path)
+    stored = read_table(spark, path)
     report = kpis.kpi_report(stored, "H", "2026-05-02", "2026-05-03")
     plan = plan_of(report, "formatted")
     pushed = next(l for l in plan.splitlines() if l.startswith("PushedFilters"))

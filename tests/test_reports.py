@@ -12,7 +12,7 @@ import pytest
 
 from staylens.operators import kpis
 from staylens.plans import job
-from staylens.sinks import report_file_name, write_report_csv, write_table
+from staylens.sinks import VersionedTable, read_table, report_file_name, write_report_csv, write_table
 from staylens.sinks.files import month_filter
 
 from helpers import LODGE, LODGE_REPORT, lodge_events
@@ -67,9 +67,9 @@ def test_job_end_to_end(spark, tmp_path, write_json, write_text):
     assert os.path.basename(path) == f"kpi_{LODGE}_2031_03_10_to_2031_03_13.csv"
     assert open(path).read().splitlines() == [
         "NIGHT_OF_STAY,OCCUPANCY_PERCENTAGE,TOTAL_NET_REVENUE,ADR", *[",".join(map(str, r)) for r in LODGE_REPORT]]
-    fact = spark.read.parquet(str(tmp_path / "marts" / "fct_daily_kpis"))
+    fact = read_table(spark, str(tmp_path / "marts" / "fct_daily_kpis"))
     assert fact.count() == 3 and "night_month" in fact.columns
-    assert spark.read.parquet(str(tmp_path / "marts" / "kpi_report")).count() == 4
+    assert read_table(spark, str(tmp_path / "marts" / "kpi_report")).count() == 4
 
 
 def test_job_reads_ndjson(spark, tmp_path, write_text):
@@ -109,11 +109,11 @@ def test_partitioned_fact_and_incremental_overwrite(spark, tmp_path):
     df = spark.createDataFrame(rows, "hotel_id string, night date, occupied_rooms long")
     path = str(tmp_path / "fact")
     write_table(df, path, by_night=True)
-    assert {"night_month=2026-04", "night_month=2026-05"} <= set(os.listdir(path))
+    assert set(VersionedTable(spark, path).commit().folders) == {"2026-04", "2026-05"}
     update = spark.createDataFrame([("H", dt.date(2026, 5, 1), 9)], "hotel_id string, night date, occupied_rooms long")
     write_table(update, path, by_night=True, incremental=True)
-    got = {(r["hotel_id"], str(r["night"])): r["occupied_rooms"] for r in spark.read.parquet(path).collect()}
+    got = {(r["hotel_id"], str(r["night"])): r["occupied_rooms"] for r in read_table(spark, path).collect()}
     # the night is replaced, the month's other nights and hotels stay
     assert got == {("H", "2026-04-30"): 1, ("H", "2026-05-01"): 9, ("G", "2026-05-02"): 3}
-    may = spark.read.parquet(path).where(month_filter("2026-05-01", "2026-05-31"))
+    may = read_table(spark, path).where(month_filter("2026-05-01", "2026-05-31"))
     assert may.count() == 2
