@@ -1,9 +1,9 @@
 """Landing of the three raw feeds with declared, all-text schemas.
 
-An enveloped JSON document (``{"data": [...]}``) is one record and therefore
-one task; large feeds should arrive as newline-delimited JSON (one event per
-line, ``envelope=False``), which Spark splits across tasks. Both shapes give
-the same rows.
+JSON feeds are enveloped documents (``{"data": [...]}``) or newline-delimited
+(``envelope=False``); both shapes give the same rows. A document that is larger
+than what one task reads is read in ranges (`staylens.sources.envelope`), a
+smaller one at once.
 
 Reading never loses rows silently: paths are any that Spark reads (URIs,
 folders, globs), a path that is given must exist, and a document, line or row
@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.sources.envelope import is_split, read_records
 from staylens.schemas import (
     CLOUD_ENVELOPE, CLOUD_RESERVATION, NATIVE_ENVELOPE, NATIVE_EVENT, NORDIC_ROW,
 )
@@ -42,6 +43,8 @@ def _existing(read, path: str) -> DataFrame:
 def _read_json(spark: SparkSession, path: str, envelope_schema, record_schema, key: str,
                envelope: bool) -> DataFrame:
     reader = spark.read.option("mode", "FAILFAST")
+    if envelope and _existing(lambda: is_split(spark, path), path):
+        return read_records(spark, path, key, record_schema)
     if envelope:
         doc = _existing(lambda: reader.schema(envelope_schema).option("multiLine", True).json(path), path)
         # A document without the list (such as newline-delimited JSON read as
