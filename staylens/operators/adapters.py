@@ -157,7 +157,12 @@ def adapt_nordic(raw: DataFrame, vat_rate: Decimal = NORDIC_VAT_RATE) -> DataFra
 def nordic_items(raw: DataFrame, vat_rate: Decimal = NORDIC_VAT_RATE) -> DataFrame:
     """The line items of the Nordic feed as flat rows (source_system, hotel_id,
     reservation_id, sd), a narrow projection of its nights."""
-    return nordic_nights(raw, vat_rate).where(F.col("hotel_id").isNotNull() & F.col("reservation_id").isNotNull()).select(
+    return nordic_line_items(nordic_nights(raw, vat_rate))
+
+
+def nordic_line_items(nights: DataFrame) -> DataFrame:
+    """`nordic_items` of rows that are projected already."""
+    return nights.where(F.col("hotel_id").isNotNull() & F.col("reservation_id").isNotNull()).select(
         F.lit("nordic").alias("source_system"), "hotel_id", "reservation_id", nordic_item().alias("sd"))
 
 

@@ -30,8 +30,12 @@ def daily_aggregate(nights: DataFrame) -> DataFrame:
 def daily_kpis(nights: DataFrame, capacity: DataFrame) -> DataFrame:
     """KPI fact: occupancy % of capacity (NULL at capacity 0 or unknown),
     revenue rounded half-up to cents, ADR from the unrounded revenue."""
-    agg = daily_aggregate(nights)
-    joined = agg.join(capacity, "hotel_id", "left")
+    return kpis_of(daily_aggregate(nights), capacity)
+
+
+def kpis_of(cells: DataFrame, capacity: DataFrame) -> DataFrame:
+    """The fact's columns from its sums (hotel_id, night, occupied_rooms, revenue)."""
+    joined = cells.join(capacity, "hotel_id", "left")
     return joined.select(
         "hotel_id", "night", "occupied_rooms",
         F.col("total_rooms"),

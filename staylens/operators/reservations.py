@@ -28,20 +28,30 @@ NIGHT_COLUMNS = ["hotel_id", "reservation_id", "night", "status", "counts_for_oc
                  "room_type_id", "total_net_revenue"]
 
 
+#: What orders snapshots, first the latest instant: equal ones are broken by the
+#: line-item fingerprint, then by status and stay dates, so that the winner
+#: never depends on input order. NULLs come last.
+SNAPSHOT_ORDER = [("updated_instant", "desc"), ("items_md5", "desc"), ("status", "asc"), ("departure_date", "desc"),
+                  ("arrival_date", "desc"), ("created_at", "desc"), ("source_system", "asc")]
+
+
 def snapshot_order() -> list[Column]:
-    """Latest instant first; equal ones are broken by the line-item fingerprint, then
-    by status and stay dates so that the winner never depends on input order."""
-    return [
-        F.col("updated_instant").desc_nulls_last(),
-        # The 16-byte digest orders exactly like its hex text and halves the
-        # sort key carried through the dedup shuffle.
-        F.unhex("items_md5").desc_nulls_last(),
-        F.col("status").asc_nulls_last(),
-        F.col("departure_date").desc_nulls_last(),
-        F.col("arrival_date").desc_nulls_last(),
-        F.col("created_at").desc_nulls_last(),
-        F.col("source_system").asc_nulls_last(),
-    ]
+    """`SNAPSHOT_ORDER` as sort columns."""
+    # The 16-byte digest orders exactly like its hex text and halves the
+    # sort key carried through the dedup shuffle.
+    of = lambda c: F.unhex(c) if c == "items_md5" else F.col(c)
+    return [of(c).desc_nulls_last() if way == "desc" else of(c).asc_nulls_last() for c, way in SNAPSHOT_ORDER]
+
+
+def precedes(a: Column, b: Column) -> Column:
+    """Whether snapshot ``a`` comes before ``b`` in `SNAPSHOT_ORDER` (both
+    structs): the same order as a comparison of two rows, without a sort."""
+    out = F.lit(False)
+    for name, way in reversed(SNAPSHOT_ORDER):
+        x, y = a[name], b[name]
+        ahead = F.coalesce(x > y if way == "desc" else x < y, x.isNotNull() & y.isNull())
+        out = F.when(x.eqNullSafe(y), out).otherwise(ahead)
+    return out
 
 
 def dedup_latest(unified: DataFrame) -> DataFrame:

@@ -36,6 +36,56 @@ class CommitConflict(RuntimeError):
     """Another writer committed first."""
 
 
+class CommitLog:
+    """Numbered commit files, JSON objects, below a folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs = self._new_path(self.path).getFileSystem(self._conf)
+
+    def hadoop_path(self, relative: str = ""):
+        return self._new_path(f"{self.path}/{relative}" if relative else self.path)
+
+    def _file(self, number: int):
+        return self.hadoop_path(f"{_COMMITS}/{number:08d}.json")
+
+    def numbers(self) -> list[int]:
+        folder = self.hadoop_path(_COMMITS)
+        if not self.fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in self.fs.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+
+    def read(self, number: int) -> dict:
+        stream = self.fs.open(self._file(number))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def publish(self, number: int, content: dict) -> None:
+        """Add a commit, all at once; `CommitConflict` if the number is taken."""
+        jvm = self.spark.sparkContext._jvm
+        draft = self.hadoop_path(f"{_COMMITS}/.draft-{uuid.uuid4().hex}")
+        out = self.fs.create(draft, True)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self._conf)
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(context.makeQualified(draft), context.makeQualified(self._file(number)), options)
+        except Py4JJavaError as exc:
+            self.fs.delete(draft, False)
+            if "FileAlreadyExistsException" in str(exc.java_exception.getClass().getName()):
+                raise CommitConflict(f"{self.path} has commit {number} of another writer") from exc
+            raise
+
+    def forget(self, number: int) -> None:
+        self.fs.delete(self._file(number), False)
+
+
 @dataclass(frozen=True)
 class Commit:
     """What a table holds: its schema, its partition column (or None) and the
@@ -46,57 +96,30 @@ class Commit:
     partition: str | None
     folders: dict[str, str]
 
+    def content(self) -> dict:
+        return {"schema": self.schema.jsonValue(), "partition": self.partition, "folders": self.folders}
+
+    @classmethod
+    def of(cls, number: int, content: dict) -> Commit:
+        return cls(number, T.StructType.fromJson(content["schema"]), content["partition"], content["folders"])
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._path(self.path).getFileSystem(self._conf)
-
-    # --- commits ------------------------------------------------------------
-    def _numbers(self) -> list[int]:
-        folder = self._path(f"{self.path}/{_COMMITS}")
-        if not self._fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
-
-    def _commit_path(self, number: int) -> str:
-        return f"{self.path}/{_COMMITS}/{number:08d}.json"
+        self.log = CommitLog(spark, path)
 
     def commit(self, number: int | None = None) -> Commit | None:
         """The commit of that number, by default the current one; None before the first."""
         if number is None:
-            numbers = self._numbers()
+            numbers = self.log.numbers()
             if not numbers:
                 return None
             number = numbers[-1]
-        stream = self._fs.open(self._path(self._commit_path(number)))
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        said = json.loads(text)
-        return Commit(number, T.StructType.fromJson(said["schema"]), said["partition"], said["folders"])
+        return Commit.of(number, self.log.read(number))
 
-    def _publish(self, commit: Commit) -> Commit:
-        jvm = self.spark.sparkContext._jvm
-        draft = self._path(f"{self.path}/{_COMMITS}/.draft-{uuid.uuid4().hex}")
-        out = self._fs.create(draft, True)
-        out.write(bytearray(json.dumps({"schema": commit.schema.jsonValue(), "partition": commit.partition, "folders": commit.folders}).encode()))
-        out.close()
-        target = self._path(self._commit_path(commit.number))
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
-        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-        try:
-            context.rename(context.makeQualified(draft), context.makeQualified(target), options)
-        except Py4JJavaError as exc:
-            self._fs.delete(draft, False)
-            if "FileAlreadyExistsException" in str(exc.java_exception.getClass().getName()):
-                raise CommitConflict(f"{self.path} has commit {commit.number} of another writer") from exc
-            raise
+    def publish(self, commit: Commit) -> Commit:
+        self.log.publish(commit.number, commit.content())
         return commit
 
     # --- reading ------------------------------------------------------------
@@ -126,7 +149,7 @@ class VersionedTable:
         root = f"{VERSION_COLUMN}={version}"
         if partition is None:
             return {"": root}
-        found = self._fs.globStatus(self._path(f"{self.path}/{root}/{partition}=*"))
+        found = self.log.fs.globStatus(self.log.hadoop_path(f"{root}/{partition}=*"))
         unescape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         names = [s.getPath().getName() for s in found or []]
         return {unescape(n.partition("=")[2]): f"{root}/{n}" for n in names}
@@ -136,23 +159,21 @@ class VersionedTable:
         own = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name != partition]
         return T.StructType(own + ([T.StructField(partition, T.StringType())] if partition else []))
 
-    def stage(self, df: DataFrame, partition: str | None = None, order: Sequence[str] = ()) -> Commit:
+    def stage(self, df: DataFrame, partition: str | None = None, order: Sequence[str] = (), now: Commit | None = None) -> Commit:
         """Write ``df`` as a version that nobody reads yet; `publish` makes it
-        the whole table."""
-        now, version = self.commit(), uuid.uuid4().hex
+        the whole table. ``now`` is the commit it follows, by default the current."""
+        now, version = now or self.commit(), uuid.uuid4().hex
         self._write(df, version, partition, order)
         return Commit(now.number + 1 if now else 1, self._fields(df, partition), partition, self._folders(version, partition))
 
-    publish = _publish
-
     def replace(self, df: DataFrame, partition: str | None = None, order: Sequence[str] = ()) -> Commit:
         """Make ``df`` the whole table."""
-        return self._publish(self.stage(df, partition, order))
+        return self.publish(self.stage(df, partition, order))
 
-    def stage_partitions(self, df: DataFrame, values: Iterable[str], order: Sequence[str] = ()) -> Commit:
+    def stage_partitions(self, df: DataFrame, values: Iterable[str], order: Sequence[str] = (), now: Commit | None = None) -> Commit:
         """Stage ``df`` as the whole content of the partitions ``values``: those
         without a row end, all others stay as they are."""
-        now = self._existing(df)
+        now = now or self._existing(df)
         version = uuid.uuid4().hex
         self._write(df.select(*now.schema.names), version, now.partition, order)
         new, values = self._folders(version, now.partition), set(values)
@@ -161,7 +182,7 @@ class VersionedTable:
         return Commit(now.number + 1, now.schema, now.partition, {k: v for k, v in now.folders.items() if k not in values} | new)
 
     def replace_partitions(self, df: DataFrame, values: Iterable[str], order: Sequence[str] = ()) -> Commit:
-        return self._publish(self.stage_partitions(df, values, order))
+        return self.publish(self.stage_partitions(df, values, order))
 
     def stage_merge(self, df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> Commit:
         """Stage the rows of ``df`` in place of those with the same ``keys``.
@@ -180,7 +201,7 @@ class VersionedTable:
         return Commit(now.number + 1, now.schema, now.partition, now.folders | new)
 
     def merge(self, df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> Commit:
-        return self._publish(self.stage_merge(df, keys, order))
+        return self.publish(self.stage_merge(df, keys, order))
 
     def _existing(self, df: DataFrame) -> Commit:
         now = self.commit()
@@ -194,26 +215,33 @@ class VersionedTable:
         """Delete the folders that none of the last ``keep`` commits names, and
         the commits before those; returns the versions that went whole. Not to
         be run while a writer works or a reader holds an older commit."""
-        numbers = self._numbers()
+        numbers = self.log.numbers()
         kept = {f for n in numbers[-keep:] for f in self.commit(n).folders.values()}
-        versions = {f.split("/")[0] for f in kept}
-        gone = []
-        for status in self._fs.listStatus(self._path(self.path)):
-            name = status.getPath().getName()
-            if not name.startswith(f"{VERSION_COLUMN}="):
-                continue
-            if name not in versions:
-                self._fs.delete(status.getPath(), True)
-                gone.append(name)
-            elif name not in kept:
-                for part in self._fs.listStatus(status.getPath()):
-                    if part.isDirectory() and f"{name}/{part.getPath().getName()}" not in kept:
-                        self._fs.delete(part.getPath(), True)
+        gone = drop_versions(self.log, self.log.hadoop_path(), kept)
         for n in numbers[:-keep]:
-            self._fs.delete(self._path(self._commit_path(n)), False)
+            self.log.forget(n)
         return gone
 
 
+def drop_versions(log: CommitLog, folder, kept: set[str]) -> list[str]:
+    """Delete the version folders below ``folder`` that are not ``kept``, whole
+    or by partition."""
+    versions = {f.split("/")[0] for f in kept}
+    gone = []
+    for status in log.fs.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.startswith(f"{VERSION_COLUMN}="):
+            continue
+        if name not in versions:
+            log.fs.delete(status.getPath(), True)
+            gone.append(name)
+        elif name not in kept:
+            for part in log.fs.listStatus(status.getPath()):
+                if part.isDirectory() and f"{name}/{part.getPath().getName()}" not in kept:
+                    log.fs.delete(part.getPath(), True)
+    return gone
+
+
 def read_table(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
     """The table at ``path`` as of a commit, by default the current one."""
     return VersionedTable(spark, path).read(number)
