@@ -12,14 +12,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.operators import adapters, checks, quality, reservations
 from staylens.operators.kpis import FACT_COLUMNS
+from staylens.plans.incremental import MartStore
 from staylens.plans.marts import Marts
-from staylens.schemas import CONTRACT_STATUSES
+from staylens.schemas import CONTRACT_STATUSES, NATIVE_EVENT
 from staylens.sources import testdata
+from staylens.sources.envelope import read_records
+from staylens.sources.feeds import NATIVE_ENVELOPE_KEY
 from staylens.sources.landing import land, landing_root, remove
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +57,48 @@ _LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _ROOTS: list[tuple[SparkSession, str]] = []
 
 
+_STORES: dict[tuple[str, str], MartStore] = {}
+
+
+def store_for(spark: SparkSession, sf_dir: str) -> MartStore:
+    """A store that got the feeds of one data folder in three batches, built
+    once per session. Which batch a row comes with does not depend on its time,
+    so snapshots come late and bookings in parts."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        root = landing_root(spark, f"{sf_dir}-store-{uuid.uuid4().hex}")
+        store = MartStore(spark, root, marts_for(spark, sf_dir).inventory)
+        feeds = landed_feeds(spark, sf_dir)
+        for batch in range(3):
+            store.apply({s: df.where(F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(3)) == batch) for s, df in feeds.items()})
+        _STORES[key] = store
+        _ROOTS.append((spark, root))
+    return _STORES[key]
+
+
+def envelopes(spark: SparkSession, sf_dir: str) -> str:
+    """The native feed as enveloped JSON documents, one a partition: the folder."""
+    def wrap(batches):
+        before = '{"data": ['
+        for batch in batches:
+            lines = []
+            for record in batch["value"].to_pylist():
+                lines, before = [*lines, before, record], ","
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": pa.array(['{"data": []}' if before != "," else "]}"], pa.string())})
+
+    root = landing_root(spark, f"{sf_dir}-envelopes-{uuid.uuid4().hex}")
+    feed = landed_feeds(spark, sf_dir)["native"]
+    feed.select(F.to_json(F.struct(*feed.columns), {"ignoreNullFields": "false"}).alias("value")).mapInArrow(wrap, "value string").write.text(f"{root}/docs")
+    _ROOTS.append((spark, root))
+    return f"{root}/docs"
+
+
 def reset() -> None:
     """Delete built marts and landed feeds: the next query rebuilds them."""
+    for store in _STORES.values():
+        store.close()
+    _STORES.clear()
     for marts in _MARTS.values():
         marts.drop()
     for spark, root in _ROOTS:
@@ -94,6 +138,11 @@ def q_adapter_native(spark, sf_dir):
     return _flat_contract(adapters.adapt_native(landed_feeds(spark, sf_dir)["native"]))
 
 
+def q_enveloped_feed(spark, sf_dir):
+    """The native feed written as enveloped documents, read in ranges."""
+    return _flat_contract(adapters.adapt_native(read_records(spark, envelopes(spark, sf_dir), NATIVE_ENVELOPE_KEY, NATIVE_EVENT)))
+
+
 def q_adapter_cloud(spark, sf_dir):
     return _flat_contract(adapters.adapt_cloud(landed_feeds(spark, sf_dir)["cloud"]))
 
@@ -189,6 +238,17 @@ def q_kpi_report(spark, sf_dir):
                                            testdata.REPORT_TO)
 
 
+# --- marts kept up batch by batch ----------------------------------------------
+def q_incremental_kept(spark, sf_dir):
+    """Latest snapshots after three batches, merged onto the stored ones."""
+    return _flat_contract(store_for(spark, sf_dir).kept())
+
+
+def q_incremental_fact(spark, sf_dir):
+    """The fact after three batches, from cells that were retracted and added to."""
+    return store_for(spark, sf_dir).fact(marts_for(spark, sf_dir).capacity).select(*FACT_COLUMNS)
+
+
 # --- data-quality marts --------------------------------------------------------
 def q_event_watermarks(spark, sf_dir):
     return marts_for(spark, sf_dir).watermarks
@@ -311,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "adapter_nordic_vat": q_adapter_nordic_vat,
     "adapter_nordic_regroup": q_adapter_nordic_regroup,
     "adapter_cloud": q_adapter_cloud,
+    "enveloped_feed": q_enveloped_feed,
     "validity_flags": q_validity_flags,
     "clean_inventory": q_clean_inventory,
     "clean_manifest": q_clean_manifest,
@@ -324,6 +385,8 @@ QUERIES: dict[str, Query] = {
     "hotel_capacity": q_hotel_capacity,
     "fct_daily_kpis": q_fct_daily_kpis,
     "kpi_report": q_kpi_report,
+    "incremental_kept": q_incremental_kept,
+    "incremental_fact": q_incremental_fact,
     "event_watermarks": q_event_watermarks,
     "data_freshness": q_data_freshness,
     "availability_spine": q_availability_spine,

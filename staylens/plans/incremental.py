@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,15 +41,12 @@ from staylens.schemas import CONTRACT, CONTRACT_STATUSES
 from staylens.session import ensure_checkpoint_dir
 from staylens.sinks.files import NIGHT_ORDER, PARTITION_COLUMN
 from staylens.sinks.versioned import VERSION_COLUMN, Commit, CommitLog, VersionedTable, by_month, drop_versions
+from staylens.sources.feeds import empty_feed
 from staylens.sources.landing import remove
 
 KEY = ["hotel_id", "reservation_id"]
 SOURCE_KEY = [*KEY, "source_system"]
 SNAPSHOT = [c for c in CONTRACT.names if c != "is_valid"]
-FLAT_SCHEMA = T.StructType([T.StructField("hotel_id", T.StringType()), T.StructField("reservation_id", T.StringType()), T.StructField("status", T.StringType()),
-                            T.StructField("arrival_date", T.DateType()), T.StructField("departure_date", T.DateType()), T.StructField("stay_night", T.DateType()),
-                            T.StructField("room_type_id", T.StringType()),
-                            *[T.StructField(c, T.DecimalType(38, 6)) for c in ("room_gross", "room_net", "fnb_gross", "fnb_net")]])
 CELLS = "hotel_id string, night date, n_rows long, occupied_rooms long, revenue decimal(38,6)"
 
 
@@ -81,6 +79,12 @@ class MartStore:
     def _commit_of(self, state: dict, name: str) -> Commit | None:
         return Commit.of(0, state[name]) if state else None
 
+    @cached_property
+    def _flat_schema(self) -> T.StructType:
+        """Columns of the flat rows; the scale of an amount shows in its text,
+        so types are those of the projection."""
+        return adapters.nordic_nights(empty_feed(self.spark, "nordic")).schema
+
     def _plain(self, state: dict, name: str, schema) -> DataFrame:
         commit = self._commit_of(state, name)
         if commit is None:
@@ -114,7 +118,7 @@ class MartStore:
 
     def flat_items(self, number: int | None = None) -> DataFrame:
         """The line items of bookings that have flat rows."""
-        return adapters.nordic_line_items(self._plain(self._state(number)[1], "flat", FLAT_SCHEMA))
+        return adapters.nordic_line_items(self._plain(self._state(number)[1], "flat", self._flat_schema))
 
     def cells(self, number: int | None = None) -> DataFrame:
         return self._plain(self._state(number)[1], "cells", CELLS)
@@ -140,9 +144,9 @@ class MartStore:
             df.write.parquet(f"{aside}/{name}")
             return self.spark.read.schema(df.schema).parquet(f"{aside}/{name}")
 
-        old_flat = self._plain(state, "flat", FLAT_SCHEMA)
+        old_flat = self._plain(state, "flat", self._flat_schema)
         new_rows = written(adapters.nordic_nights(feeds["nordic"]).where("hotel_id IS NOT NULL AND reservation_id IS NOT NULL")
-                           .select(*[F.col(f.name).cast(f.dataType) for f in FLAT_SCHEMA]), "flat") if "nordic" in feeds else old_flat.limit(0)
+                           .select(*self._flat_schema.names), "flat") if "nordic" in feeds else old_flat.limit(0)
         changes = written(self._changes(feeds, old_flat, new_rows), "changes")
         keys = written(changes.select(*KEY).distinct(), "keys")
 

@@ -447,6 +447,7 @@ SELECT hotel_id, reservation_id, status, arrival_date, departure_date, stay_nigh
 SELECT hotel_id, reservation_id, stay_night, room_type_id, {_money('room_gross')}, {_money('room_net')},
        {_money('fnb_gross')}, {_money('fnb_net')} FROM x_nor_n"""),
     "adapter_nordic_regroup": (["x_nor"], _flat("x_nor", extra=_validity("x_nor"))),
+    "enveloped_feed": (["x_nat"], _flat("x_nat", extra=_validity("x_nat"))),
     "adapter_cloud": (["x_cld"], _flat("x_cld", extra=_validity("x_cld"))),
     "validity_flags": (["x_uni"], """
 SELECT source_system, status, is_valid, count(*) AS n_events FROM x_uni GROUP BY source_system, status, is_valid"""),
@@ -455,6 +456,7 @@ SELECT source_system, status, is_valid, count(*) AS n_events FROM x_uni GROUP BY
     "clean_market": (["x_mkt"], "SELECT hotel_id, night, comp_rate_index, local_event, has_local_event FROM x_mkt"),
     "unified_feed": (["x_uni"], _flat("x_uni", extra=", is_valid")),
     "dedup_latest": (["x_kept"], _flat("x_kept", extra=", counts_for_occupancy")),
+    "incremental_kept": (["x_kept"], _flat("x_kept", extra=", counts_for_occupancy")),
     "line_item_validation": (["x_items"], f"""
 SELECT hotel_id, reservation_id, room_type_id, sd_start, sd_end, {_money('room_net')}, {_money('fnb_net')},
        {_ITEM_OK} AS is_valid_item FROM x_items"""),
@@ -469,6 +471,7 @@ SELECT hotel_id, reservation_id, night, status, counts_for_occupancy, room_type_
        CAST(total_net_revenue AS DOUBLE) AS total_net_revenue FROM x_rnights"""),
     "hotel_capacity": (["x_cap"], "SELECT hotel_id, total_rooms FROM x_cap"),
     "fct_daily_kpis": (["x_fact"], "SELECT * EXCLUDE (net_revenue_exact) FROM x_fact"),
+    "incremental_fact": (["x_fact"], "SELECT * EXCLUDE (net_revenue_exact) FROM x_fact"),
     "kpi_report": (["x_report"], 'SELECT * FROM x_report ORDER BY "NIGHT_OF_STAY" DESC'),
     "event_watermarks": (["x_wm"], "SELECT * FROM x_wm"),
     "data_freshness": (["x_fresh"], "SELECT * FROM x_fresh"),

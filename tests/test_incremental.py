@@ -37,7 +37,7 @@ def _nordic(rng, n, keys=12):
         night = a + dt.timedelta(rng.randint(-1, 3))
         text = lambda d: f"{d:%d.%m.%Y}"
         rows.append((LODGE, rng.choice(["", f"r{rng.randint(0, keys)}", f"n{rng.randint(0, keys)}"]) or None, rng.choice(["OK", "CXL", "OUT", "bad"]), text(a), text(a + dt.timedelta(3)),
-                     text(night), rng.choice(["QN", "TW", "XX"]), "EUR", str(rng.randint(10, 99)), "1", ""))
+                     text(night), rng.choice(["QN", "TW", "XX"]), "EUR", str(rng.randint(10, 99)), "1", rng.choice(["", "17.30", "5"])))
     return rows
 
 
