@@ -12,7 +12,7 @@ from staylens.schemas import CONTRACT_STATUSES, LINE_ITEM_FIELDS
 FIELD_SEPARATOR = ","
 SUM_SEPARATOR = ":"
 NULL_TOKEN = "\\N"
-HASH_SUM = "decimal(38,0)"
+HASH_PARTS = 4
 
 
 def is_valid_reservation() -> Column:
@@ -36,17 +36,16 @@ def is_valid_reservation() -> Column:
     return F.coalesce(rule, F.lit(False))
 
 
-def item_hashes(item: Column) -> Column:
-    """Two 60-bit numbers of one line item, cut from the md5 of its text."""
-    digest = F.md5(item_text(item))
-    return F.struct(*[F.conv(F.substring(digest, at, 15), 16, 10).cast(HASH_SUM).alias(name) for name, at in (("h1", 1), ("h2", 16))])
+def digest_parts(digest: Column) -> list[Column]:
+    """The md5 of a line item's text as four 32-bit numbers."""
+    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(HASH_PARTS)]
 
 
-def fingerprint_of_sums(h1: Column, h2: Column, n: Column) -> Column:
+def fingerprint_of_sums(sums: list[Column], n: Column) -> Column:
     """Fingerprint of a multiset of line items (snapshot tie-break): md5 of the
-    sums of their hashes and their count. Sums commute, so items never have to
-    meet in order or in one list; partial sums of any grouping do."""
-    return F.md5(F.concat_ws(SUM_SEPARATOR, h1.cast("string"), h2.cast("string"), n.cast("string")))
+    sums of their `digest_parts` and their count. Sums commute, so items never
+    have to meet in order or in one list; partial sums of any grouping do."""
+    return F.md5(F.concat_ws(SUM_SEPARATOR, *[s.cast("string") for s in sums], n.cast("string")))
 
 
 def stay_dates_fingerprint(c="stay_dates") -> Column:
@@ -56,10 +55,11 @@ def stay_dates_fingerprint(c="stay_dates") -> Column:
     taken from an engine's own rendering of nested values.
     """
     items = F.col(c) if isinstance(c, str) else c
-    zero = F.lit(0).cast(HASH_SUM)
-    sums = F.aggregate(F.transform(items, item_hashes), F.struct(zero.alias("h1"), zero.alias("h2")),
-                       lambda acc, x: F.struct((acc["h1"] + x["h1"]).cast(HASH_SUM).alias("h1"), (acc["h2"] + x["h2"]).cast(HASH_SUM).alias("h2")))
-    return F.when(items.isNotNull(), fingerprint_of_sums(sums["h1"], sums["h2"], F.size(items)))
+    zero = F.lit(0).cast("long")
+    return F.aggregate(
+        F.transform(items, lambda x: F.md5(item_text(x))), F.array(*[zero] * HASH_PARTS),
+        lambda acc, digest: F.array(*[acc[i] + part for i, part in enumerate(digest_parts(digest))]),
+        lambda acc: fingerprint_of_sums([acc[i] for i in range(HASH_PARTS)], F.size(items)))
 
 
 def item_text(item: Column) -> Column:

@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.contract import fingerprint_of_sums, is_valid_reservation, item_hashes, stay_dates_fingerprint
+from staylens.functions.contract import digest_parts, fingerprint_of_sums, is_valid_reservation, item_text, stay_dates_fingerprint
 from staylens.functions.parsing import (
     offset_instant, parse_date, parse_date_dmy, parse_money, parse_offset_timestamp, parse_timestamp,
 )
@@ -129,13 +129,15 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
     each such row becomes its own (invalid) reservation.
     """
     keyless = F.col("hotel_id").isNull() | F.col("reservation_id").isNull()
-    hashed = nights.withColumn("_row", F.when(keyless, F.monotonically_increasing_id())).withColumn("_hash", item_hashes(nordic_item()))
+    hashed = nights.withColumn("_row", F.when(keyless, F.monotonically_increasing_id())).withColumn("_digest", F.md5(item_text(nordic_item())))
+    # a sum over any number of rows, so not a long
+    sums = [F.sum(part.cast("decimal(20,0)")).alias(f"_sum{i}") for i, part in enumerate(digest_parts(F.col("_digest")))]
     grouped = hashed.groupBy("hotel_id", "reservation_id", "_row").agg(
         F.min("status").alias("status"),
         F.min("arrival_date").alias("arrival_date"),
         F.max("departure_date").alias("departure_date"),
         F.count(F.lit(1)).alias("n_items"),
-        *[F.sum(f"_hash.{h}").alias(h) for h in ("h1", "h2")],
+        *sums,
     )
     first_arrival = F.col("arrival_date").cast("timestamp_ntz")
     return _finish(grouped.select(
@@ -146,7 +148,7 @@ def regroup_nordic(nights: DataFrame) -> DataFrame:
         first_arrival.alias("updated_instant"),
         F.lit(None).cast(CONTRACT["stay_dates"].dataType).alias("stay_dates"),
         "n_items",
-        fingerprint_of_sums(F.col("h1"), F.col("h2"), F.col("n_items")).alias("items_md5"),
+        fingerprint_of_sums([F.col(f"_sum{i}") for i in range(len(sums))], F.col("n_items")).alias("items_md5"),
     ))
 
 

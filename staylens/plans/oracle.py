@@ -59,10 +59,10 @@ def _item_text(v: str) -> str:
 
 
 def _fingerprint(col: str) -> str:
-    """md5 of two sums of 60-bit item hashes and the number of items."""
-    h = [f"coalesce(list_sum(list_transform({col}, lambda x: CAST('0x' || substr(md5({_item_text('x')}), {at}, 15) AS HUGEINT))), 0)"
-         for at in (1, 16)]
-    return f"(CASE WHEN {col} IS NOT NULL THEN md5({h[0]}::VARCHAR || ':' || {h[1]}::VARCHAR || ':' || len({col})::VARCHAR) END)"
+    """md5 of the sums of the four 32-bit parts of the items' md5 and their number."""
+    sums = [f"coalesce(list_sum(list_transform({col}, lambda x: CAST('0x' || substr(md5({_item_text('x')}), {1 + 8 * i}, 8) AS HUGEINT))), 0)::VARCHAR"
+            for i in range(4)]
+    return f"(CASE WHEN {col} IS NOT NULL THEN md5(concat_ws(':', {', '.join(sums)}, len({col})::VARCHAR)) END)"
 
 
 _STATUSES = ", ".join(f"'{s}'" for s in CONTRACT_STATUSES)
