@@ -31,6 +31,13 @@ def remainder(id_col, n: int):
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def text_mark(text):
+    """16 bytes (md5) that tell a text from others, null counting as empty: rows
+    are told apart by their id and this mark, so unlike texts under one id, or
+    without an id, stay apart and equal ones count as one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b long).
 

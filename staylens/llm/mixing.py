@@ -16,8 +16,9 @@ source with a third of all rows is spread over many tasks.
 Defined results: a null or empty text has 0 words and is never taken; a null
 source is a source of its own, the last; a null id shuffles like an empty one;
 equal rows each wait for themselves; an empty table gives an empty result.
-Other columns of the input pass through untouched; only the added columns
-(`size`, `source_size`, `target`, ...) must not exist in it.
+Other columns of the input pass through untouched, whatever their names in
+`mixture`; `mix` takes the place of columns with the names that it adds
+(`source_no`, `source_size`, `target`, `finish`, `copies`).
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.llm.common import text_mark
+
 WEIGHTS = (3, 1, 2)
 
 
@@ -73,7 +76,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, repeat
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size",
-        weights=WEIGHTS, share: float = 1.5, repeats: int = 2, range_rows: int = 8192) -> DataFrame:
+        weights=WEIGHTS, share: float = 1.5, repeats: int = 2, range_rows: int = 8192, tie_col: str | None = None) -> DataFrame:
     """Serve ``docs`` by weighted fair queueing and add `source_size`, `target`,
     `finish` (virtual finish time of the first copy) and `copies` (0 to
     ``repeats``: how many copies the mix takes).
@@ -81,8 +84,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     ``docs`` carries its word count in ``size_col``. A later copy of a document
     waits a whole pass of its source behind the earlier one. The mix is the
     longest prefix of all copies, ordered by finish time, whose words fit the
-    budget. ``range_rows`` is the mean number of rows ordered together.
+    budget. ``range_rows`` is the mean number of rows ordered together;
+    ``tie_col`` orders rows of one id and size. Columns of ``docs`` with the
+    names of added ones are replaced.
     """
+    docs = docs.drop(*[c for c in ("source_size", "source_no", "target", "finish", "copies") if c not in (id_col, source_col, size_col)])
     sizes = docs.select(F.col(source_col).alias("source"), F.col(size_col).alias("size"))
     targets = source_targets(sizes, weights, share, repeats)
     n_rows, words = docs.agg(F.count("*"), F.coalesce(F.sum(size_col), F.lit(0))).first()
@@ -97,7 +103,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     sums = keyed.groupBy("source_no", "_range").agg(F.sum(size_col).alias("_n"))
     earlier = W.partitionBy("source_no").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select("source_no", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = W.partitionBy("source_no", "_range").orderBy("_key", size_col).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source_no", "_range").orderBy("_key", size_col, *[tie_col] * (tie_col is not None)).rowsBetween(W.unboundedPreceding, 0)
     queued = (keyed.join(sums, ["source_no", "_range"])
               .withColumn("_cum", F.col("_before") + F.sum(size_col).over(inside)).drop("_before"))
 
@@ -145,10 +151,14 @@ def _last_served(entries: DataFrame, budget: int, n_ranges: int):
     return entries.filter(F.col("slot") < over["slot"]).agg(F.max("e").alias("e")).first()["e"]
 
 
-def mixture(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def mixture(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The mixed corpus: one row per taken copy of a document, the columns of
-    ``docs`` plus `copy` (from 1). Documents of which nothing is taken go."""
-    sized = docs.withColumn("_size", word_count(F.col(text_col)))
-    mixed = mix(sized, size_col="_size", **options).filter(F.col("copies") > 0)
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns],
+    ``docs`` plus `copy` (from 1; a column of that name in ``docs`` goes).
+    Documents of which nothing is taken go. Of rows with one id and size the
+    text's `text_mark` decides which waits first."""
+    # columns of any name ride along in one struct
+    packed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"),
+                         text_mark(F.col(f"`{text_col}`")).alias("_mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    mixed = mix(packed, tie_col="_mark", **options).filter(F.col("copies") > 0)
+    return mixed.select(*[F.col(f"_doc.`{c}`") for c in docs.columns if c != "copy"],
                         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
