@@ -144,7 +144,8 @@ def _join_length(classes: DataFrame, n: int, threshold: float, cell_size: int, m
         to = pa.array(np.concatenate([np.zeros(some.sum(), np.int64), edges[:, 1]]))
         return pa.table({"node": pa.array(yield_node), "links": got, "to": to})
 
-    return (classes.mapInArrow(deal, "cell long, sub long, chunk long, home boolean, node long, n long, vec array<float>")
+    kind = classes.schema["vec"].dataType.simpleString()
+    return (classes.mapInArrow(deal, f"cell long, sub long, chunk long, home boolean, node long, n long, vec {kind}")
             .groupBy("cell", "sub", "chunk").applyInArrow(compare, "node long, links long, to long"))
 
 
@@ -162,7 +163,8 @@ def _linked(x, raw, ai, bj, threshold: float) -> np.ndarray:
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95,
                     cell_size: int = 4096, max_pivots: int = 256) -> DataFrame:
     """One row per vector: (id, n_links, component_id, kept)."""
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec"))
+    kind = "array<float>" if vectors.schema[vec_col].dataType.elementType.simpleString() == "float" else "array<double>"
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast(kind).alias("vec"))
     good = rows.filter(_usable(F.col("vec")))
     classes = written(good.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("least"))
                       .withColumn("node", F.monotonically_increasing_id()), "vector-classes")
