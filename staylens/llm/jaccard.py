@@ -22,7 +22,7 @@ Defined results: words are runs of bytes other than white space; a text under
 ``shingle`` words (null and empty too) has no shingle and links with nothing;
 equal rows are copies of one another; texts are read whole; an empty table
 gives an empty result; other columns are ignored. Rows are told apart by (id,
-crc32 of the text).
+crc: the text's `text_mark`).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import components, forest, written
+from staylens.llm.common import components, forest, text_mark, written
 
 COORDS, SMALL, BLOCK, CHILDREN, SHRINK = 64, 256, 1024, 2, 0.5
 _rng = np.random.default_rng(20240229)
@@ -84,7 +84,7 @@ def _embed(docs: DataFrame, k: int) -> DataFrame:
                     ["id", "crc", "key", "size", "tokens"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(embed, f"id {kind}, crc long, key binary, size long, tokens binary")
+    return docs.mapInArrow(embed, f"id {kind}, crc binary, key binary, size long, tokens binary")
 
 
 def _split(rows: DataFrame, first: bool, runs: int) -> DataFrame:
@@ -185,7 +185,8 @@ def _pairs_allowed(t) -> np.ndarray:
 
 def _candidates(threshold: float):
     """Members of a cell with a partner of enough agreeing tokens."""
-    least = COORDS * threshold - 5 * np.sqrt(COORDS * threshold * (1 - threshold))
+    # a pair at the threshold agrees in fewer with a probability under 1e-11
+    least = COORDS * threshold - 7.5 * np.sqrt(COORDS * threshold * (1 - threshold))
 
     def fn(t):
         x = np.frombuffer(b"".join(t.column("tokens").to_pylist()), np.uint32).reshape(-1, COORDS)
@@ -275,7 +276,7 @@ def _send_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
 
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), text_mark(text).alias("crc"), text.alias("text"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
@@ -326,12 +327,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the one of least
-    (id, crc32 of the text); rows without shingles all stay."""
+    (id, mark of the text); rows without shingles all stay."""
     found = written(near_duplicates(docs, id_col, text_col, **options), "shingle-groups")
     keep = (found.filter("has_shingles").groupBy("component").agg(F.min(F.struct("id", "crc")).alias("k"))
             .select(F.col("k.id").alias("_id"), F.col("k.crc").alias("_crc"), F.lit(True).alias("_one")))
     keep = keep.union(found.filter("not has_shingles").select("id", "crc").distinct().withColumn("_one", F.lit(False)))
-    crc = F.crc32(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))
+    crc = text_mark(F.col(f"`{text_col}`"))
     kept = docs.withColumn("_crc_of", crc).join(
         keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_crc_of") == F.col("_crc")))
     # equal rows of the chosen text are one; rows without shingles all stay

@@ -20,7 +20,7 @@ gives the counts of pair counts, the second scores; both read the same shuffle.
 Defined results: words are runs of bytes other than white space, A-Z folded;
 null and empty texts are one end token; without training rows every word is
 unknown and the score is 0 a token; texts are read whole; equal rows get equal
-scores; other columns are ignored. Rows are told apart by (id, crc32 of the
+scores; other columns are ignored. Rows are told apart by (id, xxhash64 of the
 text).
 """
 
@@ -331,7 +331,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     ``train`` holds: (id, train, n_tokens, n_known, train_tokens, base_score,
     score), logarithms to base 10."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.crc32(text.cast("binary")).alias("crc"), train.alias("train"), text.alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("crc"), train.alias("train"), text.alias("text"))
     counts = written(word_counts(texts.filter("train")), "word-counts")
     level = word_level(counts)
     frequent = counts.filter(F.col("c") > max(1, level.n // HOT_SHARE)).select("word").collect()

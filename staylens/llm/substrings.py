@@ -24,7 +24,7 @@ Windows are compared by 64-bit hashes of word sequences, split by a second
 Defined results: words are the runs of bytes other than white space; null and
 empty texts have none; a text under n words has no window; occurrences in one
 text, in equal rows, and overlapping ones all count; texts are read whole; an
-empty table gives an empty result. Rows are told apart by (id, crc32 of the
+empty table gives an empty result. Rows are told apart by (id, md5 of the
 text); rows equal in both get the same result. Other columns are ignored.
 """
 
@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import written
+from staylens.llm.common import text_mark, written
 
 #: Runs of one sub-window up to which they are compared in one group (some ten
 #: MB), and the mean number of runs that share a group.
@@ -130,13 +130,15 @@ def _level(docs: DataFrame, n: int, length: int) -> DataFrame:
                      pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))], ["sub", "id", "crc", "lo", "n"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(emit, f"sub long, id {kind}, crc long, lo int, n int")
+    return docs.mapInArrow(emit, f"sub long, id {kind}, crc binary, lo int, n int")
 
 
 def _survivors(level: DataFrame) -> DataFrame:
     """Per text, the runs whose sub-window occurs more than once: (id, crc,
     runs of (lo, n, hot))."""
-    often = level.groupBy("sub").agg(F.count("*").alias("c")).filter("c > 1")
+    # a table, so that both sides of the join are dealt out for it alone and a
+    # frequent sub-window can be split
+    often = written(level.groupBy("sub").agg(F.count("*").alias("c")).filter("c > 1"), "often")
     return (level.join(often, "sub").groupBy("id", "crc")
             .agg(F.collect_set(F.struct("lo", "n", (F.col("c") > HOT).alias("hot"))).alias("runs")))
 
@@ -216,13 +218,13 @@ def _last_level(docs: DataFrame, n: int, length: int, blocks: int) -> DataFrame:
                      pa.array(first.astype(np.int32)), pa.array([w.view(np.int64) for w in windows], pa.list_(pa.int64()))],
                     ["sub", "key", "id", "crc", "lo", "hashes"])
 
-    plain = (docs.mapInArrow(emit, f"block long, sub long, id {kind}, crc long, lo int, hashes array<long>")
-             .groupBy("block").applyInArrow(judge, f"id {kind}, crc long, lo int, n int")
+    plain = (docs.mapInArrow(emit, f"block long, sub long, id {kind}, crc binary, lo int, hashes array<long>")
+             .groupBy("block").applyInArrow(judge, f"id {kind}, crc binary, lo int, n int")
              .select("id", "crc", F.array(F.struct("lo", "n")).alias("spans")))
     # frequent sub-windows: equal runs are one kind, so a passage in very many
     # texts is counted and looked up once, and texts get one row a run
     hot = docs.filter(F.exists("runs", lambda r: r["hot"])).mapInArrow(
-        emit_hot, f"sub long, key long, id {kind}, crc long, lo int, hashes array<long>")
+        emit_hot, f"sub long, key long, id {kind}, crc binary, lo int, hashes array<long>")
     kinds = hot.groupBy("sub", "key", "hashes").agg(F.count("*").alias("c"))
     windows = kinds.select("sub", "key", "c", F.posexplode("hashes").alias("j", "whole"))
     often = windows.groupBy("sub", "whole").agg(F.sum("c").alias("c")).filter("c > 1").drop("c")
@@ -235,7 +237,7 @@ def _last_level(docs: DataFrame, n: int, length: int, blocks: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 35, first: int = 18):
     """(docs as (id, crc, text, ...), repeated windows per text): the second is
     (id, crc, spans) with spans the list of (first window, windows in a row)."""
-    keyed = docs.select(F.col(id_col).alias("id"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"),
+    keyed = docs.select(F.col(id_col).alias("id"), text_mark(F.col(text_col)).alias("crc"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lengths = level_lengths(n, first)
     alive, runs = keyed, None
@@ -289,7 +291,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of them is empty; untouched texts and the number of rows stay as they are."""
     _, spans = repeated_windows(docs, id_col, text_col, n, first)
     r = spans.select(F.col("id").alias("_id"), F.col("crc").alias("_crc"), F.col("spans").alias("_spans"))
-    crc = F.crc32(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+    crc = text_mark(docs[text_col])
     joined = docs.join(r, docs[id_col].eqNullSafe(r["_id"]) & (crc == r["_crc"]), "left")
 
     @F.arrow_udf("string")
