@@ -38,6 +38,51 @@ def test_main_text(page, text):
     assert htmltext.extract(page, *WEIGHTS) == text
 
 
+LONG = "<p>" + "good words here now " * 10 + "</p>"
+PLAIN = " ".join("good words here now".split() * 10)
+
+
+@pytest.mark.parametrize("page,text", [
+    # names that speak about other blocks, or that stand around the whole page
+    (f'<body><div class="page with-sidebar"><nav>menu</nav><article><h1>T</h1>{LONG}</article><div class="sidebar">side bar</div></div>', f"T\n{PLAIN}"),
+    (f'<div class="post comments-open"><h1>T</h1>{LONG}<section class="comments">{LONG * 3}</section></div>', f"T\n{PLAIN}"),
+    (f'<form id="page-form">{LONG}<p>end</p><div class="newsletter-signup"><p>your mail</p></div></form>', f"{PLAIN}\nend"),
+    (f'<div class="sidebar-layout"><main>{LONG}</main><div class="cookie-notice"><p>we use them</p></div></div>', PLAIN),
+    (f'{LONG}<div class="comment-list"><article><p>I like it a lot</p></article></div>', PLAIN),
+    # short blocks at the ends
+    (f"<article>{LONG}<h2>See</h2><ul><li>one</li><li>two</li></ul></article><p>imprint</p>", f"{PLAIN}\nSee\none\ntwo"),
+    (f"<article><p>Hi.</p><div>{'x y ' * 30}</div><table><tr><td>Ok.</td></tr></table><blockquote>q</blockquote><pre>a  b</pre><p>Ok.</article>",
+     f"Hi.\n{' '.join(['x y'] * 30)}\nOk.\nq\na b\nOk."),
+    (f"<p>Hi.</p><blockquote>q</blockquote>{LONG}<h2>More</h2><ul><li>one</ul><p>Ok.</p>", f"Hi.\nq\n{PLAIN}\nMore\none\nOk."),
+    (f"{LONG}<h2>Related</h2><ul><li><a href=x>other page</a></ul><div>imprint</div>", PLAIN),
+    # quotes: only after an equals sign, and only if something closes them
+    ("<a title=\"it's>ok\" x='a\">b'>t</a><p>one two three four</p>", "one two three four"),
+    ("<p class=\"x>one two three</p><p>four five six</p>", "one two three\nfour five six"),
+    ("<p don't>one two three</p><p can't>four five six</p>", "one two three\nfour five six"),
+    ("<p hidden>gone words</p><p/>\n<p>kept words<br/>of it", "kept words\nof it"),
+])
+def test_regions(page, text):
+    assert htmltext.extract(page, *WEIGHTS) == text
+
+
+@pytest.mark.parametrize("part", ["<div>", '<a x="', "<a b='x ", "<li><div>", "<b>", "<", "<!--", "<a ", " / ", "<p a=", "<td><table>", "</p>", "<script>", "=", "<p>a "])
+def test_time_grows_with_the_page(part):
+    import time
+    times = []
+    for n in (25_000, 100_000):
+        start = time.process_time()
+        htmltext.extract("<p " + part * n, *WEIGHTS)
+        htmltext.extract(part * n, *WEIGHTS)
+        times.append(time.process_time() - start)
+    assert times[1] < 10 and times[1] < 9 * times[0] + 0.5
+
+
+def test_every_word_of_a_long_page_comes_back():
+    words = [f"w{i}" for i in range(300_000)]
+    paras = [" ".join(words[i:i + 50]) for i in range(0, len(words), 50)]
+    assert htmltext.extract("<article><p>" + "</p><p>".join(paras) + "</article>", *WEIGHTS) == "\n".join(paras)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/pbr &;a'\"=!-x ", max_size=60))
 def test_any_text_is_a_page(page):
