@@ -1,11 +1,11 @@
 """License scans with ordered signature rules.
 
-Rules are regular expressions over the lower-cased text, generated from a list
-of license families and of the phrases that name a license. A rule runs only
-where its keywords occur (keyword prefilter); they are read off its own pattern,
-so that no match lacks them. Detections are ordered by rule
-priority; one that lies inside the interval of an earlier, better one is
-suppressed, and what is left gives the labels.
+Rules are the hand-written regular expressions of `signatures`, over the
+lower-cased text. A rule runs only where its keywords occur (keyword prefilter);
+they are read off its own pattern, so that no match lacks them. Detections are
+ordered by priority: the rule's weight, then the longer one, then the place in
+the list. One that lies inside the interval of a better one is suppressed, in one
+sweep over the ordered detections, and what is left gives the labels.
 
 Base phrases are exact word sequences. Their places are always kept: a phrase
 is found through the words themselves, whatever stands between them.
@@ -27,6 +27,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.signatures import signatures
+
 #: Base phrases and their labels (fixed values of the contract).
 BASE = (
     ("under the mit license", "mit"),
@@ -34,56 +36,6 @@ BASE = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: Families: label stem, names as regex, versions ("" for none).
-FAMILIES = (
-    ("mit", r"mit|expat", ("",)),
-    ("apache", r"apache(?: software)?", ("", "1.0", "1.1", "2.0")),
-    ("bsd", r"(?:simplified |modified |new )?bsd", ("", "2-clause", "3-clause", "4-clause")),
-    ("gpl", r"gnu general public|gnu gpl|gpl", ("", "1", "2", "3")),
-    ("gpl", r"gnu general public|general public", ("", "1", "2", "3")),
-    ("lgpl", r"gnu (?:lesser|library) general public|lesser general public|(?:gnu )?lgpl", ("", "2", "2.1", "3")),
-    ("agpl", r"gnu affero general public|affero general public|(?:gnu )?agpl", ("", "1", "3")),
-    ("mpl", r"mozilla public|mpl", ("", "1.0", "1.1", "2.0")),
-    ("epl", r"eclipse public|epl", ("", "1.0", "2.0")),
-    ("cddl", r"common development and distribution|cddl", ("", "1.0", "1.1")),
-    ("isc", r"isc", ("",)),
-    ("zlib", r"zlib(?:/libpng)?", ("",)),
-    ("unlicense", r"unlicense", ("",)),
-    ("boost", r"boost software|bsl", ("", "1.0")),
-    ("artistic", r"artistic", ("", "1.0", "2.0")),
-    ("eupl", r"european union public|eupl", ("", "1.1", "1.2")),
-    ("osl", r"open software|osl", ("", "3.0")),
-    ("wtfpl", r"wtfpl|do what the f\S+ you want", ("", "2")),
-    ("ofl", r"sil open font|open font|ofl", ("", "1.1")),
-    ("odbl", r"open database|odbl", ("", "1.0")),
-    ("psf", r"python software foundation|psf", ("", "2")),
-    ("postgresql", r"postgresql", ("",)),
-    ("ms-pl", r"microsoft public|ms-pl", ("",)),
-    ("cc0", r"creative commons zero|cc0|cc-0|cc zero", ("", "1.0")),
-)
-CC_PARTS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
-CC_NAMES = {"by": "attribution", "sa": "share[- ]?alike", "nd": "no[- ]?deriv(?:ative)?s?(?: works)?",
-            "nc": "non[- ]?commercial"}
-CC_VERSIONS = ("", "1.0", "2.0", "2.5", "3.0", "4.0")
-
-#: Ways to name a license {n} of version {v}: (weight, regex). Ordered by trust.
-NAMED = (
-    (0.99, r"spdx-license-identifier:\s*(?:{n})(?:[- ]?v?{v})?"),
-    (0.95, r"(?:licensed|released|distributed|published|available|made available|redistributed)\s+under\s+(?:the\s+)?"
-           r"(?:terms\s+of\s+the\s+)?(?:{n})(?:\s+(?:license|licence))?[,;]?\s*(?:version\s+|v\.?\s*)?{v}(?:\s+(?:license|licence))?"),
-    (0.9, r"\b(?:{n})\s+(?:license|licence)[,;]?\s*(?:\(?the\s+\S+\s*)?(?:version\s+|v\.?\s*)?{v}"),
-    (0.7, r"\blicen[sc]e\s*[:=]\s*[\"']?(?:{n})[- ]?v?{v}"),
-)
-PLAIN = (
-    ("all-rights-reserved", 0.6, r"\ball\s+rights\s+reserved\b"),
-    ("public-domain", 0.8, r"\b(?:released|placed|dedicated)\s+(?:in)?to\s+the\s+public\s+domain\b"),
-    ("copyright", 0.4, r"(?:\bcopyright\s*(?:\(c\)|©)?|©)\s*(?:19|20)\d\d\b"),
-    ("mit", 0.95, r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person"),
-    ("bsd", 0.95, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms"),
-    ("isc", 0.9, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software"),
-    ("gpl", 0.9, r"this\s+program\s+is\s+free\s+software"),
-)
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -135,35 +87,30 @@ def gate(rules: list[Rule]) -> tuple[str, ...]:
 
 
 def build_rules() -> list[Rule]:
-    """All rules, best first: by weight, then with a version before without,
-    then by label, so the order is fixed."""
+    """All rules, best kind first, as listed."""
+    return [_rule(*x) for x in signatures()]
+
+
+def _uncovered(found: list[tuple[int, int]]) -> list[int]:
+    """Numbers of the intervals that no earlier one of the list contains. A tree
+    over the starts holds the furthest end of those seen so far."""
+    starts = sorted({a for a, _ in found})
+    place = {a: i + 1 for i, a in enumerate(starts)}
+    furthest = [-1] * (len(starts) + 1)
     out = []
-    for stem, names, versions in FAMILIES:
-        for v in versions:
-            label = stem if not v else f"{stem}-{v.removesuffix('.0') if stem == 'apache' else v}"
-            vv = (re.escape(v).replace(r"\.0", r"(?:\.0)?") if v else "") + (r"(?![.\d]*\d)" if v else r"(?![\w])")
-            for weight, form in NAMED:
-                out.append(_rule(label, weight, form.replace("{n}", names).replace("{v}", vv)))
-    for parts in CC_PARTS:
-        short = r"cc[- ]" + parts.replace("-", "[- ]")
-        full = "creative commons " + r"[-, ]+".join(CC_NAMES[p] for p in parts.split("-"))
-        url = rf"creativecommons\.org/licenses/{parts}/"
-        for v in CC_VERSIONS:
-            label = f"cc-{parts}" + (f"-{v}" if v else "")
-            end = rf"(?:[-/ ]|\s+(?:v(?:ersion)?\s*)?)?{re.escape(v)}(?![.\d]*\d)" if v else r"(?![- ]?(?:nc|nd|sa)\b)(?!\w)"
-            out.append(_rule(label, 0.9, rf"\b{short}{end}"))
-            out.append(_rule(label, 0.9, rf"\b{full}{end}"))
-            if v:
-                out.append(_rule(label, 0.95, url + re.escape(v)))
-    out += [_rule(label, weight, p) for label, weight, p in PLAIN]
-    return sorted(out, key=lambda r: (-r.weight, -len(r.label), r.label, r.pattern.pattern))
-
-
-def _run(r: Rule, text: str, kept: list) -> None:
-    for m in r.pattern.finditer(text):
-        a, b = m.span()
-        if not any(s <= a and b <= e for s, e, _, _ in kept):
-            kept.append((a, b, r.label, r.weight))
+    for k, (a, b) in enumerate(found):
+        i, most = place[a], -1
+        while i:
+            most = max(most, furthest[i])
+            i &= i - 1
+        if most >= b:
+            continue
+        out.append(k)
+        i = place[a]
+        while i < len(furthest):
+            furthest[i] = max(furthest[i], b)
+            i += i & -i
+    return out
 
 
 def detect(text: str, rules: list[Rule], first: Sequence[str] = ("",), prefilter: bool = True) -> list[tuple[int, int, str, float]]:
@@ -173,18 +120,19 @@ def detect(text: str, rules: list[Rule], first: Sequence[str] = ("",), prefilter
     if prefilter and not any(w in text for w in first):
         return []
     has: dict = {}
-    kept: list[tuple[int, int, str, float]] = []
-    for r in rules:
+    found = []
+    for number, r in enumerate(rules):
         for g in r.keywords if prefilter else ():
             if g not in has:
                 has[g] = any(w in text for w in g)
             if not has[g]:
                 break
         else:
-            _run(r, text, kept)
-    # a longer detection found later swallows the shorter ones inside it of the same weight
-    return [x for x in kept if not any(y is not x and y[0] <= x[0] and x[1] <= y[1] and y[3] >= x[3] and (y[1] - y[0]) > (x[1] - x[0])
-                                       for y in kept)]
+            part = "at" if r.pattern.groupindex else 0
+            found += [(-r.weight, a - b, number, a, b) for a, b in (m.span(part) for m in r.pattern.finditer(text))]
+    found.sort()
+    kept = _uncovered([x[3:] for x in found])
+    return [(found[k][3], found[k][4], rules[found[k][2]].label, rules[found[k][2]].weight) for k in kept]
 
 
 _WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -384,6 +385,64 @@ def test_base_places_count_words(spark, nothing):
     assert [x[2] for x in first] == ["gpl-3"]  # the versionless and shorter detections lie inside
 
 
+LGPL = """This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version."""
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2-or-later"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2"),
+    ("licensed under GPL-3.0", "gpl-3"), ("GPLv3", "gpl-3"), ("GPL v2+", "gpl-2-or-later"), ("BSD 3-Clause License", "bsd-3-clause"),
+    ("Apache-2.0 OR MIT", "apache-2,mit"), ("SPDX-License-Identifier: (MIT AND BSD-3-Clause)", "bsd-3-clause,mit"), (LGPL, "lgpl-2.1-or-later"),
+    ("https://creativecommons.org/licenses/by-nc/4.0/", "cc-by-nc-4.0"), ("CC BY-NC-SA 3.0", "cc-by-nc-sa-3.0"), ("CC-BY-ND", "cc-by-nd"),
+    ("the GNU GPL, version 12", "gpl"), ("a permit or bsd", ""), ("mit", ""), ("we commit or apache helicopters", ""), ("license: mitten", ""),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\")", "apache-2"), ("Mozilla Public License 2.0 or ISC license", "isc,mpl-2.0"),
+    ("released into the public domain", "public-domain"), ("Redistribution and use in source and binary forms, with or without", "bsd"),
+])
+def test_signatures(text, labels):
+    rules = licenses.build_rules()
+    found = licenses.detect(text.lower(), rules, licenses.gate(rules))
+    assert ",".join(sorted({x[2] for x in found})) == labels
+    assert found == licenses.detect(text.lower(), rules, prefilter=False)
+
+
+def test_suppressed_intervals_are_those_of_brute_force():
+    rng = random.Random(4)
+    for _ in range(200):
+        found = [(a, a + rng.randint(0, 9)) for a in (rng.randint(0, 12) for _ in range(rng.randint(0, 25)))]
+        want = [k for k, (a, b) in enumerate(found) if not any(x <= a and b <= y for x, y in found[:k])]
+        assert licenses._uncovered(found) == want
+
+
+def test_long_texts_of_mentions_take_linear_time():
+    import time
+    rules = licenses.build_rules()
+    first, times = licenses.gate(rules), []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        found = licenses.detect("released under the mit license or gpl v3, " * n, rules, first)
+        times.append(time.process_time() - start)
+        assert len(found) == 2 * n
+    assert times[1] < 8 * times[0] + 0.5
+
+
+def test_base_places_are_those_of_brute_force(spark):
+    rng = random.Random(6)
+    words = ["under", "the", "MIT", "license", "apache", "version", "2", "cc", "by", "nc", "licenses", "é"]
+    rows = [(i, "".join(rng.choice(words) + rng.choice([" ", "-", ".\n", "  "]) for _ in range(rng.randint(0, 4000 if i == 7 else 300))), None, None, None)
+            for i in range(30)]
+    rows += [rows[3], (None, rows[4][1], None, None, None), (None, rows[5][1], None, None, None)]
+    got = licenses.scan(clashing(spark.createDataFrame(rows, SCHEMA))).select("doc_id", "text", "scan.*").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        seen = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r["text"].lower())
+        at = [(i, label) for i in range(len(seen)) for phrase, label in licenses.BASE if seen[i:i + len(phrase.split())] == phrase.split()]
+        assert (r["n_words"], r["n_base"]) == (len(seen), len(at))
+        assert (r["first_word"], r["last_word"]) == (min((i for i, _ in at), default=None), max((i for i, _ in at), default=None))
+        assert r["base_labels"] == ",".join(sorted({x for _, x in at})) and {x for _, x in at} <= set(r["labels"].split(","))
+
+
 # --- decontamination ----------------------------------------------------------
 def test_benchmark_items_are_found(spark, nothing):
     import random
