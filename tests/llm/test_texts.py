@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from staylens.llm import decontaminate, jaccard, katz, langid, licenses, mixing, substrings, toxicity, words
+from staylens.llm import decontaminate, jaccard, katz, langid, licenses, mixing, ngrams, substrings, toxicity, words
 
 from llm_data import SCHEMA, clashing, prose
 
@@ -266,6 +266,82 @@ def test_katz_without_rows_or_training(messy, nothing):
     assert {r["score"] for r in katz.score(messy, F.lit(False)).collect()} == {0.0}
 
 
+def _brute_backoff(rows, train, order):
+    """Scores by the recursion as it is written, one dictionary an order."""
+    docs = [((r[1] or "").encode().lower().split() + [None], t) for r, t in zip(rows, train)]
+    count = [Counter() for _ in range(order + 1)]
+    gram = lambda w, i, k: tuple("<s>" if j < 0 else w[j] for j in range(i - k + 1, i + 1))
+    for w, t in docs:
+        for i in range(len(w) if t else 0):
+            for k in range(1, order + 1):
+                count[k][gram(w, i, k)] += 1
+    n, K = sum(count[1].values()), 5
+
+    def factor(k):
+        of = Counter(count[k].values())
+        a = (K + 1) * of[K + 1] / of[1] if of[1] else 1
+        d = {r: ((r + 1) * of[r + 1] / (r * of[r]) - a) / (1 - a) if of[r] and a < 1 else 1 for r in range(1, K + 1)}
+        return lambda c: d[c] if c <= K and 0 < d[c] < 1 else 1
+    d = [None] + [factor(k) for k in range(1, order + 1)]
+    after = [defaultdict(list) for _ in range(order + 1)]
+    for k in range(1, order + 1):
+        for g in count[k]:
+            after[k][g[:-1]].append(g)
+    used = sum(d[1](c) * c for c in count[1].values()) / n
+    unknown = max(1 - used, 1 / (n + 1))
+    cache = {}
+
+    def terms(h):
+        if h not in cache:
+            k = len(h) + 1
+            seen = after[k].get(h)
+            if not seen:
+                cache[h] = None
+            else:
+                tokens = sum(count[k][g] for g in seen)
+                kept = sum(d[k](count[k][g]) * count[k][g] for g in seen) / tokens
+                left = 1 - kept if 1 - kept > 1e-9 else 1 / (tokens + 1)
+                cache[h] = tokens, (1 - left) / kept, left / (1 - sum(p(g[1:]) for g in seen))
+        return cache[h]
+
+    def p(g):
+        k = len(g)
+        c = count[k][g]
+        if k == 1:
+            return (1 - unknown) / used * d[1](c) * c / n if c else unknown
+        t = terms(g[:-1])
+        if t is None:
+            return p(g[1:])
+        return t[1] * d[k](c) * c / t[0] if c else t[2] * p(g[1:])
+
+    for h in [g[:-1] for g in list(count[order])[:60]]:  # every context sums to one
+        assert sum(p((*h, *w)) for w in [*count[1], ("\0",)]) == pytest.approx(1)
+    return [sum(math.log10(p(gram(w, i, order))) for i in range(len(w))) for w, _ in docs]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_scores_are_those_of_brute_force(messy, messy_rows, monkeypatch, order):
+    monkeypatch.setattr(ngrams, "HELD", 700)
+    rows = [*messy_rows, (200, messy_rows[3][1], None, None, None), (None, messy_rows[5][1], None, None, None), (None, None, None, None, None)]
+    docs = clashing(messy.union(messy.sparkSession.createDataFrame(rows[-3:], SCHEMA)))
+    train = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 != 2 for r in rows]
+    col = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 != 2
+    got = sorted((str(r["id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6))
+                 for r in ngrams.score(docs, col, order).collect())
+    simple = [x[:4] for x in _brute_katz(rows, train)]
+    want = sorted((str(r[0]), a, b, c, round(e, 6), round(s, 6)) for r, (a, b, c, e), s in zip(rows, simple, _brute_backoff(rows, train, order)))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert np.allclose([g[4:] for g in got], [w[4:] for w in want], atol=1e-5)
+    if order == 2:
+        both = sorted((str(r["id"]), r["n_tokens"], round(r["score"], 6)) for r in katz.score(docs, col).collect())
+        assert np.allclose([x[2] for x in both], [g[5] for g in got], atol=1e-5)
+
+
+def test_backoff_without_rows_or_training(messy, nothing):
+    assert ngrams.score(nothing, F.lit(True)).isEmpty()
+    assert {r["score"] for r in ngrams.score(messy, F.lit(False)).collect()} == {0.0}
+
+
 # --- language -----------------------------------------------------------------
 def test_language_is_learned_and_judged(spark, nothing):
     import random
