@@ -84,14 +84,19 @@ def _blocks(text, rows: int = 64):
             yield lo + a, lo + b, features(d[o[a]:o[b]], o[a:b + 1] - o[a])
 
 
-def _sampled(labelled: DataFrame, per_lang: int) -> DataFrame:
-    """About ``per_lang`` (lang, text) rows of every language, by id hash."""
+def _sampled(labelled: DataFrame, per_lang: int, most: int) -> DataFrame:
+    """About ``per_lang`` unlike (lang, text) rows of every language, by a hash of
+    the text, so that copies and rows that share an id, or have none, add
+    nothing; about ``most`` rows of all languages together."""
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return labelled.select("lang", "text").limit(0)
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, float(min(1.0, per_lang / n)))])
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit("lang:"), F.coalesce(F.col("id").cast("string"), F.lit("")))), 1, 8), 16, 10)
-    return labelled.filter(draw.cast("double") / float(1 << 32) < share[F.col("lang")]).select("lang", "text")
+    each = min(per_lang, most / len(counts))
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, float(min(1.0, each / n)))])
+    mark = F.md5(F.concat(F.lit("lang:"), F.col("text")))
+    draw = F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    drawn = labelled.filter(draw < share[F.col("lang")]).select("lang", "text", mark.alias("_mark"))
+    return drawn.dropDuplicates(["lang", "_mark"]).select("lang", "text")
 
 
 def _snippet(data: np.ndarray, rng: np.random.Generator, words: int = 8) -> np.ndarray:
@@ -105,11 +110,12 @@ def _snippet(data: np.ndarray, rng: np.random.Generator, words: int = 8) -> np.n
 
 
 def train(labelled: DataFrame, per_lang: int = 400, dim: int = 16, epochs: int = 40, rate: float = 0.5,
-          reject_share: float = 0.001, seed: int = 7) -> LanguageModel:
+          reject_share: float = 0.001, seed: int = 7, most: int = 8000) -> LanguageModel:
     """Learn a `LanguageModel` from ``labelled`` (id, lang, text). At most about
-    ``per_lang`` texts a language are used; their features meet in one task, and
-    only the model comes to the driver."""
-    sample = _sampled(labelled.filter(F.col("text").rlike(HAS_LETTER) & F.col("lang").isNotNull()), per_lang)
+    ``per_lang`` unlike texts a language and ``most`` in all are used; their
+    features (32 KB a text) meet in one task, and only the model comes to the
+    driver."""
+    sample = _sampled(labelled.filter(F.col("text").rlike(HAS_LETTER) & F.col("lang").isNotNull()), per_lang, most)
 
     def extract(batches):
         import pyarrow as pa

@@ -361,6 +361,30 @@ def test_language_is_learned_and_judged(spark, nothing):
     assert {r[0]["lang"] for r in docs.select(langid.identify(docs, blank)).collect()} == {"und"}
 
 
+def test_the_language_sample_is_bounded_whatever_the_ids(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, 8) for _ in range(3000)]
+    rows = [(None, "aa" if i % 2 else "bb", t) for i, t in enumerate(texts)] + [(7, "cc", texts[0])] * 2000
+    labelled = spark.createDataFrame(rows, "id long, lang string, text string")
+    n = Counter(r["lang"] for r in langid._sampled(labelled, 100, 8000).collect())
+    assert 60 < n["aa"] < 140 and 60 < n["bb"] < 140 and n["cc"] <= 1
+    many = spark.createDataFrame([(None, f"l{i % 300}", t) for i, t in enumerate(texts)], "id long, lang string, text string")
+    assert langid._sampled(many, 400, 600).count() < 700
+
+
+def test_languages_of_kept_out_documents(spark):
+    """No brute force tells a language: the query is held against the labels of
+    the documents it did not learn from."""
+    from staylens.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    got = QUERIES["op5_langid"](spark, sf).join(docs, "doc_id").collect()
+    assert len(got) == docs.count()
+    held = [r for r in got if r["held_out"] and r["lang"] and r["lang_pred"] != "und"]
+    assert len(held) > 100 and sum(r["lang"] == r["lang_pred"] for r in held) >= 0.98 * len(held)
+    assert sum(r["lang_pred"] == "und" for r in got) < 0.05 * len(got)
+
+
 # --- toxicity -----------------------------------------------------------------
 def test_toxic_texts_stand_out(spark, nothing):
     import random
