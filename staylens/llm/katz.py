@@ -17,11 +17,18 @@ token). Contexts with a large share of all tokens are dealt by context and
 word, and their sums are put together first. The first reading of the parts
 gives the counts of pair counts, the second scores; both read the same shuffle.
 
+A task cuts its texts into blocks, and within a block a text is a small number:
+ids, token counts and base scores go along once a block, as its directory, and
+what comes back from a part is one row a block. Arrays travel as byte planes,
+compressed, and partial sums as whole numbers of 2**-30, so little is shuffled
+for a text however many parts its tokens are dealt to.
+
 Defined results: words are runs of bytes other than white space, A-Z folded;
 null and empty texts are one end token; without training rows every word is
 unknown and the score is 0 a token; texts are read whole; equal rows get equal
-scores; other columns are ignored. Rows are told apart by (id, xxhash64 of the
-text).
+scores; other columns are ignored. A task that is run again must read its rows
+in the same order, as scans of files do; otherwise the tokens of a block don't
+add up to its directory's, and the job fails instead of mixing scores.
 """
 
 from __future__ import annotations
@@ -39,6 +46,8 @@ START, END = np.uint64(0x5151515151515151), np.uint64(0xE0E0E0E0E0E0E0E1)
 HOT_SHARE = 256
 PART_TOKENS = 2_000_000
 BLOCK_TOKENS = 2_000_000
+#: Partial sums are whole numbers of 1 / SCALE.
+SCALE = 2.0 ** 30
 #: Up to so many distinct words their counts go to every task; beyond, texts
 #: are joined with the counts of their own words.
 MAX_BROADCAST_WORDS = 16_000_000
@@ -170,6 +179,7 @@ def _with_counts(texts: DataFrame, counts: DataFrame):
     own = (texts.mapInArrow(distinct, f"id {kind}, crc long, word long").distinct().join(counts, "word")
            .groupBy(F.col("id").alias("_id"), F.col("crc").alias("_crc")).agg(F.collect_list(F.struct("word", "c")).alias("own")))
     joined = texts.join(own, texts["id"].eqNullSafe(own["_id"]) & (texts["crc"] == own["_crc"]), "left").drop("_id", "_crc")
+    joined = joined.sortWithinPartitions("id", "crc")  # the same blocks if a task is run again
 
     def read(batch, lo, words, rows):
         out, at = [], 0
@@ -184,45 +194,66 @@ def _with_counts(texts: DataFrame, counts: DataFrame):
     return joined, read
 
 
-def _simple_scores(texts: DataFrame, read, level: Words) -> DataFrame:
-    """Per text: tokens, known tokens and the base score."""
+def _n_tokens(texts: DataFrame) -> int:
+    """Tokens of all texts."""
 
-    def score(batches):
+    def count(batches):
         import pyarrow as pa
+
+        from staylens.llm.words import pieces, text_buffer, word_bounds
+        n = 0
         for b in batches:
-            for lo, words, rows in _tokens(b.column("text")):
-                c = read(b, lo, words, rows)
-                start = np.cumsum(rows) - rows
-                n = len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [*[b.column(x).slice(lo, n) for x in ("id", "crc", "train")], pa.array(rows),
-                     pa.array(np.add.reduceat((c > 0).astype(np.int64), start)), pa.array(np.add.reduceat(level.base(c), start))],
-                    ["id", "crc", "train", "n_tokens", "n_known", "base_score"])
+            for _, _, data, off in pieces(*text_buffer(b.column("text"))):
+                n += int((word_bounds(data, off)[2] + 1).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    return texts.select("text").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
-    kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(score, f"id {kind}, crc long, train boolean, n_tokens long, n_known long, base_score double")
 
+def _planes(*arrays: np.ndarray) -> bytes:
+    """The arrays' bytes, of each first all lowest ones, then the next; the high
+    bytes of small numbers then compress to nothing."""
+    return b"".join(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in arrays)
 
-def _pack(texts: DataFrame, read, hot: np.ndarray, parts: int) -> DataFrame:
-    """Rows (part, ids, crcs, train, n, size, packed): the tokens of a block of
-    texts that belong to a part."""
+
+def _from_planes(raw: memoryview, kinds):
+    """The arrays of ``_planes``, given (length, type) of each."""
+    at = 0
+    for n, kind in kinds:
+        size = np.dtype(kind).itemsize
+        yield np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).reshape(-1).view(kind)
+        at += n * size
+
+
+def _pack(texts: DataFrame, read, level: Words, hot: np.ndarray, parts: int) -> DataFrame:
+    """Rows (part, block, n, size, packed): the tokens of a block of texts that
+    belong to a part; and a row a block with its directory (ids, train, tokens,
+    known, base), under a part of its own from ``parts`` on."""
 
     def emit(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
         from staylens.llm.words import mix
         codec = pa.Codec("zstd", 1)
+        number = TaskContext.get().partitionId() << 32
         block, held = [], 0
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
 
         def flush():
             ids = pa.concat_arrays([x[0] for x in block])
-            crc, train = (np.concatenate([x[j] for x in block]) for j in (1, 2))
-            w, c = (np.concatenate([x[j] for x in block]) for j in (3, 4))
-            rows = np.concatenate([x[5] for x in block])
+            train, w, c, rows = (np.concatenate([x[j] for x in block]) for j in (1, 2, 3, 4))
+            start = np.cumsum(rows) - rows
+            listed = [one(ids), *(one(pa.array(x)) for x in (
+                train, rows, np.add.reduceat((c > 0).astype(np.int64), start), np.add.reduceat(level.base(c), start)))]
+            nothing = [pa.nulls(1, x.type) for x in listed]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([parts + number]), pa.array([number]), pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.int64()),
+                 pa.nulls(1, pa.binary()), *listed], names)
             doc = np.repeat(np.arange(len(rows), dtype=np.uint32), rows)
             h = np.empty_like(w)
             h[1:] = w[:-1]
-            h[np.cumsum(rows) - rows] = START
+            h[start] = START
             key = mix(h)
             spread = np.isin(h, hot)
             key[spread] = mix(key[spread] ^ w[spread])
@@ -235,52 +266,49 @@ def _pack(texts: DataFrame, read, hot: np.ndarray, parts: int) -> DataFrame:
                 hs, size = np.unique(h[o], return_counts=True)
                 ws, first, at = np.unique(w[o], return_index=True, return_inverse=True)
                 ds, doc_at = np.unique(doc[o], return_inverse=True)
-                raw = b"".join(x.tobytes() for x in (hs, size.astype(np.uint32), ws, c[o][first].astype(np.int64),
-                                                     at.astype(np.uint32), doc_at.astype(np.uint32)))
-                take = ids.take(pa.array(ds))
-                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(ds)], pa.int32()), x)
+                raw = _planes(hs, size.astype(np.uint32), ws, c[o][first].astype(np.int64), at.astype(np.uint32),
+                              doc_at.astype(np.uint32), np.diff(ds, prepend=np.uint32(0)).astype(np.uint32), train[ds])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p]), one(take), one(pa.array(crc[ds])), one(pa.array(train[ds])),
-                     pa.array([[len(hs), len(ws), len(o)]], pa.list_(pa.int64())), pa.array([len(raw)]),
-                     pa.array([codec.compress(raw, asbytes=True)], pa.binary())],
-                    ["part", "ids", "crcs", "train", "n", "size", "packed"])
+                    [pa.array([p], pa.int64()), pa.array([number]), pa.array([[len(hs), len(ws), len(o), len(ds)]], pa.list_(pa.int64())),
+                     pa.array([len(raw)]), pa.array([codec.compress(raw, asbytes=True)], pa.binary()), *nothing], names)
 
         for b in batches:
             for lo, words, rows in _tokens(b.column("text")):
                 n = len(rows)
-                block.append((b.column("id").slice(lo, n), b.column("crc").slice(lo, n).to_numpy(),
-                              b.column("train").slice(lo, n).to_numpy(zero_copy_only=False), words, read(b, lo, words, rows), rows))
+                block.append((b.column("id").slice(lo, n), b.column("train").slice(lo, n).to_numpy(zero_copy_only=False).astype(bool),
+                              words, read(b, lo, words, rows), rows))
                 held += len(words)
                 if held >= BLOCK_TOKENS:
                     yield from flush()
                     block, held = [], 0
+                    number += 1
         if block:
             yield from flush()
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(emit, f"part long, ids array<{kind}>, crcs array<long>, train array<boolean>, "
-                                  "n array<long>, size long, packed binary")
+    names = ["part", "block", "n", "size", "packed", "ids", "train", "tokens", "known", "base"]
+    return texts.mapInArrow(emit, "part long, block long, n array<long>, size long, packed binary, "
+                                  f"ids array<{kind}>, train array<boolean>, tokens array<long>, known array<long>, base array<double>")
 
 
 def _unpack(t):
     """The tokens of a part: (context, word, word count, text number, train by
-    text number, ids, crcs)."""
+    text number, [(block, the block's numbers of its texts)])."""
     import pyarrow as pa
     codec = pa.Codec("zstd")
-    h, w, c, doc, train, base = [], [], [], [], [], 0
-    for n, size, packed, flags in zip(*(t.column(x).to_pylist() for x in ("n", "size", "packed", "train"))):
-        raw, at = memoryview(codec.decompress(packed, size, asbytes=True)), 0
-        got = []
-        for count, kind in ((n[0], np.uint64), (n[0], np.uint32), (n[1], np.uint64), (n[1], np.int64), (n[2], np.uint32), (n[2], np.uint32)):
-            got.append(np.frombuffer(raw, kind, count, at))
-            at += got[-1].nbytes
-        h.append(np.repeat(got[0], got[1]))
-        w.append(got[2][got[4]])
-        c.append(got[3][got[4]])
-        doc.append(got[5].astype(np.int64) + base)
-        train.append(np.array(flags, bool))
+    h, w, c, doc, train, texts, base = [], [], [], [], [], [], 0
+    for block, n, size, packed in zip(*(t.column(x).to_pylist() for x in ("block", "n", "size", "packed"))):
+        raw = memoryview(codec.decompress(packed, size, asbytes=True))
+        hs, times, ws, cs, at, doc_at, ds, flags = _from_planes(raw, (
+            (n[0], np.uint64), (n[0], np.uint32), (n[1], np.uint64), (n[1], np.int64), (n[2], np.uint32), (n[2], np.uint32),
+            (n[3], np.uint32), (n[3], np.bool_)))
+        h.append(np.repeat(hs, times))
+        w.append(ws[at])
+        c.append(cs[at])
+        doc.append(doc_at.astype(np.int64) + base)
+        train.append(flags)
+        texts.append((block, np.cumsum(ds)))
         base += len(flags)
-        del raw, got
 
     def cat(parts):
         """One array of the parts, which are given up."""
@@ -288,9 +316,7 @@ def _unpack(t):
         parts.clear()
         return whole
 
-    flat = lambda x: pa.chunked_array([k.values if isinstance(k, pa.ListArray) else k for k in
-                                       [t.column(x).combine_chunks()]]).combine_chunks()
-    return cat(h), cat(w), cat(c), cat(doc), cat(train), flat("ids"), flat("crcs")
+    return cat(h), cat(w), cat(c), cat(doc), cat(train), texts
 
 
 def _pairs(h, w, c, train_token):
@@ -332,19 +358,24 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     score), logarithms to base 10."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("crc"), train.alias("train"), text.alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
     counts = written(word_counts(texts.filter("train")), "word-counts")
     level = word_level(counts)
     frequent = counts.filter(F.col("c") > max(1, level.n // HOT_SHARE)).select("word").collect()
     hot = np.array([START, *(np.int64(r["word"]).astype(np.uint64) for r in frequent)], np.uint64)
+    parts = max(1, -(-_n_tokens(texts) // PART_TOKENS))
     texts, read = _with_counts(texts, counts)
-    simple = written(_simple_scores(texts, read, level), "word-scores")
-    total = simple.agg(F.sum("n_tokens")).first()[0] or 0
-    packed = _pack(texts, read, hot, max(1, -(-total // PART_TOKENS))).repartition("part")
+    packed = _pack(texts, read, level, hot, parts).repartition("part")
+
+    model_columns = ["context", *[f"s{i}" for i in range(K + 2)]]
+    lists = ["ids", "train", "tokens", "known", "base"]
 
     def survey(t):
         """How many pairs have each count, and the hot contexts' sums."""
         import pyarrow as pa
-        h, w, c, doc, tr, _, _ = _unpack(t)
+        if t.column("part")[0].as_py() >= parts:
+            return pa.table({k: pa.array([0], pa.int64() if k == "context" else pa.float64()) for k in model_columns})
+        h, w, c, doc, tr, _ = _unpack(t)
         _, count, of, contexts, cw = _pairs(h, w, c, tr[doc])
         del h, w, c, doc
         sums = _sums(count, of, contexts, level.p(cw))
@@ -354,16 +385,21 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         return pa.table({"context": pa.array(np.append(np.uint64(0), contexts[some]).view(np.int64)),
                          **{f"s{i}": pa.array(rows[:, i]) for i in range(K + 2)}})
 
-    surveyed = (packed.groupBy("part").applyInArrow(survey, "context long, " + ", ".join(f"s{i} double" for i in range(K + 2)))
+    # no filter on the directories' rows: it would sink below the exchange, which then serves one reader only
+    surveyed = (packed.groupBy("part")
+                .applyInArrow(survey, "context long, " + ", ".join(f"s{i} double" for i in range(K + 2)))
                 .groupBy("context").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(K + 2)])
-                .agg(F.collect_list(F.struct("context", *[f"s{i}" for i in range(K + 2)])).alias("model")))
+                .agg(F.collect_list(F.struct(*model_columns)).alias("model")))
 
     def evaluate(t):
         import pyarrow as pa
+        if t.column("part")[0].as_py() >= parts:
+            nothing = {k: pa.nulls(len(t), kind) for k, kind in (("found", pa.int64()), ("n", pa.int64()), ("packed", pa.binary()))}
+            return pa.table({"block": t.column("block"), **nothing, **{k: t.column(k) for k in lists}})
         model = t.column("model")[0].as_py()
         own = {r["context"]: [r[f"s{i}"] for i in range(K + 2)] for r in model}
         d = discounts({r: int(x) for r, x in enumerate(own.pop(0, [0] * (K + 2))[:K + 1], 1)})
-        h, w, c, doc, tr, ids, crcs = _unpack(t)
+        h, w, c, doc, tr, texts = _unpack(t)
         at, count, of, contexts, cw = _pairs(h, w, c, tr[doc])
         del h, w, c
         p_word = level.p(cw)
@@ -374,15 +410,38 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         tokens, scale, alpha = _context_terms(sums, d)
         seen = scale[of] * d[np.minimum(count, K + 1)] * count / np.maximum(tokens[of], 1)
         log_p = np.where(count > 0, np.log10(np.maximum(seen, 1e-300)), alpha[of] + np.log10(p_word))
-        n = len(tr)
-        return pa.table({"id": ids, "crc": crcs, "n": pa.array(np.bincount(doc, minlength=n)),
-                         "s": pa.array(np.bincount(doc, log_p[at], n))})
-
-    kind = texts.schema["id"].dataType.simpleString()
-    pair_scores = (packed.withColumn("model", surveyed.scalar()).groupBy("part")
-                   .applyInArrow(evaluate, f"id {kind}, crc long, n long, s double")
-                   .groupBy(F.col("id").alias("_id"), F.col("crc").alias("_crc")).agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
-    # equal rows were scored together: each takes its share
-    joined = simple.join(pair_scores, simple["id"].eqNullSafe(F.col("_id")) & (simple["crc"] == F.col("_crc")))
-    return joined.select("id", "train", "n_tokens", "n_known", F.lit(level.n).cast("long").alias("train_tokens"), "base_score",
-                         (F.col("s") * F.col("n_tokens") / F.col("n")).alias("score"))
+        total = np.rint(np.bincount(doc, log_p[at], len(tr)) * SCALE).astype(np.int64)
+        many = np.bincount(doc, minlength=len(tr))
+        codec, rows, base = pa.Codec("zstd", 1), [], 0
+        for block, ds in texts:
+            here = slice(base, base + len(ds))
+            raw = _planes(np.diff(ds, prepend=0).astype(np.uint32), total[here])
+            rows.append((block, int(many[here].sum()), len(ds), codec.compress(raw, asbytes=True)))
+            base += len(ds)
+        sent = {k: pa.array(x, kind) for k, x, kind in zip(
+            ("block", "found", "n", "packed"), zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))}
+        return pa.table({**sent, **{k: pa.nulls(len(rows), t.column(k).type) for k in lists}})
+
+    def whole(t):
+        """The texts of a block with the sums of all parts."""
+        import pyarrow as pa
+        where = [i for i, x in enumerate(t.column("ids")) if x.is_valid]
+        tokens = t.column("tokens")[where[0]].values.to_numpy()
+        score, found, codec = np.zeros(len(tokens), np.int64), 0, pa.Codec("zstd")
+        for m, n, packed in zip(*(t.column(x).to_pylist() for x in ("found", "n", "packed"))):
+            if packed is not None:
+                ds, sums = _from_planes(memoryview(codec.decompress(packed, n * 12, asbytes=True)), ((n, np.uint32), (n, np.int64)))
+                score[np.cumsum(ds)] += sums
+                found += m
+        if len(where) != 1 or found != tokens.sum():
+            raise RuntimeError("the texts came in another order when a task was run again: write them as a table first")
+        return pa.table({"id": t.column("ids")[where[0]].values, "train": t.column("train")[where[0]].values, "n_tokens": pa.array(tokens),
+                         "n_known": t.column("known")[where[0]].values, "base_score": t.column("base")[where[0]].values,
+                         "score": pa.array(score / SCALE)})
+
+    listed = f"ids array<{kind}>, train array<boolean>, tokens array<long>, known array<long>, base array<double>"
+    of_parts = (packed.withColumn("model", surveyed.scalar()).groupBy("part")
+                .applyInArrow(evaluate, f"block long, found long, n long, packed binary, {listed}"))
+    return (of_parts.groupBy("block")
+            .applyInArrow(whole, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+            .select("id", "train", "n_tokens", "n_known", F.lit(level.n).cast("long").alias("train_tokens"), "base_score", "score"))
