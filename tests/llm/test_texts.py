@@ -646,3 +646,17 @@ def test_common_subsequence(a, b):
         for j, y in enumerate(b):
             table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
     assert decontaminate.common_subsequence(np.array(a, np.uint64), np.array(b, np.uint64)) == table[-1][-1]
+
+
+@pytest.mark.parametrize("with_long", [True, False])
+def test_short_benchmark_items_match_texts_that_are_the_item(spark, with_long):
+    items = [(1, "Forty two."), (2, "..."), (3, "no"), (4, "forty  TWO")]
+    if with_long:
+        items.append((5, "the quick brown fox jumps over the lazy dog"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "forty, two"), (2, "he said forty two times"), (3, "NO"), (4, "..."), (5, None), (6, "two forty"), (None, "no!"),
+         (7, "see the quick brown fox jumps over the lazy dog")], "doc_id long, text string")
+    got = {(r["id"], r["item_id"], r["lcs"], r["answer"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    want = {(1, 1, 1.0, 1.0), (1, 4, 1.0, 1.0), (3, 3, 1.0, 1.0), (None, 3, 1.0, 1.0)}
+    assert got == (want | {(7, 5, 1.0, 1.0)} if with_long else want)
