@@ -40,7 +40,11 @@ from pyspark.sql import types as T
 from staylens.session import ensure_checkpoint_dir
 
 #: Bytes of pieces that are scanned and stored together.
-CHUNK = 2 << 20
+CHUNK = 256 << 10
+#: A chunk is a large row: a writer that looks at its buffers after every hundred
+#: rows only, and row groups of the usual size, which a reader decodes as a whole,
+#: would hold hundreds of MB a task.
+_ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "2", "parquet.block.size.row.check.min": "2"}
 _SPLIT = b"}"
 _STEP = np.zeros(256, np.int8)
 _STEP[[*b"[{"]], _STEP[[*b"]}"]] = 1, -1
@@ -221,8 +225,9 @@ def _entries(chunks: DataFrame, states: DataFrame, key: str) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("file", "block", "seq", "kind", "opener", "closer", "value")}
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # a chunk at a time, whatever the size of the batch
+                out: dict[str, list] = {c: [] for c in ("file", "block", "seq", "kind", "opener", "closer", "value")}
+                row = batch.slice(i, 1).to_pylist()[0]
                 if row["base"] is None:
                     raise ValueError(f"{row['file']} has changed while it was read")
                 parity, change, levels = json.loads(row["before"])
@@ -237,8 +242,8 @@ def _entries(chunks: DataFrame, states: DataFrame, key: str) -> DataFrame:
                             out[c].append(v)
                 except ValueError as exc:
                     raise ValueError(f"{row['file']} does not parse: {exc}") from exc
-            yield pa.RecordBatch.from_arrays([pa.array(out["file"], pa.string()), pa.array(out["block"], pa.int64()), pa.array(out["seq"], pa.int32()), pa.array(out["kind"], pa.int32()),
-                                              *[pa.array(out[c], pa.string()) for c in ("opener", "closer", "value")]], list(out))
+                yield pa.RecordBatch.from_arrays([pa.array(out["file"], pa.string()), pa.array(out["block"], pa.int64()), pa.array(out["seq"], pa.int32()), pa.array(out["kind"], pa.int32()),
+                                                  *[pa.array(out[c], pa.string()) for c in ("opener", "closer", "value")]], list(out))
 
     return (chunks.select("file", "block", "seq", "text", "before").join(F.broadcast(states), ["file", "block"], "left")
             .mapInArrow(cut, "file string, block long, seq int, kind int, opener string, closer string, value string"))
@@ -250,7 +255,7 @@ def read_records(spark: SparkSession, path: str, key: str, schema: T.StructType)
     the ranges; a document that is no whole envelope is a ``ValueError``."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/envelope/{uuid.uuid4().hex}"
     written = _chunks(spark, path, key)
-    written.write.parquet(f"{root}/chunks")
+    written.write.options(**_ROW_GROUPS).parquet(f"{root}/chunks")
     chunks = spark.read.schema(written.schema).parquet(f"{root}/chunks")
     size = F.octet_length("text")
     first = F.when((F.col("block") == 0) & (F.col("seq") == 0), F.substring(F.ltrim(F.regexp_replace(F.decode(F.substring("text", 1, 4096), "UTF-8"), r"^[ \t\r\n]+", "")), 1, 1))

@@ -206,3 +206,22 @@ def test_scanning_follows_strings_and_escapes():
                 quotes.append(i)
         assert envelope._scan(text)[1].tolist() == quotes
     assert NATIVE_EVENT.names[0] == "hotel_id"
+
+
+def test_chunks_are_stored_in_small_row_groups(spark, write_text):
+    """What a task holds of the chunks, a row group, is bounded."""
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    from staylens.session import ensure_checkpoint_dir
+    event = booking("n", [("QN", 10, 11, "7")])
+    path = write_text("large.json", json.dumps({"data": [event | {"reservation_id": f"n{i}", "status": "w" * 100_000} for i in range(400)]}))
+    top = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{top}/envelope/*"))
+    assert envelope.read_records(spark, path, "data", NATIVE_EVENT).select("reservation_id").distinct().count() == 400
+    folder, = set(glob.glob(f"{top}/envelope/*")) - before
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in glob.glob(os.path.join(folder, "chunks", "*.parquet"))
+              for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert max(g.total_byte_size for g in groups) < 12 << 20 and sum(g.total_byte_size for g in groups) > 40_000_000
