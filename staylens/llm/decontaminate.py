@@ -3,13 +3,18 @@
 The benchmark's passages become TF-IDF vectors, with document frequencies
 counted over the whole corpus, and a distributed randomised SVD (random
 projection, power iterations, then a small eigenproblem) gives the latent space
-they span. A stretch of a text, a quarter longer than the item, is decided by
-the longest common subsequence of its words and the item's, and for a
-paraphrase, where fewer words agree, also by the item's answer (a column, or
-else the item's last words). Every stretch that could pass is decided: one with
-k of an item's n words in order holds at least j of the item's n - k + j rarest
-words, whatever the corpus, so only places with that many are looked at. The
-cosine in the latent space is reported with a match and decides nothing.
+they span; so do their rarest words in a second space. The texts' windows are
+put into that one and searched by their cosine with every item; a window under
+the item's floor is left out for it. The first gives the cosine of a match.
+
+A stretch of a text, a quarter longer than the item, in a window that was found
+is decided by the longest common subsequence of its words and the item's, and
+for a paraphrase, where fewer words agree, also by the item's answer (a column,
+or else the item's last words). The floor loses no stretch that could pass: one
+with k of an item's n words in order holds at least j of the item's n - k + j
+rarest words, whatever the corpus, and the floor is the least product that
+these give a window with the item, less what the item has outside of the space
+(`_search_space`). Of a window only places with that many are looked at.
 
 Stretches are not shuffled and pairs are not emitted. The benchmark is handled in
 blocks of at most ``block`` passages, so what a task holds is bounded whatever
@@ -61,6 +66,10 @@ class Index:
     lists: np.ndarray          # places of the items that have a term among their rarest
     start: np.ndarray          # term -> first of its part of ``lists``; one more at the end
     short: dict = field(default_factory=dict)  # words of items under MIN_WORDS -> their item numbers
+    search_space: np.ndarray | None = None     # terms x rank, of the items' rarest words
+    latent_items: np.ndarray | None = None     # items x rank in that space
+    floor: np.ndarray | None = None            # least product of a window that holds a match with the item's vector
+    outside: np.ndarray | None = None          # length of the part of that vector outside of the space
 
 
 def _terms(column_rows: DataFrame, name: str) -> DataFrame:
@@ -184,6 +193,34 @@ def _rarest(words: np.ndarray, terms: np.ndarray, df: np.ndarray, share: float)
     return j, np.unique(at[np.argsort(df[at], kind="stable")][:n - k + j])
 
 
+def _search_space(spark, words: list, terms: np.ndarray, df: np.ndarray, idf: np.ndarray, rank: int,
+                  share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The latent space that the items' rarest words span, and for each item
+    its vector there, the least product of a window that holds ``share`` of its
+    words in order with its TF-IDF vector, and the length of what the space
+    leaves out of that.
+
+    Such a window holds j of the item's rarest words, each with a weight of at
+    least idf / the length of the item in its unit vector; no weight is negative."""
+    rare, floor = [], np.zeros(len(words))
+    for i, w in enumerate(words):
+        n, k, at = len(w), _least(len(w), share), np.searchsorted(terms, w)
+        j, some = _rarest(w, terms, df, share)
+        rare.append(w[np.isin(at, some)])
+        t, c = np.unique(at[np.isin(at, some)], return_counts=True)
+        least = np.sort(idf[at[np.argsort(df[at], kind="stable")][:n - k + j]] ** 2)[:j]
+        floor[i] = least.sum() / np.sqrt(((c * idf[t]) ** 2).sum())
+    table = written(spark.createDataFrame([(i, w.view(np.int64).tolist()) for i, w in enumerate(rare)], "passage long, words array<long>"), "rarest")
+    vectors = written(_vectors(table, terms, idf), "rarest-vectors")
+    space = _svd(vectors, len(terms), min(rank, len(words), len(terms)))
+    latent = np.zeros((len(words), space.shape[1]))
+    for r in vectors.collect():
+        latent[r["passage"]] = np.array(r["weight"]) @ space[r["at"]]
+    # the last part covers rounding: the products are of single floats
+    outside = np.sqrt(np.maximum(1 - (latent ** 2).sum(axis=1), 0)) + 1e-4
+    return space.astype(np.float32), latent.astype(np.float32), floor, outside
+
+
 def build_index(docs: DataFrame, items: DataFrame, rank: int, answer_words: int, share: float) -> Index | None:
     """Index of one bounded block of items: (item_no, item_id, text[, answer])."""
     listed = {r["item_id"]: np.array(r["words"], np.int64).view(np.uint64) for r in
@@ -221,13 +258,14 @@ def build_index(docs: DataFrame, items: DataFrame, rank: int, answer_words: int,
     size = np.sqrt((latent ** 2).sum(axis=1))
     keep = size > 1e-6
     rarest = [_rarest(listed[k], terms, df, share) for k in numbers]
+    search = _search_space(spark, [listed[k] for k in numbers], terms, df, idf, rank, share)
     term = np.concatenate([t for _, t in rarest])
     place = np.repeat(np.arange(len(numbers)), [len(t) for _, t in rarest])
     return Index(terms, idf, space.astype(np.float32), np.array([k for k, _ in passages])[keep],
                  (latent[keep] / size[keep, None] ** 2).astype(np.float32), listed, answers, np.array(numbers),
                  np.array([stretch(len(listed[k])) for k in numbers]), np.array([j for j, _ in rarest]),
                  place[np.argsort(term, kind="stable")].astype(np.uint16 if len(numbers) < 1 << 16 else np.int64),
-                 np.searchsorted(np.sort(term), np.arange(len(terms) + 1)), short)
+                 np.searchsorted(np.sort(term), np.arange(len(terms) + 1)), short, *search)
 
 
 def _places(words: np.ndarray) -> dict:
@@ -254,13 +292,79 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return _in_order(_places(a), len(a), b.tolist())
 
 
-def _hits(index: Index, at: np.ndarray, known: np.ndarray, row: np.ndarray):
+class _Sought:
+    """Windows of texts found by their cosine with an item in the latent space.
+
+    The words of a row are dealt to cells as long as the longest stretch of
+    items of about one length, and a window is a cell and the next, so it holds
+    every stretch that starts in the cell. ``cells`` gives, by length class, the
+    cell of each word and ``found`` the cells whose words may be of a stretch of
+    an item."""
+
+    PART = 1 << 13
+
+    def __init__(self, index: Index, at: np.ndarray, known: np.ndarray, row: np.ndarray, first: np.ndarray):
+        held = index.__dict__.setdefault("_sought", {})
+        if not held:  # made once a task
+            held["weighted"] = index.search_space * index.idf[:, None].astype(np.float32)
+            held["kind"] = np.frexp(index.size.astype(np.float64))[1] // 2
+        self.kind = held["kind"]
+        pos = np.flatnonzero(known)
+        pos = pos[np.diff(index.start)[at[pos]] > 0]  # other words have no part in the space
+        self.cells, self.found = {}, {}
+        for kind in np.unique(self.kind).tolist() if len(pos) else ():
+            mine = self.kind == kind
+            span = int(index.size[mine].max())
+            cell = (pos - first[row[pos]]) // span
+            new = np.append(True, (np.diff(row[pos]) != 0) | (np.diff(cell) != 0))
+            start = np.flatnonzero(new)
+            follows = np.flatnonzero((np.diff(row[pos[start]]) == 0) & (np.diff(cell[start]) == 1))
+            window = self._sums(held["weighted"], at[pos], start)
+            # at least as long as the window's vector
+            length = np.add.reduceat(index.idf[at[pos]], start)
+            window[follows], length[follows] = window[follows] + window[follows + 1], length[follows] + length[follows + 1]
+            hit = window @ index.latent_items.T >= index.floor - length[:, None] * index.outside
+            hit &= mine
+            both = hit.copy()
+            both[follows + 1] |= hit[follows]
+            self.cells[kind], self.found[kind] = np.full(len(known), -1), both
+            self.cells[kind][pos] = np.cumsum(new) - 1
+
+    def _sums(self, weighted: np.ndarray, term: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The cells' vectors, some words at a time."""
+        out, end, a = np.empty((len(start), weighted.shape[1]), np.float32), np.append(start, len(term)), 0
+        while a < len(start):
+            b = max(a + 1, int(np.searchsorted(end, end[a] + self.PART, "right")) - 1)
+            out[a:b] = np.add.reduceat(weighted[term[end[a]:end[b]]], start[a:b] - end[a])
+            a = b
+        return out
+
+    def of(self, pos: np.ndarray) -> np.ndarray:
+        """Whether a word is in a window that was found for any item."""
+        out = np.zeros(len(pos), bool)
+        for kind, found in self.found.items():
+            out |= found.any(axis=1)[self.cells[kind][pos]]
+        return out
+
+    def pairs(self, pos: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether a word is in a window that was found for the item."""
+        out = np.zeros(len(pos), bool)
+        for kind, found in self.found.items():
+            some = np.flatnonzero(self.kind[item] == kind)
+            out[some] = found[self.cells[kind][pos[some]], item[some]]
+        return out
+
+
+def _hits(index: Index, at: np.ndarray, known: np.ndarray, row: np.ndarray, sought: _Sought | None = None):
     """Places from which a stretch holds enough of an item's rarest words:
     (row, item number, first words of such places), a part of the words at a
-    time, so that a pair may come again with later places."""
+    time, so that a pair may come again with later places. With ``sought`` only
+    words of an item's windows are looked at."""
     listed = np.diff(index.start)
     pos = np.flatnonzero(known)
     pos = pos[listed[at[pos]] > 0]
+    if sought is not None:
+        pos = pos[sought.of(pos)]
     step, apart = 1 << 16, int(index.size.max())
     for lo in range(0, len(pos), step):
         upto = pos[min(lo + step, len(pos)) - 1]
@@ -268,9 +372,13 @@ def _hits(index: Index, at: np.ndarray, known: np.ndarray, row: np.ndarray):
         n = listed[at[p]]
         first = np.cumsum(n) - n
         item = index.lists[np.arange(n.sum()) + np.repeat(index.start[at[p]] - first, n)]
+        p = np.repeat(p, n)
+        if sought is not None:
+            found = sought.pairs(p, item)
+            p, item = p[found], item[found]
         order = np.argsort(item, kind="stable")
         item = item[order].astype(np.int64)
-        p = np.repeat(p, n)[order]
+        p = p[order]
         last = np.arange(len(p)) + index.least[item] - 1
         ok = (p <= upto) & (last < len(p))
         last = np.minimum(last, len(p) - 1)
@@ -343,7 +451,8 @@ def _cosine(index: Index, at: np.ndarray, item: int) -> float:
 
 
 def search(docs: DataFrame, index: Index, exact: float, loose: float, answer: float) -> DataFrame:
-    """Matches of one block: (id, crc, item_no, cosine, lcs, answer, first_word)."""
+    """Matches of one block: (id, crc, item_no, cosine, lcs, answer, first_word):
+    the stretches that pass of the windows found in the latent space."""
 
     def find(batches):
         import pyarrow as pa
@@ -362,7 +471,8 @@ def search(docs: DataFrame, index: Index, exact: float, loose: float, answer: fl
                 at = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
                 known = index.terms[at] == words
                 found: dict = {}
-                for row, item, hits in _hits(index, at, known, np.repeat(np.arange(len(counts)), counts)):
+                rows_of = np.repeat(np.arange(len(counts)), counts)
+                for row, item, hits in _hits(index, at, known, rows_of, _Sought(index, at, known, rows_of, first)):
                     found.setdefault((row, item), []).append(hits)
                 for (row, item), hits in found.items():
                     f, e = first[row], first[row] + counts[row]

@@ -617,6 +617,40 @@ def test_matches_are_those_of_brute_force_whatever_the_corpus(spark, n_texts):
     assert got == want and 30 < len(want) < 60
 
 
+@pytest.mark.parametrize("rank", [256, 3])
+def test_the_latent_space_is_searched_for_the_windows(spark, rank):
+    """Without the items' vectors in the space nothing is found; with them no
+    match of brute force is lost, whatever the rank, and most pairs are ruled out."""
+    import random
+    rng = random.Random(rank)
+    word = lambda: f"w{int(rng.paretovariate(0.5)) % 3000}"
+    items = [(k, " ".join(word() for _ in range(rng.choice((8, 20, 45, 150))))) for k in range(20)]
+    rows = []
+    for i in range(90):
+        w = [word() for _ in range(rng.randint(0, 400))]
+        if i % 3 == 0:
+            part = items[i % 20][1].split()
+            for j in rng.sample(range(len(part)), int(len(part) * rng.choice((0, 0.2, 0.4)))):
+                part[j] = word()
+            w[len(w) // 2:len(w) // 2] = part
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "md5(text) AS crc", "text").withColumn("crc", F.col("crc").cast("binary"))
+    index = decontaminate.build_index(docs, spark.createDataFrame(items, "item_no long, text string"), rank, 5, 0.5)
+    pairs = lambda: {(r["id"], r["item_no"]) for r in decontaminate.search(docs, index, 0.7, 0.5, 0.8).collect()}
+    want = set(_brute_matches(rows, items))
+    assert pairs() == want and len(want) > 20
+    if rank == 256:
+        for lo, words, counts in decontaminate._word_lists(pa.array([t for _, t in rows])):
+            at = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
+            first, row = np.cumsum(counts) - counts, np.repeat(np.arange(len(counts)), counts)
+            sought = decontaminate._Sought(index, at, index.terms[at] == words, row, first)
+            found = np.concatenate([f[:, sought.kind == kind].ravel() for kind, f in sought.found.items()])
+            assert 0 < found.mean() < 0.5
+    index.__dict__.pop("_sought", None)
+    index.latent_items[:], index.outside[:] = 0, 0
+    assert pairs() == set()
+
+
 def test_a_part_of_the_words_at_a_time():
     rng = np.random.default_rng(4)
     want = np.arange(20, dtype=np.uint64)
