@@ -173,3 +173,24 @@ def test_another_inventory_asks_for_a_rebuild(spark, tmp_path):
     assert {(r["night"].day, r["n_rows"]) for r in more.cells().collect()} == {(10, 2), (11, 1)}
     assert more.apply(event).months == ()
     more.close()
+
+
+def test_a_bucket_gets_one_file_of_new_reservations(spark, tmp_path):
+    """However many tasks a batch comes in."""
+    rooms = dimensions.clean_inventory(inventory(spark, ROOMS))
+    store = MartStore(spark, str(tmp_path / "store"), rooms)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for batch in range(2):
+            events = [booking(f"r{batch}-{i}", [("QN", 10, 11, "7")], (10, 12)) for i in range(200)]
+            store.apply({"native": spark.createDataFrame(events, NATIVE_EVENT).repartition(12)})
+            folder = tmp_path / "store" / "latest" / store._state()[1]["latest"]["folder"]
+            assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= (batch + 1) * parts
+        assert store.kept().count() == 400
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    store.close()

@@ -7,7 +7,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from staylens.operators import kpis, reservations
+from staylens.operators import adapters, kpis, reservations
 from staylens.plans.marts import Marts
 from staylens.sinks import read_table, write_table
 from staylens.sources import read_native
@@ -136,3 +136,19 @@ def test_bucketed_write_falls_back_to_plain_parquet(spark, tmp_path, monkeypatch
     monkeypatch.setattr(DataFrameWriter, "saveAsTable", break_off)
     with pytest.raises(RuntimeError, match="disk full"):
         write_bucketed(df, str(tmp_path), "kept", ["hotel_id", "reservation_id"])
+
+
+def test_only_the_latest_snapshots_are_fingerprinted(spark):
+    """The marts' dedup makes fingerprints after it has ranked the instants, and
+    keeps what a dedup of the fingerprinted feed keeps."""
+    from staylens.plans.catalog import testdata
+    from staylens.plans.marts import Marts
+    feeds = testdata.feeds(spark, "/root/testdata/sf0.001")
+    feeds = {s: df.unionAll(df.limit(40)) for s, df in feeds.items()}
+    m = Marts(feeds=feeds, inventory_raw=testdata.inventory_raw(spark, "/root/testdata/sf0.001"))
+    kept = m.kept
+    plan = plan_of(kept, "extended")
+    plan = plan[plan.index("Physical Plan"):]
+    assert plan.index("row_number(") < plan.index("aggregate(") < plan.index("rank(updated_instant")  # a plan is read from its end
+    want = reservations.dedup_latest(adapters.unified_feed(feeds))
+    assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
