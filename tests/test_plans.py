@@ -152,3 +152,34 @@ def test_only_the_latest_snapshots_are_fingerprinted(spark):
     assert plan.index("row_number(") < plan.index("aggregate(") < plan.index("rank(updated_instant")  # a plan is read from its end
     want = reservations.dedup_latest(adapters.unified_feed(feeds))
     assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
+
+
+def test_a_text_is_parsed_once_however_often_its_value_is_named(spark, write_json):
+    """The validity rules name dates and amounts several times; filtering by
+    them must not parse the texts anew."""
+    m = _marts(spark, write_json, lodge_events(), False)
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized(m.unified.where("is_valid")).count("RLIKE") == 5  # four times and the instant
+    assert optimized(reservations.validated_line_items(m.unified.withColumn("counts_for_occupancy", F.lit(True)))).count("RLIKE") == 5 + 6
+
+
+def test_which_list_is_missing_is_read_off_one_field(spark, write_json):
+    plan = plan_of(_marts(spark, write_json, lodge_events(), True).kept.where(reservations.is_flat()).select("hotel_id"), "formatted")
+    assert "stay_dates:array<struct<room_type_id:string>>" in next(l for l in plan.splitlines() if l.startswith("ReadSchema"))
+
+
+def test_landed_feeds_are_sorted_in_small_splits(spark):
+    from staylens.sources.landing import SORTED_BYTES, small_splits
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("128MB", SORTED_BYTES), ("1m", 1 << 20), (str(SORTED_BYTES + 1), SORTED_BYTES)):
+            spark.conf.set(key, given)
+            try:
+                with small_splits(spark):
+                    assert int(spark.conf.get(key).removesuffix("b")) == want
+                    raise RuntimeError("the write failed")
+            except RuntimeError:
+                assert spark.conf.get(key) == given
+    finally:
+        spark.conf.set(key, before)
