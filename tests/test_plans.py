@@ -183,3 +183,22 @@ def test_landed_feeds_are_sorted_in_small_splits(spark):
                 assert spark.conf.get(key) == given
     finally:
         spark.conf.set(key, before)
+
+
+def test_the_control_path_is_compiled(spark):
+    """The JVM interprets a method of more than 8,000 bytes and never compiles it."""
+    import re
+
+    from staylens.operators import quality
+    from staylens.sources import testdata
+    feeds = testdata.feeds(spark, "/root/testdata/sf0.001")
+    m = Marts(feeds=feeds, inventory_raw=testdata.inventory_raw(spark, "/root/testdata/sf0.001"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cells = quality.control_cells(m.kept, m.inventory, m.flat_items)
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        code = debug.codegenString(cells._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
