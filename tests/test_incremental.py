@@ -194,3 +194,24 @@ def test_a_bucket_gets_one_file_of_new_reservations(spark, tmp_path):
         for c, v in old.items():
             spark.conf.set(c, v)
     store.close()
+
+
+def test_a_batch_is_ranked_before_it_is_fingerprinted(spark, tmp_path):
+    """Of a batch's snapshots only those of the latest instant get a
+    fingerprint, and what is kept is what the whole order keeps."""
+    from pyspark.sql import Window
+
+    from staylens.operators import adapters, reservations
+    from staylens.plans.incremental import SOURCE_KEY
+    rng = random.Random(5)
+    feeds = _feeds(spark, [e | {"updated_at": f"2031-02-0{rng.randint(1, 3)} 10:00:00"} for e in _native(rng, 120)], _nordic(rng, 5))
+    store = MartStore(spark, str(tmp_path / "store"), dimensions.clean_inventory(inventory(spark, ROOMS)))
+    flat = spark.createDataFrame([], store._flat_schema)
+    plan = plan_of(store._changes(feeds, flat, flat), "extended")
+    plan = plan[plan.index("Physical Plan"):]
+    assert plan.index("row_number(") < plan.index("aggregate(") < plan.index("rank(updated_instant")  # read from its end
+    whole = Window.partitionBy(*SOURCE_KEY).orderBy(*reservations.snapshot_order())
+    unified = adapters.unified_feed({"native": feeds["native"]})
+    want = unified.where("is_valid").withColumn("_rn", F.row_number().over(whole)).where("_rn = 1").drop("_rn")
+    got = reservations.latest_snapshots(adapters.unified_feed({"native": feeds["native"]}, fingerprint=False), SOURCE_KEY).select(*want.columns)
+    assert got.count() > 5 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
