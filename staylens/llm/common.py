@@ -4,6 +4,7 @@ document fields, and connected components."""
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,39 @@ from pyspark.sql import functions as F
 from staylens.session import ensure_checkpoint_dir
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+#: For a table of large rows: a writer that looks at its buffers after every
+#: hundred rows only would make one row group of all rows of a task, which it
+#: holds as a whole, and a reader decodes row groups as a whole.
+LARGE_ROWS = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
+
+
+def written(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the session's shared checkpoint folder and
     return a reader of it, so that later steps (and retries after the loss of
     an executor) start from the table and not from the raw input."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that are given to Python at a time, or one row.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Plans that run meanwhile give Python about `BATCH_BYTES` at a time, not
+    ten thousand rows of whatever size, which the JVM and Python both hold."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

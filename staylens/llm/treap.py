@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from staylens.llm.common import written
+from staylens.llm.common import LARGE_ROWS, small_batches, written
 from staylens.llm.words import ALNUM, pieces, text_buffer, word_bounds, word_hashes
 
 #: A shard is closed at so many terms (with repeats); one longer text has a shard of its own.
@@ -264,7 +264,8 @@ def index(docs: DataFrame, n_docs: int, n_terms: int, shard_terms: int = SHARD_T
     term in ascending order (null last), the terms' hashes by falling count, in
     how many documents each is, and the treap. ``docs`` is (doc_id, text),
     ``n_docs`` and ``n_terms`` are its `totals`. Every document is in one shard;
-    nothing is exchanged."""
+    nothing is exchanged. A shard is a row of some 9 MB and a row group of its
+    own, so however many a task makes or reads, it holds one at a time."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def shard(ids, hashes, sizes):
@@ -320,7 +321,7 @@ def index(docs: DataFrame, n_docs: int, n_terms: int, shard_terms: int = SHARD_T
 
     import pyarrow.compute  # noqa: F401
     schema = f"ids array<{kind}>, high int, roots int, " + ", ".join(f"{p} binary" for p in _PARTS)
-    return written(docs.select("doc_id", "text").mapInArrow(deal, schema), "treap")
+    return written(docs.select("doc_id", "text").mapInArrow(deal, schema), "treap", LARGE_ROWS)
 
 
 # --- queries ---------------------------------------------------------------
@@ -380,7 +381,12 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, shard_terms: int = SH
 
     The index is built and written once. A block of queries (bounded by
     ``block_terms``, else one query) goes to every shard, whose best k documents
-    are merged."""
+    are merged. All that goes through Python is done when this returns."""
+    with small_batches(docs.sparkSession):
+        return _search(docs, items, k, shard_terms, block_terms)
+
+
+def _search(docs: DataFrame, items: DataFrame, k: int, shard_terms: int, block_terms: int) -> DataFrame:
     n_docs, n_terms = totals(docs)
     kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     if not n_docs:

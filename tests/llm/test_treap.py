@@ -87,6 +87,35 @@ def test_empty_tables(spark, nothing):
     assert treap.search(spark.createDataFrame([(1, None, None, None, 0), (2, "-- !", None, None, 0)], SCHEMA), asked).collect() == []
 
 
+def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
+    """A row group of the index holds one large shard, and Python gets one at a
+    time, however many a task makes or reads."""
+    import glob
+    from pyarrow import parquet
+    from staylens.llm import common
+    monkeypatch.setitem(common.LARGE_ROWS, "parquet.block.size", str(64 << 10))
+    monkeypatch.setattr(common, "BATCH_BYTES", 64 << 10)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 200), None, None, 0) for i in range(2000)]
+    asked = [(1, "ka lo"), (2, "mi ren")]
+    docs, items = spark.createDataFrame(rows, SCHEMA).coalesce(1), spark.createDataFrame(asked, ITEMS)
+    shards = treap.index(docs, *treap.totals(docs), shard_terms=20_000)
+    groups = [parquet.ParquetFile(f).metadata for f in glob.glob(shards.inputFiles()[0].removeprefix("file:"))]
+    sizes = [m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)]
+    assert sum(sizes) == shards.count() >= 20 and max(sizes) == 1
+
+    def batch_rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    with common.small_batches(spark):
+        assert {r["n"] for r in shards.mapInArrow(batch_rows, "n long").collect()} == {1}
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+    seen, search_block = [], treap._search_block
+    monkeypatch.setattr(treap, "_search_block", lambda *a: seen.append(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) or search_block(*a))
+    assert _got(treap.search(docs, items, shard_terms=20_000)) == _brute(rows, asked) and seen == [str(64 << 10)]
+
+
 def test_very_long_text(spark):
     rng = random.Random(6)
     long = prose(rng, 300_000)
