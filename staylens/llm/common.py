@@ -4,7 +4,6 @@ document fields, and connected components."""
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -29,23 +28,6 @@ def written(df: DataFrame, label: str, options: dict[str, str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Bytes of rows that are given to Python at a time, or one row.
-BATCH_BYTES = 4 << 20
-
-
-@contextmanager
-def small_batches(spark: SparkSession):
-    """Plans that run meanwhile give Python about `BATCH_BYTES` at a time, not
-    ten thousand rows of whatever size, which the JVM and Python both hold."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, BATCH_BYTES)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

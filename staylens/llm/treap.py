@@ -35,8 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from staylens.llm.common import LARGE_ROWS, small_batches, written
+from staylens.llm.common import LARGE_ROWS, written
 from staylens.llm.words import ALNUM, pieces, text_buffer, word_bounds, word_hashes
+from staylens.session import small_batches
 
 #: A shard is closed at so many terms (with repeats); one longer text has a shard of its own.
 SHARD_TERMS = 1_000_000

@@ -249,11 +249,13 @@ def _entries(chunks: DataFrame, states: DataFrame, key: str) -> DataFrame:
             .mapInArrow(cut, "file string, block long, seq int, kind int, opener string, closer string, value string"))
 
 
-def read_records(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
+def read_records(spark: SparkSession, path: str, key: str, schema: T.StructType, root: str | None = None) -> DataFrame:
     """The records of the list ``key`` of every envelope at ``path``, in many
-    tasks. Running it writes the chunks below the checkpoint folder and follows
-    the ranges; a document that is no whole envelope is a ``ValueError``."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/envelope/{uuid.uuid4().hex}"
+    tasks. Running it writes the chunks to ``root``, a folder of its own that is
+    by default below the checkpoint folder, and follows the ranges; a document
+    that is no whole envelope is a ``ValueError``. The rows are made of the
+    chunks, the documents are not read again."""
+    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/envelope/{uuid.uuid4().hex}"
     written = _chunks(spark, path, key)
     written.write.options(**_ROW_GROUPS).parquet(f"{root}/chunks")
     chunks = spark.read.schema(written.schema).parquet(f"{root}/chunks")

@@ -92,9 +92,10 @@ def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
     time, however many a task makes or reads."""
     import glob
     from pyarrow import parquet
+    from staylens import session
     from staylens.llm import common
     monkeypatch.setitem(common.LARGE_ROWS, "parquet.block.size", str(64 << 10))
-    monkeypatch.setattr(common, "BATCH_BYTES", 64 << 10)
+    monkeypatch.setattr(session, "BATCH_BYTES", 64 << 10)
     rng = random.Random(3)
     rows = [(i, prose(rng, 200), None, None, 0) for i in range(2000)]
     asked = [(1, "ka lo"), (2, "mi ren")]
@@ -108,7 +109,7 @@ def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
-    with common.small_batches(spark):
+    with session.small_batches(spark):
         assert {r["n"] for r in shards.mapInArrow(batch_rows, "n long").collect()} == {1}
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
     seen, search_block = [], treap._search_block

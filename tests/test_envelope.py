@@ -225,3 +225,25 @@ def test_chunks_are_stored_in_small_row_groups(spark, write_text):
     groups = [pq.ParquetFile(f).metadata.row_group(i) for f in glob.glob(os.path.join(folder, "chunks", "*.parquet"))
               for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
     assert max(g.total_byte_size for g in groups) < 12 << 20 and sum(g.total_byte_size for g in groups) > 40_000_000
+
+
+def test_documents_of_a_share_end_with_it(spark, monkeypatch):
+    """The query's documents are written, read and removed share by share, with
+    the rows of the feed, and nothing but landed feeds and records is left."""
+    import os
+
+    from staylens.plans import catalog
+    feed = catalog.landed_feeds(spark, "/root/testdata/sf0.001")["native"]
+    monkeypatch.setattr(catalog, "SHARE_BYTES", 1)
+    assert len(catalog.shares(spark, feed.inputFiles(), 1)) == len(feed.inputFiles())
+    assert catalog.shares(spark, feed.inputFiles(), 1 << 40) == [sorted(feed.inputFiles())]
+    several = feed.repartition(3).write.mode("overwrite")
+    with monkeypatch.context() as m:
+        root = os.path.dirname(os.path.dirname(feed.inputFiles()[0].removeprefix("file:")))
+        several.parquet(f"{root}/several")
+        m.setitem(catalog._LANDED, (spark.sparkContext.applicationId, "/root/testdata/sf0.001"), {"native": spark.read.schema(feed.schema).parquet(f"{root}/several")})
+        got = catalog.records_of_envelopes(spark, "/root/testdata/sf0.001")
+    assert _rows(got) == _rows(feed) and got.count() > 1000
+    left = os.path.dirname(os.path.dirname(got.inputFiles()[0].removeprefix("file:")))
+    assert os.listdir(left) == ["records"] and len(got.inputFiles()) >= 3
+    assert "events" not in os.listdir(root)
