@@ -215,3 +215,49 @@ def test_a_batch_is_ranked_before_it_is_fingerprinted(spark, tmp_path):
     want = unified.where("is_valid").withColumn("_rn", F.row_number().over(whole)).where("_rn = 1").drop("_rn")
     got = reservations.latest_snapshots(adapters.unified_feed({"native": feeds["native"]}, fingerprint=False), SOURCE_KEY).select(*want.columns)
     assert got.count() > 5 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for d in manager.localDirs() for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_a_batch_leaves_what_is_read_of_it(spark, tmp_path):
+    """No shuffle files, and after a vacuum one version of the snapshots."""
+    rng = random.Random(5)
+    rooms = dimensions.clean_inventory(inventory(spark, ROOMS))
+    rooms.collect()
+    store = MartStore(spark, str(tmp_path / "store"), rooms)
+    native, nordic = [], []
+    for _ in range(2):
+        a, b = _native(rng, 20), _nordic(rng, 20)
+        native, nordic, before = native + a, nordic + b, _shuffle_files(spark)
+        store.apply(_feeds(spark, a, b))
+        left = _shuffle_files(spark) - before
+        assert not [f for f in left if f.endswith(".data")], left
+        store.vacuum()
+        assert len([d for d in os.listdir(tmp_path / "store" / "latest") if d.startswith("_version") or "=" in d]) == len(store._registered) == 1
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    full = Marts(feeds=_feeds(spark, native, nordic), inventory_raw=inventory(spark, ROOMS))
+    assert _kept(store.kept()) == _kept(full.kept) and _fact(store.fact(_capacity(rooms))) == _fact(full.fact)
+    store.close()
+
+
+def test_the_changes_alone_are_exchanged_and_once(spark, tmp_path):
+    """In any session: the default exchanges both sides of a join on more
+    columns than the table is bucketed by."""
+    from staylens.plans import incremental
+    rng = random.Random(6)
+    store = MartStore(spark, str(tmp_path / "store"), dimensions.clean_inventory(inventory(spark, ROOMS)))
+    store.apply(_feeds(spark, _native(rng, 30), _nordic(rng, 30)))
+    changes = Marts(feeds=_feeds(spark, _native(rng, 30), _nordic(rng, 30)), inventory_raw=inventory(spark, ROOMS)).unified.cache()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with incremental._stored_in_place(spark):
+            plan = plan_of(incremental._merged(store._latest(store._state()[1]), changes))
+        assert plan.split("InMemoryRelation")[0].count("Exchange hashpartitioning") == 1, plan
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        changes.unpersist()
+    store.close()
